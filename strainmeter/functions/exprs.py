@@ -52,9 +52,37 @@ def floor_at(c: str | Column, lo: float) -> Column:
     return F.greatest(col(c), F.lit(lo))
 
 
+_SPLITTER = 134217729.0  # 2**27 + 1, Veltkamp split of a double
+
+
 def round_even(c: str | Column, digits: int) -> Column:
-    """Round half to even (Python's ``round``)."""
-    return F.bround(col(c), digits)
+    """Python's ``round(x, digits)`` on doubles: half to even on the exact
+    binary value (``bround`` works on the shortest decimal form instead and
+    differs on values such as 0.12345).
+
+    y = x * 10**digits is formed exactly as hi + lo (Dekker product; 10**d has
+    few significant bits so only x is split); hi's fraction decides, and on an
+    exact half the sign of lo does, a true tie going to the even integer.
+    """
+    x = col(c).cast("double")
+    scale = float(10**digits)
+    hi = x * F.lit(scale)
+    t = x * F.lit(_SPLITTER)
+    xh = t - (t - x)
+    xl = x - xh
+    lo = (xh * F.lit(scale) - hi) + xl * F.lit(scale)
+    fl = F.floor(hi).cast("double")
+    frac = hi - fl
+    up = fl + F.lit(1.0)
+    even = F.when(F.pmod(fl, F.lit(2.0)) == 0, fl).otherwise(up)
+    r = (
+        F.when(frac > 0.5, up)
+        .when(frac < 0.5, fl)
+        .when(lo > 0, up)
+        .when(lo < 0, fl)
+        .otherwise(even)
+    )
+    return F.when(x.isNull() | F.isnan(x) | x.isin(INF, -INF), x).otherwise(r / F.lit(scale))
 
 
 def flag(pred: Column) -> Column:
@@ -159,7 +187,7 @@ def confidence(p: str | Column, mode: str = "reference") -> Column:
     raw = (F.lit(1.0) - dist) if mode == "reference" else (F.lit(0.5) + dist)
     if mode not in ("reference", "margin"):
         raise ValueError(f"unknown confidence mode {mode!r}")
-    return F.bround(clamp(raw, S.CONFIDENCE_LO, S.CONFIDENCE_HI), S.CONFIDENCE_DIGITS)
+    return round_even(clamp(raw, S.CONFIDENCE_LO, S.CONFIDENCE_HI), S.CONFIDENCE_DIGITS)
 
 
 def recommendation_codes(p: str | Column, metrics: dict[str, Column] | None = None) -> Column:

@@ -48,6 +48,25 @@ def r(expr: str, digits: int = DIGITS) -> str:
     return f"(round({expr}, {digits}) + 0.0)"
 
 
+def round_even(expr: str, digits: int) -> str:
+    """Python's round(x, digits) on doubles (exact half-to-even), the same
+    Dekker product as functions/exprs.round_even."""
+    sc = f"CAST({float(10**digits)!r} AS DOUBLE)"
+    x = f"CAST({expr} AS DOUBLE)"
+    hi = f"({x} * {sc})"
+    t = f"({x} * CAST(134217729.0 AS DOUBLE))"
+    xh = f"({t} - ({t} - {x}))"
+    xl = f"({x} - {xh})"
+    lo = f"(({xh} * {sc} - {hi}) + {xl} * {sc})"
+    fl = f"CAST(floor({hi}) AS DOUBLE)"
+    frac = f"({hi} - {fl})"
+    r = (
+        f"(CASE WHEN {frac} > 0.5 THEN {fl} + 1 WHEN {frac} < 0.5 THEN {fl} WHEN {lo} > 0 THEN {fl} + 1"
+        f" WHEN {lo} < 0 THEN {fl} WHEN {fl} % 2 = 0 THEN {fl} ELSE {fl} + 1 END)"
+    )
+    return f"({r} / {sc})"
+
+
 def with_ctes(*ctes: str) -> str:
     return "WITH " + ",\n".join(c.strip().rstrip(",") for c in ctes if c.strip())
 

@@ -12,6 +12,13 @@ from strainmeter import schema as S
 from strainmeter.sources.adapt import events_to_metrics
 
 
+# text formats keep microseconds (Spark's default writes milliseconds only)
+TS_TEXT_OPTIONS = {
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+}
+
+
 class MissingInputError(FileNotFoundError):
     """Named error for a missing input table."""
 
@@ -76,7 +83,9 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: li
     if parts:
         w = w.partitionBy(*parts)
     if fmt == "csv":
-        w.option("header", "true").csv(path)
+        w.options(**TS_TEXT_OPTIONS).option("header", "true").csv(path)
+    elif fmt == "json":
+        w.options(**TS_TEXT_OPTIONS).json(path)
     else:
         w.format(fmt).save(path)
     return path
@@ -85,7 +94,12 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: li
 def read_readings_json(spark: SparkSession, path: str) -> DataFrame:
     """Readings as JSON lines (or a JSON array with ``multiLine``) with the
     fixed reading schema."""
-    return _read(spark, path, "json", schema=S.READING_SCHEMA, multiLine="false")
+    return _read(spark, path, "json", schema=S.READING_SCHEMA, multiLine="false", **TS_TEXT_OPTIONS)
+
+
+def write_readings_json(readings: DataFrame, path: str) -> str:
+    readings.write.mode("overwrite").options(**TS_TEXT_OPTIONS).json(path)
+    return path
 
 
 def write_predictions(predictions: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
