@@ -1,3 +1,84 @@
-"""Registered queries."""
+"""Model queries (MLlib fits; checked by rows and properties, not SQL)."""
 
 from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from strainmeter import oracle_sql as O
+from strainmeter import schema as S
+from strainmeter.fixtures import FIXTURE_P_SQL, fixture_score
+from strainmeter.operators import evaluate as EV
+from strainmeter.plans import train as TR
+from strainmeter.plans.catalog import register
+from strainmeter.plans.catalog.q_metrics import AUC_EXPR, AUC_SQL
+from strainmeter.plans.checks import rounded, split_buckets
+from strainmeter.plans.registry import promotion_gate
+from strainmeter.plans.workflow import comparison, end_to_end, trained_registry
+from strainmeter.sources.io import events_metrics
+
+AS_OF = dt.datetime(2024, 2, 1, 0, 0, 0)
+
+
+def _record_query(name: str):
+    def q(spark, sf_dir):
+        reg = trained_registry(spark, sf_dir, [name])
+        return reg.latest_records().filter(F.col("model") == name).drop("trained_at")
+
+    return q
+
+
+register("train_logistic")(_record_query("logistic_regression"))
+register("train_forest")(_record_query("random_forest"))
+register("train_boosted")(_record_query("boosted_trees"))
+
+
+@register("train_all")
+def q_train_all(spark, sf_dir):
+    """The three fits, their test metrics, best by AUC and the scoring choice."""
+    return comparison(trained_registry(spark, sf_dir))
+
+
+@register("predict_proba")
+def q_predict_proba(spark, sf_dir):
+    """Positive-class probability of the chosen model on the test part."""
+    reg = trained_registry(spark, sf_dir)
+    name = reg.choose("preference")
+    test = spark.read.parquet(f"{reg.base}/features-split").filter("is_test")
+    return TR.score_model(reg.load(name), test).select(S.KEY, "failure_probability", F.lit(name).alias("model_used"))
+
+
+@register("end_to_end_run")
+def q_end_to_end_run(spark, sf_dir):
+    """Features -> split -> fits -> registry -> batch scoring of the test part
+    with point features (the reference's batch run, re-aimed)."""
+    return end_to_end(spark, sf_dir, as_of=AS_OF)
+
+
+@register("top_feature_importance")
+def q_top_feature_importance(spark, sf_dir):
+    """The ten strongest inputs of the forest (46 numbers from the model)."""
+    reg = trained_registry(spark, sf_dir, ["random_forest"])
+    top = TR.feature_importances(reg.load("random_forest"), reg.manifest(), top=10)
+    rows = [(i + 1, n, v) for i, (n, v) in enumerate(top)]
+    return spark.createDataFrame(rows, "rank INT, feature STRING, importance DOUBLE")
+
+
+@register(
+    "promotion_gate",
+    O.with_ctes(O.METRICS_CTE, AUC_SQL, f"a AS (SELECT {AUC_EXPR} AS value FROM cu)")
+    + "\n"
+    + "\nUNION ALL\n".join(
+        f"SELECT 'fixture' AS model, '{k}' AS stage, CAST({v} AS DOUBLE) AS threshold, {O.r('value')} AS value,"
+        f" value >= {v} AS passed FROM a"
+        for k, v in S.STAGE_THRESHOLDS.items()
+    ),
+)
+def q_promotion_gate(spark, sf_dir):
+    """AUC against the stage thresholds (staging 0.92, production 0.90); the
+    fixture score stands in for a fitted model's record."""
+    m = fixture_score(events_metrics(spark, sf_dir))
+    auc = EV.roc_auc(m, n_buckets=split_buckets(m)).select(F.lit("fixture").alias("model"), "auc")
+    gate = promotion_gate(auc, "auc")
+    return rounded(gate, skip=("threshold",))

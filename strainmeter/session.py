@@ -50,10 +50,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
         conf_dir = tempfile.mkdtemp(prefix="strainmeter-ckpt-")
+        try:
+            spark.conf.set("spark.checkpoint.dir", conf_dir)
+        except Exception:  # a core setting; some versions refuse it at runtime
+            pass
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
+def shared_root(spark: SparkSession) -> str:
+    """The shared folder itself (not the per-application subfolder Spark
+    creates under it for RDD checkpoints)."""
+    ensure_checkpoint_dir(spark)
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    return conf_dir or spark.sparkContext.getCheckpointDir()
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for a written table."""
     base = ensure_checkpoint_dir(spark)
