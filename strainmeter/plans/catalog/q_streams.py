@@ -1,3 +1,57 @@
-"""Registered queries."""
+"""Streaming queries: each runs a Structured Streaming query over the given
+``events`` table (``availableNow``) into a table in the shared folder and
+returns that table. Checked by rows and by equality with the batch form."""
 
 from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from strainmeter import schema as S
+from strainmeter.fixtures import fixture_score
+from strainmeter.operators import features as FE
+from strainmeter.operators.windows import column_means
+from strainmeter.plans.catalog import register
+from strainmeter.plans.checks import rounded
+from strainmeter.plans.workflow import trained_registry
+from strainmeter.sources.io import events_metrics
+from strainmeter.streaming import stateful as ST
+from strainmeter.streaming.sources import metrics_stream, run_to_table, table_stream
+
+AS_OF = dt.datetime(2024, 2, 1, 0, 0, 0)
+
+
+@register("stream_score")
+def q_stream_score(spark, sf_dir):
+    """Readings scored as they arrive (stateless; chosen model, point
+    features), written by the stream sink."""
+    reg = trained_registry(spark, sf_dir)
+    name = reg.choose("preference")
+    stream = metrics_stream(table_stream(spark, sf_dir, "events"))
+    preds = ST.stream_score_readings(stream, reg.load(name), name, reg.manifest(), as_of=AS_OF)
+    return spark.read.parquet(run_to_table(preds, "score"))
+
+
+@register("stream_rollup")
+def q_stream_rollup(spark, sf_dir):
+    """5-minute roll-up per host with a 10-minute watermark; closed windows."""
+    out = ST.stream_rollup(table_stream(spark, sf_dir, "events"))
+    return rounded(spark.read.parquet(run_to_table(out, "rollup")))
+
+
+@register("stream_history_features")
+def q_stream_history_features(spark, sf_dir):
+    """True rolling / lag / forward-filled features on a stream (keyed state
+    per host); lag gaps take the table means, as the batch form."""
+    fill = column_means(events_metrics(spark, sf_dir), S.LAG_COLS)
+    local = FE.row_local_features(metrics_stream(table_stream(spark, sf_dir, "events")))
+    out = ST.stream_history_features(local, fill)
+    return rounded(spark.read.parquet(run_to_table(out, "history")))
+
+
+@register("stream_sustained_alert")
+def q_stream_sustained_alert(spark, sf_dir):
+    """Alerts fired when the fixture score stays above 0.8 for 5 minutes."""
+    scored = fixture_score(metrics_stream(table_stream(spark, sf_dir, "events")))
+    return spark.read.parquet(run_to_table(ST.stream_sustained_alert(scored), "alert"))
