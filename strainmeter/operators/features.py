@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from strainmeter import schema as S
 from strainmeter.functions import exprs as X
-from strainmeter.operators.windows import HistorySpec, column_means, history_features
+from strainmeter.operators.windows import HistorySpec, history_features
 from strainmeter.session import DEFAULT_ROWS_PER_BUCKET
 
 
@@ -65,14 +65,34 @@ def feature_table(
     pass training-part means to avoid leaking test rows into the fill.
     """
     keep = list(keep) if keep is not None else [c for c in (S.KEY, S.HOST) if c in metrics.columns]
-    if lag_fill is None:
-        lag_fill = column_means(metrics, S.LAG_COLS)
-    local = row_local_features(metrics)
+    if lag_fill is None or n_buckets is None:
+        # one aggregate job for the row count (range count) and the fill means
+        row = metrics.agg(F.count(F.lit(1)).alias("_n"), *[F.avg(c).alias(c) for c in S.LAG_COLS]).first()
+        if lag_fill is None:
+            lag_fill = {c: (None if row[c] is None else float(row[c])) for c in S.LAG_COLS}
+        if n_buckets is None:
+            n_buckets = max(1, -(-int(row["_n"]) // max(1, rows_per_bucket)))
+    local = row_local_features(metrics).select(*keep, *[c for c in S.FEATURE_COLS if c not in S.ROLLING_COLS_OUT + S.LAG_COLS_OUT])
     ffill = _ffill_columns(local, keep + [S.LABEL])
     spec = history_spec(lag_fill, ffill)
-    feats = history_features(local, spec, partition_cols, order_cols, rows_per_bucket, n_buckets)
-    filled = feats.fillna(0, subset=[c for c in S.FEATURE_COLS if c != S.TS])
-    return filled.select(*keep, *S.FEATURE_COLS)
+    feats = history_features(local, spec, partition_cols, order_cols, rows_per_bucket, n_buckets, post=_zero_fill)
+    return feats.select(*keep, *S.FEATURE_COLS)
+
+
+def _zero_fill(name: str, col):
+    """Remaining NULL (and NaN) -> 0, the timestamp and keys untouched."""
+    if name in (S.TS, S.KEY, S.HOST) or name.startswith("_"):
+        return col
+    return F.coalesce(F.nanvl(col, F.lit(None)) if name in _DOUBLE_COLS else col, F.lit(0))
+
+
+_DOUBLE_COLS = set(
+    ["cpu_usage", "memory_usage", "disk_usage", "network_latency_ms", "response_time_ms"]
+    + S.INTERACTION_COLS
+    + S.ROLLING_COLS_OUT
+    + S.LAG_COLS_OUT
+    + S.CYCLIC_COLS
+)
 
 
 def select_inputs(features: DataFrame, manifest: list[str] | None = None) -> DataFrame:

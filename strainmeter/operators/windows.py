@@ -78,31 +78,61 @@ def n_buckets_for(df: DataFrame, rows_per_bucket: int) -> int:
     return max(1, math.ceil(n / max(1, rows_per_bucket)))
 
 
-def _window_exprs(spec: HistorySpec, w, w_run, carry: dict[str, Column] | None) -> dict[str, Column]:
-    """Feature columns over window ``w`` (rows ordered), running frame ``w_run``."""
+def _window_exprs(spec: HistorySpec, w, w_run) -> dict[str, Column]:
+    """Window functions only, each computed once: running last non-null per
+    forward-filled source, raw rolling aggregates, raw lags."""
     out: dict[str, Column] = {}
+    for src in _ffill_sources(spec):
+        out[f"_seen_{src}"] = F.last(F.col(src), ignorenulls=True).over(w_run)
+    for name, src, how, n in spec.rolling:
+        frame = w.rowsBetween(-(n - 1), 0)
+        out[f"_roll_{name}"] = (F.avg(src) if how == "mean" else F.max(src)).over(frame)
+    for name, src, n in spec.lags:
+        out[f"_lag_{name}"] = F.lag(F.col(src), n).over(w)
+    return out
+
+
+def _combine_exprs(spec: HistorySpec, carry: dict[str, Column] | None) -> dict[str, Column]:
+    """Final columns from the window outputs (plain projection)."""
     carry = carry or {}
 
-    def last_seen(src: str) -> Column:
-        run = F.last(F.col(src), ignorenulls=True).over(w_run)
+    def seen(src: str) -> Column:
+        run = F.col(f"_seen_{src}")
         return F.coalesce(run, carry[src]) if src in carry else run
 
-    for name, src, how, n in spec.rolling:
-        frame = w.rowsBetween(-(n - 1), 0)
-        agg = F.avg(src) if how == "mean" else F.max(src)
-        val = agg.over(frame).cast("double")
-        if spec.ffill_rolling:
-            val = F.coalesce(val, last_seen(src).cast("double"))
-        out[name] = val
-    for name, src, n in spec.lags:
+    out: dict[str, Column] = {}
+    for name, src, _, _ in spec.rolling:
+        val = F.col(f"_roll_{name}").cast("double")
+        out[name] = F.coalesce(val, seen(src).cast("double")) if spec.ffill_rolling else val
+    for name, src, _ in spec.lags:
         fill = spec.lag_fill.get(src)
-        val = F.lag(F.col(src), n).over(w).cast("double")
+        val = F.col(f"_lag_{name}").cast("double")
         out[name] = F.coalesce(val, F.lit(fill).cast("double")) if fill is not None else val
     for c in spec.ffill:
-        out[c] = last_seen(c)
+        out[c] = seen(c)
     return out
 
 
+def _temp_names(spec: HistorySpec) -> list[str]:
+    return (
+        [f"_seen_{c}" for c in _ffill_sources(spec)]
+        + [f"_roll_{n}" for n, *_ in spec.rolling]
+        + [f"_lag_{n}" for n, *_ in spec.lags]
+    )
+
+
+def _apply(df: DataFrame, spec: HistorySpec, w, w_run, carry, final_cols: list[str], post=None) -> DataFrame:
+    """Window node, then one projection to the final columns (``post`` may
+    wrap each final column, e.g. the zero fill)."""
+    win = df.select("*", *[c.alias(n) for n, c in _window_exprs(spec, w, w_run).items()])
+    comb = _combine_exprs(spec, carry)
+    sel = []
+    for c in final_cols:
+        col = comb.get(c, F.col(c))
+        sel.append((post(c, col) if post else col).alias(c))
+    return win.select(*sel)
+
+
 def _ffill_sources(spec: HistorySpec) -> list[str]:
     srcs = list(spec.ffill)
     if spec.ffill_rolling:
@@ -120,19 +150,24 @@ def history_features(
     rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
     n_buckets: int | None = None,
     ts_col: str = S.TS,
+    post=None,
 ) -> DataFrame:
-    """Add rolling, lag and forward-filled columns per series (see module doc)."""
+    """Add rolling, lag and forward-filled columns per series (see module doc).
+    ``post(name, column)`` may wrap every output column (e.g. a zero fill)."""
     part, order = list(partition_cols), list(order_cols)
     if n_buckets is None:
         n_buckets = n_buckets_for(df, rows_per_bucket)
+    final_cols = list(df.columns) + [c for c in _out_names(spec) if c not in df.columns]
     if n_buckets <= 1:
-        w = Window.partitionBy(*part).orderBy(*order)
+        w = Window.partitionBy(*part).orderBy(*order) if part else Window.orderBy(*order)
         w_run = w.rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumns(_window_exprs(spec, w, w_run, None))
-    return _bucketed(df, spec, part, order, n_buckets, ts_col)
+        return _apply(df, spec, w, w_run, None, final_cols, post)
+    return _bucketed(df, spec, part, order, n_buckets, ts_col, final_cols, post)
 
 
-def _bucketed(df: DataFrame, spec: HistorySpec, part: list[str], order: list[str], n_buckets: int, ts_col: str) -> DataFrame:
+def _bucketed(
+    df: DataFrame, spec: HistorySpec, part: list[str], order: list[str], n_buckets: int, ts_col: str, final_cols: list[str], post=None
+) -> DataFrame:
     onum = order_micros(ts_col)
     bounds = range_bounds(df, onum, n_buckets)
     base = with_range_bucket(df, onum, bounds)
@@ -173,8 +208,7 @@ def _bucketed(df: DataFrame, spec: HistorySpec, part: list[str], order: list[str
 
     w = Window.partitionBy(*part, BUCKET).orderBy(*order)
     w_run = w.rowsBetween(Window.unboundedPreceding, 0)
-    feats = joined.withColumns(_window_exprs(spec, w, w_run, carry_cols))
-    return feats.filter(~F.col(HALO)).select(*cols, *[c for c in _out_names(spec) if c not in cols])
+    return _apply(joined, spec, w, w_run, carry_cols, final_cols + [HALO], post).filter(~F.col(HALO)).drop(HALO)
 
 
 def _out_names(spec: HistorySpec) -> list[str]:
