@@ -82,3 +82,20 @@ def q_promotion_gate(spark, sf_dir):
     auc = EV.roc_auc(m, n_buckets=split_buckets(m)).select(F.lit("fixture").alias("model"), "auc")
     gate = promotion_gate(auc, "auc")
     return rounded(gate, skip=("threshold",))
+
+
+@register("kfold_cv")
+def q_kfold_cv(spark, sf_dir):
+    """5-fold cross-validation of the logistic model on the feature table with
+    the stratified fold column (the fits behind ``kfold_eval``)."""
+    from strainmeter.operators import features as FE
+    from strainmeter.operators import split as SP
+
+    from strainmeter.session import shared_path
+
+    path = shared_path(spark, "features-folds")
+    SP.stratified_folds(FE.feature_table(events_metrics(spark, sf_dir))).write.parquet(path)
+    ft = spark.read.parquet(path)
+    spec = TR.DEFAULT_SPECS["logistic_regression"]
+    mean, std = TR.cross_validate(ft, spec)
+    return spark.createDataFrame([(spec.name, S.N_FOLDS, mean[0], std[0])], "model STRING, n_folds INT, mean_auc DOUBLE, std_auc DOUBLE")
