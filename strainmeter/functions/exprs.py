@@ -1,7 +1,10 @@
 """Scalar column expressions (JVM-side, codegen friendly).
 
-Each function returns a ``Column``; nothing here triggers a job. The
-``with_*`` helpers add a group of columns to a DataFrame in one projection.
+Every rule is written once as Spark SQL text (``*_sql`` builders, operands
+are SQL text: a column name or an expression) and turned into a ``Column``
+with ``F.expr``. One JVM call per output column keeps planning cheap, and
+the same text runs in DuckDB for the second-engine checks where both
+dialects agree. Nothing here triggers a job.
 """
 
 from __future__ import annotations
@@ -16,154 +19,191 @@ from strainmeter import schema as S
 INF = float("inf")
 
 
-def col(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def ex(sql: str) -> Column:
+    return F.expr(sql)
+
+
+def q(name: str) -> str:
+    """Quote a column name for SQL text."""
+    return f"`{name}`"
+
+
+def dbl(v: float) -> str:
+    """A double literal in both dialects (plain decimals are DECIMAL)."""
+    return f"CAST({float(v)!r} AS DOUBLE)"
 
 
 # ---------------------------------------------------------------------------
 # arithmetic helpers with IEEE results (pandas semantics) under ANSI mode
 # ---------------------------------------------------------------------------
-def ratio(num: Column, den: Column) -> Column:
+def ratio_sql(num: str, den: str) -> str:
     """num / den as double; x/0 gives +-inf, 0/0 gives NULL (pandas NaN)."""
-    num, den = num.cast("double"), den.cast("double")
+    n, d = f"CAST({num} AS DOUBLE)", f"CAST({den} AS DOUBLE)"
     return (
-        F.when(den.isNull() | num.isNull(), F.lit(None).cast("double"))
-        .when(den == 0, F.when(num > 0, F.lit(INF)).when(num < 0, F.lit(-INF)))
-        .otherwise(num / den)
+        f"CASE WHEN {n} IS NULL OR {d} IS NULL THEN CAST(NULL AS DOUBLE) "
+        f"WHEN {d} = 0 THEN (CASE WHEN {n} > 0 THEN CAST('inf' AS DOUBLE) WHEN {n} < 0 THEN CAST('-inf' AS DOUBLE) END) "
+        f"ELSE {n} / {d} END"
     )
 
 
-def nan_to_null(c: str | Column) -> Column:
+def ratio(num: str, den: str) -> Column:
+    return ex(ratio_sql(num, den))
+
+
+def nan_to_null(c: str) -> Column:
     """NaN -> NULL, so that Spark aggregates skip it like pandas does."""
-    x = col(c)
-    return F.nanvl(x.cast("double"), F.lit(None).cast("double"))
+    return ex(f"nanvl(CAST({c} AS DOUBLE), CAST(NULL AS DOUBLE))")
+
 
+def inf_to_zero(c: str) -> Column:
+    return ex(f"CASE WHEN {c} IN (CAST('inf' AS DOUBLE), CAST('-inf' AS DOUBLE)) THEN {dbl(0)} ELSE {c} END")
 
-def inf_to_zero(c: str | Column) -> Column:
-    x = col(c)
-    return F.when(x.isin(F.lit(INF), F.lit(-INF)), F.lit(0.0)).otherwise(x)
 
+def clamp_sql(c: str, lo: float, hi: float) -> str:
+    return f"least(greatest({c}, {lo!r}), {hi!r})"
 
-def clamp(c: str | Column, lo: float, hi: float) -> Column:
-    return F.least(F.greatest(col(c), F.lit(lo)), F.lit(hi))
 
+def clamp(c: str, lo: float, hi: float) -> Column:
+    return ex(clamp_sql(c, lo, hi))
 
-def floor_at(c: str | Column, lo: float) -> Column:
-    return F.greatest(col(c), F.lit(lo))
+
+def floor_at(c: str, lo: float) -> Column:
+    return ex(f"greatest({c}, {lo!r})")
 
 
 _SPLITTER = 134217729.0  # 2**27 + 1, Veltkamp split of a double
 
 
-def round_even(c: str | Column, digits: int) -> Column:
+def round_even_sql(expr: str, digits: int) -> str:
     """Python's ``round(x, digits)`` on doubles: half to even on the exact
     binary value (``bround`` works on the shortest decimal form instead and
     differs on values such as 0.12345).
 
     y = x * 10**digits is formed exactly as hi + lo (Dekker product; 10**d has
     few significant bits so only x is split); hi's fraction decides, and on an
-    exact half the sign of lo does, a true tie going to the even integer.
-    """
-    x = col(c).cast("double")
-    scale = float(10**digits)
-    hi = x * F.lit(scale)
-    t = x * F.lit(_SPLITTER)
-    xh = t - (t - x)
-    xl = x - xh
-    lo = (xh * F.lit(scale) - hi) + xl * F.lit(scale)
-    fl = F.floor(hi).cast("double")
-    frac = hi - fl
-    up = fl + F.lit(1.0)
-    even = F.when(F.pmod(fl, F.lit(2.0)) == 0, fl).otherwise(up)
+    exact half the sign of lo does, a true tie going to the even integer."""
+    sc = dbl(10.0**digits)
+    x = f"CAST({expr} AS DOUBLE)"
+    hi = f"({x} * {sc})"
+    t = f"({x} * {dbl(_SPLITTER)})"
+    xh = f"({t} - ({t} - {x}))"
+    xl = f"({x} - {xh})"
+    lo = f"(({xh} * {sc} - {hi}) + {xl} * {sc})"
+    fl = f"CAST(floor({hi}) AS DOUBLE)"
+    frac = f"({hi} - {fl})"
     r = (
-        F.when(frac > 0.5, up)
-        .when(frac < 0.5, fl)
-        .when(lo > 0, up)
-        .when(lo < 0, fl)
-        .otherwise(even)
+        f"(CASE WHEN {frac} > 0.5 THEN {fl} + 1 WHEN {frac} < 0.5 THEN {fl} WHEN {lo} > 0 THEN {fl} + 1"
+        f" WHEN {lo} < 0 THEN {fl} WHEN {fl} % 2 = 0 THEN {fl} ELSE {fl} + 1 END)"
     )
-    return F.when(x.isNull() | F.isnan(x) | x.isin(INF, -INF), x).otherwise(r / F.lit(scale))
+    special = f"{x} IS NULL OR isnan({x}) OR {x} IN (CAST('inf' AS DOUBLE), CAST('-inf' AS DOUBLE))"
+    return f"(CASE WHEN {special} THEN {x} ELSE {r} / {sc} END)"
+
+
+def round_even(c: str, digits: int) -> Column:
+    return ex(round_even_sql(c, digits))
 
 
-def flag(pred: Column) -> Column:
+def flag_sql(pred: str) -> str:
     """Boolean predicate as int 0/1, NULL comparing as false (pandas)."""
-    return F.coalesce(pred, F.lit(False)).cast("int")
+    return f"CAST(coalesce({pred}, false) AS INT)"
 
 
 # ---------------------------------------------------------------------------
 # calendar
 # ---------------------------------------------------------------------------
 def hour_of(ts: str | Column) -> Column:
-    return F.hour(col(ts)).cast("int")
+    return F.hour(ts if isinstance(ts, Column) else F.col(ts)).cast("int")
 
 
 def weekday_of(ts: str | Column) -> Column:
     """Day of week with Monday = 0 (``weekday``, not ``dayofweek``)."""
-    return F.weekday(col(ts)).cast("int")
+    return F.weekday(ts if isinstance(ts, Column) else F.col(ts)).cast("int")
+
+
+def weekend_sql(dow: str = "day_of_week") -> str:
+    return flag_sql(f"{dow} >= {S.WEEKEND_FROM_DOW}")
+
 
+def business_sql(hour: str = "hour", dow: str = "day_of_week") -> str:
+    return flag_sql(f"{hour} BETWEEN {S.BUSINESS_HOUR_FIRST} AND {S.BUSINESS_HOUR_LAST} AND {dow} < {S.WEEKEND_FROM_DOW}")
 
-def weekend_flag(dow: str | Column) -> Column:
-    return flag(col(dow) >= S.WEEKEND_FROM_DOW)
 
+def weekend_flag(dow: str = "day_of_week") -> Column:
+    return ex(weekend_sql(dow))
 
-def business_flag(hour: str | Column, dow: str | Column) -> Column:
-    h, d = col(hour), col(dow)
-    return flag(h.between(S.BUSINESS_HOUR_FIRST, S.BUSINESS_HOUR_LAST) & (d < S.WEEKEND_FROM_DOW))
+
+def business_flag(hour: str = "hour", dow: str = "day_of_week") -> Column:
+    return ex(business_sql(hour, dow))
 
 
 def with_calendar(df: DataFrame, ts: str = S.TS) -> DataFrame:
     """hour, day_of_week, is_weekend, is_business_hours from a timestamp."""
-    return (
-        df.withColumn("hour", hour_of(ts))
-        .withColumn("day_of_week", weekday_of(ts))
-        .withColumn("is_weekend", weekend_flag("day_of_week"))
-        .withColumn("is_business_hours", business_flag("hour", "day_of_week"))
+    return df.withColumns({"hour": hour_of(ts), "day_of_week": weekday_of(ts)}).withColumns(
+        {"is_weekend": weekend_flag(), "is_business_hours": business_flag()}
     )
 
 
-def expected_load(hour: str | Column = "hour", dow: str | Column = "day_of_week") -> Column:
+def expected_load_sql(hour: str = "hour", dow: str = "day_of_week") -> str:
     """Product of business, weekend and night load factors."""
-    h, d = col(hour), col(dow)
-    business = F.when(h.between(S.BUSINESS_HOUR_FIRST, S.BUSINESS_HOUR_LAST) & (d < S.WEEKEND_FROM_DOW), F.lit(S.LOAD_BUSINESS)).otherwise(1.0)
-    weekend = F.when(d >= S.WEEKEND_FROM_DOW, F.lit(S.LOAD_WEEKEND)).otherwise(1.0)
-    night = F.when((h < S.NIGHT_BEFORE_HOUR) | (h > S.NIGHT_AFTER_HOUR), F.lit(S.LOAD_NIGHT)).otherwise(1.0)
-    return business * weekend * night
+    business = (
+        f"(CASE WHEN {hour} BETWEEN {S.BUSINESS_HOUR_FIRST} AND {S.BUSINESS_HOUR_LAST} AND {dow} < {S.WEEKEND_FROM_DOW}"
+        f" THEN {dbl(S.LOAD_BUSINESS)} ELSE {dbl(1)} END)"
+    )
+    weekend = f"(CASE WHEN {dow} >= {S.WEEKEND_FROM_DOW} THEN {dbl(S.LOAD_WEEKEND)} ELSE {dbl(1)} END)"
+    night = f"(CASE WHEN {hour} < {S.NIGHT_BEFORE_HOUR} OR {hour} > {S.NIGHT_AFTER_HOUR} THEN {dbl(S.LOAD_NIGHT)} ELSE {dbl(1)} END)"
+    return f"({business} * {weekend} * {night})"
+
+
+def expected_load(hour: str = "hour", dow: str = "day_of_week") -> Column:
+    return ex(expected_load_sql(hour, dow))
 
 
 # ---------------------------------------------------------------------------
 # features
 # ---------------------------------------------------------------------------
-def interaction_exprs() -> dict[str, Column]:
-    cpu, mem, disk = F.col("cpu_usage"), F.col("memory_usage"), F.col("disk_usage")
-    conn1 = F.col("active_connections").cast("double") + 1
+def interaction_sql() -> dict[str, str]:
+    conn1 = "(CAST(active_connections AS DOUBLE) + 1)"
     return {
-        "cpu_memory_product": cpu * mem,
-        "resource_pressure": (cpu + mem + disk) / 3,
-        "performance_ratio": ratio(F.col("response_time_ms"), conn1),
-        "error_rate": ratio(F.col("error_count"), conn1),
+        "cpu_memory_product": "cpu_usage * memory_usage",
+        "resource_pressure": "(cpu_usage + memory_usage + disk_usage) / 3",
+        "performance_ratio": ratio_sql("response_time_ms", conn1),
+        "error_rate": ratio_sql("error_count", conn1),
     }
 
 
-def stress_exprs() -> dict[str, Column]:
-    out = {name: flag(F.col(src) > thr) for name, src, thr in S.STRESS_FLAGS}
-    total = None
-    for name, _, _ in S.STRESS_FLAGS:
-        total = out[name] if total is None else total + out[name]
-    out["total_stress"] = total
+def stress_sql() -> dict[str, str]:
+    out = {name: flag_sql(f"{src} > {thr}") for name, src, thr in S.STRESS_FLAGS}
+    out["total_stress"] = " + ".join(out[name] for name, _, _ in S.STRESS_FLAGS)
     return out
 
 
-def cyclic_exprs(hour: str = "hour", dow: str = "day_of_week") -> dict[str, Column]:
-    two_pi = 2 * math.pi
-    h, d = F.col(hour).cast("double"), F.col(dow).cast("double")
+def cyclic_sql(hour: str = "hour", dow: str = "day_of_week") -> dict[str, str]:
+    two_pi = dbl(2 * math.pi)
+    h, d = f"CAST({hour} AS DOUBLE)", f"CAST({dow} AS DOUBLE)"
     return {
-        "hour_sin": F.sin(F.lit(two_pi) * h / 24),
-        "hour_cos": F.cos(F.lit(two_pi) * h / 24),
-        "day_sin": F.sin(F.lit(two_pi) * d / 7),
-        "day_cos": F.cos(F.lit(two_pi) * d / 7),
+        "hour_sin": f"sin({two_pi} * {h} / 24)",
+        "hour_cos": f"cos({two_pi} * {h} / 24)",
+        "day_sin": f"sin({two_pi} * {d} / 7)",
+        "day_cos": f"cos({two_pi} * {d} / 7)",
     }
 
 
+def _cols(d: dict[str, str]) -> dict[str, Column]:
+    return {k: ex(v) for k, v in d.items()}
+
+
+def interaction_exprs() -> dict[str, Column]:
+    return _cols(interaction_sql())
+
+
+def stress_exprs() -> dict[str, Column]:
+    return _cols(stress_sql())
+
+
+def cyclic_exprs(hour: str = "hour", dow: str = "day_of_week") -> dict[str, Column]:
+    return _cols(cyclic_sql(hour, dow))
+
+
 def with_exprs(df: DataFrame, exprs: dict[str, Column]) -> DataFrame:
     return df.withColumns(exprs)
 
@@ -171,63 +211,81 @@ def with_exprs(df: DataFrame, exprs: dict[str, Column]) -> DataFrame:
 # ---------------------------------------------------------------------------
 # scoring rules
 # ---------------------------------------------------------------------------
-def risk_level(p: str | Column) -> Column:
-    p = col(p)
-    out = F.when(p.isNull(), F.lit(None).cast("string"))
-    for lo, name in S.RISK_LEVELS:
-        out = out.when(p >= lo, F.lit(name))
-    return out.otherwise(F.lit(S.RISK_FLOOR_LEVEL))
+def risk_sql(p: str) -> str:
+    whens = " ".join(f"WHEN {p} >= {lo} THEN '{name}'" for lo, name in S.RISK_LEVELS)
+    return f"CASE WHEN {p} IS NULL THEN CAST(NULL AS STRING) {whens} ELSE '{S.RISK_FLOOR_LEVEL}' END"
+
 
+def risk_level(p: str) -> Column:
+    return ex(risk_sql(p))
 
-def confidence(p: str | Column, mode: str = "reference") -> Column:
+
+def confidence_sql(p: str, mode: str = "reference") -> str:
     """``reference``: clamp(1 - |p - 0.5|, 0.6, 0.95) (highest for unsure
     scores, as the reference computes it); ``margin``: clamp(0.5 + |p - 0.5|)."""
-    p = col(p)
-    dist = F.abs(p - 0.5)
-    raw = (F.lit(1.0) - dist) if mode == "reference" else (F.lit(0.5) + dist)
-    if mode not in ("reference", "margin"):
+    if mode == "reference":
+        raw = f"({dbl(1)} - abs({p} - {dbl(0.5)}))"
+    elif mode == "margin":
+        raw = f"({dbl(0.5)} + abs({p} - {dbl(0.5)}))"
+    else:
         raise ValueError(f"unknown confidence mode {mode!r}")
-    return round_even(clamp(raw, S.CONFIDENCE_LO, S.CONFIDENCE_HI), S.CONFIDENCE_DIGITS)
+    return round_even_sql(f"least(greatest({raw}, {dbl(S.CONFIDENCE_LO)}), {dbl(S.CONFIDENCE_HI)})", S.CONFIDENCE_DIGITS)
 
 
-def recommendation_codes(p: str | Column, metrics: dict[str, Column] | None = None) -> Column:
-    """Array of rule codes in rule order; ``HEALTHY`` when no rule fires."""
-    p = col(p)
-    m = metrics or {}
-    parts = [F.when(p > S.URGENT_ABOVE, F.lit(S.URGENT_CODE))]
+def confidence(p: str, mode: str = "reference") -> Column:
+    return ex(confidence_sql(p, mode))
+
+
+def code_parts_sql(p: str) -> list[str]:
+    """One CASE per rule, in rule order (urgency first, then six tiers)."""
+    parts = [f"CASE WHEN {p} > {S.URGENT_ABOVE} THEN '{S.URGENT_CODE}' END"]
     for metric, crit, high, crit_code, high_code in S.RULE_TIERS:
-        x = m.get(metric, F.col(metric))
-        parts.append(F.when(x > crit, F.lit(crit_code)).when(x > high, F.lit(high_code)))
-    codes = F.array_compact(F.array(*parts))
-    return F.when(F.size(codes) == 0, F.array(F.lit(S.HEALTHY_CODE))).otherwise(codes)
+        parts.append(f"CASE WHEN {metric} > {crit} THEN '{crit_code}' WHEN {metric} > {high} THEN '{high_code}' END")
+    return parts
 
 
-def recommendation_texts(codes: str | Column) -> Column:
-    lookup = F.create_map(*[x for k, v in S.RECOMMENDATION_TEXT.items() for x in (F.lit(k), F.lit(v))])
-    return F.transform(col(codes), lambda c: F.element_at(lookup, c))
+def recommendation_codes_sql(p: str) -> str:
+    codes = "array_compact(array(" + ", ".join(code_parts_sql(p)) + "))"
+    return f"CASE WHEN size({codes}) = 0 THEN array('{S.HEALTHY_CODE}') ELSE {codes} END"
 
 
-def regime_tag() -> Column:
-    out = None
+def recommendation_codes(p: str) -> Column:
+    """Array of rule codes in rule order; ``HEALTHY`` when no rule fires."""
+    return ex(recommendation_codes_sql(p))
+
+
+def recommendation_texts(codes: str) -> Column:
+    pairs = ", ".join(f"'{k}', '{v}'" for k, v in S.RECOMMENDATION_TEXT.items())
+    return ex(f"transform({codes}, c -> element_at(map({pairs}), c))")
+
+
+def regime_sql() -> str:
+    parts = []
     for name, conds in S.REGIMES:
-        pred = None
-        for c, lo in conds:
-            p = F.col(c) >= lo
-            pred = p if pred is None else (pred & p)
-        out = F.when(pred, F.lit(name)) if out is None else out.when(pred, F.lit(name))
-    return out.otherwise(F.lit(S.REGIME_DEFAULT))
+        pred = " AND ".join(f"{c} >= {lo}" for c, lo in conds)
+        parts.append(f"WHEN {pred} THEN '{name}'")
+    return "CASE " + " ".join(parts) + f" ELSE '{S.REGIME_DEFAULT}' END"
 
 
-def adjusted_response() -> Column:
+def regime_tag() -> Column:
+    return ex(regime_sql())
+
+
+def adjusted_response_sql() -> str:
     """response + 0.3 x latency, floored at 100, x1.5 when cpu > 80, x1.3 when
     memory > 85 (the metric rules' load-adjusted response)."""
-    base = F.greatest(F.col("response_time_ms") + F.lit(S.RESPONSE_LATENCY_SHARE) * F.col("network_latency_ms"), F.lit(S.RESPONSE_FLOOR))
-    cpu_f = F.when(F.col("cpu_usage") > S.RESPONSE_CPU_OVER, F.lit(S.RESPONSE_CPU_FACTOR)).otherwise(1.0)
-    mem_f = F.when(F.col("memory_usage") > S.RESPONSE_MEM_OVER, F.lit(S.RESPONSE_MEM_FACTOR)).otherwise(1.0)
-    return base * cpu_f * mem_f
+    return (
+        f"greatest(response_time_ms + {dbl(S.RESPONSE_LATENCY_SHARE)} * network_latency_ms, {dbl(S.RESPONSE_FLOOR)})"
+        f" * (CASE WHEN cpu_usage > {S.RESPONSE_CPU_OVER} THEN {dbl(S.RESPONSE_CPU_FACTOR)} ELSE {dbl(1)} END)"
+        f" * (CASE WHEN memory_usage > {S.RESPONSE_MEM_OVER} THEN {dbl(S.RESPONSE_MEM_FACTOR)} ELSE {dbl(1)} END)"
+    )
+
+
+def adjusted_response() -> Column:
+    return ex(adjusted_response_sql())
 
 
 def order_micros(ts: str) -> Column:
     """Microseconds since 1970-01-01 of a TIMESTAMP_NTZ column, no zone shift
     (order preserving; a numeric range key for bucketing)."""
-    return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{ts}`)")
+    return ex(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{ts}`)")

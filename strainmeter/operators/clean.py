@@ -11,22 +11,25 @@ from strainmeter import schema as S
 from strainmeter.functions import exprs as X
 
 
-def violation_codes(bounds=S.READING_BOUNDS, optional=S.CALENDAR_BOUNDS, present: list[str] | None = None) -> Column:
-    """Array of ``<column>:missing|below|above`` codes, rule order kept."""
+def violation_codes_sql(bounds=S.READING_BOUNDS, optional=S.CALENDAR_BOUNDS, present: list[str] | None = None) -> list[str]:
+    """One CASE per check giving ``<column>:missing|below|above``, rule order."""
     parts = []
     for c, lo, hi in bounds:
-        x = F.col(c)
-        parts.append(F.when(x.isNull(), F.lit(f"{c}:missing")))
-        parts.append(F.when(x < lo, F.lit(f"{c}:below")))
+        parts.append(f"CASE WHEN {c} IS NULL THEN '{c}:missing' END")
+        parts.append(f"CASE WHEN {c} < {lo} THEN '{c}:below' END")
         if hi is not None:
-            parts.append(F.when(x > hi, F.lit(f"{c}:above")))
+            parts.append(f"CASE WHEN {c} > {hi} THEN '{c}:above' END")
     for c, lo, hi in optional:
         if present is not None and c not in present:
             continue
-        x = F.col(c)
-        parts.append(F.when(x < lo, F.lit(f"{c}:below")))
-        parts.append(F.when(x > hi, F.lit(f"{c}:above")))
-    return F.array_compact(F.array(*parts))
+        parts.append(f"CASE WHEN {c} < {lo} THEN '{c}:below' END")
+        parts.append(f"CASE WHEN {c} > {hi} THEN '{c}:above' END")
+    return parts
+
+
+def violation_codes(bounds=S.READING_BOUNDS, optional=S.CALENDAR_BOUNDS, present: list[str] | None = None) -> Column:
+    """Array of violation codes, rule order kept."""
+    return F.expr("array_compact(array(" + ", ".join(violation_codes_sql(bounds, optional, present)) + "))")
 
 
 def validate_readings(df: DataFrame) -> DataFrame:

@@ -79,11 +79,13 @@ def feature_table(
     return feats.select(*keep, *S.FEATURE_COLS)
 
 
-def _zero_fill(name: str, col):
+def _zero_fill(name: str, sql: str) -> str:
     """Remaining NULL (and NaN) -> 0, the timestamp and keys untouched."""
     if name in (S.TS, S.KEY, S.HOST) or name.startswith("_"):
-        return col
-    return F.coalesce(F.nanvl(col, F.lit(None)) if name in _DOUBLE_COLS else col, F.lit(0))
+        return sql
+    if name in _DOUBLE_COLS:
+        return f"coalesce(nanvl({sql}, CAST(NULL AS DOUBLE)), CAST(0 AS DOUBLE))"
+    return f"coalesce({sql}, 0)"
 
 
 _DOUBLE_COLS = set(

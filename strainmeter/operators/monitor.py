@@ -35,20 +35,19 @@ KS_SWITCH = 1.18
 # ---------------------------------------------------------------------------
 # Kolmogorov-Smirnov drift
 # ---------------------------------------------------------------------------
-def kolmogorov_sf(lam: Column, terms: int = KS_TERMS) -> Column:
+def kolmogorov_sf_sql(lam: str, terms: int = KS_TERMS) -> str:
     """Kolmogorov's survival function Q(lam), evaluated as usual in two forms:
     below 1.18 by the theta series 1 - sqrt(2 pi)/lam sum exp(-(2k-1)^2 pi^2 /
-    (8 lam^2)), above by 2 sum (-1)^(k-1) exp(-2 k^2 lam^2); clipped to [0, 1]."""
-    small = None
-    large = None
-    for k in range(1, terms + 1):
-        ts = F.exp(F.lit(-((2 * k - 1) ** 2) * math.pi**2 / 8.0) / (lam * lam))
-        tl = F.lit(2.0 * (-1) ** (k - 1)) * F.exp(F.lit(-2.0 * k * k) * lam * lam)
-        small = ts if small is None else small + ts
-        large = tl if large is None else large + tl
-    q_small = F.lit(1.0) - F.lit(math.sqrt(2 * math.pi)) / lam * small
-    q = F.when(lam < KS_SWITCH, q_small).otherwise(large)
-    return F.when(lam <= 0, F.lit(1.0)).otherwise(F.least(F.greatest(q, F.lit(0.0)), F.lit(1.0)))
+    (8 lam^2)), above by 2 sum (-1)^(k-1) exp(-2 k^2 lam^2); clipped to [0, 1].
+    SQL text valid in Spark and DuckDB."""
+    small = " + ".join(f"exp({-((2 * k - 1) ** 2) * math.pi**2 / 8.0!r} / ({lam} * {lam}))" for k in range(1, terms + 1))
+    large = " + ".join(f"{2.0 * (-1) ** (k - 1)!r} * exp({-2.0 * k * k!r} * {lam} * {lam})" for k in range(1, terms + 1))
+    qv = f"CASE WHEN {lam} < {KS_SWITCH} THEN 1.0 - {math.sqrt(2 * math.pi)!r} / {lam} * ({small}) ELSE {large} END"
+    return f"CAST(CASE WHEN {lam} <= 0 THEN 1.0 ELSE least(greatest({qv}, 0.0), 1.0) END AS DOUBLE)"
+
+
+def kolmogorov_sf(lam: str) -> Column:
+    return F.expr(kolmogorov_sf_sql(lam))
 
 
 def _long(df: DataFrame, cols: list[str], sample: str) -> DataFrame:
@@ -114,9 +113,8 @@ def ks_drift(
         F.abs((F.col("off_a") + F.sum("cnt_a").over(w)) / F.col("tot_a") - (F.col("off_b") + F.sum("cnt_b").over(w)) / F.col("tot_b")).alias("gap"),
     )
     stat = cdf.groupBy("column_name").agg(F.max("gap").alias("ks_statistic"), F.first("tot_a").alias("n_ref"), F.first("tot_b").alias("n_cur"))
-    en = F.col("n_ref") * F.col("n_cur") / (F.col("n_ref") + F.col("n_cur"))
-    p = kolmogorov_sf(F.sqrt(en) * F.col("ks_statistic"))
-    return stat.withColumn("p_value", p).withColumn("drift_detected", F.col("p_value") < threshold)
+    stat = stat.withColumn("_lam", F.expr("sqrt(CAST(n_ref AS DOUBLE) * n_cur / (n_ref + n_cur)) * ks_statistic"))
+    return stat.withColumn("p_value", kolmogorov_sf("_lam")).withColumn("drift_detected", F.col("p_value") < threshold).drop("_lam")
 
 
 # ---------------------------------------------------------------------------

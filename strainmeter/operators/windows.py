@@ -78,59 +78,64 @@ def n_buckets_for(df: DataFrame, rows_per_bucket: int) -> int:
     return max(1, math.ceil(n / max(1, rows_per_bucket)))
 
 
-def _window_exprs(spec: HistorySpec, w, w_run) -> dict[str, Column]:
-    """Window functions only, each computed once: running last non-null per
-    forward-filled source, raw rolling aggregates, raw lags."""
-    out: dict[str, Column] = {}
+def _q(c: str) -> str:
+    return f"`{c}`"
+
+
+def _over(part: list[str], order: list[str], frame: str | None = None) -> str:
+    p = ("PARTITION BY " + ", ".join(_q(c) for c in part) + " ") if part else ""
+    o = "ORDER BY " + ", ".join(_q(c) for c in order)
+    return f"OVER ({p}{o}{' ' + frame if frame else ''})"
+
+
+RUNNING = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+
+
+def _window_exprs(spec: HistorySpec, part: list[str], order: list[str]) -> dict[str, str]:
+    """Window functions only (SQL text), each computed once: running last
+    non-null per forward-filled source, raw rolling aggregates, raw lags."""
+    out: dict[str, str] = {}
     for src in _ffill_sources(spec):
-        out[f"_seen_{src}"] = F.last(F.col(src), ignorenulls=True).over(w_run)
+        out[f"_seen_{src}"] = f"last({_q(src)}, true) {_over(part, order, RUNNING)}"
     for name, src, how, n in spec.rolling:
-        frame = w.rowsBetween(-(n - 1), 0)
-        out[f"_roll_{name}"] = (F.avg(src) if how == "mean" else F.max(src)).over(frame)
+        fn = "avg" if how == "mean" else "max"
+        out[f"_roll_{name}"] = f"{fn}({_q(src)}) {_over(part, order, f'ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW')}"
     for name, src, n in spec.lags:
-        out[f"_lag_{name}"] = F.lag(F.col(src), n).over(w)
+        out[f"_lag_{name}"] = f"lag({_q(src)}, {n}) {_over(part, order)}"
     return out
 
 
-def _combine_exprs(spec: HistorySpec, carry: dict[str, Column] | None) -> dict[str, Column]:
-    """Final columns from the window outputs (plain projection)."""
-    carry = carry or {}
+def _combine_exprs(spec: HistorySpec, carry: set[str] | None) -> dict[str, str]:
+    """Final columns from the window outputs (plain projection, SQL text)."""
+    carry = carry or set()
 
-    def seen(src: str) -> Column:
-        run = F.col(f"_seen_{src}")
-        return F.coalesce(run, carry[src]) if src in carry else run
+    def seen(src: str) -> str:
+        run = _q(f"_seen_{src}")
+        return f"coalesce({run}, {_q(f'_carry_{src}')})" if src in carry else run
 
-    out: dict[str, Column] = {}
+    out: dict[str, str] = {}
     for name, src, _, _ in spec.rolling:
-        val = F.col(f"_roll_{name}").cast("double")
-        out[name] = F.coalesce(val, seen(src).cast("double")) if spec.ffill_rolling else val
+        val = f"CAST({_q(f'_roll_{name}')} AS DOUBLE)"
+        out[name] = f"coalesce({val}, CAST({seen(src)} AS DOUBLE))" if spec.ffill_rolling else val
     for name, src, _ in spec.lags:
         fill = spec.lag_fill.get(src)
-        val = F.col(f"_lag_{name}").cast("double")
-        out[name] = F.coalesce(val, F.lit(fill).cast("double")) if fill is not None else val
+        val = f"CAST({_q(f'_lag_{name}')} AS DOUBLE)"
+        out[name] = f"coalesce({val}, CAST({float(fill)!r} AS DOUBLE))" if fill is not None else val
     for c in spec.ffill:
         out[c] = seen(c)
     return out
 
 
-def _temp_names(spec: HistorySpec) -> list[str]:
-    return (
-        [f"_seen_{c}" for c in _ffill_sources(spec)]
-        + [f"_roll_{n}" for n, *_ in spec.rolling]
-        + [f"_lag_{n}" for n, *_ in spec.lags]
-    )
-
-
-def _apply(df: DataFrame, spec: HistorySpec, w, w_run, carry, final_cols: list[str], post=None) -> DataFrame:
-    """Window node, then one projection to the final columns (``post`` may
-    wrap each final column, e.g. the zero fill)."""
-    win = df.select("*", *[c.alias(n) for n, c in _window_exprs(spec, w, w_run).items()])
+def _apply(df: DataFrame, spec: HistorySpec, part: list[str], order: list[str], carry, final_cols: list[str], post=None) -> DataFrame:
+    """Window node, then one projection to the final columns (``post(name,
+    sql)`` may wrap each final column, e.g. the zero fill)."""
+    win = df.selectExpr("*", *[f"{e} AS {_q(n)}" for n, e in _window_exprs(spec, part, order).items()])
     comb = _combine_exprs(spec, carry)
     sel = []
     for c in final_cols:
-        col = comb.get(c, F.col(c))
-        sel.append((post(c, col) if post else col).alias(c))
-    return win.select(*sel)
+        e = comb.get(c, _q(c))
+        sel.append(f"{post(c, e) if post else e} AS {_q(c)}")
+    return win.selectExpr(*sel)
 
 
 def _ffill_sources(spec: HistorySpec) -> list[str]:
@@ -159,9 +164,7 @@ def history_features(
         n_buckets = n_buckets_for(df, rows_per_bucket)
     final_cols = list(df.columns) + [c for c in _out_names(spec) if c not in df.columns]
     if n_buckets <= 1:
-        w = Window.partitionBy(*part).orderBy(*order) if part else Window.orderBy(*order)
-        w_run = w.rowsBetween(Window.unboundedPreceding, 0)
-        return _apply(df, spec, w, w_run, None, final_cols, post)
+        return _apply(df, spec, part, order, None, final_cols, post)
     return _bucketed(df, spec, part, order, n_buckets, ts_col, final_cols, post)
 
 
@@ -192,23 +195,21 @@ def _bucketed(
 
     # carry for forward fill: last non-null value of every earlier range
     srcs = _ffill_sources(spec)
-    carry_cols: dict[str, Column] = {}
+    carry_cols: set[str] = set()
     joined = main
     if srcs:
-        okey = F.struct(*[F.col(c) for c in order])
+        okey = "struct(" + ", ".join(_q(c) for c in order) + ")"
         ends = base.groupBy(*part, BUCKET).agg(
-            *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), okey)).alias(f"_end_{c}") for c in srcs]
+            *[F.expr(f"max_by({_q(c)}, CASE WHEN {_q(c)} IS NOT NULL THEN {okey} END)").alias(f"_end_{c}") for c in srcs]
         )
-        w_carry = Window.partitionBy(*part).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-        carry = ends.select(
-            *part, BUCKET, *[F.last(f"_end_{c}", ignorenulls=True).over(w_carry).alias(f"_carry_{c}") for c in srcs]
+        before = _over(part, [BUCKET], "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING")
+        carry = ends.selectExpr(
+            *[_q(c) for c in part], BUCKET, *[f"last({_q(f'_end_{c}')}, true) {before} AS {_q(f'_carry_{c}')}" for c in srcs]
         )
         joined = main.join(carry, on=[*part, BUCKET], how="left")
-        carry_cols = {c: F.col(f"_carry_{c}") for c in srcs}
+        carry_cols = set(srcs)
 
-    w = Window.partitionBy(*part, BUCKET).orderBy(*order)
-    w_run = w.rowsBetween(Window.unboundedPreceding, 0)
-    return _apply(joined, spec, w, w_run, carry_cols, final_cols + [HALO], post).filter(~F.col(HALO)).drop(HALO)
+    return _apply(joined, spec, [*part, BUCKET], order, carry_cols, final_cols + [HALO], post).filter(~F.col(HALO)).drop(HALO)
 
 
 def _out_names(spec: HistorySpec) -> list[str]:

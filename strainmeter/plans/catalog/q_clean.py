@@ -155,7 +155,7 @@ _RATIO_SQL = (
 )
 def q_inf_to_zero(spark, sf_dir):
     m = invalid_fixture(events_metrics(spark, sf_dir))
-    pr = X.ratio(F.col("response_time_ms"), F.col("active_connections").cast("double") + 1)
+    pr = X.ratio("response_time_ms", "CAST(active_connections AS DOUBLE) + 1")
     m = m.select(S.KEY, pr.alias("performance_ratio"))
     m = m.withColumn("was_inf", F.col("performance_ratio").isin(float("inf"), float("-inf")).cast("int"))
     return rounded(C.inf_to_zero(m, ["performance_ratio"]))

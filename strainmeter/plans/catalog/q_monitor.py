@@ -19,13 +19,8 @@ P = FIXTURE_P_SQL
 
 
 def ks_p_sql(lam: str) -> str:
-    """Kolmogorov survival function, the same two forms as monitor.kolmogorov_sf."""
-    import math
-
-    small = " + ".join(f"exp({-((2 * k - 1) ** 2) * math.pi**2 / 8.0!r} / ({lam} * {lam}))" for k in range(1, MO.KS_TERMS + 1))
-    large = " + ".join(f"{2.0 * (-1) ** (k - 1)!r} * exp({-2.0 * k * k!r} * {lam} * {lam})" for k in range(1, MO.KS_TERMS + 1))
-    q = f"CASE WHEN {lam} < {MO.KS_SWITCH} THEN 1.0 - {math.sqrt(2 * math.pi)!r} / {lam} * ({small}) ELSE {large} END"
-    return f"CASE WHEN {lam} <= 0 THEN 1.0 ELSE least(greatest({q}, 0.0), 1.0) END"
+    """Kolmogorov survival function, the same text as the Spark operator."""
+    return MO.kolmogorov_sf_sql(lam)
 
 
 def _ks_sql() -> str:

@@ -36,12 +36,12 @@ def score_readings(
     """Add the prediction fields to rows holding a raw probability and the
     seven metrics. Risk and rules use the unrounded probability; only the
     output field is rounded (4 digits)."""
-    p = F.col(p_col)
+    p = f"`{p_col}`"
     model = model_used if isinstance(model_used, Column) else (F.lit(model_used) if model_used else F.col("model_used"))
     codes = X.recommendation_codes(p)
     return df.withColumns(
         {
-            "failure_probability_raw": p,
+            "failure_probability_raw": F.col(p_col),
             "failure_risk": X.risk_level(p),
             "confidence": X.confidence(p, confidence_mode),
             "recommendation_codes": codes,

@@ -35,18 +35,18 @@ def test_urgent_first(spark):
      (0.6, "HIGH", 0.9), (0.4, "MEDIUM", 0.9), (0.7999999, "HIGH", 0.7)],
 )
 def test_risk_and_confidence(spark, p, risk, conf):
-    r = spark.range(1).select(X.risk_level(F.lit(p)).alias("r"), X.confidence(F.lit(p)).alias("c")).first()
+    r = spark.range(1).select(X.risk_level(f"CAST({p!r} AS DOUBLE)").alias("r"), X.confidence(f"CAST({p!r} AS DOUBLE)").alias("c")).first()
     assert r["r"] == risk
     assert r["c"] == pytest.approx(conf, abs=1e-12)
 
 
 def test_margin_confidence(spark):
-    r = spark.range(1).select(X.confidence(F.lit(0.8543), "margin").alias("c")).first()
+    r = spark.range(1).select(X.confidence("CAST(0.8543 AS DOUBLE)", "margin").alias("c")).first()
     assert r["c"] == pytest.approx(0.854)
 
 
 def test_null_probability_has_no_risk(spark):
-    r = spark.range(1).select(X.risk_level(F.lit(None).cast("double")).alias("r")).first()
+    r = spark.range(1).select(X.risk_level("CAST(NULL AS DOUBLE)").alias("r")).first()
     assert r["r"] is None
 
 
