@@ -52,25 +52,78 @@ class HistorySpec:
         return w
 
 
-def range_bounds(df: DataFrame, order_num: Column, n_buckets: int, rel_err: float | None = None) -> list[float]:
-    """Range bounds of a numeric order key: ``n_buckets - 1`` approximate
-    quantiles over the whole table (one job, a few numbers to the driver)."""
-    if n_buckets <= 1:
-        return []
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    err = rel_err if rel_err is not None else min(0.01, 0.25 / n_buckets)
-    q = df.select(order_num.cast("double").alias("_o")).approxQuantile("_o", probs, err)
-    return sorted(set(q))
+# at most this many quantile ranges; beyond, each quantile range is cut into
+# equal-width sub-ranges (keeps the quantile sketch small at any table size)
+MAX_QUANTILE_RANGES = 1024
+
+
+@dataclass
+class RangePlan:
+    """Ordered ranges of a numeric order key. ``bounds`` are quantile cuts;
+    with ``sub`` > 1 every quantile range [lo_i, hi_i) is further cut into
+    ``sub`` equal-width sub-ranges. The bucket index is non-decreasing in
+    the key, so buckets can be processed in order."""
+
+    bounds: list[float] = field(default_factory=list)
+    sub: int = 1
+    lo: list[float] = field(default_factory=list)
+    width: list[float] = field(default_factory=list)
 
+    def __bool__(self) -> bool:
+        return bool(self.bounds) or self.sub > 1
 
-def with_range_bucket(df: DataFrame, order_num: Column, bounds: list[float], out: str = BUCKET) -> DataFrame:
-    """Bucket index of the order key (binary search in the JVM)."""
-    if not bounds:
+    @property
+    def n_buckets(self) -> int:
+        return (len(self.bounds) + 1) * self.sub
+
+
+def range_bounds(df: DataFrame, order_num: Column, n_buckets: int, rel_err: float | None = None) -> RangePlan:
+    """Ranges of a numeric order key holding about n / n_buckets rows each:
+    quantile cuts from one ``approxQuantile`` job (at most
+    ``MAX_QUANTILE_RANGES`` ranges, relative error 1/4 of a range), and for
+    more ranges equal-width sub-ranges inside each quantile range (edges of
+    the outer ranges from one min / max aggregate). A few thousand numbers
+    reach the driver, never rows."""
+    if n_buckets <= 1:
+        return RangePlan()
+    k = min(n_buckets, MAX_QUANTILE_RANGES)
+    probs = [i / k for i in range(1, k)]
+    err = rel_err if rel_err is not None else min(0.01, 0.25 / k)
+    num = df.select(order_num.cast("double").alias("_o"))
+    bounds = sorted(set(num.approxQuantile("_o", probs, err)))
+    if n_buckets <= MAX_QUANTILE_RANGES:
+        return RangePlan(bounds=bounds)
+    sub = -(-n_buckets // (len(bounds) + 1))
+    row = num.agg(F.min("_o").alias("lo"), F.max("_o").alias("hi")).first()
+    edges = [float(row["lo"])] + bounds + [float(row["hi"]) + 1.0]
+    lo = edges[:-1]
+    width = [max(0.0, (edges[i + 1] - edges[i]) / sub) for i in range(len(edges) - 1)]
+    return RangePlan(bounds=bounds, sub=sub, lo=lo, width=width)
+
+
+def with_range_bucket(df: DataFrame, order_num: Column, plan: RangePlan | list[float], out: str = BUCKET) -> DataFrame:
+    """Bucket index of the order key: binary search over the quantile cuts
+    in the JVM (``Bucketizer``), then the sub-range by arithmetic."""
+    if isinstance(plan, list):
+        plan = RangePlan(bounds=plan)
+    if not plan:
         return df.withColumn(out, F.lit(0))
-    splits = [-math.inf] + bounds + [math.inf]
     tmp = df.withColumn("_order_num", order_num.cast("double"))
-    b = Bucketizer(splits=splits, inputCol="_order_num", outputCol="_bucket_d", handleInvalid="keep")
-    return b.transform(tmp).withColumn(out, F.col("_bucket_d").cast("int")).drop("_order_num", "_bucket_d")
+    if plan.bounds:
+        splits = [-math.inf] + plan.bounds + [math.inf]
+        b = Bucketizer(splits=splits, inputCol="_order_num", outputCol="_bucket_d", handleInvalid="keep")
+        tmp = b.transform(tmp)
+    else:
+        tmp = tmp.withColumn("_bucket_d", F.lit(0.0))
+    if plan.sub <= 1:
+        return tmp.withColumn(out, F.col("_bucket_d").cast("int")).drop("_order_num", "_bucket_d")
+    lo = "array(" + ", ".join(f"{v!r}D" for v in plan.lo) + ")"
+    wd = "array(" + ", ".join(f"{v!r}D" for v in plan.width) + ")"
+    ci = "CAST(_bucket_d AS INT)"
+    w = f"element_at({wd}, {ci} + 1)"
+    inner = f"CAST(floor((_order_num - element_at({lo}, {ci} + 1)) / {w}) AS INT)"
+    sub_ix = f"CASE WHEN {w} <= 0 THEN 0 ELSE least(greatest({inner}, 0), {plan.sub - 1}) END"
+    return tmp.withColumn(out, F.expr(f"{ci} * {plan.sub} + {sub_ix}")).drop("_order_num", "_bucket_d")
 
 
 def n_buckets_for(df: DataFrame, rows_per_bucket: int) -> int:

@@ -4,7 +4,6 @@ cross-engine check, named like the SQL twins."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DIGITS = 6
@@ -15,10 +14,10 @@ def rounded(df: DataFrame, digits: int = DIGITS, skip: tuple[str, ...] = ()) ->
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)) and f.name not in skip:
-            cols.append(F.round(F.col(f.name), digits).alias(f.name))
+            cols.append(f"round(`{f.name}`, {digits}) AS `{f.name}`")
         else:
-            cols.append(F.col(f.name))
-    return df.select(*cols)
+            cols.append(f"`{f.name}`")
+    return df.selectExpr(*cols)
 
 
 def split_buckets(df: DataFrame, rows_per_bucket: int | None = None) -> int:

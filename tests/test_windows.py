@@ -84,3 +84,19 @@ def test_bucketed_forward_fill_crosses_many_empty_ranges(spark):
     )
     got = [r["cpu_usage"] for r in forward_fill(df, ["cpu_usage"], n_buckets=10).orderBy(S.KEY).collect()]
     assert got == [3.0] * 40
+
+
+def test_sub_ranges_equal_plain_ranges(spark, metrics_small, monkeypatch):
+    """Beyond the quantile-range cap, quantile ranges are cut into equal-width
+    sub-ranges; results stay those of the per-series form."""
+    import strainmeter.operators.windows as W
+
+    monkeypatch.setattr(W, "MAX_QUANTILE_RANGES", 4)
+    plan = W.range_bounds(metrics_small, F.col(S.KEY), 30)
+    assert plan.sub > 1 and plan.n_buckets >= 30
+    m = null_fixture(metrics_small)
+    a = _rows(feature_table(m, n_buckets=1))
+    b = _rows(feature_table(m, n_buckets=30))
+    pd.testing.assert_frame_equal(a, b, check_exact=False, rtol=1e-12)
+    bucketed = W.with_range_bucket(metrics_small, F.col(S.KEY), plan).orderBy(S.KEY).select(W.BUCKET).toPandas()[W.BUCKET]
+    assert bucketed.is_monotonic_increasing and bucketed.nunique() > 8
