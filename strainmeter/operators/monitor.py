@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import math
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,6 +23,7 @@ from strainmeter.operators.windows import (
     history_features,
     n_buckets_for,
     range_bounds,
+    range_plans,
     with_range_bucket,
 )
 from strainmeter.session import DEFAULT_ROWS_PER_BUCKET
@@ -76,18 +76,13 @@ def ks_drift(
     cols = cols or [c for c in reference.columns if c in current.columns and c in S.METRIC_COLS]
     if n_buckets is None:
         n_buckets = n_buckets_for(reference, rows_per_bucket)
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    ref_num = reference.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    qs = ref_num.approxQuantile(cols, probs, 0.25 / n_buckets) if probs else [[] for _ in cols]
-    splits = [[-math.inf] + sorted(set(q)) + [math.inf] for q in qs]
+    plans = range_plans(reference, cols, n_buckets)
 
     def bucketed(df: DataFrame) -> DataFrame:
         d = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-        if all(len(sp) < 3 for sp in splits):
-            return d.select(*cols, *[F.lit(0).alias(f"{c}__b") for c in cols])
-        sp = [x if len(x) >= 3 else [-math.inf, 0.0, math.inf] for x in splits]
-        b = Bucketizer(splitsArray=sp, inputCols=cols, outputCols=[f"{c}__b" for c in cols], handleInvalid="keep")
-        return b.transform(d)
+        for c in cols:
+            d = with_range_bucket(d, F.col(c), plans[c], out=f"{c}__b")
+        return d
 
     long = _long(bucketed(reference), cols, "a").unionByName(_long(bucketed(current), cols, "b"))
     per_value = long.groupBy("column_name", BUCKET, "value").agg(

@@ -101,6 +101,31 @@ def range_bounds(df: DataFrame, order_num: Column, n_buckets: int, rel_err: floa
     return RangePlan(bounds=bounds, sub=sub, lo=lo, width=width)
 
 
+def range_plans(df: DataFrame, cols: list[str], n_buckets: int) -> dict[str, RangePlan]:
+    """``range_bounds`` for several numeric columns at once: one multi-column
+    ``approxQuantile`` job and, when sub-ranges are needed, one min / max
+    aggregate."""
+    if n_buckets <= 1:
+        return {c: RangePlan() for c in cols}
+    k = min(n_buckets, MAX_QUANTILE_RANGES)
+    probs = [i / k for i in range(1, k)]
+    num = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    qs = num.approxQuantile(cols, probs, min(0.01, 0.25 / k))
+    plans = {c: RangePlan(bounds=sorted(set(q))) for c, q in zip(cols, qs)}
+    if n_buckets <= MAX_QUANTILE_RANGES:
+        return plans
+    row = num.agg(*[F.min(c).alias(f"lo_{i}") for i, c in enumerate(cols)], *[F.max(c).alias(f"hi_{i}") for i, c in enumerate(cols)]).first()
+    for i, c in enumerate(cols):
+        p = plans[c]
+        if row[f"lo_{i}"] is None:
+            continue
+        sub = -(-n_buckets // (len(p.bounds) + 1))
+        edges = [float(row[f"lo_{i}"])] + p.bounds + [float(row[f"hi_{i}"]) + 1.0]
+        p.sub, p.lo = sub, edges[:-1]
+        p.width = [max(0.0, (edges[j + 1] - edges[j]) / sub) for j in range(len(edges) - 1)]
+    return plans
+
+
 def with_range_bucket(df: DataFrame, order_num: Column, plan: RangePlan | list[float], out: str = BUCKET) -> DataFrame:
     """Bucket index of the order key: binary search over the quantile cuts
     in the JVM (``Bucketizer``), then the sub-range by arithmetic."""

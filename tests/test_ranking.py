@@ -72,3 +72,13 @@ def test_ks_flags_shifted_latency(spark):
     res = {r["column_name"]: r for r in ks_drift(ref, cur, S.METRIC_COLS).collect()}
     assert res["network_latency_ms"]["drift_detected"]
     assert not res["disk_usage"]["drift_detected"]
+
+
+def test_ks_with_sub_ranges(spark, metrics_small, monkeypatch):
+    import strainmeter.operators.windows as W
+
+    monkeypatch.setattr(W, "MAX_QUANTILE_RANGES", 3)
+    ref, cur = drift_pair(metrics_small)
+    a = {r["column_name"]: r["ks_statistic"] for r in ks_drift(ref, cur, S.METRIC_COLS, n_buckets=1).collect()}
+    b = {r["column_name"]: r["ks_statistic"] for r in ks_drift(ref, cur, S.METRIC_COLS, n_buckets=20).collect()}
+    assert a == pytest.approx(b, abs=1e-12)
