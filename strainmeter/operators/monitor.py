@@ -144,14 +144,44 @@ def prediction_counters(predictions: DataFrame, above: float = S.ALERT_ABOVE, by
 
 
 def latency_quantile(
-    df: DataFrame, value: str, q: float = 0.95, ts: str = S.TS, bucket: str = "1 hour", exact: bool = True, accuracy: int = 10000
+    df: DataFrame,
+    value: str,
+    q: float = 0.95,
+    ts: str = S.TS,
+    bucket: str = "1 hour",
+    exact: bool = True,
+    accuracy: int = 10000,
+    n_buckets: int | None = None,
 ) -> DataFrame:
-    """q-quantile of a duration per time bucket. ``exact`` uses ``percentile``
-    (linear interpolation; memory per group grows with distinct values);
-    otherwise ``percentile_approx`` (bounded memory)."""
-    start = F.date_trunc(_trunc_unit(bucket), F.col(ts)).cast("timestamp_ntz").alias("bucket_start")
-    agg = F.percentile(F.col(value), q) if exact else F.percentile_approx(F.col(value), q, accuracy).cast("double")
-    return df.groupBy(start).agg(agg.alias(f"p{int(round(q * 100))}"), F.count(F.lit(1)).alias("n"))
+    """q-quantile of a duration per time bucket, with linear interpolation
+    between the two order statistics around (n - 1) q.
+
+    ``exact``: counts per (bucket, value) in a partial aggregate, a two-level
+    running count over the values of each bucket, then the two order
+    statistics picked by a partial min-aggregate; no bucket's values are
+    ever held by one task. Otherwise ``percentile_approx`` (bounded sketch)."""
+    start = F.date_trunc(_trunc_unit(bucket), F.col(ts)).cast("timestamp_ntz")
+    name = f"p{int(round(q * 100))}"
+    src = df.select(start.alias("bucket_start"), F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    if not exact:
+        return src.groupBy("bucket_start").agg(
+            F.percentile_approx("_v", q, accuracy).cast("double").alias(name), F.count(F.lit(1)).alias("n")
+        )
+    from strainmeter.operators.ranking import running_sums
+
+    per_value = src.groupBy("bucket_start", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    cum = running_sums(per_value, "_v", ["_c"], partition_cols=["bucket_start"], n_buckets=n_buckets, small_groups=False)
+    totals = per_value.groupBy("bucket_start").agg(F.sum("_c").alias("n"))
+    j = cum.join(totals, on="bucket_start")
+    pos = F.expr(f"CAST(n - 1 AS DOUBLE) * {float(q)!r}")
+    lo_rank = F.floor(pos)
+    picked = j.groupBy("bucket_start", "n").agg(
+        F.min(F.when(F.col("cum__c") > lo_rank, F.col("_v"))).alias("_lo"),
+        F.min(F.when(F.col("cum__c") > lo_rank + 1, F.col("_v"))).alias("_hi"),
+        F.first(pos - lo_rank).alias("_frac"),
+    )
+    val = F.col("_lo") + F.col("_frac") * (F.coalesce(F.col("_hi"), F.col("_lo")) - F.col("_lo"))
+    return picked.select("bucket_start", val.alias(name), F.col("n").cast("long").alias("n"))
 
 
 def _trunc_unit(bucket: str) -> str:

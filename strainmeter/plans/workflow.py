@@ -24,7 +24,8 @@ def prepared_parts(metrics: DataFrame, path: str | None = None) -> tuple[DataFra
     spark = metrics.sparkSession
     ft = SP.stratified_split(FE.feature_table(metrics))
     out = path or shared_path(spark, "features-split")
-    ft.write.mode("overwrite").parquet(out)
+    # partitioned by part: fits read only the train files, scoring only test
+    ft.write.mode("overwrite").partitionBy("is_test").parquet(out)
     back = spark.read.parquet(out)
     return back.filter(~F.col("is_test")).drop("is_test"), back.filter(F.col("is_test")).drop("is_test")
 
@@ -41,7 +42,7 @@ def train_models(
     spark = train.sparkSession
     specs = specs or TR.DEFAULT_SPECS
     names = names or S.MODEL_ORDER
-    train = train.persist()
+    # MLlib caches what each fit iterates on; the written table is re-read
     n_train, n_test = train.count(), test.count()
     registry.save_manifest(inputs)
     for name in names:
@@ -64,7 +65,6 @@ def train_models(
             )
         ]
         registry.append_records(spark.createDataFrame(rec, RECORD_SCHEMA))
-    train.unpersist()
     return registry.latest_records()
 
 

@@ -82,3 +82,13 @@ def test_ks_with_sub_ranges(spark, metrics_small, monkeypatch):
     a = {r["column_name"]: r["ks_statistic"] for r in ks_drift(ref, cur, S.METRIC_COLS, n_buckets=1).collect()}
     b = {r["column_name"]: r["ks_statistic"] for r in ks_drift(ref, cur, S.METRIC_COLS, n_buckets=20).collect()}
     assert a == pytest.approx(b, abs=1e-12)
+
+
+def test_exact_quantile_matches_numpy(spark, metrics_small):
+    from strainmeter.operators.monitor import latency_quantile
+
+    got = {r["bucket_start"]: r["p95"] for r in latency_quantile(metrics_small, "response_time_ms", 0.95, bucket="1 day", n_buckets=4).collect()}
+    pdf = metrics_small.select(S.TS, "response_time_ms").toPandas()
+    pdf["d"] = pdf[S.TS].dt.floor("D")
+    for d, g in pdf.groupby("d"):
+        assert got[d.to_pydatetime()] == pytest.approx(np.quantile(g["response_time_ms"], 0.95), abs=1e-9)
