@@ -93,8 +93,14 @@ def _with_rates(agg: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 # table aggregates
 # ---------------------------------------------------------------------------
-def failure_rate(df: DataFrame, label: str = S.LABEL, by: list[str] | None = None) -> DataFrame:
-    return df.groupBy(*(by or [])).agg(F.count(F.lit(1)).alias("n_rows"), F.avg(F.col(label).cast("double")).alias("failure_rate"))
+def failure_rate(df: DataFrame, label: str = S.LABEL, by: list[str] | None = None, with_total: bool = False) -> DataFrame:
+    """Rows and label mean per group; ``with_total`` adds the whole table as
+    group 'all' in the same pass (rollup)."""
+    aggs = [F.count(F.lit(1)).alias("n_rows"), F.avg(F.col(label).cast("double")).alias("failure_rate")]
+    if not (with_total and by):
+        return df.groupBy(*(by or [])).agg(*aggs)
+    out = df.rollup(*by).agg(*aggs, F.grouping_id().alias("_gid"))
+    return out.withColumns({c: F.when(F.col("_gid") > 0, F.lit("all")).otherwise(F.col(c)) for c in by}).drop("_gid")
 
 
 def class_counts(df: DataFrame, label: str = S.LABEL) -> DataFrame:

@@ -70,9 +70,7 @@ SELECT CASE WHEN is_test THEN 'test' ELSE 'train' END, count(*), {O.r('avg(CAST(
 )
 def q_failure_rate(spark, sf_dir):
     parts = _split(spark, sf_dir).withColumn("part", F.when(F.col("is_test"), "test").otherwise("train"))
-    whole = EV.failure_rate(parts).select(F.lit("all").alias("part"), "n_rows", "failure_rate")
-    per = EV.failure_rate(parts, by=["part"])
-    return rounded(whole.unionByName(per))
+    return rounded(EV.failure_rate(parts, by=["part"], with_total=True))
 
 
 @register(

@@ -85,15 +85,14 @@ def score_batch(
 
 def batch_summary(predictions: DataFrame) -> DataFrame:
     """Rows (kind, key, n): total count, count per risk level, count per
-    recommendation code."""
-    total = predictions.agg(F.count(F.lit(1)).alias("n")).select(F.lit("total").alias("kind"), F.lit("all").alias("key"), "n")
-    risk = predictions.groupBy(F.col("failure_risk").alias("key")).agg(F.count(F.lit(1)).alias("n")).select(
-        F.lit("risk").alias("kind"), "key", "n"
+    recommendation code, in one pass (each prediction emits its keys, one
+    partial + final aggregation)."""
+    keys = F.expr(
+        "concat(array(named_struct('kind', 'total', 'key', 'all'), named_struct('kind', 'risk', 'key', failure_risk)),"
+        " transform(recommendation_codes, c -> named_struct('kind', 'code', 'key', c)))"
     )
-    codes = (
-        predictions.select(F.explode("recommendation_codes").alias("key"))
-        .groupBy("key")
+    return (
+        predictions.select(F.explode(keys).alias("k"))
+        .groupBy(F.col("k.kind").alias("kind"), F.col("k.key").alias("key"))
         .agg(F.count(F.lit(1)).alias("n"))
-        .select(F.lit("code").alias("kind"), "key", "n")
     )
-    return total.unionByName(risk).unionByName(codes)
