@@ -15,7 +15,7 @@ from strainmeter.plans.catalog import register
 from strainmeter.plans.catalog.q_metrics import AUC_EXPR, AUC_SQL
 from strainmeter.plans.checks import rounded, split_buckets
 from strainmeter.plans.registry import promotion_gate
-from strainmeter.plans.workflow import comparison, end_to_end, trained_registry
+from strainmeter.plans.workflow import comparison, end_to_end, read_parts, trained_registry
 from strainmeter.sources.io import events_metrics
 
 AS_OF = dt.datetime(2024, 2, 1, 0, 0, 0)
@@ -45,7 +45,7 @@ def q_predict_proba(spark, sf_dir):
     """Positive-class probability of the chosen model on the test part."""
     reg = trained_registry(spark, sf_dir)
     name = reg.choose("preference")
-    test = spark.read.parquet(f"{reg.base}/features-split").filter("is_test")
+    test = read_parts(spark, f"{reg.base}/features-split").filter("is_test")
     return TR.score_model(reg.load(name), test).select(S.KEY, "failure_probability", F.lit(name).alias("model_used"))
 
 

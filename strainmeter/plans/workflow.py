@@ -18,6 +18,12 @@ from strainmeter.session import shared_path
 from strainmeter.sources import io as IO
 
 
+def read_parts(spark: SparkSession, path: str) -> DataFrame:
+    """The written split table; partition discovery reads ``is_test`` as a
+    string, so it is cast back (a filter on it still prunes partitions)."""
+    return spark.read.parquet(path).withColumn("is_test", F.col("is_test").cast("boolean"))
+
+
 def prepared_parts(metrics: DataFrame, path: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Feature table with the stratified split, written once to the shared
     folder (cuts the window lineage; every fit reads the written table)."""
@@ -26,7 +32,7 @@ def prepared_parts(metrics: DataFrame, path: str | None = None) -> tuple[DataFra
     out = path or shared_path(spark, "features-split")
     # partitioned by part: fits read only the train files, scoring only test
     ft.write.mode("overwrite").partitionBy("is_test").parquet(out)
-    back = spark.read.parquet(out)
+    back = read_parts(spark, out)
     return back.filter(~F.col("is_test")).drop("is_test"), back.filter(F.col("is_test")).drop("is_test")
 
 
@@ -108,7 +114,7 @@ def end_to_end(spark: SparkSession, sf_dir: str, as_of: dt.datetime | None = Non
     reg = trained_registry(spark, sf_dir)
     name = reg.choose(choose)
     model = reg.load(name)
-    readings = spark.read.parquet(f"{reg.base}/features-split").filter("is_test").select(
+    readings = read_parts(spark, f"{reg.base}/features-split").filter("is_test").select(
         F.col(S.KEY).alias("reading_id"), S.HOST, S.TS, *S.METRIC_COLS, "hour", "day_of_week"
     )
     preds, _bad = score_batch(readings, model, name, manifest=reg.manifest(), as_of=as_of)

@@ -61,3 +61,11 @@ def test_balanced_weights_sum_to_n(spark, metrics_small):
     w = EV.balanced_weights(metrics_small)
     total = w.agg(F.sum("weight")).first()[0]
     assert total == pytest.approx(metrics_small.count())
+
+
+def test_written_split_table_reads_back_as_boolean(spark, metrics_small):
+    from strainmeter.plans.workflow import prepared_parts
+
+    train, test = prepared_parts(metrics_small, path=shared_path(spark, "parts-test"))
+    assert train.count() + test.count() == metrics_small.count()
+    assert "is_test" not in train.columns
