@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from strainmeter import oracle_sql as O
 from strainmeter import schema as S
 from strainmeter.fixtures import FIXTURE_P_SQL, INVALID_SQL, fixture_score, invalid_fixture
-from strainmeter.functions import exprs as X
 from strainmeter.operators import clean as C
 from strainmeter.operators import features as FE
 from strainmeter.plans.catalog import register

@@ -6,8 +6,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from strainmeter import schema as S
 from strainmeter.fixtures import fixture_score
 from strainmeter.operators import features as FE
