@@ -223,23 +223,35 @@ def sustained_alerts(
 ) -> DataFrame:
     """One row per island of consecutive rows with p > bound that lasts at
     least ``for_seconds``: start, firing time (first row at or after start +
-    for), end, rows. Island starts are a lag (halo windows) and a forward
-    fill (range ends carried), so a hot series is split over many tasks."""
+    for), end, rows.
+
+    An island is named by the last row before it that is not above the
+    bound: a forward fill of that row's (ts, key) per series (range ends
+    carried, so a hot series is split over many tasks) is the one full
+    pass. Island start, end and size are a partial aggregate of the hot rows
+    per name; the firing time joins hot rows to their island's start (AQE
+    splits a giant island)."""
     part = list(partition_cols)
     if n_buckets is None:
         n_buckets = n_buckets_for(scored, rows_per_bucket)
-    df = scored.select(*part, S.TS, S.KEY, (F.col(p_col) > above).alias("_hot"))
-    df = history_features(df, HistorySpec(lags=[("_prev_hot", "_hot", 1)]), part, n_buckets=n_buckets)
-    df = df.withColumn("_start", F.when(F.col("_hot") & ~F.coalesce(F.col("_prev_hot") == 1, F.lit(False)), F.col(S.TS)))
-    df = forward_fill(df, ["_start"], part, n_buckets=n_buckets)
-    hot = df.filter("_hot")
-    fire_from = F.col("_start") + F.make_dt_interval(secs=F.lit(for_seconds))
-    islands = hot.groupBy(*part, F.col("_start").alias("island_start")).agg(
-        F.min(F.when(F.col(S.TS) >= fire_from, F.col(S.TS))).alias("fired_at"),
-        F.max(S.TS).alias("island_end"),
-        F.count(F.lit(1)).alias("n_rows"),
+    df = scored.select(*part, S.TS, S.KEY, F.expr(f"coalesce(`{p_col}` > {above!r}, false)").alias("_hot"))
+    df = df.withColumn("_cold", F.expr(f"CASE WHEN NOT _hot THEN struct(`{S.TS}`, `{S.KEY}`) END"))
+    df = forward_fill(df, ["_cold"], part, n_buckets=n_buckets)
+    # islands that start the series have no cold row before them: a sentinel name
+    sentinel = f"named_struct('{S.TS}', TIMESTAMP_NTZ'0001-01-01 00:00:00', '{S.KEY}', CAST(-1 AS BIGINT))"
+    hot = df.filter("_hot").withColumn("_mark", F.expr(f"coalesce(_cold, {sentinel})")).select(*part, "_mark", S.TS)
+    keys = [*part, "_mark"]
+    islands = hot.groupBy(*keys).agg(
+        F.min(S.TS).alias("island_start"), F.max(S.TS).alias("island_end"), F.count(F.lit(1)).alias("n_rows")
     )
-    return islands.filter(F.col("fired_at").isNotNull())
+    fire_from = F.col("island_start") + F.make_dt_interval(secs=F.lit(for_seconds))
+    fired = (
+        hot.join(islands.select(*keys, "island_start"), on=keys)
+        .filter(F.col(S.TS) >= fire_from)
+        .groupBy(*keys)
+        .agg(F.min(S.TS).alias("fired_at"))
+    )
+    return islands.join(fired, on=keys).select(*part, "island_start", "fired_at", "island_end", "n_rows")
 
 
 # ---------------------------------------------------------------------------

@@ -100,3 +100,16 @@ def test_sub_ranges_equal_plain_ranges(spark, metrics_small, monkeypatch):
     pd.testing.assert_frame_equal(a, b, check_exact=False, rtol=1e-12)
     bucketed = W.with_range_bucket(metrics_small, F.col(S.KEY), plan).orderBy(S.KEY).select(W.BUCKET).toPandas()[W.BUCKET]
     assert bucketed.is_monotonic_increasing and bucketed.nunique() > 8
+
+
+@pytest.mark.parametrize("nb", [1, 4])
+def test_alert_island_at_series_start(spark, nb):
+    from strainmeter.operators.monitor import sustained_alerts
+
+    ps = [0.9] * 11 + [0.1] + [0.95] * 3 + [0.2] + [0.85] * 9
+    rows = [(i, 1, f"2024-01-01 00:{i:02d}:00", p) for i, p in enumerate(ps)]
+    df = spark.createDataFrame(rows, "event_id long, host_id long, ts string, failure_probability double").withColumn(
+        "ts", F.col("ts").cast("timestamp_ntz")
+    )
+    got = sorted((r["island_start"].minute, r["fired_at"].minute, r["island_end"].minute, r["n_rows"]) for r in sustained_alerts(df, n_buckets=nb).collect())
+    assert got == [(0, 5, 10, 11), (16, 21, 24, 9)]
