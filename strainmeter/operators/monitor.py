@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -78,8 +79,14 @@ def ks_drift(
         n_buckets = n_buckets_for(reference, rows_per_bucket)
     plans = range_plans(reference, cols, n_buckets)
 
+    plain = all(p.sub <= 1 and p.bounds for p in plans.values())
+
     def bucketed(df: DataFrame) -> DataFrame:
         d = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+        if plain:  # one multi-column binary search
+            splits = [[-math.inf] + plans[c].bounds + [math.inf] for c in cols]
+            b = Bucketizer(splitsArray=splits, inputCols=cols, outputCols=[f"{c}__b" for c in cols], handleInvalid="keep")
+            return b.transform(d)
         for c in cols:
             d = with_range_bucket(d, F.col(c), plans[c], out=f"{c}__b")
         return d
