@@ -71,3 +71,19 @@ def test_late_rows_dropped_by_watermark(spark, approx):
     out = spark.read.parquet(run_to_table(ST.stream_rollup(stream, approx_distinct=approx), f"t-late-{approx}"))
     assert out.agg(F.sum("n_errors")).first()[0] in (None, 0)
     assert out.agg(F.sum("n_events")).first()[0] >= 1
+
+
+def test_score_stream_equals_batch(spark, metrics_small):
+    from strainmeter.plans import train as TR
+    from strainmeter.plans.score import score_batch
+
+    train = FE.feature_table(metrics_small)
+    model = TR.fit_model(train, TR.ModelSpec("logistic_regression", dict(maxIter=50), scaled=True))
+    path = _landing(spark, metrics_small, parts=2)
+    stream = folder_stream(spark, path, metrics_small.schema, max_files=1)
+    as_of = "2024-02-01 00:00:00"
+    out = spark.read.parquet(run_to_table(ST.stream_score_readings(stream, model, "logistic_regression", S.MODEL_INPUTS, as_of=as_of), "t-score"))
+    readings = metrics_small.select(F.col(S.KEY).alias("reading_id"), S.HOST, S.TS, *S.METRIC_COLS, "hour", "day_of_week")
+    batch, _ = score_batch(readings, model, "logistic_regression", as_of=as_of)
+    cols = ["reading_id", "failure_probability", "failure_risk", "confidence", "recommendation_codes"]
+    assert sorted(map(tuple, out.select(*cols).collect())) == sorted(map(tuple, batch.select(*cols).collect()))
