@@ -99,3 +99,18 @@ def q_kfold_cv(spark, sf_dir):
     spec = TR.DEFAULT_SPECS["logistic_regression"]
     mean, std = TR.cross_validate(ft, spec)
     return spark.createDataFrame([(spec.name, S.N_FOLDS, mean[0], std[0])], "model STRING, n_folds INT, mean_auc DOUBLE, std_auc DOUBLE")
+
+
+@register("score_history")
+def q_score_history(spark, sf_dir):
+    """Test-part readings scored with true history inputs (rolling / lag /
+    forward fill over each host's readings), the chosen model."""
+    from strainmeter.plans.score import score_batch
+
+    reg = trained_registry(spark, sf_dir)
+    name = reg.choose("preference")
+    readings = read_parts(spark, f"{reg.base}/features-split").filter("is_test").select(
+        F.col(S.KEY).alias("reading_id"), S.HOST, S.TS, *S.METRIC_COLS, "hour", "day_of_week"
+    )
+    preds, _bad = score_batch(readings, reg.load(name), name, manifest=reg.manifest(), as_of=AS_OF, mode="history")
+    return preds

@@ -70,19 +70,43 @@ def score_batch(
     clock: dt.datetime | str | None = None,
     keep: list[str] | None = None,
     confidence_mode: str = "reference",
+    mode: str = "point",
 ) -> tuple[DataFrame, DataFrame]:
     """(predictions, quarantine) for a batch or stream of readings, scored by
-    a fitted ``PipelineModel`` whose first stage assembles ``manifest``."""
+    a fitted ``PipelineModel`` whose first stage assembles ``manifest``.
+
+    ``mode='point'``: rolling and lag inputs take the reading's own value
+    (the reference's serving rule). ``mode='history'`` (batch only): true
+    rolling, lag and forward-filled inputs over each host's readings in time
+    order, the feature table's windows, so serving matches training."""
     keep = keep or [c for c in ("reading_id", S.KEY, S.HOST, S.TS) if c in readings.columns]
     valid, bad = C.split_valid(readings)
     valid = C.default_calendar(valid, clock)
-    feats = FE.point_features(valid, manifest, keep=keep)
+    if mode == "point":
+        feats = FE.point_features(valid, manifest, keep=keep)
+    elif mode == "history":
+        feats = _history_inputs(valid, manifest, keep)
+    else:
+        raise ValueError(f"unknown scoring mode {mode!r}")
     scored = positive_probability(model.transform(feats))
     metric_view = scored.select(*keep, *S.METRIC_COLS, "failure_probability")
     preds = score_readings(metric_view, as_of=as_of, confidence_mode=confidence_mode, model_used=model_name)
     return preds.select(*keep, *[f.name for f in S.PREDICTION_FIELDS.fields], "recommendation_codes"), bad
 
 
+def _history_inputs(valid: DataFrame, manifest: list[str], keep: list[str]) -> DataFrame:
+    """Feature-table inputs for readings (key, host, ts needed for order)."""
+    df = valid
+    if S.KEY not in df.columns and "reading_id" in df.columns:
+        df = df.withColumn(S.KEY, F.col("reading_id"))
+    if S.LABEL not in df.columns:
+        df = df.withColumn(S.LABEL, F.lit(None).cast("int"))
+    df = df.withColumns({"is_weekend": X.weekend_flag(), "is_business_hours": X.business_flag()})
+    extra = [c for c in keep if c not in (S.KEY, S.HOST)]
+    ft = FE.feature_table(df, keep=[S.KEY, S.HOST] + [c for c in extra if c != S.TS])
+    return FE.align_to_manifest(ft, manifest, keep=keep)
+
+
 def batch_summary(predictions: DataFrame) -> DataFrame:
     """Rows (kind, key, n): total count, count per risk level, count per
     recommendation code, in one pass (each prediction emits its keys, one

@@ -69,3 +69,18 @@ def test_written_split_table_reads_back_as_boolean(spark, metrics_small):
     train, test = prepared_parts(metrics_small, path=shared_path(spark, "parts-test"))
     assert train.count() + test.count() == metrics_small.count()
     assert "is_test" not in train.columns
+
+
+def test_history_scoring_uses_the_feature_table(spark, parts, metrics_small):
+    from strainmeter.plans.score import score_batch
+
+    train, test = parts
+    m = TR.fit_model(train, SMALL["logistic_regression"])
+    readings = metrics_small.select(F.col(S.KEY).alias("reading_id"), S.HOST, S.TS, *S.METRIC_COLS, "hour", "day_of_week")
+    hist, bad = score_batch(readings, m, "logistic_regression", as_of="2024-02-01 00:00:00", mode="history")
+    assert hist.count() == metrics_small.count() and bad.count() == 0
+    # history inputs are the feature table's: scoring the table directly gives the same probabilities
+    direct = {r[S.KEY]: r["failure_probability"] for r in TR.score_model(m, FE.feature_table(metrics_small)).select(S.KEY, "failure_probability").collect()}
+    got = {r["reading_id"]: r["failure_probability"] for r in hist.collect()}
+    for k, v in got.items():
+        assert v == pytest.approx(round(direct[k], 4), abs=1e-4)
