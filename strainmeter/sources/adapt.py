@@ -6,8 +6,7 @@ the label mimics a high failure share under stress and a low background share.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from strainmeter import schema as S
 from strainmeter.functions import exprs as X
@@ -15,39 +14,31 @@ from strainmeter.functions import exprs as X
 N_HOSTS = 16
 
 
-def _d(c: Column) -> Column:
-    return c.cast("double")
-
-
 def events_to_metrics(events: DataFrame, n_hosts: int = N_HOSTS) -> DataFrame:
     """Map ``events(event_id, ts, user_id, event_type, value, props)`` to the
-    15-column metric table (``event_id``, ``host_id`` + 13 raw columns)."""
-    e = events.select(
-        "event_id",
-        "ts",
-        "user_id",
-        "event_type",
-        "value",
-        F.round(F.col("value") * 100).cast("bigint").alias("cents"),
+    15-column metric table (``event_id``, ``host_id`` + 13 raw columns).
+    Two projections of SQL text (one JVM call per column)."""
+    m = events.selectExpr(
+        f"event_id AS {S.KEY}",
+        f"user_id % {n_hosts} AS {S.HOST}",
+        f"CAST(ts AS TIMESTAMP_NTZ) AS {S.TS}",
+        "CAST((CAST(round(value * 100) AS BIGINT) * 37 + event_id * 11) % 10001 AS DOUBLE) / 100 AS cpu_usage",
+        "CAST((CAST(round(value * 100) AS BIGINT) * 53 + event_id * 29) % 10001 AS DOUBLE) / 100 AS memory_usage",
+        "CAST(10 AS DOUBLE) + CAST((event_id * 7919) % 8501 AS DOUBLE) / 100 AS disk_usage",
+        "CAST(20 AS DOUBLE) + value AS network_latency_ms",
+        "CAST(CASE WHEN event_type = 'error' THEN 6 + event_id % 10 ELSE event_id % 6 END AS INT) AS error_count",
+        "CAST(100 + CAST(round(value * 100) AS BIGINT) % 5000 AS DOUBLE) AS response_time_ms",
+        "CAST(1 + user_id % 100 AS INT) AS active_connections",
+    )
+    label = (
+        "CAST(CASE WHEN ((cpu_usage > 80 OR memory_usage > 85) AND event_id % 10 < 8) OR event_id % 50 = 7"
+        f" THEN 1 ELSE 0 END AS INT) AS {S.LABEL}"
     )
-    eid, cents, uid = F.col("event_id"), F.col("cents"), F.col("user_id")
-    m = e.select(
-        eid.alias(S.KEY),
-        (uid % n_hosts).alias(S.HOST),
-        F.col("ts").cast("timestamp_ntz").alias(S.TS),
-        (_d((cents * 37 + eid * 11) % 10001) / 100).alias("cpu_usage"),
-        (_d((cents * 53 + eid * 29) % 10001) / 100).alias("memory_usage"),
-        (F.lit(10.0) + _d((eid * 7919) % 8501) / 100).alias("disk_usage"),
-        (F.lit(20.0) + F.col("value")).alias("network_latency_ms"),
-        F.when(F.col("event_type") == "error", F.lit(6) + eid % 10)
-        .otherwise(eid % 6)
-        .cast("int")
-        .alias("error_count"),
-        _d(F.lit(100) + cents % 5000).alias("response_time_ms"),
-        (F.lit(1) + uid % 100).cast("int").alias("active_connections"),
+    m = m.selectExpr(
+        "*",
+        label,
+        f"CAST(hour({S.TS}) AS INT) AS hour",
+        f"CAST(weekday({S.TS}) AS INT) AS day_of_week",
     )
-    stressed = (F.col("cpu_usage") > 80) | (F.col("memory_usage") > 85)
-    label = F.when((stressed & (F.col(S.KEY) % 10 < 8)) | (F.col(S.KEY) % 50 == 7), 1).otherwise(0).cast("int")
-    m = m.withColumn(S.LABEL, label)
-    m = X.with_calendar(m, S.TS)
+    m = m.selectExpr("*", f"{X.weekend_sql()} AS is_weekend", f"{X.business_sql()} AS is_business_hours")
     return m.select([f.name for f in S.METRICS_SCHEMA.fields])
