@@ -40,18 +40,35 @@ def with_event_time(df: DataFrame, ts: str = S.TS, out: str = "event_time") -> D
     return df.withColumn(out, F.col(ts).cast("timestamp"))
 
 
-def run_to_table(df: DataFrame, name: str, mode: str = "append", path: str | None = None, timeout_s: int = 1800) -> str:
+def run_to_table(
+    df: DataFrame,
+    name: str,
+    mode: str = "append",
+    path: str | None = None,
+    timeout_s: int = 1800,
+    state_partitions: int | None = None,
+) -> str:
     """Run a streaming query to completion (``availableNow``) into a Parquet
-    table in the shared folder; the checkpoint makes it restartable."""
+    table in the shared folder; the checkpoint makes it restartable.
+
+    Stateful operators keep the shuffle-partition count the query starts
+    with (it is stored in the checkpoint): ``state_partitions`` (default
+    2 x the cluster's parallelism) is set for the start only."""
     spark = df.sparkSession
     out = path or shared_path(spark, f"stream-{name}")
-    q: StreamingQuery = (
-        df.writeStream.format("parquet")
-        .outputMode(mode)
-        .option("checkpointLocation", out + "-checkpoint")
-        .trigger(availableNow=True)
-        .start(out)
-    )
+    n = state_partitions or 2 * spark.sparkContext.defaultParallelism
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        q: StreamingQuery = (
+            df.writeStream.format("parquet")
+            .outputMode(mode)
+            .option("checkpointLocation", out + "-checkpoint")
+            .trigger(availableNow=True)
+            .start(out)
+        )
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     q.awaitTermination(timeout_s)
     if q.exception() is not None:
         raise q.exception()
