@@ -244,8 +244,24 @@ def code_parts_sql(p: str) -> list[str]:
     return parts
 
 
+EMPTY_STRINGS = "CAST(array() AS ARRAY<STRING>)"
+
+
+def compact_sql(parts: list[str], elem: str = "STRING") -> str:
+    """Array of the non-NULL values of ``parts`` (CASE expressions giving a
+    string or NULL), order kept. Same result as ``array_compact(array(...))``,
+    but built from ``concat`` of one-element arrays, which stays inside
+    whole-stage code generation (``array_compact`` becomes a lambda
+    ``filter``, which is evaluated row by row outside it)."""
+    empty = f"CAST(array() AS ARRAY<{elem}>)"
+    if not parts:
+        return empty
+    one = [f"(CASE WHEN ({x}) IS NULL THEN {empty} ELSE array({x}) END)" for x in parts]
+    return one[0] if len(one) == 1 else "concat(" + ", ".join(one) + ")"
+
+
 def recommendation_codes_sql(p: str) -> str:
-    codes = "array_compact(array(" + ", ".join(code_parts_sql(p)) + "))"
+    codes = compact_sql(code_parts_sql(p))
     return f"CASE WHEN size({codes}) = 0 THEN array('{S.HEALTHY_CODE}') ELSE {codes} END"
 
 
@@ -255,8 +271,12 @@ def recommendation_codes(p: str) -> Column:
 
 
 def recommendation_texts(codes: str) -> Column:
-    pairs = ", ".join(f"'{k}', '{v}'" for k, v in S.RECOMMENDATION_TEXT.items())
-    return ex(f"transform({codes}, c -> element_at(map({pairs}), c))")
+    """Text of each code, code order kept. Codes occur at most once and
+    always in rule order (the order of ``RECOMMENDATION_TEXT``), so the texts
+    are the rule-ordered texts whose code is present: no lambda, inside
+    whole-stage code generation."""
+    parts = [f"CASE WHEN array_contains({codes}, '{k}') THEN '{v}' END" for k, v in S.RECOMMENDATION_TEXT.items()]
+    return ex(f"CASE WHEN {codes} IS NULL THEN NULL ELSE {compact_sql(parts)} END")
 
 
 def regime_sql() -> str:
@@ -285,6 +305,47 @@ def adjusted_response() -> Column:
     return ex(adjusted_response_sql())
 
 
+# Bits an order column takes once shifted to be non-negative: timestamps are
+# microseconds of years 1 to 9999 (|us| < 2^58), then the integer widths.
+_ORDER_BITS = {"timestamp": 59, "timestamp_ntz": 59, "bigint": 64, "int": 32, "smallint": 16, "tinyint": 8, "date": 32}
+_DECIMAL_BITS = 126  # 10^38 > 2^126
+
+
+def packed_order_sql(df: DataFrame, cols: list[str]) -> str | None:
+    """One DECIMAL(38,0) that orders rows exactly as ``struct(cols...)``
+    does (ascending, lexicographic, NULL first), or None when the columns do
+    not fit in 126 bits.
+
+    A NULL part is 0; a value is shifted to 1 .. 2^b, so it takes b + 1
+    bits; parts are packed most-significant first. ``max_by(x, <packed>)``
+    then keeps fixed-width buffers and plans as a hash aggregate; with a
+    struct ordering Spark falls back to a sort-based aggregate, which sorts
+    every input row."""
+    types = dict(df.dtypes)
+    bits = [_ORDER_BITS.get(types.get(c, "")) for c in cols]
+    if not cols or any(b is None for b in bits) or sum(b + 1 for b in bits) > _DECIMAL_BITS:
+        return None
+    out = None
+    for c, b in zip(cols, bits):
+        t = types[c]
+        if t == "timestamp_ntz":
+            v = f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {q(c)})"
+        elif t == "timestamp":
+            v = f"unix_micros({q(c)})"
+        elif t == "date":
+            v = f"unix_date({q(c)})"
+        else:
+            v = q(c)
+        part = f"(CASE WHEN {q(c)} IS NULL THEN 0BD ELSE CAST({v} AS DECIMAL(38,0)) + {2 ** (b - 1) + 1}BD END)"
+        out = part if out is None else f"({out} * {2 ** (b + 1)}BD + {part})"
+    return f"CAST({out} AS DECIMAL(38,0))"
+
+
+def order_key_sql(df: DataFrame, cols: list[str]) -> str:
+    """Packed order key when the columns fit, else ``struct(cols...)``."""
+    return packed_order_sql(df, cols) or "struct(" + ", ".join(q(c) for c in cols) + ")"
+
+
 def order_micros(ts: str) -> Column:
     """Microseconds since 1970-01-01 of a TIMESTAMP_NTZ column, no zone shift
     (order preserving; a numeric range key for bucketing)."""

@@ -11,25 +11,37 @@ from strainmeter import schema as S
 from strainmeter.functions import exprs as X
 
 
-def violation_codes_sql(bounds=S.READING_BOUNDS, optional=S.CALENDAR_BOUNDS, present: list[str] | None = None) -> list[str]:
-    """One CASE per check giving ``<column>:missing|below|above``, rule order."""
-    parts = []
+def violation_checks(bounds=S.READING_BOUNDS, optional=S.CALENDAR_BOUNDS, present: list[str] | None = None) -> list[tuple[str, str]]:
+    """(condition, code) per check, rule order; ``<column>:missing|below|above``."""
+    checks = []
     for c, lo, hi in bounds:
-        parts.append(f"CASE WHEN {c} IS NULL THEN '{c}:missing' END")
-        parts.append(f"CASE WHEN {c} < {lo} THEN '{c}:below' END")
+        checks.append((f"{c} IS NULL", f"{c}:missing"))
+        checks.append((f"{c} < {lo}", f"{c}:below"))
         if hi is not None:
-            parts.append(f"CASE WHEN {c} > {hi} THEN '{c}:above' END")
+            checks.append((f"{c} > {hi}", f"{c}:above"))
     for c, lo, hi in optional:
         if present is not None and c not in present:
             continue
-        parts.append(f"CASE WHEN {c} < {lo} THEN '{c}:below' END")
-        parts.append(f"CASE WHEN {c} > {hi} THEN '{c}:above' END")
-    return parts
+        checks.append((f"{c} < {lo}", f"{c}:below"))
+        checks.append((f"{c} > {hi}", f"{c}:above"))
+    return checks
+
+
+def violation_codes_sql(bounds=S.READING_BOUNDS, optional=S.CALENDAR_BOUNDS, present: list[str] | None = None) -> list[str]:
+    """One CASE per check giving its code, rule order."""
+    return [f"CASE WHEN {cond} THEN '{code}' END" for cond, code in violation_checks(bounds, optional, present)]
 
 
 def violation_codes(bounds=S.READING_BOUNDS, optional=S.CALENDAR_BOUNDS, present: list[str] | None = None) -> Column:
     """Array of violation codes, rule order kept."""
-    return F.expr("array_compact(array(" + ", ".join(violation_codes_sql(bounds, optional, present)) + "))")
+    return F.expr(X.compact_sql(violation_codes_sql(bounds, optional, present)))
+
+
+def valid_sql(bounds=S.READING_BOUNDS, optional=S.CALENDAR_BOUNDS, present: list[str] | None = None) -> str:
+    """True when no check fires: the same conditions as the codes, NULL
+    comparing as false, so a plain predicate (no array built per row)."""
+    conds = [cond for cond, _ in violation_checks(bounds, optional, present)]
+    return "NOT (" + " OR ".join(f"coalesce({c}, false)" for c in conds) + ")"
 
 
 def validate_readings(df: DataFrame) -> DataFrame:
@@ -40,9 +52,10 @@ def validate_readings(df: DataFrame) -> DataFrame:
 
 def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid rows, quarantined rows with their codes): bad rows are kept
-    aside instead of failing the batch."""
-    checked = validate_readings(df)
-    return checked.filter("is_valid").drop("violations", "is_valid"), checked.filter(~F.col("is_valid"))
+    aside instead of failing the batch. The valid side filters on the plain
+    predicate; only quarantined rows get their code array."""
+    ok = F.expr(valid_sql(present=df.columns))
+    return df.filter(ok), validate_readings(df.filter(~ok))
 
 
 def default_calendar(df: DataFrame, clock: dt.datetime | str | Column | None = None) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strainmeter import schema as S
+from strainmeter.functions import exprs as X
 from strainmeter.functions.exprs import order_micros
 from strainmeter.operators.evaluate import confusion_metrics
 from strainmeter.operators.windows import (
@@ -212,8 +213,15 @@ def latest_features(
     f = features
     if as_of is not None:
         f = f.filter(F.col(ts) <= F.lit(as_of).cast("timestamp_ntz"))
-    latest = f.groupBy(entity).agg(F.max_by(F.struct(ts, *names), F.struct(ts, S.KEY)).alias("_l"))
-    return entities.select(entity).distinct().join(latest, on=entity, how="left").select(entity, *[F.col(f"_l.{c}").alias(c) for c in [ts, *names]])
+    okey = X.packed_order_sql(f, [ts, S.KEY])
+    if okey is None:
+        latest = f.groupBy(entity).agg(F.max_by(F.struct(ts, *names), F.struct(ts, S.KEY)).alias("_l"))
+        latest = latest.select(entity, *[F.col(f"_l.{c}").alias(c) for c in [ts, *names]])
+    else:
+        # (ts, key) names one row: every column's max_by picks that row; the
+        # packed key keeps the aggregate hash-based (no sort of the input)
+        latest = f.groupBy(entity).agg(*[F.expr(f"max_by(`{c}`, {okey})").alias(c) for c in [ts, *names]])
+    return entities.select(entity).distinct().join(latest, on=entity, how="left").select(entity, ts, *names)
 
 
 # ---------------------------------------------------------------------------
@@ -242,10 +250,17 @@ def sustained_alerts(
     if n_buckets is None:
         n_buckets = n_buckets_for(scored, rows_per_bucket)
     df = scored.select(*part, S.TS, S.KEY, F.expr(f"coalesce(`{p_col}` > {above!r}, false)").alias("_hot"))
-    df = df.withColumn("_cold", F.expr(f"CASE WHEN NOT _hot THEN struct(`{S.TS}`, `{S.KEY}`) END"))
+    # a cold row's name: its packed (ts, key), a fixed-width value (hash
+    # aggregates for the carried range ends), else the struct
+    okey = X.packed_order_sql(df, [S.TS, S.KEY])
+    name = okey or f"struct(`{S.TS}`, `{S.KEY}`)"
+    df = df.withColumn("_cold", F.expr(f"CASE WHEN NOT _hot THEN {name} END"))
     df = forward_fill(df, ["_cold"], part, n_buckets=n_buckets)
-    # islands that start the series have no cold row before them: a sentinel name
-    sentinel = f"named_struct('{S.TS}', TIMESTAMP_NTZ'0001-01-01 00:00:00', '{S.KEY}', CAST(-1 AS BIGINT))"
+    # islands that start the series have no cold row before them: a sentinel
+    # name below every packed key (those are >= 0)
+    sentinel = "CAST(-1 AS DECIMAL(38,0))" if okey else (
+        f"named_struct('{S.TS}', TIMESTAMP_NTZ'0001-01-01 00:00:00', '{S.KEY}', CAST(-1 AS BIGINT))"
+    )
     hot = df.filter("_hot").withColumn("_mark", F.expr(f"coalesce(_cold, {sentinel})")).select(*part, "_mark", S.TS)
     keys = [*part, "_mark"]
     islands = hot.groupBy(*keys).agg(

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strainmeter import schema as S
-from strainmeter.functions.exprs import order_micros
+from strainmeter.functions.exprs import compact_sql, order_key_sql, order_micros
 from strainmeter.session import DEFAULT_ROWS_PER_BUCKET
 
 BUCKET = "_range_bucket"
@@ -262,11 +262,15 @@ def _bucketed(
         tails = base.withColumn("_rd", F.row_number().over(w_tail)).filter(F.col("_rd") <= h).drop("_rd")
         w_series = Window.partitionBy(*part).orderBy(*order)
         leads = [F.lead(BUCKET, k).over(w_series) for k in range(1, h + 1)]
-        targets = F.array_distinct(F.filter(F.array(*leads), lambda t: t.isNotNull() & (t != F.col(BUCKET))))
+        # ranges of the next h tail rows, other than this row's own (no lambda:
+        # the projection stays in generated code)
+        nxt = [F.when(t != F.col(BUCKET), t) for t in leads]
+        targets = F.array_distinct(F.expr(compact_sql(["_n%d" % i for i in range(h)], "INT")))
+        tails = tails.select("*", *[c.alias("_n%d" % i) for i, c in enumerate(nxt)])
         halo = (
             tails.withColumn("_targets", targets)
             .withColumn(BUCKET, F.explode("_targets"))
-            .drop("_targets")
+            .drop("_targets", *["_n%d" % i for i in range(h)])
             .withColumn(HALO, F.lit(True))
         )
         main = main.unionByName(halo.select(*main.columns))
@@ -276,7 +280,7 @@ def _bucketed(
     carry_cols: set[str] = set()
     joined = main
     if srcs:
-        okey = "struct(" + ", ".join(_q(c) for c in order) + ")"
+        okey = order_key_sql(base, order)
         ends = base.groupBy(*part, BUCKET).agg(
             *[F.expr(f"max_by({_q(c)}, CASE WHEN {_q(c)} IS NOT NULL THEN {okey} END)").alias(f"_end_{c}") for c in srcs]
         )

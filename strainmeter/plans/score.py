@@ -111,12 +111,12 @@ def batch_summary(predictions: DataFrame) -> DataFrame:
     """Rows (kind, key, n): total count, count per risk level, count per
     recommendation code, in one pass (each prediction emits its keys, one
     partial + final aggregation)."""
-    keys = F.expr(
-        "concat(array(named_struct('kind', 'total', 'key', 'all'), named_struct('kind', 'risk', 'key', failure_risk)),"
-        " transform(recommendation_codes, c -> named_struct('kind', 'code', 'key', c)))"
-    )
+    # the key list is (all, risk level, codes...): its position gives the
+    # kind, so no lambda is needed and the projection stays in generated code
+    keys = F.concat(F.array(F.lit("all"), F.col("failure_risk")), F.col("recommendation_codes"))
+    kind = F.expr("CASE pos WHEN 0 THEN 'total' WHEN 1 THEN 'risk' ELSE 'code' END")
     return (
-        predictions.select(F.explode(keys).alias("k"))
-        .groupBy(F.col("k.kind").alias("kind"), F.col("k.key").alias("key"))
+        predictions.select(F.posexplode(keys).alias("pos", "key"))
+        .groupBy(kind.alias("kind"), F.col("key"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
