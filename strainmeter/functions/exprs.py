@@ -80,8 +80,13 @@ def round_even_sql(expr: str, digits: int) -> str:
     differs on values such as 0.12345).
 
     y = x * 10**digits is formed exactly as hi + lo (Dekker product; 10**d has
-    few significant bits so only x is split); hi's fraction decides, and on an
-    exact half the sign of lo does, a true tie going to the even integer."""
+    few significant bits so only x is split). ``rint(hi)`` (half to even) is
+    right unless hi is exactly a half while y is not: then the sign of lo
+    decides. Exact for |y| < 2^52. Beyond, x itself is returned (NaN and
+    infinities too): the rounding moves the value by less than one ulp
+    there, and Python may land on the neighbouring double.
+    Operands are repeated in the text, so pass a column (or a small
+    expression) to keep the generated code small."""
     sc = dbl(10.0**digits)
     x = f"CAST({expr} AS DOUBLE)"
     hi = f"({x} * {sc})"
@@ -89,14 +94,9 @@ def round_even_sql(expr: str, digits: int) -> str:
     xh = f"({t} - ({t} - {x}))"
     xl = f"({x} - {xh})"
     lo = f"(({xh} * {sc} - {hi}) + {xl} * {sc})"
-    fl = f"CAST(floor({hi}) AS DOUBLE)"
-    frac = f"({hi} - {fl})"
-    r = (
-        f"(CASE WHEN {frac} > 0.5 THEN {fl} + 1 WHEN {frac} < 0.5 THEN {fl} WHEN {lo} > 0 THEN {fl} + 1"
-        f" WHEN {lo} < 0 THEN {fl} WHEN {fl} % 2 = 0 THEN {fl} ELSE {fl} + 1 END)"
-    )
-    special = f"{x} IS NULL OR isnan({x}) OR {x} IN (CAST('inf' AS DOUBLE), CAST('-inf' AS DOUBLE))"
-    return f"(CASE WHEN {special} THEN {x} ELSE {r} / {sc} END)"
+    tie = f"({hi} - floor({hi}) = 0.5 AND {lo} <> 0)"
+    r = f"(CASE WHEN {tie} THEN (CASE WHEN {lo} > 0 THEN ceil({hi}) ELSE floor({hi}) END) ELSE rint({hi}) END)"
+    return f"(CASE WHEN abs({hi}) < {dbl(2.0**52)} THEN {r} / {sc} ELSE {x} END)"
 
 
 def round_even(c: str, digits: int) -> Column:
@@ -220,16 +220,21 @@ def risk_level(p: str) -> Column:
     return ex(risk_sql(p))
 
 
-def confidence_sql(p: str, mode: str = "reference") -> str:
-    """``reference``: clamp(1 - |p - 0.5|, 0.6, 0.95) (highest for unsure
-    scores, as the reference computes it); ``margin``: clamp(0.5 + |p - 0.5|)."""
+def confidence_raw_sql(p: str, mode: str = "reference") -> str:
+    """Unrounded confidence. ``reference``: clamp(1 - |p - 0.5|, 0.6, 0.95)
+    (highest for unsure scores, as the reference computes it); ``margin``:
+    clamp(0.5 + |p - 0.5|)."""
     if mode == "reference":
         raw = f"({dbl(1)} - abs({p} - {dbl(0.5)}))"
     elif mode == "margin":
         raw = f"({dbl(0.5)} + abs({p} - {dbl(0.5)}))"
     else:
         raise ValueError(f"unknown confidence mode {mode!r}")
-    return round_even_sql(f"least(greatest({raw}, {dbl(S.CONFIDENCE_LO)}), {dbl(S.CONFIDENCE_HI)})", S.CONFIDENCE_DIGITS)
+    return f"least(greatest({raw}, {dbl(S.CONFIDENCE_LO)}), {dbl(S.CONFIDENCE_HI)})"
+
+
+def confidence_sql(p: str, mode: str = "reference") -> str:
+    return round_even_sql(confidence_raw_sql(p, mode), S.CONFIDENCE_DIGITS)
 
 
 def confidence(p: str, mode: str = "reference") -> Column:

@@ -305,29 +305,38 @@ def failure_label(
 ) -> DataFrame:
     """1 when a failure event of the same series falls in (ts, ts + horizon].
 
-    Range frame over microseconds. Split form: the series is cut into time
-    ranges; each row is also copied, as look-ahead, into the earlier ranges
-    whose end lies within the horizon before it (bounds are known, so the
-    copy targets are a bucket interval), then windows run per range."""
+    Same as asking whether the series' next failure strictly after ts comes
+    within the horizon. The next failure time is a running minimum over the
+    rows after this one: ``ORDER BY us DESC`` with a frame from UNBOUNDED
+    PRECEDING to 1 PRECEDING, a growing frame (linear per partition; a
+    sliding range frame for max recomputes as rows leave it).
+
+    Split form: the series is cut into time ranges and the window runs per
+    range; the first failure of every later range comes from a small table
+    (first failure per range, then a suffix minimum over the ranges), joined
+    back by range. No row is copied, however narrow a range is next to the
+    horizon."""
     part = list(partition_cols)
     hz = horizon_seconds * 1_000_000
-    base = df.withColumn("_fail", failure.cast("int")).withColumn("_us", order_micros(S.TS))
+    base = df.withColumn("_us", order_micros(S.TS)).withColumn(
+        "_fail_us", F.when(failure.cast("int") == 1, F.col("_us"))
+    )
     if n_buckets is None:
         n_buckets = n_buckets_for(df, rows_per_bucket)
-    frame = lambda w: w.orderBy("_us").rangeBetween(1, hz)
+
+    def label(nxt: Column) -> Column:
+        return F.coalesce((nxt - F.col("_us")) <= F.lit(hz), F.lit(False)).cast("int")
+
+    after = lambda w: w.orderBy(F.col("_us").desc()).rangeBetween(Window.unboundedPreceding, -1)
     if n_buckets <= 1:
-        w = frame(Window.partitionBy(*part))
-        return base.withColumn(out, F.coalesce(F.max("_fail").over(w), F.lit(0)).cast("int")).drop("_fail", "_us")
+        nxt = F.min("_fail_us").over(after(Window.partitionBy(*part)))
+        return base.withColumn(out, label(nxt)).drop("_us", "_fail_us")
     bounds = range_bounds(base, F.col("_us"), n_buckets)
     b = with_range_bucket(base, F.col("_us"), bounds)
-    b = with_range_bucket(b, F.col("_us") - F.lit(hz), bounds, out="_b_from")
-    own = b.withColumn("_halo", F.lit(False))
-    ahead = (
-        b.filter(F.col("_b_from") < F.col(BUCKET))
-        .withColumn(BUCKET, F.explode(F.sequence(F.col("_b_from"), F.col(BUCKET) - 1)))
-        .withColumn("_halo", F.lit(True))
-    )
-    u = own.unionByName(ahead)
-    w = frame(Window.partitionBy(*part, BUCKET))
-    res = u.withColumn(out, F.coalesce(F.max("_fail").over(w), F.lit(0)).cast("int"))
-    return res.filter(~F.col("_halo")).drop("_fail", "_us", "_b_from", "_halo", BUCKET)
+    # first failure of each later range: (series x ranges) rows, not rows
+    first = b.groupBy(*part, BUCKET).agg(F.min("_fail_us").alias("_first"))
+    later = Window.partitionBy(*part).orderBy(F.col(BUCKET).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    carry = first.select(*part, BUCKET, F.min("_first").over(later).alias("_carry"))
+    j = b.join(carry, on=[*part, BUCKET], how="left")
+    nxt = F.coalesce(F.min("_fail_us").over(after(Window.partitionBy(*part, BUCKET))), F.col("_carry"))
+    return j.withColumn(out, label(nxt)).drop("_us", "_fail_us", "_carry", BUCKET)

@@ -43,17 +43,19 @@ def score_readings(
         {
             "failure_probability_raw": F.col(p_col),
             "failure_risk": X.risk_level(p),
-            "confidence": X.confidence(p, confidence_mode),
+            "_confidence_raw": X.ex(X.confidence_raw_sql(p, confidence_mode)),
             "recommendation_codes": codes,
             "model_used": model,
             "timestamp": _ts_lit(as_of),
         }
     ).withColumns(
         {
+            # rounding repeats its operand: round columns, not expressions
+            "confidence": X.round_even("`_confidence_raw`", S.CONFIDENCE_DIGITS),
             "failure_probability": X.round_even(p, S.PROBABILITY_DIGITS),
             "recommendations": X.recommendation_texts("recommendation_codes"),
         }
-    )
+    ).drop("_confidence_raw")
 
 
 def positive_probability(scored: DataFrame, prob_col: str = "probability", out: str = "failure_probability") -> DataFrame:

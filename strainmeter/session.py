@@ -16,6 +16,39 @@ DEFAULT_ROWS_PER_BUCKET = 2_000_000
 BROADCAST_ROWS = 1_000_000
 
 
+# JVM option for driver and executors: wide projections generate methods
+# over HotSpot's 8000-byte JIT limit, which would otherwise stay interpreted
+JIT_HUGE_METHODS = "-XX:-DontCompileHugeMethods"
+
+
+def cluster_settings(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster run over ``input_bytes`` of Parquet with
+    ``total_cores`` task slots (e.g. 100 TB on 1000 executors x 8 cores).
+
+    Scan splits and shuffle partitions of about ``target_partition_bytes``
+    keep a task's share within executor memory (sorts and window buffers
+    spill beyond it). Shuffles start with at least one partition per
+    target-sized piece of the input (and at least 2 waves of tasks); AQE
+    coalesces small ones, splits skewed join partitions and turns joins
+    into broadcasts only when the runtime size is below its threshold.
+    Nothing here sets a checkpoint folder: the cluster names the shared one
+    in ``spark.checkpoint.dir``."""
+    pieces = max(1, -(-int(input_bytes) // target_partition_bytes))
+    shuffle = max(2 * total_cores, pieces)
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.session.timeZone": "UTC",
+        "spark.driver.extraJavaOptions": JIT_HUGE_METHODS,
+        "spark.executor.extraJavaOptions": JIT_HUGE_METHODS,
+    }
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "strainmeter") -> SparkSession:
     """A local session configured like the tests and the bench (UI off, UTC)."""
     builder = (
@@ -30,6 +63,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "8g")
+        .config("spark.driver.extraJavaOptions", JIT_HUGE_METHODS)
+        .config("spark.executor.extraJavaOptions", JIT_HUGE_METHODS)
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

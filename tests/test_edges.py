@@ -48,3 +48,14 @@ def test_threshold_equal_probabilities(spark):
     assert out[0][0] == "LOW" and out[1][0] == "MEDIUM" and out[2][0] == "HIGH" and out[3][0] == "CRITICAL"
     assert out[4][1] == ["HEALTHY"]  # 0.7 is not above 0.7
     assert out[5][1] == ["URGENT"]
+
+
+def test_cluster_settings_scale_with_input():
+    from strainmeter.session import cluster_settings
+
+    big = cluster_settings(100 * 2**40, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (256 << 20)  # 409,600 pieces of 256 MiB
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert "spark.checkpoint.dir" not in big
+    small = cluster_settings(10 << 20, 16)
+    assert int(small["spark.sql.shuffle.partitions"]) == 32  # two waves of tasks at least
