@@ -58,11 +58,14 @@ def feature_table(
     n_buckets: int | None = None,
     lag_fill: dict[str, float | None] | None = None,
     keep: list[str] | None = None,
+    min_buckets: int = 1,
 ) -> DataFrame:
     """Raw metric table -> feature table (``keep`` columns + 48 features).
 
     ``lag_fill`` defaults to the whole-table means (the reference's rule);
     pass training-part means to avoid leaking test rows into the fill.
+    Without ``n_buckets`` the range count is ceil(rows / rows_per_bucket),
+    at least ``min_buckets``, from the same aggregate job as the means.
     """
     keep = list(keep) if keep is not None else [c for c in (S.KEY, S.HOST) if c in metrics.columns]
     if lag_fill is None or n_buckets is None:
@@ -71,7 +74,7 @@ def feature_table(
         if lag_fill is None:
             lag_fill = {c: (None if row[c] is None else float(row[c])) for c in S.LAG_COLS}
         if n_buckets is None:
-            n_buckets = max(1, -(-int(row["_n"]) // max(1, rows_per_bucket)))
+            n_buckets = max(1, min_buckets, -(-int(row["_n"]) // max(1, rows_per_bucket)))
     local = row_local_features(metrics).select(*keep, *[c for c in S.FEATURE_COLS if c not in S.ROLLING_COLS_OUT + S.LAG_COLS_OUT])
     ffill = _ffill_columns(local, keep + [S.LABEL])
     spec = history_spec(lag_fill, ffill)

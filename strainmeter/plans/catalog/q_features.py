@@ -180,7 +180,10 @@ def q_rolling_global(spark, sf_dir):
     """One ordered series (no host) split over many tasks: range buckets with
     halo rows; at least 8 ranges so the split form is what runs."""
     m = events_metrics(spark, sf_dir)
-    return rounded(FE.feature_table(m, partition_cols=(), keep=[S.KEY], n_buckets=split_buckets(m)))
+    # as many ranges as the data needs, at least one per core (split_buckets),
+    # counted in the same job as the fill means
+    cores = spark.sparkContext.defaultParallelism
+    return rounded(FE.feature_table(m, partition_cols=(), keep=[S.KEY], min_buckets=cores))
 
 
 def _wrap_feature_sql(select: str) -> str:

@@ -69,7 +69,10 @@ def run_to_table(
         )
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
-    q.awaitTermination(timeout_s)
+    finished = q.awaitTermination(timeout_s)
     if q.exception() is not None:
         raise q.exception()
+    if not finished:
+        q.stop()  # the checkpoint keeps the progress; a rerun resumes
+        raise TimeoutError(f"stream {name!r} did not finish within {timeout_s} s")
     return out
