@@ -334,7 +334,7 @@ def packed_order_sql(df: DataFrame, cols: list[str]) -> str | None:
     for c, b in zip(cols, bits):
         t = types[c]
         if t == "timestamp_ntz":
-            v = f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {q(c)})"
+            v = ntz_micros_sql(q(c))
         elif t == "timestamp":
             v = f"unix_micros({q(c)})"
         elif t == "date":
@@ -351,7 +351,18 @@ def order_key_sql(df: DataFrame, cols: list[str]) -> str:
     return packed_order_sql(df, cols) or "struct(" + ", ".join(q(c) for c in cols) + ")"
 
 
+def ntz_micros_sql(ts: str) -> str:
+    """Microseconds since 1970-01-01 00:00 of a TIMESTAMP_NTZ value from its
+    own fields (day number, hour, minute, seconds with fraction). No session
+    zone enters: ``timestampdiff`` would read both ends in the session zone,
+    where two wall-clock times of a DST gap become one instant."""
+    return (
+        f"(CAST(unix_date(CAST({ts} AS DATE)) AS BIGINT) * 86400000000 + CAST(hour({ts}) AS BIGINT) * 3600000000"
+        f" + CAST(minute({ts}) AS BIGINT) * 60000000 + CAST(date_part('SECOND', {ts}) * 1000000 AS BIGINT))"
+    )
+
+
 def order_micros(ts: str) -> Column:
     """Microseconds since 1970-01-01 of a TIMESTAMP_NTZ column, no zone shift
     (order preserving; a numeric range key for bucketing)."""
-    return ex(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{ts}`)")
+    return ex(ntz_micros_sql(q(ts)))

@@ -116,3 +116,22 @@ def test_latest_and_alerts_keep_struct_fallback(spark, metrics_small):
     x = sustained_alerts(m).orderBy(S.HOST, "island_start").collect()
     y = sustained_alerts(m.withColumn(S.KEY, F.col(S.KEY).cast("decimal(20,0)"))).orderBy(S.HOST, "island_start").collect()
     assert x == y
+
+
+def test_order_micros_ignore_the_session_zone(spark):
+    """Two wall-clock times of a DST gap stay apart, and every value equals
+    its UTC reading, whatever the session zone."""
+    vals = ["2024-03-10 02:30:00.123456", "2024-03-10 03:30:00.123456", "1969-12-31 23:59:59.999999", "0001-01-01 00:00:00", "9999-12-31 23:59:59.999999"]
+    df = spark.createDataFrame([(v,) for v in vals], "s string").selectExpr("CAST(s AS TIMESTAMP_NTZ) AS ts", "0L AS k")
+    pk = X.packed_order_sql(df, ["ts", "k"])
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        got = {}
+        for tz in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            got[tz] = [(r.us, r.p) for r in df.select(X.order_micros("ts").alias("us"), F.expr(pk).alias("p")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got["UTC"] == got["America/New_York"]
+    us = [u for u, _ in got["UTC"]]
+    assert us[1] - us[0] == 3600 * 10**6 and us[2] == -1 and us[3] == -62135596800000000
