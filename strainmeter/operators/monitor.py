@@ -18,6 +18,7 @@ from strainmeter import schema as S
 from strainmeter.functions import exprs as X
 from strainmeter.functions.exprs import order_micros
 from strainmeter.operators.evaluate import confusion_metrics
+from strainmeter.operators.ranking import bounded_broadcast
 from strainmeter.operators.windows import (
     BUCKET,
     HistorySpec,
@@ -106,8 +107,10 @@ def ks_drift(
         F.sum("sum_a").over(Window.partitionBy("column_name")).alias("tot_a"),
         F.sum("sum_b").over(Window.partitionBy("column_name")).alias("tot_b"),
     )
-    # columns x ranges rows: bounded by the caller's column list and n_buckets
-    j = per_value.join(F.broadcast(offsets), on=["column_name", BUCKET])
+    # columns x ranges rows: bounded by the caller's column list and the
+    # range count; broadcast while that bound is small
+    n_ranges = max(p.n_buckets for p in plans.values())
+    j = per_value.join(bounded_broadcast(offsets, len(cols) * n_ranges), on=["column_name", BUCKET])
     w = Window.partitionBy("column_name", BUCKET).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     cdf = j.select(
         "column_name",

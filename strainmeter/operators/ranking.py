@@ -12,9 +12,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strainmeter import session
 from strainmeter.operators.windows import BUCKET, n_buckets_for, range_bounds, with_range_bucket
 from strainmeter.session import DEFAULT_ROWS_PER_BUCKET
 
+# groups a ``small_groups`` partition has at most (a label, a flag, a fold)
+SMALL_GROUPS = 16
+
+
+def bounded_broadcast(df: DataFrame, rows_bound: int) -> DataFrame:
+    """Broadcast hint only for a table whose row count is proven to be at
+    most ``session.BROADCAST_ROWS``. Beyond it the join stays a shuffle join
+    on the (group, range) keys, which the window after it shuffles by
+    anyway, so the rows cross the network once either way; AQE still
+    broadcasts when the runtime size turns out small."""
+    return F.broadcast(df) if rows_bound <= session.BROADCAST_ROWS else df
+
 
 def ranked(
     df: DataFrame,
@@ -32,9 +45,10 @@ def ranked(
 
     ``order_num`` must be a numeric column non-decreasing in ``order_cols``
     (usually the first order column). ``small_groups`` says the partition
-    columns have few values (a label, nothing), so the count table is
-    bounded by groups x ranges and is broadcast; otherwise the join is left
-    to AQE's runtime size check.
+    columns have few values (at most ``SMALL_GROUPS``: a label, nothing), so
+    the count table is bounded by groups x ranges and is broadcast while
+    that bound is within ``BROADCAST_ROWS``; otherwise the join is left to
+    AQE's runtime size check.
     """
     part = list(partition_cols)
     if n_buckets is None:
@@ -57,7 +71,7 @@ def ranked(
         F.sum("_n").over(wp).alias("_total"),
     )
     if small_groups:
-        offsets = F.broadcast(offsets)
+        offsets = bounded_broadcast(offsets, (SMALL_GROUPS if part else 1) * bounds.n_buckets)
     j = b.join(offsets, on=[*part, BUCKET], how="inner")
     w = Window.partitionBy(*part, BUCKET).orderBy(*order_cols)
     res = j.withColumn(out, (F.col("_off") + F.row_number().over(w)).cast("long"))
@@ -95,7 +109,7 @@ def running_sums(
     wo = wp.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(*part, BUCKET, *[F.coalesce(F.sum(f"_s_{c}").over(wo), F.lit(0)).alias(f"_o_{c}") for c in sum_cols])
     if small_groups:
-        offsets = F.broadcast(offsets)
+        offsets = bounded_broadcast(offsets, (SMALL_GROUPS if part else 1) * bounds.n_buckets)
     j = b.join(offsets, on=[*part, BUCKET], how="inner")
     w = Window.partitionBy(*part, BUCKET).orderBy(order_col).rowsBetween(Window.unboundedPreceding, hi)
     res = j.withColumns({f"cum_{c}": F.col(f"_o_{c}") + F.coalesce(F.sum(c).over(w), F.lit(0)) for c in sum_cols})

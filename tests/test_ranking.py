@@ -92,3 +92,31 @@ def test_exact_quantile_matches_numpy(spark, metrics_small):
     pdf["d"] = pdf[S.TS].dt.floor("D")
     for d, g in pdf.groupby("d"):
         assert got[d.to_pydatetime()] == pytest.approx(np.quantile(g["response_time_ms"], 0.95), abs=1e-9)
+
+
+def test_offsets_broadcast_only_within_the_bound(spark, monkeypatch):
+    """Above BROADCAST_ROWS the offset table is joined by shuffle on the
+    keys the window shuffles by anyway; ranks are unchanged."""
+    from strainmeter import session
+    from strainmeter.operators.ranking import ranked
+
+    df = spark.range(3000).selectExpr("id", "id % 2 AS g", "(id * 7919) % 3001 AS o")
+
+    def run():
+        r = ranked(df, ["o", "id"], F.col("o"), partition_cols=["g"], out="r", n_buckets=12)
+        plan = r._jdf.queryExecution().executedPlan().toString()
+        return sorted((x.id, x.r) for x in r.select("id", "r").collect()), plan
+
+    # only the hint may broadcast (no size-based choice in this test)
+    auto = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        a, pa = run()
+        monkeypatch.setattr(session, "BROADCAST_ROWS", 10)
+        b, pb = run()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", auto)
+    assert a == b
+    assert "BroadcastExchange" in pa and "BroadcastExchange" not in pb
