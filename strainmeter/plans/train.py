@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from strainmeter import schema as S
 from strainmeter.operators import evaluate as EV
 from strainmeter.plans.score import positive_probability
+from strainmeter.session import ensure_checkpoint_dir
 
 LABEL_D = "label_d"
 WEIGHT = "weight"
@@ -76,6 +77,9 @@ def build_pipeline(spec: ModelSpec, inputs: list[str], n_weight_sum: float | Non
 
 
 def fit_model(train: DataFrame, spec: ModelSpec, inputs: list[str] = S.MODEL_INPUTS, label: str = S.LABEL) -> PipelineModel:
+    # tree fits cut their lineage every checkpointInterval (10) iterations,
+    # but only when the context has the shared checkpoint folder
+    ensure_checkpoint_dir(train.sparkSession)
     df = with_training_columns(train, spec.name, label)
     wsum = None
     if spec.name == "logistic_regression":

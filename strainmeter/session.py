@@ -75,8 +75,10 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    A cluster names it in its configuration; only when it is unset (local
-    tests) a fresh scratch folder is created and set.
+    A cluster names it in its configuration. Only a local master (tests,
+    bench) gets a fresh scratch folder when it is unset; on a cluster a
+    machine-local folder would not survive the loss of that machine, so
+    the setting is required there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -84,6 +86,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster (written tables and checkpoints go there)")
         conf_dir = tempfile.mkdtemp(prefix="strainmeter-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", conf_dir)

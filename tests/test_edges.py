@@ -59,3 +59,21 @@ def test_cluster_settings_scale_with_input():
     assert "spark.checkpoint.dir" not in big
     small = cluster_settings(10 << 20, 16)
     assert int(small["spark.sql.shuffle.partitions"]) == 32  # two waves of tasks at least
+
+
+def test_cluster_without_shared_folder_is_refused():
+    """Off a local master, no machine-local scratch folder is made up."""
+    from unittest import mock
+
+    from strainmeter.session import ensure_checkpoint_dir
+
+    sc = mock.Mock(master="spark://head:7077")
+    sc.getCheckpointDir.return_value = None
+    sc.getConf.return_value.get.return_value = None
+    spark = mock.Mock(sparkContext=sc)
+    spark.conf.get.return_value = None
+    import pytest
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(spark)
+    sc.setCheckpointDir.assert_not_called()
