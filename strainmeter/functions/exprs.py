@@ -362,6 +362,19 @@ def ntz_micros_sql(ts: str) -> str:
     )
 
 
+def ntz_to_instant_sql(ts: str) -> str:
+    """The TIMESTAMP whose UTC reading is the TIMESTAMP_NTZ value (event time
+    for watermarks), with no session zone: ``CAST(ts AS TIMESTAMP)`` reads
+    the wall clock in the session zone, where a DST gap shifts values."""
+    return f"timestamp_micros({ntz_micros_sql(ts)})"
+
+
+def instant_to_ntz_sql(t: str) -> str:
+    """Back from ``ntz_to_instant_sql``: the UTC reading as TIMESTAMP_NTZ
+    (epoch plus a day-time interval, zone-free)."""
+    return f"(TIMESTAMP_NTZ'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, CAST(unix_micros({t}) AS DECIMAL(18,0)) / 1000000))"
+
+
 def order_micros(ts: str) -> Column:
     """Microseconds since 1970-01-01 of a TIMESTAMP_NTZ column, no zone shift
     (order preserving; a numeric range key for bucketing)."""

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from strainmeter import schema as S
+from strainmeter.functions import exprs as X
 from strainmeter.session import shared_path
 from strainmeter.sources.adapt import events_to_metrics
 
@@ -36,8 +37,9 @@ def metrics_stream(events_stream: DataFrame) -> DataFrame:
 
 def with_event_time(df: DataFrame, ts: str = S.TS, out: str = "event_time") -> DataFrame:
     """Watermarks need TIMESTAMP, the tables carry TIMESTAMP_NTZ: add an
-    event-time column read in the session zone (cast back gives ``ts``)."""
-    return df.withColumn(out, F.col(ts).cast("timestamp"))
+    event-time column, the instant whose UTC reading is ``ts`` (no session
+    zone; ``instant_to_ntz_sql`` gives ``ts`` back)."""
+    return df.withColumn(out, F.expr(X.ntz_to_instant_sql(f"`{ts}`")))
 
 
 def run_to_table(

@@ -173,7 +173,7 @@ def stream_rollup(
     Distinct users are exact by default: a first windowed aggregation per
     (host, window, user), chained into the per-window one (streams reject
     COUNT DISTINCT); ``approx_distinct`` uses one HyperLogLog aggregation."""
-    e = events.withColumn("event_time", F.col("ts").cast("timestamp")).withColumn(S.HOST, F.col("user_id") % n_hosts)
+    e = events.withColumn("event_time", F.expr(X.ntz_to_instant_sql("ts"))).withColumn(S.HOST, F.col("user_id") % n_hosts)
     e = e.withWatermark("event_time", late_bound)
     if approx_distinct:
         agg = e.groupBy(S.HOST, F.window("event_time", window).alias("w")).agg(
@@ -199,8 +199,8 @@ def stream_rollup(
         )
     return agg.select(
         S.HOST,
-        F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-        F.col("w.end").cast("timestamp_ntz").alias("window_end"),
+        F.expr(X.instant_to_ntz_sql("w.start")).alias("window_start"),
+        F.expr(X.instant_to_ntz_sql("w.end")).alias("window_end"),
         "n_events",
         "n_errors",
         "mean_value",

@@ -87,3 +87,30 @@ def test_score_stream_equals_batch(spark, metrics_small):
     batch, _ = score_batch(readings, model, "logistic_regression", as_of=as_of)
     cols = ["reading_id", "failure_probability", "failure_risk", "confidence", "recommendation_codes"]
     assert sorted(map(tuple, out.select(*cols).collect())) == sorted(map(tuple, batch.select(*cols).collect()))
+
+
+def test_rollup_windows_ignore_the_session_zone(spark):
+    """Event time read without the session zone: rows in a DST gap fall in
+    the same 5-minute windows as the batch roll-up, in any session zone."""
+    base = shared_path(spark, "dst")
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    rows = [
+        (1, "2024-03-10 01:58:00", 1, "click", 1.0, "{}"),
+        (2, "2024-03-10 02:31:00", 1, "error", 2.0, "{}"),  # no such wall-clock time in New York
+        (3, "2024-03-10 03:32:00", 1, "click", 3.0, "{}"),
+        (4, "2024-03-10 05:00:00", 1, "click", 4.0, "{}"),  # moves the watermark past the others
+    ]
+    df = spark.createDataFrame(rows, "event_id long, ts string, user_id long, event_type string, value double, props string")
+    df.withColumn("ts", F.col("ts").cast("timestamp_ntz")).coalesce(1).write.parquet(f"{base}/b0")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        stream = folder_stream(spark, base + "/*/*.parquet", schema)
+        out = spark.read.parquet(run_to_table(ST.stream_rollup(stream), "t-dst"))
+        got = sorted((r.window_start, r.n_events, r.n_errors) for r in out.collect())
+        batch = MO.sample_rollup(spark.read.parquet(f"{base}/b0"))
+        want = sorted((r.window_start, r.n_events, r.n_errors) for r in batch.collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == [w for w in want if w[0] < pd.Timestamp("2024-03-10 04:50:00")]
+    assert any(w[0] == pd.Timestamp("2024-03-10 02:30:00") and w[2] == 1 for w in got)
