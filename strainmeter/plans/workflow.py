@@ -78,7 +78,10 @@ def trained_registry(spark: SparkSession, sf_dir: str, names: list[str] | None =
     """The registry of fits on ``sf_dir``'s metric table, fitting what is
     missing (the fit is shared by every query of a run)."""
     names = names or S.MODEL_ORDER
-    key = f"{strainmeter.__version__}|{IO.table_path(sf_dir, 'events')}|{sorted(TR.DEFAULT_SPECS.items())!r}"
+    events = IO.table_path(sf_dir, "events")
+    # fits are shared between runs on the same data: path, file fingerprint
+    # (rewritten data gets new fits), parameters and code version
+    key = f"{strainmeter.__version__}|{events}|{IO.table_fingerprint(spark, events)}|{sorted(TR.DEFAULT_SPECS.items())!r}"
     reg = registry_for(spark, key)
     missing = [n for n in names if n not in set(reg.available())]
     if missing:

@@ -27,6 +27,24 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
+def table_fingerprint(spark: SparkSession, path: str) -> str:
+    """Total bytes, file count and latest modification time of a table's
+    files (one file or a folder), from the file system's metadata: a cache
+    keyed by it is not served for data rewritten at the same path."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    st = fs.getFileStatus(p)
+    if not st.isDirectory():
+        return f"{st.getLen()}:1:{st.getModificationTime()}"
+    total, count, latest = 0, 0, st.getModificationTime()
+    it = fs.listFiles(p, True)
+    while it.hasNext():  # file metadata only: one entry per file, no data read
+        f = it.next()
+        total, count, latest = total + f.getLen(), count + 1, max(latest, f.getModificationTime())
+    return f"{total}:{count}:{latest}"
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _read(spark, table_path(sf_dir, name), "parquet")
 

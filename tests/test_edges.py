@@ -77,3 +77,16 @@ def test_cluster_without_shared_folder_is_refused():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(spark)
     sc.setCheckpointDir.assert_not_called()
+
+
+def test_table_fingerprint_follows_rewrites(spark):
+    """The model registry key changes when data is rewritten at one path."""
+    from strainmeter.session import shared_path
+    from strainmeter.sources.io import table_fingerprint
+
+    path = shared_path(spark, "fp")
+    spark.range(10).write.parquet(path)
+    a = table_fingerprint(spark, path)
+    spark.range(1000).write.mode("overwrite").parquet(path)
+    b = table_fingerprint(spark, path)
+    assert a != b and a.split(":")[0] != b.split(":")[0]
