@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strainmeter.llm import bagminhash, decontaminate, language, packing, secretscan
+from strainmeter.llm import bagminhash, decontaminate, language, packing, pii, quality, secretscan, shards, vectors
 from strainmeter.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,18 @@ def op4_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bagminhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.found(table(spark, sf_dir, "documents"))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.rated(table(spark, sf_dir, "documents"))
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.digest(table(spark, sf_dir, "documents"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), with_ids=False)
 
@@ -33,7 +45,14 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.languages(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_secretscan, op2_decontamination, op4_bagminhash, op8_packing, op9_language)}
+def op10_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (op1_secretscan, op2_decontamination, op4_bagminhash, op5_pii, op6_quality, op7_sharding, op8_packing, op9_language, op10_vectors)
+}
 
 #: DuckDB SQL of the queries that SQL can express.
 SQL: dict[str, str] = {}

@@ -12,13 +12,17 @@ from pyspark.sql import functions as F
 
 from strainmeter.session import shared_path
 
+BATCH_ROWS = 1000
 _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
     """Give the package to the Python workers of a cluster, once a session
-    (a zip of its sources; Spark sends it to each executor)."""
+    (a zip of its sources; Spark sends it to each executor), and keep Arrow
+    batches of whole texts small: Spark's 10,000 rows are for numbers."""
     sc = spark.sparkContext
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     if sc.applicationId in _SHIPPED:
         return
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
