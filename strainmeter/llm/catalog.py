@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strainmeter.llm import bagminhash, decontaminate, language, packing, pii, quality, secretscan, shards, vectors
+from strainmeter.llm import bagminhash, decontaminate, language, packing, passages, pii, quality, secretscan, shards, vectors
 from strainmeter.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated(table(spark, sf_dir, "documents"))
+
+
 def op4_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bagminhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -51,7 +55,7 @@ def op10_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_secretscan, op2_decontamination, op4_bagminhash, op5_pii, op6_quality, op7_sharding, op8_packing, op9_language, op10_vectors)
+    for f in (op1_secretscan, op2_decontamination, op3_passages, op4_bagminhash, op5_pii, op6_quality, op7_sharding, op8_packing, op9_language, op10_vectors)
 }
 
 #: DuckDB SQL of the queries that SQL can express.

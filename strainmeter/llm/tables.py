@@ -41,7 +41,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read again: the
     lineage ends there and a lost executor costs nothing already written."""
     path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
