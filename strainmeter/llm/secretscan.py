@@ -65,14 +65,14 @@ def dense(text: str, bound: float) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     top = math.log2(WINDOW)
     for i, c in enumerate(text):
-        n = counts.get(c, 0)
-        counts[c] = n + 1
-        total += _TERM[n + 1] - _TERM[n]
         if i >= WINDOW:
             old = text[i - WINDOW]
             n = counts[old]
             counts[old] = n - 1
             total += _TERM[n - 1] - _TERM[n]
+        n = counts.get(c, 0)
+        counts[c] = n + 1
+        total += _TERM[n + 1] - _TERM[n]
         if i >= WINDOW - 1 and top - total / WINDOW >= bound - 1e-9:
             a = i - WINDOW + 1
             if out and out[-1][1] >= a:
