@@ -51,12 +51,7 @@ def fixture_score(df: DataFrame) -> DataFrame:
 FIXTURE_P_SQL = "(cpu_usage + memory_usage) / 200"
 
 
-def split_key() -> F.Column:
-    """Arithmetic order key of the splits: (event_id * 48271 + 42) % 2147483647."""
-    return (F.col(S.KEY) * S.SPLIT_MULT + S.SPLIT_SEED) % S.SPLIT_MOD
-
-
-SPLIT_KEY_SQL = f"((event_id * {S.SPLIT_MULT} + {S.SPLIT_SEED}) % {S.SPLIT_MOD})"
+SPLIT_KEY_SQL = f"CAST('0x' || substr(md5('{S.SPLIT_SEED}:' || event_id), 1, {S.SPLIT_DIGITS}) AS BIGINT)"
 
 
 def drift_pair(metrics: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -15,10 +15,11 @@ def violation_checks(bounds=S.READING_BOUNDS, optional=S.CALENDAR_BOUNDS, presen
     """(condition, code) per check, rule order; ``<column>:missing|below|above``."""
     checks = []
     for c, lo, hi in bounds:
-        checks.append((f"{c} IS NULL", f"{c}:missing"))
+        # NaN is a missing value, not one above every bound
+        checks.append((f"({c} IS NULL OR isnan({c}))", f"{c}:missing"))
         checks.append((f"{c} < {lo}", f"{c}:below"))
         if hi is not None:
-            checks.append((f"{c} > {hi}", f"{c}:above"))
+            checks.append((f"({c} > {hi} AND NOT isnan({c}))", f"{c}:above"))
     for c, lo, hi in optional:
         if present is not None and c not in present:
             continue

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from strainmeter import schema as S
 from strainmeter.functions import exprs as X
+from strainmeter.operators.clean import nan_to_null
 from strainmeter.operators.windows import HistorySpec, history_features
 from strainmeter.session import DEFAULT_ROWS_PER_BUCKET
 
@@ -68,6 +69,7 @@ def feature_table(
     at least ``min_buckets``, from the same aggregate job as the means.
     """
     keep = list(keep) if keep is not None else [c for c in (S.KEY, S.HOST) if c in metrics.columns]
+    metrics = nan_to_null(metrics, [c for c, t in metrics.dtypes if t in ("double", "float")])
     if lag_fill is None or n_buckets is None:
         # one aggregate job for the row count (range count) and the fill means
         row = metrics.agg(F.count(F.lit(1)).alias("_n"), *[F.avg(c).alias(c) for c in S.LAG_COLS]).first()

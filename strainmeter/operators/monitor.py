@@ -72,14 +72,16 @@ def ks_drift(
     drift flag (p < threshold). Exact statistic; all columns in one job.
 
     Long form (column, value, sample); each column is cut into its own
-    value ranges (quantiles of the reference sample), counts per (column,
+    value ranges (quantiles of both samples), counts per (column,
     value) are prefix-summed per range and offset by the earlier ranges, so
     no column lands in one task. p-value: Kolmogorov's limit law at
     sqrt(n m / (n + m)) D (scipy uses an exact law for small samples)."""
     cols = cols or [c for c in reference.columns if c in current.columns and c in S.METRIC_COLS]
+    # cuts from both samples: a shifted one would else fall in one range
+    both = reference.select(*cols).unionByName(current.select(*cols))
     if n_buckets is None:
-        n_buckets = n_buckets_for(reference, rows_per_bucket)
-    plans = range_plans(reference, cols, n_buckets)
+        n_buckets = n_buckets_for(both, rows_per_bucket)
+    plans = range_plans(both, cols, n_buckets)
 
     plain = all(p.sub <= 1 and p.bounds for p in plans.values())
 
@@ -171,7 +173,7 @@ def latency_quantile(
     running count over the values of each bucket, then the two order
     statistics picked by a partial min-aggregate; no bucket's values are
     ever held by one task. Otherwise ``percentile_approx`` (bounded sketch)."""
-    start = F.date_trunc(_trunc_unit(bucket), F.col(ts)).cast("timestamp_ntz")
+    start = F.window(F.col(ts).cast("timestamp_ntz"), bucket)["start"]
     name = f"p{int(round(q * 100))}"
     src = df.select(start.alias("bucket_start"), F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
     if not exact:
@@ -195,11 +197,6 @@ def latency_quantile(
     return picked.select("bucket_start", val.alias(name), F.col("n").cast("long").alias("n"))
 
 
-def _trunc_unit(bucket: str) -> str:
-    unit = bucket.split()[-1].rstrip("s").lower()
-    return {"minute": "minute", "hour": "hour", "day": "day"}.get(unit, "hour")
-
-
 # ---------------------------------------------------------------------------
 # latest values per entity
 # ---------------------------------------------------------------------------

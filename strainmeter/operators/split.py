@@ -16,10 +16,17 @@ from strainmeter.session import DEFAULT_ROWS_PER_BUCKET
 
 
 def _split_order(key: Column | None) -> tuple[Column, list[Column]]:
-    k = key if key is not None else (F.col(S.KEY) * S.SPLIT_MULT + S.SPLIT_SEED) % S.SPLIT_MOD
+    k = key if key is not None else shuffled_key(F.col(S.KEY))
     return k, [k, F.col(S.KEY)]
 
 
+def shuffled_key(key: Column, seed: int = S.SPLIT_SEED) -> Column:
+    """A uniform 60-bit order key: any id type and size, another order for
+    another seed, and the same in both engines."""
+    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string"))), 1, S.SPLIT_DIGITS)
+    return F.conv(digits, 16, 10).cast("bigint")
+
+
 def stratified_split(
     df: DataFrame,
     label: str = S.LABEL,

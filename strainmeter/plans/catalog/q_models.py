@@ -42,16 +42,16 @@ def q_train_all(spark, sf_dir):
 
 @register("predict_proba")
 def q_predict_proba(spark, sf_dir):
-    """Positive-class probability of the chosen model on the test part."""
+    """Positive-class probability of the chosen model for every reading."""
     reg = trained_registry(spark, sf_dir)
     name = reg.choose("preference")
-    test = read_parts(spark, f"{reg.base}/features-split").filter("is_test")
-    return TR.score_model(reg.load(name), test).select(S.KEY, "failure_probability", F.lit(name).alias("model_used"))
+    rows = read_parts(spark, f"{reg.base}/features-split").drop("is_test")
+    return TR.score_model(reg.load(name), rows).select(S.KEY, "failure_probability", F.lit(name).alias("model_used"))
 
 
 @register("end_to_end_run")
 def q_end_to_end_run(spark, sf_dir):
-    """Features -> split -> fits -> registry -> batch scoring of the test part
+    """Features -> split -> fits -> registry -> batch scoring of all readings
     with point features (the reference's batch run, re-aimed)."""
     return end_to_end(spark, sf_dir, as_of=AS_OF)
 
@@ -103,14 +103,12 @@ def q_kfold_cv(spark, sf_dir):
 
 @register("score_history")
 def q_score_history(spark, sf_dir):
-    """Test-part readings scored with true history inputs (rolling / lag /
-    forward fill over each host's readings), the chosen model."""
+    """All readings scored with true history inputs (rolling / lag / forward
+    fill over each host's whole history), the chosen model."""
     from strainmeter.plans.score import score_batch
 
     reg = trained_registry(spark, sf_dir)
     name = reg.choose("preference")
-    readings = read_parts(spark, f"{reg.base}/features-split").filter("is_test").select(
-        F.col(S.KEY).alias("reading_id"), S.HOST, S.TS, *S.METRIC_COLS, "hour", "day_of_week"
-    )
+    readings = events_metrics(spark, sf_dir).select(F.col(S.KEY).alias("reading_id"), S.HOST, S.TS, *S.METRIC_COLS, "hour", "day_of_week")
     preds, _bad = score_batch(readings, reg.load(name), name, manifest=reg.manifest(), as_of=AS_OF, mode="history")
     return preds

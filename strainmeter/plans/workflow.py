@@ -12,6 +12,7 @@ import strainmeter
 from strainmeter import schema as S
 from strainmeter.operators import features as FE
 from strainmeter.operators import split as SP
+from strainmeter.operators.clean import inf_to_zero
 from strainmeter.plans import train as TR
 from strainmeter.plans.registry import RECORD_SCHEMA, Registry, best_by_auc, now_ntz, registry_for
 from strainmeter.session import shared_path
@@ -28,7 +29,7 @@ def prepared_parts(metrics: DataFrame, path: str | None = None) -> tuple[DataFra
     """Feature table with the stratified split, written once to the shared
     folder (cuts the window lineage; every fit reads the written table)."""
     spark = metrics.sparkSession
-    ft = SP.stratified_split(FE.feature_table(metrics))
+    ft = SP.stratified_split(inf_to_zero(FE.feature_table(metrics), S.MODEL_INPUTS))
     out = path or shared_path(spark, "features-split")
     # partitioned by part: fits read only the train files, scoring only test
     ft.write.mode("overwrite").partitionBy("is_test").parquet(out)
@@ -110,14 +111,14 @@ def comparison(reg: Registry) -> DataFrame:
 
 
 def end_to_end(spark: SparkSession, sf_dir: str, as_of: dt.datetime | None = None, choose: str = "preference") -> DataFrame:
-    """Features -> fits -> registry -> score every reading of the test part
-    (point features, chosen model)."""
+    """Features -> fits -> registry -> score every reading (point features,
+    chosen model)."""
     from strainmeter.plans.score import score_batch
 
     reg = trained_registry(spark, sf_dir)
     name = reg.choose(choose)
     model = reg.load(name)
-    readings = read_parts(spark, f"{reg.base}/features-split").filter("is_test").select(
+    readings = read_parts(spark, f"{reg.base}/features-split").select(
         F.col(S.KEY).alias("reading_id"), S.HOST, S.TS, *S.METRIC_COLS, "hour", "day_of_week"
     )
     preds, _bad = score_batch(readings, model, name, manifest=reg.manifest(), as_of=as_of)

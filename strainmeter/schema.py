@@ -177,22 +177,11 @@ RULE_TIERS = [
 ]
 URGENT_CODE = "URGENT"
 HEALTHY_CODE = "HEALTHY"
-# own wording behind the stable codes
+# each text states its rule: metric, bound and tier, in rule order
 RECOMMENDATION_TEXT = {
-    "URGENT": "Urgent: failure risk is high, act now",
-    "CPU_CRITICAL": "CPU critical: add capacity or cut load",
-    "CPU_HIGH": "CPU high: watch and get ready to add capacity",
-    "MEMORY_CRITICAL": "Memory critical: look for leaks, restart services",
-    "MEMORY_HIGH": "Memory high: watch memory closely",
-    "ERRORS_CRITICAL": "Error spike: read the logs and fix now",
-    "ERRORS_HIGH": "Errors raised: look into the error pattern",
-    "RESPONSE_CRITICAL": "Response critical: speed up slow operations",
-    "RESPONSE_HIGH": "Response degraded: look for bottlenecks",
-    "DISK_CRITICAL": "Disk critical: free space now",
-    "DISK_HIGH": "Disk high: plan a clean-up",
-    "LATENCY_CRITICAL": "Network critical: check links and routing",
-    "LATENCY_HIGH": "Network slow: watch network performance",
-    "HEALTHY": "Healthy: keep normal monitoring",
+    URGENT_CODE: f"failure_probability > {URGENT_ABOVE}",
+    **{code: f"{metric} > {bound} ({tier})" for metric, critical, high, *codes in RULE_TIERS for code, bound, tier in zip(codes, (critical, high), ("critical", "high"), strict=True)},
+    HEALTHY_CODE: "no rule fired",
 }
 
 # regimes of the metric rules, checked in this order (overlaps resolve to the
@@ -217,9 +206,8 @@ STAGE_THRESHOLDS = {"staging": 0.92, "production": 0.90}
 TEST_SHARE = 0.2
 SPLIT_SEED = 42
 N_FOLDS = 5
-# arithmetic split key (both engines order alike): (key * 48271 + 42) % 2147483647
-SPLIT_MULT = 48271
-SPLIT_MOD = 2147483647
+# split key: the first 15 hex digits of md5("seed:key") as a bigint
+SPLIT_DIGITS = 15
 
 # drift
 DRIFT_P_THRESHOLD = 0.05

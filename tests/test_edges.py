@@ -90,3 +90,16 @@ def test_table_fingerprint_follows_rewrites(spark):
     spark.range(1000).write.mode("overwrite").parquet(path)
     b = table_fingerprint(spark, path)
     assert a != b and a.split(":")[0] != b.split(":")[0]
+
+
+def test_nan_readings_are_missing(spark, metrics_small):
+    from strainmeter.operators import clean as C
+    from strainmeter.operators import features as FE
+
+    nan = metrics_small.withColumn("response_time_ms", F.when(F.col(S.KEY) % 9 == 4, float("nan")).otherwise(F.col("response_time_ms")))
+    nan = nan.withColumn("cpu_usage", F.when(F.col(S.KEY) % 11 == 3, float("nan")).otherwise(F.col("cpu_usage")))
+    null = nan.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in ("response_time_ms", "cpu_usage")})
+    a, b = FE.feature_table(nan), FE.feature_table(null)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    codes = {c for r in C.validate_readings(nan).select("violations").collect() for c in r["violations"]}
+    assert "response_time_ms:missing" in codes and "cpu_usage:missing" in codes and "cpu_usage:above" not in codes

@@ -11,5 +11,11 @@ def test_entry_runs(spark):
 
 def test_oracles_subset_of_queries():
     assert set(E.oracle_sql()) <= set(E.queries())
-    bad = [n for n in E.queries() if n == "pipeline" or n.startswith("op")]
-    assert not bad
+
+
+def test_corpus_queries_come_with_their_subpackage_only():
+    from strainmeter.plans import catalog
+
+    corpus = {n for n in E.queries() if n == "pipeline" or n.startswith("op")}
+    assert bool(corpus) == bool(E.llm)
+    assert not corpus & set(catalog.queries())

@@ -28,3 +28,15 @@ def test_folds_balanced(spark, metrics_small):
     f = SP.stratified_folds(metrics_small, n_buckets=3)
     counts = [r["n"] for r in f.groupBy("fold").agg(F.count("*").alias("n")).collect()]
     assert len(counts) == 5 and max(counts) - min(counts) <= 2
+
+
+def test_split_is_mixed_over_ids_and_follows_the_seed(spark):
+    from strainmeter.sources.io import events_metrics
+
+    s = SP.stratified_split(events_metrics(spark, "/root/testdata/sf0.01"))
+    shares = s.groupBy((F.col(S.KEY) / 1000).cast("int").alias("d")).agg(F.avg(F.col("is_test").cast("int")).alias("x")).collect()
+    assert len(shares) == 10 and all(0.15 <= r["x"] <= 0.25 for r in shares)
+    keys = spark.range(2**63 - 200, 2**63 - 1).select(SP.shuffled_key(F.col("id")).alias("a"), SP.shuffled_key(F.col("id"), 7).alias("b"))
+    rows = keys.collect()
+    assert len({r["a"] for r in rows}) == len(rows) and all(0 <= r["a"] < 2**60 for r in rows)
+    assert sorted(range(len(rows)), key=lambda i: rows[i]["a"]) != sorted(range(len(rows)), key=lambda i: rows[i]["b"])
