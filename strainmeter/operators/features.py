@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from strainmeter import schema as S
 from strainmeter.functions import exprs as X
 from strainmeter.operators.clean import nan_to_null
-from strainmeter.operators.windows import HistorySpec, history_features
+from strainmeter.operators.windows import HistorySpec, column_means, history_features
 from strainmeter.session import DEFAULT_ROWS_PER_BUCKET
 
 
@@ -31,10 +31,6 @@ def add_cyclic(df: DataFrame) -> DataFrame:
     return df.withColumns(X.cyclic_exprs())
 
 
-def add_calendar(df: DataFrame, ts: str = S.TS) -> DataFrame:
-    return X.with_calendar(df, ts)
-
-
 def row_local_features(metrics: DataFrame) -> DataFrame:
     """Interaction, stress and cyclic features (no window, no shuffle)."""
     return metrics.withColumns({**X.interaction_exprs(), **X.stress_exprs(), **X.cyclic_exprs()})
@@ -59,24 +55,18 @@ def feature_table(
     n_buckets: int | None = None,
     lag_fill: dict[str, float | None] | None = None,
     keep: list[str] | None = None,
-    min_buckets: int = 1,
 ) -> DataFrame:
     """Raw metric table -> feature table (``keep`` columns + 48 features).
 
     ``lag_fill`` defaults to the whole-table means (the reference's rule);
     pass training-part means to avoid leaking test rows into the fill.
-    Without ``n_buckets`` the range count is ceil(rows / rows_per_bucket),
-    at least ``min_buckets``, from the same aggregate job as the means.
+    Without ``n_buckets`` only series above ``rows_per_bucket`` rows are split
+    into ranges (``windows.by_series_size``).
     """
     keep = list(keep) if keep is not None else [c for c in (S.KEY, S.HOST) if c in metrics.columns]
     metrics = nan_to_null(metrics, [c for c, t in metrics.dtypes if t in ("double", "float")])
-    if lag_fill is None or n_buckets is None:
-        # one aggregate job for the row count (range count) and the fill means
-        row = metrics.agg(F.count(F.lit(1)).alias("_n"), *[F.avg(c).alias(c) for c in S.LAG_COLS]).first()
-        if lag_fill is None:
-            lag_fill = {c: (None if row[c] is None else float(row[c])) for c in S.LAG_COLS}
-        if n_buckets is None:
-            n_buckets = max(1, min_buckets, -(-int(row["_n"]) // max(1, rows_per_bucket)))
+    if lag_fill is None:
+        lag_fill = column_means(metrics, S.LAG_COLS)
     local = row_local_features(metrics).select(*keep, *[c for c in S.FEATURE_COLS if c not in S.ROLLING_COLS_OUT + S.LAG_COLS_OUT])
     ffill = _ffill_columns(local, keep + [S.LABEL])
     spec = history_spec(lag_fill, ffill)

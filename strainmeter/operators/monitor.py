@@ -9,10 +9,12 @@ use range buckets (windows.py) so a hot series is split over many tasks.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from strainmeter import schema as S
 from strainmeter.functions import exprs as X
@@ -22,6 +24,7 @@ from strainmeter.operators.ranking import bounded_broadcast
 from strainmeter.operators.windows import (
     BUCKET,
     HistorySpec,
+    by_series_size,
     forward_fill,
     history_features,
     n_buckets_for,
@@ -76,14 +79,16 @@ def ks_drift(
     value) are prefix-summed per range and offset by the earlier ranges, so
     no column lands in one task. p-value: Kolmogorov's limit law at
     sqrt(n m / (n + m)) D (scipy uses an exact law for small samples)."""
-    cols = cols or [c for c in reference.columns if c in current.columns and c in S.METRIC_COLS]
+    if cols is None:  # every number both tables have, but for the row's names
+        numeric = [{f.name for f in d.schema.fields if isinstance(f.dataType, NumericType)} for d in (reference, current)]
+        cols = [c for c in reference.columns if c in numeric[0] & numeric[1] and c not in (S.KEY, S.HOST)]
     # cuts from both samples: a shifted one would else fall in one range
     both = reference.select(*cols).unionByName(current.select(*cols))
     if n_buckets is None:
         n_buckets = n_buckets_for(both, rows_per_bucket)
     plans = range_plans(both, cols, n_buckets)
 
-    plain = all(p.sub <= 1 and p.bounds for p in plans.values())
+    plain = all(p.bounds for p in plans.values())
 
     def bucketed(df: DataFrame) -> DataFrame:
         d = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
@@ -183,7 +188,7 @@ def latency_quantile(
     from strainmeter.operators.ranking import running_sums
 
     per_value = src.groupBy("bucket_start", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    cum = running_sums(per_value, "_v", ["_c"], partition_cols=["bucket_start"], n_buckets=n_buckets, small_groups=False)
+    cum = running_sums(per_value, "_v", ["_c"], partition_cols=["bucket_start"], n_buckets=n_buckets)
     totals = per_value.groupBy("bucket_start").agg(F.sum("_c").alias("n"))
     j = cum.join(totals, on="bucket_start")
     pos = F.expr(f"CAST(n - 1 AS DOUBLE) * {float(q)!r}")
@@ -240,40 +245,29 @@ def sustained_alerts(
     least ``for_seconds``: start, firing time (first row at or after start +
     for), end, rows.
 
-    An island is named by the last row before it that is not above the
-    bound: a forward fill of that row's (ts, key) per series (range ends
-    carried, so a hot series is split over many tasks) is the one full
-    pass. Island start, end and size are a partial aggregate of the hot rows
-    per name; the firing time joins hot rows to their island's start (AQE
-    splits a giant island)."""
+    A row that is hot after one that isn't starts an island; its (ts, key) is
+    carried forward over the series, so start, firing time, end and size are
+    one partial aggregate of the hot rows per island, with no join. The lag
+    and the carry share one shuffle and sort; a hot series is split into
+    ranges (windows.py)."""
     part = list(partition_cols)
-    if n_buckets is None:
-        n_buckets = n_buckets_for(scored, rows_per_bucket)
-    df = scored.select(*part, S.TS, S.KEY, F.expr(f"coalesce(`{p_col}` > {above!r}, false)").alias("_hot"))
-    # a cold row's name: its packed (ts, key), a fixed-width value (hash
-    # aggregates for the carried range ends), else the struct
-    okey = X.packed_order_sql(df, [S.TS, S.KEY])
-    name = okey or f"struct(`{S.TS}`, `{S.KEY}`)"
-    df = df.withColumn("_cold", F.expr(f"CASE WHEN NOT _hot THEN {name} END"))
-    df = forward_fill(df, ["_cold"], part, n_buckets=n_buckets)
-    # islands that start the series have no cold row before them: a sentinel
-    # name below every packed key (those are >= 0)
-    sentinel = "CAST(-1 AS DECIMAL(38,0))" if okey else (
-        f"named_struct('{S.TS}', TIMESTAMP_NTZ'0001-01-01 00:00:00', '{S.KEY}', CAST(-1 AS BIGINT))"
-    )
-    hot = df.filter("_hot").withColumn("_mark", F.expr(f"coalesce(_cold, {sentinel})")).select(*part, "_mark", S.TS)
-    keys = [*part, "_mark"]
-    islands = hot.groupBy(*keys).agg(
-        F.min(S.TS).alias("island_start"), F.max(S.TS).alias("island_end"), F.count(F.lit(1)).alias("n_rows")
-    )
-    fire_from = F.col("island_start") + F.make_dt_interval(secs=F.lit(for_seconds))
-    fired = (
-        hot.join(islands.select(*keys, "island_start"), on=keys)
-        .filter(F.col(S.TS) >= fire_from)
-        .groupBy(*keys)
-        .agg(F.min(S.TS).alias("fired_at"))
-    )
-    return islands.join(fired, on=keys).select(*part, "island_start", "fired_at", "island_end", "n_rows")
+    df = scored.select(*part, S.TS, S.KEY, F.expr(f"CAST(coalesce(`{p_col}` > {above!r}, false) AS INT)").alias("_hot"))
+    groups = [(df, n_buckets)] if n_buckets is not None else by_series_size(df, part, rows_per_bucket)
+
+    def islands(rows: DataFrame, n: int) -> DataFrame:
+        d = history_features(rows, HistorySpec(lags=[("_prev", "_hot", 1)]), part, n_buckets=n)
+        first = (F.col("_hot") == 1) & (F.coalesce(F.col("_prev"), F.lit(0)) == 0)
+        d = d.withColumns({"island_start": F.when(first, F.col(S.TS)), "_start_key": F.when(first, F.col(S.KEY))}).drop("_prev")
+        d = forward_fill(d, ["island_start", "_start_key"], part, n_buckets=n).filter("_hot = 1")
+        fire_from = F.col("island_start") + F.make_dt_interval(secs=F.lit(for_seconds))
+        return d.groupBy(*part, "island_start", "_start_key").agg(
+            F.min(F.when(F.col(S.TS) >= fire_from, F.col(S.TS))).alias("fired_at"),
+            F.max(S.TS).alias("island_end"),
+            F.count(F.lit(1)).alias("n_rows"),
+        )
+
+    found = reduce(DataFrame.unionByName, [islands(rows, n) for rows, n in groups])
+    return found.filter(F.col("fired_at").isNotNull()).select(*part, "island_start", "fired_at", "island_end", "n_rows")
 
 
 # ---------------------------------------------------------------------------
@@ -322,7 +316,8 @@ def failure_label(
         "_fail_us", F.when(failure.cast("int") == 1, F.col("_us"))
     )
     if n_buckets is None:
-        n_buckets = n_buckets_for(df, rows_per_bucket)
+        parts = by_series_size(df, part, rows_per_bucket)
+        return reduce(DataFrame.unionByName, [failure_label(d, failure, horizon_seconds, part, out, n_buckets=n) for d, n in parts])
 
     def label(nxt: Column) -> Column:
         return F.coalesce((nxt - F.col("_us")) <= F.lit(hz), F.lit(False)).cast("int")

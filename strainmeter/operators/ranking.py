@@ -9,24 +9,24 @@ Only the count table (groups x ranges rows) crosses a one-task window.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strainmeter import session
-from strainmeter.operators.windows import BUCKET, n_buckets_for, range_bounds, with_range_bucket
+from strainmeter.operators.windows import BUCKET, bounded_broadcast, range_bounds, with_range_bucket
 from strainmeter.session import DEFAULT_ROWS_PER_BUCKET
 
-# groups a ``small_groups`` partition has at most (a label, a flag, a fold)
-SMALL_GROUPS = 16
-
 
-def bounded_broadcast(df: DataFrame, rows_bound: int) -> DataFrame:
-    """Broadcast hint only for a table whose row count is proven to be at
-    most ``session.BROADCAST_ROWS``. Beyond it the join stays a shuffle join
-    on the (group, range) keys, which the window after it shuffles by
-    anyway, so the rows cross the network once either way; AQE still
-    broadcasts when the runtime size turns out small."""
-    return F.broadcast(df) if rows_bound <= session.BROADCAST_ROWS else df
+def _ranges(df: DataFrame, part: list[str], rows_per_bucket: int, n_buckets: int | None) -> tuple[int, int]:
+    """(ranges, groups), counted in one aggregate: one range while every
+    group fits a task."""
+    sizes = df.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
+    stat = sizes.agg(F.count(F.lit(1)).alias("groups"), F.sum("_n").alias("rows"), F.max("_n").alias("most")).first()
+    if n_buckets is None:
+        fits = (stat["most"] or 0) <= rows_per_bucket
+        n_buckets = 1 if fits else math.ceil(stat["rows"] / max(1, rows_per_bucket))
+    return n_buckets, stat["groups"]
 
 
 def ranked(
@@ -38,23 +38,21 @@ def ranked(
     total_out: str | None = None,
     rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
     n_buckets: int | None = None,
-    small_groups: bool = True,
+    tie: Column | None = None,
 ) -> DataFrame:
     """Add ``out`` = row_number() over (partition by ``partition_cols`` order
     by ``order_cols``), and optionally the group size as ``total_out``.
 
     ``order_num`` must be a numeric column non-decreasing in ``order_cols``
-    (usually the first order column). ``small_groups`` says the partition
-    columns have few values (at most ``SMALL_GROUPS``: a label, nothing), so
-    the count table is bounded by groups x ranges and is broadcast while
-    that bound is within ``BROADCAST_ROWS``; otherwise the join is left to
-    AQE's runtime size check.
+    (usually the first order column); ``tie``, a numeric second order column,
+    cuts values of it that fill a range alone. The count table has at most
+    groups x ranges rows, both counted: it is broadcast while that is within
+    ``BROADCAST_ROWS``, else the join is left to AQE's runtime size check.
     """
     part = list(partition_cols)
-    if n_buckets is None:
-        n_buckets = n_buckets_for(df, rows_per_bucket)
-    bounds = range_bounds(df, order_num, n_buckets)
-    b = with_range_bucket(df, order_num, bounds)
+    n_buckets, groups = _ranges(df, part, rows_per_bucket, n_buckets)
+    bounds = range_bounds(df, order_num, n_buckets, tie=tie)
+    b = with_range_bucket(df, order_num, bounds, tie=tie)
     if not bounds:
         w = Window.partitionBy(*part).orderBy(*order_cols) if part else Window.orderBy(*order_cols)
         res = b.withColumn(out, F.row_number().over(w).cast("long"))
@@ -70,8 +68,7 @@ def ranked(
         F.coalesce(F.sum("_n").over(wp.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
         F.sum("_n").over(wp).alias("_total"),
     )
-    if small_groups:
-        offsets = bounded_broadcast(offsets, (SMALL_GROUPS if part else 1) * bounds.n_buckets)
+    offsets = bounded_broadcast(offsets, groups * bounds.n_buckets)
     j = b.join(offsets, on=[*part, BUCKET], how="inner")
     w = Window.partitionBy(*part, BUCKET).orderBy(*order_cols)
     res = j.withColumn(out, (F.col("_off") + F.row_number().over(w)).cast("long"))
@@ -88,14 +85,12 @@ def running_sums(
     rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
     n_buckets: int | None = None,
     exclusive: bool = False,
-    small_groups: bool = True,
 ) -> DataFrame:
     """Add ``cum_<c>`` = running sum of ``c`` over rows ordered by the numeric
     ``order_col`` (unique per group) per group, inclusive or exclusive of
     the current row."""
     part = list(partition_cols)
-    if n_buckets is None:
-        n_buckets = n_buckets_for(df, rows_per_bucket)
+    n_buckets, groups = _ranges(df, part, rows_per_bucket, n_buckets)
     onum = F.col(order_col).cast("double")
     bounds = range_bounds(df, onum, n_buckets)
     b = with_range_bucket(df, onum, bounds)
@@ -108,8 +103,7 @@ def running_sums(
     wp = Window.partitionBy(*part) if part else Window.partitionBy()
     wo = wp.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(*part, BUCKET, *[F.coalesce(F.sum(f"_s_{c}").over(wo), F.lit(0)).alias(f"_o_{c}") for c in sum_cols])
-    if small_groups:
-        offsets = bounded_broadcast(offsets, (SMALL_GROUPS if part else 1) * bounds.n_buckets)
+    offsets = bounded_broadcast(offsets, groups * bounds.n_buckets)
     j = b.join(offsets, on=[*part, BUCKET], how="inner")
     w = Window.partitionBy(*part, BUCKET).orderBy(order_col).rowsBetween(Window.unboundedPreceding, hi)
     res = j.withColumns({f"cum_{c}": F.col(f"_o_{c}") + F.coalesce(F.sum(c).over(w), F.lit(0)) for c in sum_cols})

@@ -54,7 +54,14 @@ def time_split(
     """Add ``is_test``: the latest ceil(share x n) rows by (ts, key) are the
     test part; training only sees the past."""
     r = ranked(
-        df, [F.col(ts), F.col(S.KEY)], order_micros(ts), out="_rank", total_out="_n", rows_per_bucket=rows_per_bucket, n_buckets=n_buckets
+        df,
+        [F.col(ts), F.col(S.KEY)],
+        order_micros(ts),
+        out="_rank",
+        total_out="_n",
+        rows_per_bucket=rows_per_bucket,
+        n_buckets=n_buckets,
+        tie=F.col(S.KEY),
     )
     return r.withColumn("is_test", F.col("_rank") > F.col("_n") - F.ceil(F.col("_n") * F.lit(test_share))).drop("_rank", "_n")
 

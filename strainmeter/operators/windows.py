@@ -5,29 +5,35 @@ Two physical forms give identical values:
 
 * ``per-series``: one window per series (``partitionBy(host)``); one exchange,
   one sort and one ``Window`` node for every feature.
-* ``bucketed``: each series is cut into ranges of the order key (bounds from
-  ``approxQuantile`` over the whole table, so a range holds at most about
-  ``rows_per_bucket`` rows whatever the series); windows run per
+* ``bucketed``: a series is cut into ranges of the order key (quantiles, and
+  quantiles of the second order column inside a time that fills a range
+  alone, so a range holds about ``rows_per_bucket`` rows); windows run per
   ``(series, range)``. Each range gets a halo: the last rows before it, taken
   from the tails of earlier ranges, so row frames and lags see the rows they
   need. Forward fill, whose frame is unbounded, gets the last non-null value
   of every earlier range from a small table of range ends. This keeps a hot
   series (a third of all rows) from landing in one task.
 
-The number of ranges is chosen from the row count; with one range the
-per-series form is used.
+Rows are counted per series: only series with more than ``rows_per_bucket``
+rows take the bucketed form; all others share the per-series form, with no
+copied row.
 """
 
 from __future__ import annotations
 
 import math
+from collections import Counter
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from strainmeter import schema as S
+from strainmeter import session
 from strainmeter.functions.exprs import compact_sql, order_key_sql, order_micros
 from strainmeter.session import DEFAULT_ROWS_PER_BUCKET
 
@@ -52,103 +58,131 @@ class HistorySpec:
         return w
 
 
-# at most this many quantile ranges; beyond, each quantile range is cut into
-# equal-width sub-ranges (keeps the quantile sketch small at any table size)
+# at most this many quantile ranges in the first sketch; beyond, each of them
+# is cut again by its own quantiles (keeps every sketch small)
 MAX_QUANTILE_RANGES = 1024
 
 
 @dataclass
 class RangePlan:
-    """Ordered ranges of a numeric order key. ``bounds`` are quantile cuts;
-    with ``sub`` > 1 every quantile range [lo_i, hi_i) is further cut into
-    ``sub`` equal-width sub-ranges. The bucket index is non-decreasing in
-    the key, so buckets can be processed in order."""
+    """Ordered ranges of a numeric order key, cut at quantiles (``bounds``).
+    An order value that fills a range or more alone is ``heavy``: its rows
+    are cut further at quantiles of a tie-break column (``tie_bounds``). The
+    bucket index is non-decreasing in (order key, tie-break), so buckets can
+    be processed in order."""
 
     bounds: list[float] = field(default_factory=list)
-    sub: int = 1
-    lo: list[float] = field(default_factory=list)
-    width: list[float] = field(default_factory=list)
+    sub: int = 1  # ranges cut inside each range of the first sketch
+    heavy: list[float] = field(default_factory=list)
+    tie_bounds: list[float] = field(default_factory=list)
 
     def __bool__(self) -> bool:
-        return bool(self.bounds) or self.sub > 1
+        return bool(self.bounds)
 
     @property
     def n_buckets(self) -> int:
-        return (len(self.bounds) + 1) * self.sub
+        return (len(self.bounds) + 1) * self.stride
+
+    @property
+    def stride(self) -> int:
+        """Buckets per range: the tie ranges of a heavy value, then the rest."""
+        return len(self.tie_bounds) + 2 if self.tie_bounds else 1
 
 
-def range_bounds(df: DataFrame, order_num: Column, n_buckets: int, rel_err: float | None = None) -> RangePlan:
+def _quantile_cuts(num: DataFrame, cols: list[str], n_buckets: int, rel_err: float | None = None) -> tuple[dict[str, list[float]], int]:
+    """Sorted cuts (repeated where one value spans several) and the number of
+    ranges cut inside each range of the first sketch."""
+    k = min(n_buckets, MAX_QUANTILE_RANGES)
+    err = rel_err if rel_err is not None else min(0.01, 0.25 / k)
+    first = num.approxQuantile(cols, [i / k for i in range(1, k)], err)
+    cuts = {c: sorted(q) for c, q in zip(cols, first)}
+    sub = -(-n_buckets // k)
+    if sub == 1:
+        return cuts, 1
+    inner = ", ".join(repr(j / sub) + "D" for j in range(1, sub))
+    for c in cols:
+        coarse = with_range_bucket(num.select(c).filter(F.col(c).isNotNull()), F.col(c), RangePlan(sorted(set(cuts[c]))))
+        per = coarse.groupBy(BUCKET).agg(F.expr(f"percentile_approx(`{c}`, array({inner}), {4 * sub})").alias("q"))
+        cuts[c] = sorted(cuts[c] + [float(v) for row in per.collect() for v in row["q"]])  # cuts, never rows
+    return cuts, sub
+
+
+def range_bounds(
+    df: DataFrame, order_num: Column, n_buckets: int, rel_err: float | None = None, tie: Column | None = None
+) -> RangePlan:
     """Ranges of a numeric order key holding about n / n_buckets rows each:
-    quantile cuts from one ``approxQuantile`` job (at most
-    ``MAX_QUANTILE_RANGES`` ranges, relative error 1/4 of a range), and for
-    more ranges equal-width sub-ranges inside each quantile range (edges of
-    the outer ranges from one min / max aggregate). A few thousand numbers
-    reach the driver, never rows."""
+    quantile cuts from one ``approxQuantile`` job (relative error 1/4 of a
+    range); beyond ``MAX_QUANTILE_RANGES`` each range is cut again by its own
+    quantiles. Rows of a value that spans several ranges are cut by ``tie``
+    where given. Only the cuts reach the driver, never rows."""
     if n_buckets <= 1:
         return RangePlan()
-    k = min(n_buckets, MAX_QUANTILE_RANGES)
-    probs = [i / k for i in range(1, k)]
-    err = rel_err if rel_err is not None else min(0.01, 0.25 / k)
     num = df.select(order_num.cast("double").alias("_o"))
-    bounds = sorted(set(num.approxQuantile("_o", probs, err)))
-    if n_buckets <= MAX_QUANTILE_RANGES:
-        return RangePlan(bounds=bounds)
-    sub = -(-n_buckets // (len(bounds) + 1))
-    row = num.agg(F.min("_o").alias("lo"), F.max("_o").alias("hi")).first()
-    edges = [float(row["lo"])] + bounds + [float(row["hi"]) + 1.0]
-    lo = edges[:-1]
-    width = [max(0.0, (edges[i + 1] - edges[i]) / sub) for i in range(len(edges) - 1)]
-    return RangePlan(bounds=bounds, sub=sub, lo=lo, width=width)
+    cuts, sub = _quantile_cuts(num, ["_o"], n_buckets, rel_err)
+    plan = RangePlan(sorted(set(cuts["_o"])), sub)
+    if tie is not None:
+        spans = Counter(cuts["_o"])
+        plan.heavy = sorted(v for v, n in spans.items() if n > 1)
+        if plan.heavy:
+            tied = df.filter(order_num.cast("double").isin(plan.heavy)).select(tie.cast("double").alias("_t"))
+            ties, _ = _quantile_cuts(tied, ["_t"], 1 + sum(spans[v] for v in plan.heavy))
+            plan.tie_bounds = sorted(set(ties["_t"]))
+    return plan
 
 
 def range_plans(df: DataFrame, cols: list[str], n_buckets: int) -> dict[str, RangePlan]:
-    """``range_bounds`` for several numeric columns at once: one multi-column
-    ``approxQuantile`` job and, when sub-ranges are needed, one min / max
-    aggregate."""
+    """``range_bounds`` for several numeric columns with one first sketch."""
     if n_buckets <= 1:
         return {c: RangePlan() for c in cols}
-    k = min(n_buckets, MAX_QUANTILE_RANGES)
-    probs = [i / k for i in range(1, k)]
-    num = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    qs = num.approxQuantile(cols, probs, min(0.01, 0.25 / k))
-    plans = {c: RangePlan(bounds=sorted(set(q))) for c, q in zip(cols, qs)}
-    if n_buckets <= MAX_QUANTILE_RANGES:
-        return plans
-    row = num.agg(*[F.min(c).alias(f"lo_{i}") for i, c in enumerate(cols)], *[F.max(c).alias(f"hi_{i}") for i, c in enumerate(cols)]).first()
-    for i, c in enumerate(cols):
-        p = plans[c]
-        if row[f"lo_{i}"] is None:
-            continue
-        sub = -(-n_buckets // (len(p.bounds) + 1))
-        edges = [float(row[f"lo_{i}"])] + p.bounds + [float(row[f"hi_{i}"]) + 1.0]
-        p.sub, p.lo = sub, edges[:-1]
-        p.width = [max(0.0, (edges[j + 1] - edges[j]) / sub) for j in range(len(edges) - 1)]
-    return plans
-
-
-def with_range_bucket(df: DataFrame, order_num: Column, plan: RangePlan | list[float], out: str = BUCKET) -> DataFrame:
-    """Bucket index of the order key: binary search over the quantile cuts
-    in the JVM (``Bucketizer``), then the sub-range by arithmetic."""
+    cuts, sub = _quantile_cuts(df.select(*[F.col(c).cast("double").alias(c) for c in cols]), cols, n_buckets)
+    return {c: RangePlan(sorted(set(cuts[c])), sub) for c in cols}
+
+
+def with_range_bucket(
+    df: DataFrame, order_num: Column, plan: RangePlan | list[float], out: str = BUCKET, tie: Column | None = None
+) -> DataFrame:
+    """Bucket index of the order key: binary search over the cuts in the JVM
+    (``Bucketizer``). NULL keys sort first, as in the windows."""
     if isinstance(plan, list):
         plan = RangePlan(bounds=plan)
     if not plan:
-        return df.withColumn(out, F.lit(0))
-    tmp = df.withColumn("_order_num", order_num.cast("double"))
-    if plan.bounds:
-        splits = [-math.inf] + plan.bounds + [math.inf]
-        b = Bucketizer(splits=splits, inputCol="_order_num", outputCol="_bucket_d", handleInvalid="keep")
-        tmp = b.transform(tmp)
-    else:
-        tmp = tmp.withColumn("_bucket_d", F.lit(0.0))
-    if plan.sub <= 1:
-        return tmp.withColumn(out, F.col("_bucket_d").cast("int")).drop("_order_num", "_bucket_d")
-    lo = "array(" + ", ".join(f"{v!r}D" for v in plan.lo) + ")"
-    wd = "array(" + ", ".join(f"{v!r}D" for v in plan.width) + ")"
-    ci = "CAST(_bucket_d AS INT)"
-    w = f"element_at({wd}, {ci} + 1)"
-    inner = f"CAST(floor((_order_num - element_at({lo}, {ci} + 1)) / {w}) AS INT)"
-    sub_ix = f"CASE WHEN {w} <= 0 THEN 0 ELSE least(greatest({inner}, 0), {plan.sub - 1}) END"
-    return tmp.withColumn(out, F.expr(f"{ci} * {plan.sub} + {sub_ix}")).drop("_order_num", "_bucket_d")
+        return df.withColumn(out, F.lit(0).cast("long"))
+
+    def search(d: DataFrame, value: Column, bounds: list[float], name: str) -> DataFrame:
+        d = d.withColumn("_order_num", F.coalesce(value.cast("double"), F.lit(-math.inf)))
+        b = Bucketizer(splits=[-math.inf] + bounds + [math.inf], inputCol="_order_num", outputCol=name, handleInvalid="keep")
+        return b.transform(d).drop("_order_num")
+
+    found = search(df, order_num, plan.bounds, "_bucket_d")
+    index = F.col("_bucket_d").cast("long")
+    if tie is not None and plan.tie_bounds:
+        found = search(found, tie, plan.tie_bounds, "_tie_d")
+        inside = F.when(order_num.cast("double").isin(plan.heavy), F.col("_tie_d").cast("long")).otherwise(plan.stride - 1)
+        index = index * plan.stride + inside
+    return found.withColumn(out, index).drop("_bucket_d", "_tie_d")
+
+
+def bounded_broadcast(df: DataFrame, rows_bound: int) -> DataFrame:
+    """Broadcast hint only for a table whose row count is proven to be at
+    most ``session.BROADCAST_ROWS``. Beyond it the join stays a shuffle join;
+    AQE still broadcasts when the runtime size turns out small."""
+    return F.broadcast(df) if rows_bound <= session.BROADCAST_ROWS else df
+
+
+def by_series_size(df: DataFrame, part: list[str], rows_per_bucket: int) -> list[tuple[DataFrame, int]]:
+    """[(rows, ranges)]: the series that fit one task together with 1 range,
+    and the hot series, if any, with as many ranges as keep a range within
+    ``rows_per_bucket`` rows. Series are counted in one aggregate."""
+    if not part:
+        return [(df, n_buckets_for(df, rows_per_bucket))]
+    hot = df.groupBy(*part).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows_per_bucket)
+    stat = hot.agg(F.count(F.lit(1)).alias("series"), F.sum("_n").alias("rows")).first()
+    if not stat["series"]:
+        return [(df, 1)]
+    names = bounded_broadcast(hot.select(*[F.col(c).alias(f"_hot_{c}") for c in part]), stat["series"])
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_hot_{c}")) for c in part])
+    ranges = math.ceil(stat["rows"] / max(1, rows_per_bucket))
+    return [(df.join(names, same, "left_anti"), 1), (df.join(names, same, "left_semi"), max(2, ranges))]
 
 
 def n_buckets_for(df: DataFrame, rows_per_bucket: int) -> int:
@@ -238,20 +272,29 @@ def history_features(
     """Add rolling, lag and forward-filled columns per series (see module doc).
     ``post(name, column)`` may wrap every output column (e.g. a zero fill)."""
     part, order = list(partition_cols), list(order_cols)
-    if n_buckets is None:
-        n_buckets = n_buckets_for(df, rows_per_bucket)
     final_cols = list(df.columns) + [c for c in _out_names(spec) if c not in df.columns]
-    if n_buckets <= 1:
-        return _apply(df, spec, part, order, None, final_cols, post)
-    return _bucketed(df, spec, part, order, n_buckets, ts_col, final_cols, post)
+    groups = [(df, n_buckets)] if n_buckets is not None else by_series_size(df, part, rows_per_bucket)
+    done = [
+        _apply(rows, spec, part, order, None, final_cols, post)
+        if n <= 1
+        else _bucketed(rows, spec, part, order, n, ts_col, final_cols, post)
+        for rows, n in groups
+    ]
+    return reduce(DataFrame.unionByName, done)
+
+
+def _tie_column(df: DataFrame, order: list[str]) -> Column | None:
+    """The second order column, if it is a number ranges can be cut on."""
+    return F.col(order[1]) if len(order) > 1 and isinstance(df.schema[order[1]].dataType, NumericType) else None
 
 
 def _bucketed(
     df: DataFrame, spec: HistorySpec, part: list[str], order: list[str], n_buckets: int, ts_col: str, final_cols: list[str], post=None
 ) -> DataFrame:
     onum = order_micros(ts_col)
-    bounds = range_bounds(df, onum, n_buckets)
-    base = with_range_bucket(df, onum, bounds)
+    tie = _tie_column(df, order)
+    bounds = range_bounds(df, onum, n_buckets, tie=tie)
+    base = with_range_bucket(df, onum, bounds, tie=tie)
     h = spec.lookback
     cols = list(df.columns)
 
@@ -265,7 +308,7 @@ def _bucketed(
         # ranges of the next h tail rows, other than this row's own (no lambda:
         # the projection stays in generated code)
         nxt = [F.when(t != F.col(BUCKET), t) for t in leads]
-        targets = F.array_distinct(F.expr(compact_sql(["_n%d" % i for i in range(h)], "INT")))
+        targets = F.array_distinct(F.expr(compact_sql(["_n%d" % i for i in range(h)], "BIGINT")))
         tails = tails.select("*", *[c.alias("_n%d" % i) for i, c in enumerate(nxt)])
         halo = (
             tails.withColumn("_targets", targets)

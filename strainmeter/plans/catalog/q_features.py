@@ -177,13 +177,9 @@ def q_feature_table_nulls(spark, sf_dir):
 
 @register("rolling_global", O.feature_sql(part=""))
 def q_rolling_global(spark, sf_dir):
-    """One ordered series (no host) split over many tasks: range buckets with
-    halo rows; at least 8 ranges so the split form is what runs."""
-    m = events_metrics(spark, sf_dir)
-    # as many ranges as the data needs, at least one per core (split_buckets),
-    # counted in the same job as the fill means
-    cores = spark.sparkContext.defaultParallelism
-    return rounded(FE.feature_table(m, partition_cols=(), keep=[S.KEY], min_buckets=cores))
+    """One ordered series (no host): range buckets with halo rows as soon as
+    it outgrows a task."""
+    return rounded(FE.feature_table(events_metrics(spark, sf_dir), partition_cols=(), keep=[S.KEY]))
 
 
 def _wrap_feature_sql(select: str) -> str:
@@ -207,4 +203,4 @@ def q_sort_by_time(spark, sf_dir):
     """Global time order as a position column (two-level rank: no one-task
     window), so the order itself is checked."""
     m = events_metrics(spark, sf_dir)
-    return ranked(m.select(S.KEY, S.TS), [S.TS, S.KEY], X.order_micros(S.TS), out="position", n_buckets=split_buckets(m))
+    return ranked(m.select(S.KEY, S.TS), [S.TS, S.KEY], X.order_micros(S.TS), out="position", n_buckets=split_buckets(m), tie=F.col(S.KEY))

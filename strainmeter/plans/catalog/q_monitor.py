@@ -1,5 +1,5 @@
 """Monitoring queries: drift, performance, counters, quantiles, latest
-features, sustained alerts, roll-up, failure labels, oversampling."""
+features, sustained alerts, roll-up, failure labels."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from strainmeter import schema as S
 from strainmeter.fixtures import DRIFT_CUT_SQL, FIXTURE_P_SQL, drift_pair, fixture_score
 from strainmeter.operators import features as FE
 from strainmeter.operators import monitor as MO
+from strainmeter.operators.windows import column_means
 from strainmeter.plans.catalog import register
 from strainmeter.plans.checks import rounded, split_buckets
 from strainmeter.sources.io import events_metrics, read_table
@@ -106,6 +107,17 @@ def q_latency_quantile(spark, sf_dir):
     return rounded(MO.latency_quantile(events_metrics(spark, sf_dir), "response_time_ms", 0.95))
 
 
+@register(
+    "latency_quantile_quarter",
+    O.with_ctes(M)
+    + f"\nSELECT time_bucket(INTERVAL '15 minutes', ts) AS bucket_start, {O.r('quantile_cont(response_time_ms, 0.95)')} AS p95, count(*) AS n"
+    " FROM metrics GROUP BY 1",
+)
+def q_latency_quantile_quarter(spark, sf_dir):
+    """Exact 95th percentile of response time per quarter of an hour."""
+    return rounded(MO.latency_quantile(events_metrics(spark, sf_dir), "response_time_ms", 0.95, bucket="15 minutes"))
+
+
 LATEST_NAMES = ["cpu_usage", "cpu_usage_rolling_mean_3", "memory_usage_lag_1", "error_rate", "total_stress"]
 LATEST_AS_OF = "2024-01-20 12:00:00"
 
@@ -128,7 +140,9 @@ SELECT ents.host_id, rk.ts, {", ".join("rk." + c for c in LATEST_NAMES)} FROM en
 def q_latest_features(spark, sf_dir):
     """Current feature values of every host as of a time (max_by per host)."""
     m = events_metrics(spark, sf_dir)
-    ft = rounded(FE.feature_table(m))
+    # every frame looks back: rows after the time only enter the fill means
+    past = m.filter(F.col(S.TS) <= F.lit(LATEST_AS_OF).cast("timestamp_ntz"))
+    ft = rounded(FE.feature_table(past, lag_fill=column_means(m, S.LAG_COLS)))
     return MO.latest_features(ft, m.select(S.HOST), LATEST_NAMES, as_of=LATEST_AS_OF)
 
 
@@ -148,10 +162,8 @@ def _alert_sql() -> str:
 
 @register("sustained_alert", _alert_sql())
 def q_sustained_alert(spark, sf_dir):
-    """Islands of p > 0.8 per host lasting at least 5 minutes (split form:
-    lag through halo rows, island start through carried range ends)."""
-    m = fixture_score(events_metrics(spark, sf_dir))
-    return MO.sustained_alerts(m, n_buckets=split_buckets(m))
+    """Islands of p > 0.8 per host lasting at least 5 minutes."""
+    return MO.sustained_alerts(fixture_score(events_metrics(spark, sf_dir)))
 
 
 @register(
@@ -176,7 +188,7 @@ FROM events""",
 )
 def q_failure_label(spark, sf_dir):
     """1 when an error event of the same host falls in the next 60 minutes
-    (split form: time ranges with look-ahead copies)."""
+    (hosts that outgrow a task in time ranges)."""
     e = read_table(spark, sf_dir, "events").select(S.KEY, (F.col("user_id") % 16).alias(S.HOST), F.col("ts").cast("timestamp_ntz").alias(S.TS), "event_type")
-    out = MO.failure_label(e, F.col("event_type") == "error", n_buckets=split_buckets(e))
+    out = MO.failure_label(e, F.col("event_type") == "error")
     return out.select(S.KEY, S.HOST, S.LABEL)
