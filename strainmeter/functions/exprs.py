@@ -204,10 +204,6 @@ def cyclic_exprs(hour: str = "hour", dow: str = "day_of_week") -> dict[str, Colu
     return _cols(cyclic_sql(hour, dow))
 
 
-def with_exprs(df: DataFrame, exprs: dict[str, Column]) -> DataFrame:
-    return df.withColumns(exprs)
-
-
 # ---------------------------------------------------------------------------
 # scoring rules
 # ---------------------------------------------------------------------------
@@ -249,9 +245,6 @@ def code_parts_sql(p: str) -> list[str]:
     return parts
 
 
-EMPTY_STRINGS = "CAST(array() AS ARRAY<STRING>)"
-
-
 def compact_sql(parts: list[str], elem: str = "STRING") -> str:
     """Array of the non-NULL values of ``parts`` (CASE expressions giving a
     string or NULL), order kept. Same result as ``array_compact(array(...))``,

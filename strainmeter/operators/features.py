@@ -78,19 +78,11 @@ def _zero_fill(name: str, sql: str) -> str:
     """Remaining NULL (and NaN) -> 0, the timestamp and keys untouched."""
     if name in (S.TS, S.KEY, S.HOST) or name.startswith("_"):
         return sql
-    if name in _DOUBLE_COLS:
+    if name in S.DOUBLE_FEATURES:
         return f"coalesce(nanvl({sql}, CAST(NULL AS DOUBLE)), CAST(0 AS DOUBLE))"
     return f"coalesce({sql}, 0)"
 
 
-_DOUBLE_COLS = set(
-    ["cpu_usage", "memory_usage", "disk_usage", "network_latency_ms", "response_time_ms"]
-    + S.INTERACTION_COLS
-    + S.ROLLING_COLS_OUT
-    + S.LAG_COLS_OUT
-    + S.CYCLIC_COLS
-)
-
 
 def select_inputs(features: DataFrame, manifest: list[str] | None = None) -> DataFrame:
     """Model inputs in manifest order (every column but timestamp and label)."""

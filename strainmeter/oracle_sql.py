@@ -116,17 +116,10 @@ def feature_sql(src: str = "metrics", part: str = "host_id", order: str = "ts, e
             ff.append(f"last_value({c} IGNORE NULLS) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS {c}")
     body = f"""SELECT {", ".join(ff)}, {", ".join(roll)}, {", ".join(lags)} FROM loc"""
     out_cols = []
-    doubles = set(
-        ["cpu_usage", "memory_usage", "disk_usage", "network_latency_ms", "response_time_ms"]
-        + S.INTERACTION_COLS
-        + S.ROLLING_COLS_OUT
-        + S.LAG_COLS_OUT
-        + S.CYCLIC_COLS
-    )
     for c in keep + S.FEATURE_COLS:
         if c == S.TS:
             out_cols.append(c)
-        elif c in doubles:
+        elif c in S.DOUBLE_FEATURES:
             out_cols.append(f"{r(f'coalesce({c}, 0)')} AS {c}")
         else:
             out_cols.append(f"coalesce({c}, 0) AS {c}")

@@ -8,6 +8,7 @@ from strainmeter import oracle_sql as O
 from strainmeter import schema as S
 from strainmeter.fixtures import FIXTURE_P_SQL, SPLIT_KEY_SQL, fixture_score, null_fixture
 from strainmeter.operators import evaluate as EV
+from strainmeter.operators import features as FE
 from strainmeter.operators import split as SP
 from strainmeter.operators.windows import column_means
 from strainmeter.plans.catalog import register
@@ -137,23 +138,30 @@ def q_balanced_weights(spark, sf_dir):
     return rounded(m.select(S.KEY, "weight"))
 
 
-_STAT_COLS = S.METRIC_COLS
+def _training_inputs_sql() -> str:
+    head, tail = O.feature_sql().rsplit("\nSELECT ", 1)
+    return head + f""",
+_ft AS (SELECT {tail}),
+{SPLIT_CTE},
+tr AS (SELECT _ft.* FROM _ft JOIN parts USING (event_id) WHERE NOT is_test)"""
 
 
 @register(
     "scaler_stats",
-    O.with_ctes(M)
+    _training_inputs_sql()
     + "\n"
     + "\nUNION ALL\n".join(
         f"SELECT '{c}' AS column, count({c}) AS n, {O.r(f'avg({c})')} AS mean, {O.r(f'stddev_pop({c})')} AS std_pop,"
-        f" {O.r(f'stddev_samp({c})')} AS std_samp FROM metrics"
-        for c in _STAT_COLS
+        f" {O.r(f'stddev_samp({c})')} AS std_samp FROM tr"
+        for c in S.MODEL_INPUTS
     ),
 )
 def q_scaler_stats(spark, sf_dir):
-    """Mean and standard deviation per input (population sd, as the
-    reference's scaler; sample sd, as MLlib's)."""
-    return rounded(EV.column_stats(events_metrics(spark, sf_dir), _STAT_COLS))
+    """Mean and standard deviation per model input over the training part
+    (population sd, as the reference's scaler; sample sd, as MLlib's)."""
+    ft = rounded(FE.feature_table(events_metrics(spark, sf_dir)))
+    train = SP.stratified_split(ft, n_buckets=split_buckets(ft)).filter(~F.col("is_test"))
+    return rounded(EV.column_stats(train, S.MODEL_INPUTS))
 
 
 @register(

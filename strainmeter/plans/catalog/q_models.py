@@ -10,6 +10,7 @@ from strainmeter import oracle_sql as O
 from strainmeter import schema as S
 from strainmeter.fixtures import fixture_score
 from strainmeter.operators import evaluate as EV
+from strainmeter.operators.clean import inf_to_zero
 from strainmeter.plans import train as TR
 from strainmeter.plans.catalog import register
 from strainmeter.plans.catalog.q_metrics import AUC_EXPR, AUC_SQL
@@ -94,7 +95,8 @@ def q_kfold_cv(spark, sf_dir):
     from strainmeter.session import shared_path
 
     path = shared_path(spark, "features-folds")
-    SP.stratified_folds(FE.feature_table(events_metrics(spark, sf_dir))).write.parquet(path)
+    ft = inf_to_zero(FE.feature_table(events_metrics(spark, sf_dir)), S.MODEL_INPUTS)
+    SP.stratified_folds(ft).write.parquet(path)
     ft = spark.read.parquet(path)
     spec = TR.DEFAULT_SPECS["logistic_regression"]
     mean, std = TR.cross_validate(ft, spec)
@@ -105,10 +107,16 @@ def q_kfold_cv(spark, sf_dir):
 def q_score_history(spark, sf_dir):
     """All readings scored with true history inputs (rolling / lag / forward
     fill over each host's whole history), the chosen model."""
-    from strainmeter.plans.score import score_batch
+    from strainmeter.plans.score import score_batch, with_rejected
 
     reg = trained_registry(spark, sf_dir)
     name = reg.choose("preference")
     readings = events_metrics(spark, sf_dir).select(F.col(S.KEY).alias("reading_id"), S.HOST, S.TS, *S.METRIC_COLS, "hour", "day_of_week")
-    preds, _bad = score_batch(readings, reg.load(name), name, manifest=reg.manifest(), as_of=AS_OF, mode="history")
-    return preds
+    return with_rejected(*score_batch(readings, reg.load(name), name, manifest=reg.manifest(), as_of=AS_OF, mode="history"))
+
+
+@register("model_info")
+def q_model_info(spark, sf_dir):
+    """The registry's info view: models, input count and first input names."""
+    info = trained_registry(spark, sf_dir).info()
+    return info.select("feature_count", F.array_join("models", ",").alias("models"), F.array_join("first_features", ",").alias("first_features"))

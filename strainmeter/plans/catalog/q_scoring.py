@@ -13,7 +13,7 @@ from strainmeter.operators import clean as C
 from strainmeter.operators import features as FE
 from strainmeter.plans.catalog import register
 from strainmeter.plans.checks import rounded
-from strainmeter.plans.score import batch_summary, score_readings
+from strainmeter.plans.score import batch_summary, score_readings, with_rejected
 from strainmeter.sources.io import events_metrics
 
 AS_OF = dt.datetime(2024, 2, 1, 0, 0, 0)
@@ -88,6 +88,25 @@ def q_score_batch(spark, sf_dir):
     )
 
 
+def _envelope_sql() -> str:
+    from strainmeter.plans.catalog.q_clean import _violations_sql
+
+    return (
+        O.with_ctes(O.METRICS_CTE, INVALID_SQL, f"ch AS (SELECT *, {_violations_sql()} AS violations FROM invalid)")
+        + f"""
+SELECT event_id, violations,
+  CASE WHEN violations = '' THEN {O.round_even(P, S.PROBABILITY_DIGITS)} END AS failure_probability FROM ch"""
+    )
+
+
+@register("batch_envelope", _envelope_sql())
+def q_batch_envelope(spark, sf_dir):
+    """Both sides of a batch: every reading once, scored or rejected."""
+    valid, bad = C.split_valid(invalid_fixture(events_metrics(spark, sf_dir)))
+    both = with_rejected(score_readings(fixture_score(valid), as_of=AS_OF).select(S.KEY, "failure_probability"), bad)
+    return both.select(S.KEY, F.coalesce(F.array_join("violations", ","), F.lit("")).alias("violations"), "failure_probability")
+
+
 @register(
     "batch_summary",
     O.with_ctes(

@@ -61,6 +61,22 @@ def q_read_readings_json(spark, sf_dir):
     return IO.read_readings_json(spark, path)
 
 
+@register("read_readings_bodies", O.with_ctes(O.METRICS_CTE) + f"\nSELECT {READING_SQL_COLS} FROM metrics")
+def q_read_readings_bodies(spark, sf_dir):
+    """Readings written as batch bodies (JSON arrays) and read back."""
+    path = shared_path(spark, "readings-bodies")
+    m = IO.events_metrics(spark, sf_dir).withColumnRenamed(S.KEY, "reading_id")
+    return IO.read_readings_json(spark, IO.write_readings_bodies(m, path), layout="bodies")
+
+
+@register("scan_features_csv", O.feature_sql())
+def q_scan_features_csv(spark, sf_dir):
+    """Feature table through CSV, typed by the feature list."""
+    path = shared_path(spark, "features-csv")
+    IO.write_table(FE.feature_table(IO.events_metrics(spark, sf_dir)), path, fmt="csv", partition_by=[])
+    return rounded(IO.scan_features(spark, path, fmt="csv"))
+
+
 @register(
     "write_predictions",
     O.with_ctes(O.METRICS_CTE)

@@ -1,16 +1,18 @@
 """Streaming queries: each runs a Structured Streaming query over the given
 ``events`` table (``availableNow``) into a table in the shared folder and
-returns that table. Checked by rows and by equality with the batch form."""
+returns that table. The twins are those of the batch forms."""
 
 from __future__ import annotations
 
 import datetime as dt
 
+from strainmeter import oracle_sql as O
 from strainmeter import schema as S
 from strainmeter.fixtures import fixture_score
 from strainmeter.operators import features as FE
 from strainmeter.operators.windows import column_means
-from strainmeter.plans.catalog import register
+from strainmeter.plans.catalog import ORACLES as SQL
+from strainmeter.plans.catalog import q_monitor, register  # noqa: F401  (q_monitor registers the batch twins)
 from strainmeter.plans.checks import rounded
 from strainmeter.plans.workflow import trained_registry
 from strainmeter.sources.io import events_metrics
@@ -31,24 +33,24 @@ def q_stream_score(spark, sf_dir):
     return spark.read.parquet(run_to_table(preds, "score"))
 
 
-@register("stream_rollup")
+@register("stream_rollup", f"SELECT * FROM ({SQL['sample_rollup']}) WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL '10 minutes'")
 def q_stream_rollup(spark, sf_dir):
     """5-minute roll-up per host with a 10-minute watermark; closed windows."""
     out = ST.stream_rollup(table_stream(spark, sf_dir, "events"))
     return rounded(spark.read.parquet(run_to_table(out, "rollup")))
 
 
-@register("stream_history_features")
+@register("stream_history_features", O.feature_sql())
 def q_stream_history_features(spark, sf_dir):
     """True rolling / lag / forward-filled features on a stream (keyed state
     per host); lag gaps take the table means, as the batch form."""
     fill = column_means(events_metrics(spark, sf_dir), S.LAG_COLS)
     local = FE.row_local_features(metrics_stream(table_stream(spark, sf_dir, "events")))
     out = ST.stream_history_features(local, fill)
-    return rounded(spark.read.parquet(run_to_table(out, "history")))
+    return rounded(spark.read.parquet(run_to_table(out, "history")).drop("is_late"))
 
 
-@register("stream_sustained_alert")
+@register("stream_sustained_alert", f"SELECT host_id, island_start, fired_at FROM ({SQL['sustained_alert']})")
 def q_stream_sustained_alert(spark, sf_dir):
     """Alerts fired when the fixture score stays above 0.8 for 5 minutes."""
     scored = fixture_score(metrics_stream(table_stream(spark, sf_dir, "events")))

@@ -72,7 +72,7 @@ class Registry:
 
     def latest_records(self) -> DataFrame:
         """Latest fit record per model."""
-        w = Window.partitionBy("model").orderBy(F.col("trained_at").desc())
+        w = Window.partitionBy("model").orderBy(F.col("trained_at").desc(), F.col("insert_pos").desc())
         return self.records().withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r")
 
     def load(self, name: str) -> PipelineModel:
@@ -84,10 +84,6 @@ class Registry:
         except AnalysisException:
             return []
 
-    def is_complete(self, names: list[str]) -> bool:
-        have = set(self.available())
-        return all(n in have for n in names)
-
     def choose(self, mode: str = "preference") -> str:
         """``preference``: boosted > forest > logistic among the saved models
         (the reference's scoring rule); ``best_auc``: highest AUC, the first
@@ -137,4 +133,4 @@ def registry_for(spark: SparkSession, key: str) -> Registry:
 
 
 def now_ntz() -> dt.datetime:
-    return dt.datetime.now().replace(microsecond=0)
+    return dt.datetime.now()

@@ -96,6 +96,13 @@ def score_batch(
     return preds.select(*keep, *[f.name for f in S.PREDICTION_FIELDS.fields], "recommendation_codes"), bad
 
 
+def with_rejected(preds: DataFrame, bad: DataFrame) -> DataFrame:
+    """Both sides of a batch, each reading once: predictions, and rejected
+    readings with their ``violations`` and no prediction."""
+    names = [c for c in preds.columns if c in bad.columns]
+    return preds.unionByName(bad.select(*names, "violations"), allowMissingColumns=True)
+
+
 def _history_inputs(valid: DataFrame, manifest: list[str], keep: list[str]) -> DataFrame:
     """Feature-table inputs for readings (key, host, ts needed for order)."""
     df = valid

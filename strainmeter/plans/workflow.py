@@ -81,8 +81,10 @@ def trained_registry(spark: SparkSession, sf_dir: str, names: list[str] | None =
     names = names or S.MODEL_ORDER
     events = IO.table_path(sf_dir, "events")
     # fits are shared between runs on the same data: path, file fingerprint
-    # (rewritten data gets new fits), parameters and code version
-    key = f"{strainmeter.__version__}|{events}|{IO.table_fingerprint(spark, events)}|{sorted(TR.DEFAULT_SPECS.items())!r}"
+    # (rewritten data gets new fits), parameters, code version and the fixed
+    # values behind features, fill and split
+    fixed = sorted((k, v) for k, v in vars(S).items() if k.isupper())
+    key = f"{strainmeter.__version__}|{events}|{IO.table_fingerprint(spark, events)}|{sorted(TR.DEFAULT_SPECS.items())!r}|{fixed!r}"
     reg = registry_for(spark, key)
     missing = [n for n in names if n not in set(reg.available())]
     if missing:
@@ -112,8 +114,8 @@ def comparison(reg: Registry) -> DataFrame:
 
 def end_to_end(spark: SparkSession, sf_dir: str, as_of: dt.datetime | None = None, choose: str = "preference") -> DataFrame:
     """Features -> fits -> registry -> score every reading (point features,
-    chosen model)."""
-    from strainmeter.plans.score import score_batch
+    chosen model); rejected readings come with their violations."""
+    from strainmeter.plans.score import score_batch, with_rejected
 
     reg = trained_registry(spark, sf_dir)
     name = reg.choose(choose)
@@ -121,5 +123,4 @@ def end_to_end(spark: SparkSession, sf_dir: str, as_of: dt.datetime | None = Non
     readings = read_parts(spark, f"{reg.base}/features-split").select(
         F.col(S.KEY).alias("reading_id"), S.HOST, S.TS, *S.METRIC_COLS, "hour", "day_of_week"
     )
-    preds, _bad = score_batch(readings, model, name, manifest=reg.manifest(), as_of=as_of)
-    return preds
+    return with_rejected(*score_batch(readings, model, name, manifest=reg.manifest(), as_of=as_of))

@@ -265,3 +265,12 @@ def history_base(name: str) -> str | None:
     """Source column of a rolling or lag feature name, None otherwise."""
     m = _ROLLING_RE.match(name) or _LAG_RE.match(name)
     return m.group("base") if m else None
+
+# feature columns that hold doubles; the others are counts and flags
+DOUBLE_FEATURES = (
+    ["cpu_usage", "memory_usage", "disk_usage", "network_latency_ms", "response_time_ms"]
+    + INTERACTION_COLS
+    + ROLLING_COLS_OUT
+    + LAG_COLS_OUT
+    + CYCLIC_COLS
+)

@@ -4,10 +4,11 @@ checkpoint folder used to cut lineage."""
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # number of rows one window / rank bucket should hold at most (sets how many
 # range buckets a long ordered series is cut into)
@@ -111,7 +112,16 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint to the shared folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def ship_package(spark: SparkSession) -> None:
+    """Give Python workers this package, whatever folder they start in: a
+    zip of its sources that Spark serves to the executors, once a session."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    made = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="strainmeter-code-"), "strainmeter"), "zip", os.path.dirname(root), "strainmeter")
+    sc.addPyFile(made)
+    _shipped.add(sc.applicationId)
+
+
+_shipped: set[str] = set()

@@ -6,6 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from strainmeter import schema as S
@@ -23,6 +24,10 @@ class MissingInputError(FileNotFoundError):
     """Named error for a missing input table."""
 
 
+class MissingColumnError(ValueError):
+    """Named error for columns an input table must have."""
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
@@ -75,17 +80,27 @@ def scan_metrics(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
             *[F.col(f.name).cast(f.dataType).alias(f.name) for f in S.METRICS_SCHEMA.fields]
         )
     df = _read(spark, path, fmt)
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in S.METRICS_SCHEMA.fields if f.name in df.columns])
+    missing = [f.name for f in S.METRICS_SCHEMA.fields if f.name not in df.columns]
+    if missing:
+        raise MissingColumnError(f"{path} lacks {', '.join(missing)}")
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in S.METRICS_SCHEMA.fields])
 
 
 def scan_features(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Read a feature table written by ``write_table``."""
-    return _read(spark, path, fmt, header="true") if fmt == "csv" else _read(spark, path, fmt)
+    """Read a feature table written by ``write_table``. CSV carries no types:
+    they come from the feature list; other columns stay text."""
+    if fmt != "csv":
+        return _read(spark, path, fmt)
+    text = _read(spark, path, "csv", header="true")
+    missing = [c for c in S.FEATURE_COLS if c not in text.columns]
+    if missing:
+        raise MissingColumnError(f"{path} lacks {', '.join(missing)}")
+    types = dict.fromkeys(S.FEATURE_COLS, "int") | dict.fromkeys(S.DOUBLE_FEATURES, "double")
+    types |= {S.TS: "timestamp_ntz", S.KEY: "bigint", S.HOST: "bigint"}
+    return text.select(*[F.col(c).cast(types.get(c, "string")).alias(c) for c in text.columns])
 
 
 def _csv_schema(schema):
-    from pyspark.sql import types as T
-
     return T.StructType([T.StructField(f.name, T.StringType() if f.name == S.TS else f.dataType, True) for f in schema.fields])
 
 
@@ -109,10 +124,24 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: li
     return path
 
 
-def read_readings_json(spark: SparkSession, path: str) -> DataFrame:
-    """Readings as JSON lines (or a JSON array with ``multiLine``) with the
-    fixed reading schema."""
-    return _read(spark, path, "json", schema=S.READING_SCHEMA, multiLine="false", **TS_TEXT_OPTIONS)
+def read_readings_json(spark: SparkSession, path: str, layout: str = "lines") -> DataFrame:
+    """Readings with the fixed schema from JSON: ``lines`` holds a reading a
+    line, ``bodies`` a batch body (an array of readings) a line, ``files`` one
+    batch body a file, over any number of lines."""
+    if layout == "bodies":
+        body = F.from_json("value", T.ArrayType(S.READING_SCHEMA), TS_TEXT_OPTIONS)
+        return _read(spark, path, "text").select(F.inline(body))
+    if layout not in ("lines", "files"):
+        raise ValueError(f"unknown layout {layout!r}")
+    return _read(spark, path, "json", schema=S.READING_SCHEMA, multiLine=str(layout == "files").lower(), **TS_TEXT_OPTIONS)
+
+
+def write_readings_bodies(readings: DataFrame, path: str, size: int = 1000) -> str:
+    """Batch bodies of consecutive ids, at most ``size`` readings each, one a line."""
+    fields = F.struct(*[F.col(f.name) for f in S.READING_SCHEMA.fields])
+    bodies = readings.groupBy(F.floor(F.col("reading_id") / size)).agg(F.collect_list(fields).alias("body"))
+    bodies.select(F.to_json("body", TS_TEXT_OPTIONS).alias("value")).write.mode("overwrite").text(path)
+    return path
 
 
 def write_readings_json(readings: DataFrame, path: str) -> str:
@@ -121,9 +150,10 @@ def write_readings_json(readings: DataFrame, path: str) -> str:
 
 
 def write_predictions(predictions: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
-    """Write predictions and return the envelope summary (count, time)."""
+    """Write predictions and return the envelope summary (count, time), from
+    the written table: the scoring plan runs once."""
     predictions.write.mode("overwrite").format(fmt).save(path)
-    return prediction_envelope(predictions)
+    return prediction_envelope(predictions.sparkSession.read.schema(predictions.schema).format(fmt).load(path))
 
 
 def prediction_envelope(predictions: DataFrame) -> DataFrame:

@@ -4,12 +4,9 @@ folder, sinks written to the shared folder with a checkpoint location."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from strainmeter import schema as S
-from strainmeter.functions import exprs as X
-from strainmeter.session import shared_path
+from strainmeter.session import shared_path, ship_package
 from strainmeter.sources.adapt import events_to_metrics
 
 
@@ -35,13 +32,6 @@ def metrics_stream(events_stream: DataFrame) -> DataFrame:
     return events_to_metrics(events_stream)
 
 
-def with_event_time(df: DataFrame, ts: str = S.TS, out: str = "event_time") -> DataFrame:
-    """Watermarks need TIMESTAMP, the tables carry TIMESTAMP_NTZ: add an
-    event-time column, the instant whose UTC reading is ``ts`` (no session
-    zone; ``instant_to_ntz_sql`` gives ``ts`` back)."""
-    return df.withColumn(out, F.expr(X.ntz_to_instant_sql(f"`{ts}`")))
-
-
 def run_to_table(
     df: DataFrame,
     name: str,
@@ -56,6 +46,7 @@ def run_to_table(
     with (it is stored in the checkpoint): ``state_partitions`` (default
     2 x the cluster's parallelism) is set for the start only."""
     spark = df.sparkSession
+    ship_package(spark)
     out = path or shared_path(spark, f"stream-{name}")
     n = state_partitions or 2 * spark.sparkContext.defaultParallelism
     before = spark.conf.get("spark.sql.shuffle.partitions")

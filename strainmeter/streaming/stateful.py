@@ -4,7 +4,9 @@ Per host the state is small and bounded: the last rows a row frame or lag
 needs (4), the last non-null value of each forward-filled column, or the
 open island of an alert. Each micro-batch's rows of a host are sorted by
 (ts, key) and processed after the state rows, so a stream delivered in time
-order gives the batch operator's values. The group a task holds is one
+order gives the batch operator's values. A row that isn't after the state's
+last (ts, key) is late: it gets its own values as history, is marked
+``is_late`` and leaves the state alone (alerts ignore it). The group a task holds is one
 host's rows of one micro-batch (bound it with ``maxFilesPerTrigger`` /
 ``maxBytesPerTrigger``), never the host's history.
 """
@@ -24,12 +26,21 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from strainmeter import schema as S
 from strainmeter.functions import exprs as X
 
-HISTORY_STATE = T.StructType([T.StructField("tail", T.StringType()), T.StructField("last", T.StringType())])
+HISTORY_STATE = T.StructType(
+    [
+        T.StructField("tail", T.StringType()),
+        T.StructField("last", T.StringType()),
+        T.StructField("at", T.StringType()),
+        T.StructField("key", T.LongType()),
+    ]
+)
 ALERT_STATE = T.StructType(
     [
         T.StructField("hot", T.BooleanType()),
         T.StructField("island_start", T.TimestampNTZType()),
         T.StructField("fired", T.BooleanType()),
+        T.StructField("at", T.StringType()),
+        T.StructField("key", T.LongType()),
     ]
 )
 
@@ -46,6 +57,14 @@ def _to_py(v):
     return v
 
 
+def _late(pdf: pd.DataFrame, at: str | None, key: int | None) -> pd.Series:
+    """Rows not after the last row seen, (``at``, ``key``)."""
+    if at is None:
+        return pd.Series(False, index=pdf.index)
+    seen = pd.Timestamp(at)
+    return (pdf[S.TS] < seen) | ((pdf[S.TS] == seen) & (pdf[S.KEY] <= key))
+
+
 def _history_fn(spec_rolling, spec_lags, lag_fill, ffill_cols, src_cols, out_cols, lookback):
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(pdfs), ignore_index=True)
@@ -56,6 +75,16 @@ def _history_fn(spec_rolling, spec_lags, lag_fill, ffill_cols, src_cols, out_col
             st = state.get
             tail = pd.DataFrame(json.loads(st[0]), columns=src_cols)
             last = json.loads(st[1])
+            late = _late(pdf, st[2], st[3])
+            if late.any():
+                own = pdf[late].assign(is_late=True)
+                for name, src, *_ in [*spec_rolling, *spec_lags]:
+                    own[name] = pd.to_numeric(own[src], errors="coerce").astype("float64")
+                yield own[out_cols]
+                pdf = pdf[~late].reset_index(drop=True)
+                if pdf.empty:
+                    return
+        pdf["is_late"] = False
         n_tail = len(tail)
         hist = pd.concat([tail, pdf[src_cols]], ignore_index=True) if n_tail else pdf[src_cols].copy()
         out = pdf.copy()
@@ -96,6 +125,8 @@ def _history_fn(spec_rolling, spec_lags, lag_fill, ffill_cols, src_cols, out_col
             (
                 json.dumps([[_to_py(v) for v in row] for row in keep_tail.itertuples(index=False, name=None)]),
                 json.dumps(new_last),
+                pdf[S.TS].iloc[-1].isoformat(),
+                int(pdf[S.KEY].iloc[-1]),
             )
         )
         yield out[out_cols]
@@ -114,11 +145,12 @@ def stream_history_features(local: DataFrame, lag_fill: dict[str, float | None],
     lookback = max([n - 1 for *_, n in rolling] + [n for *_, n in lags])
     in_fields = {f.name: f for f in local.schema.fields}
     out_fields = [in_fields[c] for c in local.columns] + [T.StructField(n, T.DoubleType()) for n in S.ROLLING_COLS_OUT + S.LAG_COLS_OUT]
+    out_fields.append(T.StructField("is_late", T.BooleanType()))
     out_schema = T.StructType(out_fields)
     fn = _history_fn(rolling, lags, lag_fill, ffill_cols, src_cols, [f.name for f in out_fields], lookback)
     res = local.groupBy(S.HOST).applyInPandasWithState(fn, out_schema, HISTORY_STATE, "append", GroupStateTimeout.NoTimeout)
     filled = res.fillna(0, subset=[c for c in S.FEATURE_COLS if c != S.TS])
-    return filled.select(*keep, *S.FEATURE_COLS)
+    return filled.select(*keep, *S.FEATURE_COLS, "is_late")
 
 
 def _alert_fn(above: float, for_seconds: int):
@@ -128,21 +160,34 @@ def _alert_fn(above: float, for_seconds: int):
         pdf = pd.concat(list(pdfs), ignore_index=True).sort_values([S.TS, S.KEY], kind="mergesort")
         hot_prev, start, fired = False, None, False
         if state.exists:
-            hot_prev, start, fired = state.get
-            start = pd.Timestamp(start) if start is not None else None
-        rows = []
-        for ts, p in zip(pdf[S.TS], pdf["failure_probability"]):
-            hot = p is not None and not pd.isna(p) and p > above
-            if hot and not hot_prev:
-                start, fired = pd.Timestamp(ts), False
-            if hot and not fired and pd.Timestamp(ts) >= start + span:
-                rows.append((key[0], start, pd.Timestamp(ts)))
-                fired = True
-            if not hot:
-                start, fired = None, False
-            hot_prev = hot
-        state.update((bool(hot_prev), None if start is None else start.to_pydatetime(), bool(fired)))
-        yield pd.DataFrame(rows, columns=[S.HOST, "island_start", "fired_at"])
+            hot_prev, start, fired, at, last_key = state.get
+            pdf = pdf[~_late(pdf, at, last_key)]
+            if pdf.empty:
+                return
+        hot = (pdf["failure_probability"] > above).to_numpy(bool)
+        before = np.concatenate([[bool(hot_prev)], hot[:-1]])
+        # island 0 is the open one of the state, if any
+        island = np.cumsum(hot & ~before)
+        starts = pdf[S.TS].where(hot & ~before)
+        if start is not None:
+            starts = starts.mask(island == 0, pd.Timestamp(start))
+        starts = starts.ffill()
+        due = hot & (pdf[S.TS] >= starts + span).to_numpy(bool)
+        if fired:
+            due &= island > 0
+        alerts = pd.DataFrame({S.HOST: key[0], "island_start": starts, "fired_at": pdf[S.TS]})[due]
+        alerts = alerts[~pd.Series(island[due], index=alerts.index).duplicated()]
+        open_island = bool(hot[-1])
+        state.update(
+            (
+                open_island,
+                starts.iloc[-1].to_pydatetime() if open_island else None,
+                open_island and bool((due & (island == island[-1])).any() or (fired and island[-1] == 0)),
+                pdf[S.TS].iloc[-1].isoformat(),
+                int(pdf[S.KEY].iloc[-1]),
+            )
+        )
+        yield alerts
 
     return fn
 
@@ -210,9 +255,10 @@ def stream_rollup(
 
 
 def stream_score_readings(metrics: DataFrame, model, model_name: str, manifest: list[str], as_of=None) -> DataFrame:
-    """Stateless scoring of a reading stream: the batch scoring plan as is."""
-    from strainmeter.plans.score import score_batch
+    """Stateless scoring of a reading stream: the batch scoring plan as is;
+    rejected readings come with their violations."""
+    from strainmeter.plans.score import score_batch, with_rejected
 
     readings = metrics.select(F.col(S.KEY).alias("reading_id"), S.HOST, S.TS, *S.METRIC_COLS, "hour", "day_of_week")
-    preds, _bad = score_batch(readings, model, model_name, manifest=manifest, as_of=as_of)
-    return preds.withColumn("recommendations", X.recommendation_texts("recommendation_codes"))
+    preds, bad = score_batch(readings, model, model_name, manifest=manifest, as_of=as_of)
+    return with_rejected(preds, bad).withColumn("recommendations", X.recommendation_texts("recommendation_codes"))
