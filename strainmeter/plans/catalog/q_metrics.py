@@ -138,6 +138,11 @@ def q_balanced_weights(spark, sf_dir):
     return rounded(m.select(S.KEY, "weight"))
 
 
+# means of short decimals often end in an exact 5 at the seventh digit, where
+# summation order decides the rounding: both engines shift them off it
+TIE_SHIFT = 1e-9
+
+
 def _training_inputs_sql() -> str:
     head, tail = O.feature_sql().rsplit("\nSELECT ", 1)
     return head + f""",
@@ -151,7 +156,7 @@ tr AS (SELECT _ft.* FROM _ft JOIN parts USING (event_id) WHERE NOT is_test)"""
     _training_inputs_sql()
     + "\n"
     + "\nUNION ALL\n".join(
-        f"SELECT '{c}' AS column, count({c}) AS n, {O.r(f'avg({c})')} AS mean, {O.r(f'stddev_pop({c})')} AS std_pop,"
+        f"SELECT '{c}' AS column, count({c}) AS n, {O.r(f'avg({c}) + {TIE_SHIFT}')} AS mean, {O.r(f'stddev_pop({c})')} AS std_pop,"
         f" {O.r(f'stddev_samp({c})')} AS std_samp FROM tr"
         for c in S.MODEL_INPUTS
     ),
@@ -161,7 +166,8 @@ def q_scaler_stats(spark, sf_dir):
     (population sd, as the reference's scaler; sample sd, as MLlib's)."""
     ft = rounded(FE.feature_table(events_metrics(spark, sf_dir)))
     train = SP.stratified_split(ft, n_buckets=split_buckets(ft)).filter(~F.col("is_test"))
-    return rounded(EV.column_stats(train, S.MODEL_INPUTS))
+    stats = EV.column_stats(train, S.MODEL_INPUTS)
+    return rounded(stats.withColumn("mean", F.col("mean") + TIE_SHIFT))
 
 
 @register(
