@@ -119,7 +119,7 @@ def ship_package(spark: SparkSession) -> None:
     if sc.applicationId in _shipped:
         return
     root = os.path.dirname(os.path.abspath(__file__))
-    made = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="strainmeter-code-"), "strainmeter"), "zip", os.path.dirname(root), "strainmeter")
+    made = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="strainmeter-code-"), "strainmeter-streams"), "zip", os.path.dirname(root), "strainmeter")
     sc.addPyFile(made)
     _shipped.add(sc.applicationId)
 

@@ -25,6 +25,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from strainmeter import schema as S
 from strainmeter.functions import exprs as X
+from strainmeter.session import ship_package
 
 HISTORY_STATE = T.StructType(
     [
@@ -148,6 +149,7 @@ def stream_history_features(local: DataFrame, lag_fill: dict[str, float | None],
     out_fields.append(T.StructField("is_late", T.BooleanType()))
     out_schema = T.StructType(out_fields)
     fn = _history_fn(rolling, lags, lag_fill, ffill_cols, src_cols, [f.name for f in out_fields], lookback)
+    ship_package(local.sparkSession)  # before the function is made: it carries the file list
     res = local.groupBy(S.HOST).applyInPandasWithState(fn, out_schema, HISTORY_STATE, "append", GroupStateTimeout.NoTimeout)
     filled = res.fillna(0, subset=[c for c in S.FEATURE_COLS if c != S.TS])
     return filled.select(*keep, *S.FEATURE_COLS, "is_late")
@@ -202,6 +204,7 @@ def stream_sustained_alert(scored: DataFrame, above: float = S.ALERT_ABOVE, for_
             T.StructField("fired_at", T.TimestampNTZType()),
         ]
     )
+    ship_package(scored.sparkSession)
     src = scored.select(S.HOST, S.TS, S.KEY, "failure_probability")
     return src.groupBy(S.HOST).applyInPandasWithState(
         _alert_fn(above, for_seconds), schema, ALERT_STATE, "append", GroupStateTimeout.NoTimeout
