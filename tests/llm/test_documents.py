@@ -316,6 +316,16 @@ def test_personal_data_base_spans(spark, docs, odd):
         assert collected(pii.found(df), "doc_id", "base_sha256") == want
 
 
+def test_personal_data_zero_octets(spark):
+    rng = random.Random(11)
+    parts = ["0", "00", "10", "127", "1", "256", "255", "0" * 300, "."]
+    rows = [(i, t) for i, t in enumerate(["10.0.0.1", "127.0.0.1 and 192.168.0.1", "0.0.0.0", "00.000.0.256", "0" * 4000 + ".1.0.1", "1.0.1." + "0" * 4000])]
+    rows += [(100 + i, ".".join(rng.choice(parts) for _ in range(rng.randint(3, 6)))) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(((i, hashlib.sha256(brute_pii(t).encode()).hexdigest()) for i, t in rows), key=repr)
+    assert collected(pii.found(df), "doc_id", "base_sha256") == want
+
+
 def test_personal_data_plan_has_no_python(docs):
     plan = pii.found(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas|Exchange", plan)
