@@ -6,7 +6,8 @@ of high entropy: in every candidate string (a maximal run of characters that
 keys are made of) a window of ``WINDOW`` characters slides along while the
 counts of its characters, and from them its Shannon entropy, are kept up to
 date by one step in and one step out. A window whose entropy reaches the bound
-of its character class marks its characters. Strings on the allow-list, such as
+of its own character class (hexadecimal digits of one case, or text) marks its
+characters, whatever stands around it in the string. Strings on the allow-list, such as
 identifiers in UUID form and placeholder words, add nothing.
 
 One pass over the texts, no shuffle.
@@ -57,10 +58,16 @@ _MARK[[*b":="]] = True
 _TERM = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 1)]
 
 
-def dense(text: str, bound: float) -> list[tuple[int, int]]:
+_LOWER, _UPPER = frozenset("0123456789abcdef"), frozenset("0123456789ABCDEF")
+
+
+def dense(text: str, bound: float, other: float | None = None) -> list[tuple[int, int]]:
     """Spans of ``text`` covered by windows with entropy of at least
-    ``bound`` bits."""
+    ``bound`` bits; ``other`` bits, if given, for windows that aren't
+    hexadecimal digits of one case."""
     counts: dict[str, int] = {}
+    other = bound if other is None else other
+    lower = upper = 0  # length of the run of digits of either case that ends here
     total = 0.0
     out: list[tuple[int, int]] = []
     top = math.log2(WINDOW)
@@ -73,7 +80,10 @@ def dense(text: str, bound: float) -> list[tuple[int, int]]:
         n = counts.get(c, 0)
         counts[c] = n + 1
         total += _TERM[n + 1] - _TERM[n]
-        if i >= WINDOW - 1 and top - total / WINDOW >= bound - 1e-9:
+        lower = lower + 1 if c in _LOWER else 0
+        upper = upper + 1 if c in _UPPER else 0
+        least = bound if lower >= WINDOW or upper >= WINDOW else other
+        if i >= WINDOW - 1 and top - total / WINDOW >= least - 1e-9:
             a = i - WINDOW + 1
             if out and out[-1][1] >= a:
                 out[-1] = (out[-1][0], i + 1)
@@ -98,8 +108,8 @@ def spans(text: str, allowed: tuple[str, ...] = ALLOWED) -> list[tuple[str, int,
         run = m.group()
         if not _mixed(run) or any(re.search(p, run) for p in allowed):
             continue
-        kind = "entropy_hex" if _HEXADECIMAL.fullmatch(run) else "entropy_text"
-        for a, b in dense(run, BOUNDS[kind]):
+        for a, b in dense(run, BOUNDS["entropy_hex"], BOUNDS["entropy_text"]):
+            kind = "entropy_hex" if _HEXADECIMAL.fullmatch(run, a, b) else "entropy_text"
             a, b = a + m.start(), b + m.start()
             if _mixed(text[a:b]) and not any(x <= a and b <= y for _, x, y in base):
                 out.append((kind, a, b))

@@ -92,6 +92,21 @@ def test_secret_added_spans_and_allow_list():
     assert secretscan.spans("ordinary words and internationalisations only") == []
 
 
+def test_secret_hex_keys_behind_a_name():
+    rng = random.Random(21)
+    for n in (20, 24, 31):
+        for digits in ("0123456789abcdef", "0123456789ABCDEF"):
+            for before, after in (("sid=", ""), ("/v1/", "/items"), ("key_", "_old"), ("run-", "")):
+                for _ in range(50):
+                    key = "".join(rng.choice(digits) for _ in range(n))
+                    bare = secretscan.spans(f"see {key} .")
+                    got = secretscan.spans(f"see {before}{key}{after} .")
+                    at = 4 + len(before)
+                    for kind, a, b in bare:  # whatever is found alone is found behind a name
+                        assert kind == "entropy_hex"
+                        assert any(x <= a - 4 + at and b - 4 + at <= y for _, x, y in got)
+
+
 def test_redaction_keeps_rows_and_columns(odd, docs):
     out = secretscan.redacted(odd)
     assert out.columns == odd.columns and out.count() == odd.count()
