@@ -7,8 +7,9 @@ keys are made of) a window of ``WINDOW`` characters slides along while the
 counts of its characters, and from them its Shannon entropy, are kept up to
 date by one step in and one step out. A window whose entropy reaches the bound
 of its own character class (hexadecimal digits of one case, or text) marks its
-characters, whatever stands around it in the string. Strings on the allow-list, such as
-identifiers in UUID form and placeholder words, add nothing.
+characters, whatever stands around it in the string. What is on the allow-list, such as
+identifiers in UUID form and placeholder words, adds nothing: the part between
+/ = _ - that holds it is left out, its neighbours are scanned.
 
 One pass over the texts, no shuffle.
 """
@@ -98,6 +99,29 @@ def _mixed(text: str) -> bool:
     return digits >= 2 and len(text) - digits >= 2
 
 
+def _open(run: str, allowed: tuple[str, ...]) -> list[tuple[int, int]]:
+    """Stretches of ``run`` that the allow-list leaves: without each part
+    between / = _ - that a match reaches into. A match that ends in a mark
+    (sha256-) names the value behind it, up to the next = _ -."""
+    shut = []
+    for p in allowed:
+        for m in re.finditer(p, run):
+            a, b = m.span()
+            if a == b:
+                continue
+            while a and run[a - 1] not in "/=_-":
+                a -= 1
+            marks = "=_-" if run[b - 1] in "/=_-" else "/=_-"
+            while b < len(run) and run[b] not in marks:
+                b += 1
+            shut.append((a, b))
+    out, at = [], 0
+    for a, b in sorted(shut):
+        out.append((at, a))
+        at = max(at, b)
+    return [(a, b) for a, b in [*out, (at, len(run))] if b - a >= WINDOW]
+
+
 def spans(text: str, allowed: tuple[str, ...] = ALLOWED) -> list[tuple[str, int, int]]:
     """(kind, start, end) of all secrets by start, then kind."""
     out = [("assign", m.start(), m.end()) for m in _ASSIGN.finditer(text) if m.end(1) - m.start(1) >= 8] if "=" in text or ":" in text else []
@@ -106,13 +130,14 @@ def spans(text: str, allowed: tuple[str, ...] = ALLOWED) -> list[tuple[str, int,
     base = list(out)
     for m in _CANDIDATE.finditer(text):
         run = m.group()
-        if not _mixed(run) or any(re.search(p, run) for p in allowed):
+        if not _mixed(run):
             continue
-        for a, b in dense(run, BOUNDS["entropy_hex"], BOUNDS["entropy_text"]):
-            kind = "entropy_hex" if _HEXADECIMAL.fullmatch(run, a, b) else "entropy_text"
-            a, b = a + m.start(), b + m.start()
-            if _mixed(text[a:b]) and not any(x <= a and b <= y for _, x, y in base):
-                out.append((kind, a, b))
+        for first, last in _open(run, allowed):
+            for a, b in dense(run[first:last], BOUNDS["entropy_hex"], BOUNDS["entropy_text"]):
+                a, b = a + first + m.start(), b + first + m.start()
+                kind = "entropy_hex" if _HEXADECIMAL.fullmatch(text, a, b) else "entropy_text"
+                if _mixed(text[a:b]) and not any(x <= a and b <= y for _, x, y in base):
+                    out.append((kind, a, b))
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 

@@ -107,6 +107,15 @@ def test_secret_hex_keys_behind_a_name():
                         assert any(x <= a - 4 + at and b - 4 + at <= y for _, x, y in got)
 
 
+def test_secret_allow_list_shuts_only_its_part():
+    key = "qZ8xT1vB9kLm3Np7Rs2Wd5"
+    for text in (f"host/sample/{key}", f"sample_id={key}", f"{key}/example", f"0123456789/{key}", f"dummy-{key}-lorem"):
+        at = text.index(key)
+        assert any(a <= at and at + len(key) <= b for _, a, b in secretscan.spans(text)), text
+    for text in (f"host/sample{key}", f"{key}EXAMPLE", "sha256-" + key + "/" + key + "=", f"sha1={key}"):
+        assert secretscan.spans(text) == [], text
+
+
 def test_redaction_keeps_rows_and_columns(odd, docs):
     out = secretscan.redacted(odd)
     assert out.columns == odd.columns and out.count() == odd.count()
