@@ -235,6 +235,27 @@ def test_passages_in_different_surroundings(spark, odd):
     assert passages.repeated(odd.limit(0)).count() == 0
 
 
+def test_passages_with_a_changed_word_anywhere():
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(4, 8)))
+    for n in (50, 55, 60, 70):
+        for at in range(n):
+            plain = [word() for _ in range(n)]
+            other = [*plain[:at], "changed", *plain[at + 1 :]]
+            a = passages._Text(" ".join([*[word() for _ in range(30)], *plain, *[word() for _ in range(30)]]))
+            b = passages._Text(" ".join([*[word() for _ in range(50)], *other, *[word() for _ in range(20)]]))
+            m = min(len(a.shingles), len(b.shingles) - 20)
+            same = np.concatenate([[0], np.cumsum(a.shingles[:m] == b.shingles[20 : 20 + m])])
+            for c in np.flatnonzero(np.diff(same)).tolist()[:: 1 if at % 10 == 0 else 9]:
+                best = max((e - s for s in range(c + 1) for e in range(max(c, s + passages.LEAST - 1) + 1, m + 1) if same[e] - same[s] >= 0.8 * (e - s) - 1e-9), default=0)
+                found = passages.shared(a, b, [c])
+                assert bool(found) == (best > 0), (n, at, c)
+                for s, e, move in found:
+                    e -= tv.SHINGLE - 1
+                    assert move == 20 and s <= c < e and e - s >= passages.LEAST
+                    assert same[e] - same[s] >= 0.8 * (e - s) - 1e-9
+
+
 # -- op4
 
 
