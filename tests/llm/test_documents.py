@@ -256,6 +256,20 @@ def test_passages_with_a_changed_word_anywhere():
                     assert same[e] - same[s] >= 0.8 * (e - s) - 1e-9
 
 
+def test_passages_in_partitions_of_over_a_million_rows(spark):
+    at = 1 << 20  # the last row of the first of two partitions
+    a, b, c = (" ".join(f"{x}{i:03d}" for i in range(60)) for x in "abc")
+    text = "CASE id WHEN {} THEN '{}' WHEN {} THEN '{}' WHEN {} THEN '{}' ELSE concat('x', id) END"
+    docs = spark.range(0, 2 * (at + 1), 1, 2)
+    docs = docs.selectExpr("id AS doc_id", text.format(at, a, at + 1, b, at + 9, a + " " + c) + " AS text")
+    found = {r.doc_id: r for r in passages.repeated(docs).collect()}
+    assert set(found) == {at, at + 9}  # b shares nothing
+    assert all(r.n_links == 1 and r.class_id == at for r in found.values())
+    place = [((p << 33) + i, 300) for p, i in ((0, 0), (0, 1 << 20), (1, 0), (1, 1 << 21), (3, 0))]
+    rows = spark.createDataFrame([(*x, "k", 1, "t") for x in place], "place long, size int, key string, n long, text string")
+    assert passages._numbered(rows).select("node").distinct().count() == len(place)
+
+
 # -- op4
 
 
