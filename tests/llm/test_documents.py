@@ -270,6 +270,21 @@ def test_passages_in_partitions_of_over_a_million_rows(spark):
     assert passages._numbered(rows).select("node").distinct().count() == len(place)
 
 
+def test_passages_of_two_texts_with_shared_boilerplate(spark):
+    rng = random.Random(12)
+    some = lambda n: ["".join(rng.choice("abcdefghij") for _ in range(8)) for _ in range(n)]
+    least = lambda text: [int(tv.seeded(text.shingles, 200 + f).argmin()) for f in range(passages.FUNCS)]
+    while True:  # the third text holds the minima of all functions but the first
+        line, before, after, third = some(25), some(12), some(13), some(25)
+        passage, third = " ".join(before + line + after), " ".join(line + third)
+        p, t = passages._Text(passage), passages._Text(third)
+        if all(p.shingles[i] == t.shingles[j] for i, j in list(zip(least(p), least(t)))[1:]) and not 12 <= least(p)[0] <= 32:
+            break
+    rows = [(1, third), (2, " ".join([*some(3), passage, *some(30)])), (3, " ".join([*some(40), passage, *some(3)]))]
+    found = {r.doc_id: r.class_id for r in passages.repeated(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {2: 2, 3: 2}
+
+
 # -- op4
 
 
