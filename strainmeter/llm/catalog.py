@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strainmeter.llm import bagminhash, decontaminate, language, packing, passages, pii, quality, secretscan, shards, vectors
+from strainmeter.llm import bagminhash, centroids, decontaminate, language, packing, passages, pii, quality, secretscan, shards, vectors
 from strainmeter.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,10 +53,14 @@ def op10_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clustered(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_secretscan, op2_decontamination, op3_passages, op4_bagminhash, op5_pii, op6_quality, op7_sharding, op8_packing, op9_language, op10_vectors)
+    for f in (op1_secretscan, op2_decontamination, op3_passages, op4_bagminhash, op5_pii, op6_quality, op7_sharding, op8_packing, op9_language, op10_vectors, op12_centroids)
 }
 
 #: DuckDB SQL of the queries that SQL can express.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op12_centroids": centroids.SQL}
