@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strainmeter.llm import bagminhash, centroids, decontaminate, language, packing, passages, pii, quality, secretscan, shards, spellings, vectors
+from strainmeter.llm import bagminhash, centroids, decontaminate, language, packing, passages, pii, quality, secretscan, shards, spellings, toxicity, vectors
 from strainmeter.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,10 @@ def op10_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.clustered(table(spark, sf_dir, "embeddings"))
 
@@ -63,7 +67,7 @@ def op13_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_secretscan, op2_decontamination, op3_passages, op4_bagminhash, op5_pii, op6_quality, op7_sharding, op8_packing, op9_language, op10_vectors, op12_centroids, op13_spellings)
+    for f in (op1_secretscan, op2_decontamination, op3_passages, op4_bagminhash, op5_pii, op6_quality, op7_sharding, op8_packing, op9_language, op10_vectors, op11_toxicity, op12_centroids, op13_spellings)
 }
 
 #: DuckDB SQL of the queries that SQL can express.
