@@ -32,6 +32,7 @@ def register(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import every catalog module (each registers its queries)."""
     from strainmeter.plans.catalog import (  # noqa: F401
+        q_balance,
         q_clean,
         q_features,
         q_metrics,

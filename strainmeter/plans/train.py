@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 
 from strainmeter import schema as S
 from strainmeter.operators import evaluate as EV
+from strainmeter.operators.oversample import smote_oversample
 from strainmeter.plans.score import positive_probability
-from strainmeter.session import ensure_checkpoint_dir
+from strainmeter.session import ensure_checkpoint_dir, shared_path
 
 LABEL_D = "label_d"
 WEIGHT = "weight"
@@ -47,10 +48,13 @@ DEFAULT_SPECS = {
 }
 
 
-def with_training_columns(train: DataFrame, name: str, label: str = S.LABEL) -> DataFrame:
+def with_training_columns(train: DataFrame, name: str, label: str = S.LABEL, balance: str = "weights") -> DataFrame:
     """Double label and the model's row weight: balanced class weights for
-    forest and logistic, neg/pos on positives for boosted trees."""
+    forest and logistic, neg/pos on positives for boosted trees. Rows that
+    ``balance='smote'`` has levelled all weigh one."""
     df = train.withColumn(LABEL_D, F.col(label).cast("double"))
+    if balance == "smote":
+        return df.withColumn(WEIGHT, F.lit(1.0))
     if name == "boosted_trees":
         c = EV.class_counts(df, label).first()
         pos_w = (c["n_neg"] / c["n_pos"]) if c["n_pos"] else 1.0
@@ -77,11 +81,21 @@ def build_pipeline(spec: ModelSpec, inputs: list[str], n_weight_sum: float | Non
     return Pipeline(stages=stages)
 
 
-def fit_model(train: DataFrame, spec: ModelSpec, inputs: list[str] = S.MODEL_INPUTS, label: str = S.LABEL) -> PipelineModel:
+def fit_model(
+    train: DataFrame, spec: ModelSpec, inputs: list[str] = S.MODEL_INPUTS, label: str = S.LABEL, balance: str = "weights"
+) -> PipelineModel:
+    """Fit of one model. Imbalance is met by row weights (``weights``) or by
+    synthetic minority rows of the training part (``smote``)."""
     # tree fits cut their lineage every checkpointInterval (10) iterations,
     # but only when the context has the shared checkpoint folder
     ensure_checkpoint_dir(train.sparkSession)
-    df = with_training_columns(train, spec.name, label)
+    if balance not in ("weights", "smote"):
+        raise ValueError(f"unknown balance {balance!r}")
+    if balance == "smote":
+        path = shared_path(train.sparkSession, "train-smote")
+        smote_oversample(train, inputs, label).write.parquet(path)  # read by every iteration
+        train = train.sparkSession.read.parquet(path)
+    df = with_training_columns(train, spec.name, label, balance)
     wsum = None
     if spec.name == "logistic_regression":
         wsum = float(df.agg(F.sum(WEIGHT)).first()[0])
