@@ -48,6 +48,20 @@ def fixture_score(df: DataFrame) -> DataFrame:
     )
 
 
+def fixture_model():
+    """The stand-in model as a ``PipelineModel``: the same p as the positive
+    class of a ``probability`` vector."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import SQLTransformer, VectorAssembler
+
+    p = "(cpu_usage + memory_usage) / 200"
+    stages = [
+        SQLTransformer(statement=f"SELECT *, 1 - {p} AS _p0, {p} AS _p1 FROM __THIS__"),
+        VectorAssembler(inputCols=["_p0", "_p1"], outputCol="probability", handleInvalid="keep"),
+    ]
+    return PipelineModel(stages)
+
+
 FIXTURE_P_SQL = "(cpu_usage + memory_usage) / 200"
 
 

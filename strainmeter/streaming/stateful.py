@@ -1,49 +1,61 @@
-"""Stateful stream operators with ``applyInPandasWithState``.
-
-Per host the state is small and bounded: the last rows a row frame or lag
-needs (4), the last non-null value of each forward-filled column, or the
-open island of an alert. Each micro-batch's rows of a host are sorted by
-(ts, key) and processed after the state rows, so a stream delivered in time
-order gives the batch operator's values. A row that isn't after the state's
-last (ts, key) is late: it gets its own values as history, is marked
-``is_late`` and leaves the state alone (alerts ignore it). The group a task holds is one
-host's rows of one micro-batch (bound it with ``maxFilesPerTrigger`` /
-``maxBytesPerTrigger``), never the host's history.
+"""Stateful stream operators with ``applyInPandasWithState``, in event time.
+
+Rows are held per host until ``late_bound`` (10 minutes) of event time has
+passed, then processed in (ts, key) order: deliveries shuffled within the bound
+give the batch operators' rows exactly. A row that comes after its host's
+later rows were processed is late: it is marked ``is_late`` and changes no
+other row.
+
+The engine's watermark trails by ``grace`` (a day), not by the bound: rows late
+by up to that still reach the operator, which sends them to the side table
+(``sources.run_to_tables``); only rows beyond it are dropped by the engine,
+which counts them in the query progress. The processing mark is the watermark
+plus grace minus bound. Event-time timers release rows of hosts that get no
+more data, and remove the state of a host that was silent for ``idle``.
+
+The state of a host is bounded: the rows of the last ``late_bound`` and of one
+micro-batch (``maxFilesPerTrigger``), the last rows a row frame or lag needs
+(4), the last non-null value of each forward-filled column, or the open island
+of an alert.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from strainmeter import schema as S
 from strainmeter.functions import exprs as X
+from strainmeter.operators.clean import nan_to_null
+from strainmeter.operators.features import row_local_features
 from strainmeter.session import ship_package
+from strainmeter.streaming.sources import read_batches, run_to_tables
 
-HISTORY_STATE = T.StructType(
-    [
-        T.StructField("tail", T.StringType()),
-        T.StructField("last", T.StringType()),
-        T.StructField("at", T.StringType()),
-        T.StructField("key", T.LongType()),
-    ]
-)
-ALERT_STATE = T.StructType(
+ORDER_STATE = T.StructType(
     [
-        T.StructField("hot", T.BooleanType()),
-        T.StructField("island_start", T.TimestampNTZType()),
-        T.StructField("fired", T.BooleanType()),
-        T.StructField("at", T.StringType()),
+        T.StructField("held", T.BinaryType()),  # rows not yet due, as an Arrow stream
+        T.StructField("inner", T.StringType()),  # the operator's own state, JSON
+        T.StructField("at", T.StringType()),  # last processed (ts, key)
         T.StructField("key", T.LongType()),
+        T.StructField("seen", T.LongType()),  # latest event time, ms
     ]
 )
+EVENT_TIME = "_event_time"
+GRACE = "1 day"
+IDLE = "7 days"
+
+
+def milliseconds(interval: str) -> int:
+    return int(pd.Timedelta(interval) // pd.Timedelta(milliseconds=1))
 
 
 def _to_py(v):
@@ -59,36 +71,85 @@ def _to_py(v):
 
 
 def _late(pdf: pd.DataFrame, at: str | None, key: int | None) -> pd.Series:
-    """Rows not after the last row seen, (``at``, ``key``)."""
+    """Rows not after the last row processed, (``at``, ``key``)."""
     if at is None:
         return pd.Series(False, index=pdf.index)
     seen = pd.Timestamp(at)
     return (pdf[S.TS] < seen) | ((pdf[S.TS] == seen) & (pdf[S.KEY] <= key))
 
 
-def _history_fn(spec_rolling, spec_lags, lag_fill, ffill_cols, src_cols, out_cols, lookback):
+def _ms(ts: pd.Series) -> pd.Series:
+    return ts.astype("datetime64[us]").astype("int64") // 1000
+
+
+def _in_event_time(process: Callable, late_rows: Callable, schema: T.StructType, late_bound: str, grace: str, idle: str):
+    """State function that gives ``process(key, rows, inner)`` each host's
+    rows in (ts, key) order once they are due; it returns (output rows, new
+    inner state). ``late_rows(rows)`` makes the output of late rows."""
+    bound, slack, silent = (milliseconds(x) for x in (late_bound, grace, idle))
+    if slack < bound:
+        raise ValueError("the grace must not be shorter than the late bound")
+    arrow = to_arrow_schema(schema)
+    columns = [f.name for f in schema.fields]
+
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(pdfs), ignore_index=True)
-        pdf = pdf.sort_values([S.TS, S.KEY], kind="mergesort").reset_index(drop=True)
-        tail = pd.DataFrame(columns=src_cols)
-        last: dict = {}
-        if state.exists:
-            st = state.get
-            tail = pd.DataFrame(json.loads(st[0]), columns=src_cols)
-            last = json.loads(st[1])
-            late = _late(pdf, st[2], st[3])
+        held, inner, at, last_key, seen = state.get if state.exists else (None, None, None, None, None)
+        watermark = state.getCurrentWatermarkMs()
+        mark = watermark + slack - bound if watermark > 0 else None
+        new = [] if state.hasTimedOut else [p[columns] for p in pdfs]
+        rows = pd.concat(new, ignore_index=True) if new else pd.DataFrame(columns=columns)
+        if len(rows):
+            seen = max(seen or 0, int(_ms(rows[S.TS]).max()))
+            late = _late(rows, at, last_key)
             if late.any():
-                own = pdf[late].assign(is_late=True)
-                for name, src, *_ in [*spec_rolling, *spec_lags]:
-                    own[name] = pd.to_numeric(own[src], errors="coerce").astype("float64")
-                yield own[out_cols]
-                pdf = pdf[~late].reset_index(drop=True)
-                if pdf.empty:
-                    return
-        pdf["is_late"] = False
+                yield late_rows(rows[late])
+                rows = rows[~late]
+        if held is not None:
+            with pa.ipc.open_stream(held) as r:
+                before = r.read_pandas()
+            rows = pd.concat([before, rows], ignore_index=True) if len(rows) else before
+        if len(rows):
+            rows = rows.sort_values([S.TS, S.KEY], kind="mergesort").reset_index(drop=True)
+            due = _ms(rows[S.TS]) <= mark if mark is not None else pd.Series(False, index=rows.index)
+            ready, rows = rows[due].reset_index(drop=True), rows[~due].reset_index(drop=True)
+            if len(ready):
+                out, new_inner = process(key, ready, json.loads(inner) if inner else None)
+                inner = json.dumps(new_inner)
+                at, last_key = ready[S.TS].iloc[-1].isoformat(), int(ready[S.KEY].iloc[-1])
+                yield out
+        if len(rows):
+            sink = pa.BufferOutputStream()
+            table = pa.Table.from_pandas(rows, schema=arrow, preserve_index=False)
+            with pa.ipc.new_stream(sink, table.schema) as w:
+                w.write_table(table)
+            held = sink.getvalue().to_pybytes()
+            timer = int(_ms(rows[S.TS]).min()) + bound - slack - 1
+        else:
+            held = None
+            timer = (seen or 0) + silent - slack
+            if state.hasTimedOut and timer < watermark:
+                state.remove()
+                return
+        state.update((held, inner, at, last_key, seen))
+        state.setTimeoutTimestamp(max(timer, watermark, 1))
+
+    return fn
+
+
+def _by_host(rows: DataFrame, process: Callable, late_rows: Callable, out: T.StructType, late_bound: str, grace: str, idle: str) -> DataFrame:
+    ship_package(rows.sparkSession)  # before the function is made: it carries the file list
+    fn = _in_event_time(process, late_rows, rows.schema, late_bound, grace, idle)
+    timed = rows.withColumn(EVENT_TIME, F.expr(X.ntz_to_instant_sql(S.TS))).withWatermark(EVENT_TIME, grace)
+    return timed.groupBy(S.HOST).applyInPandasWithState(fn, out, ORDER_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def _history_fn(spec_rolling, spec_lags, lag_fill, ffill_cols, src_cols, out_cols, lookback):
+    def process(key, pdf: pd.DataFrame, inner: dict | None) -> tuple[pd.DataFrame, dict]:
+        tail = pd.DataFrame(inner["tail"] if inner else [], columns=src_cols)
+        last: dict = inner["last"] if inner else {}
+        out = pdf.assign(is_late=False)
         n_tail = len(tail)
         hist = pd.concat([tail, pdf[src_cols]], ignore_index=True) if n_tail else pdf[src_cols].copy()
-        out = pdf.copy()
         for name, src, how, n in spec_rolling:
             s = pd.to_numeric(hist[src], errors="coerce").astype("float64")
             r = s.rolling(window=n, min_periods=1)
@@ -122,23 +183,31 @@ def _history_fn(spec_rolling, spec_lags, lag_fill, ffill_cols, src_cols, out_col
             if len(nn):
                 new_last[src] = _to_py(nn.iloc[-1])
         keep_tail = hist.iloc[-lookback:] if lookback else hist.iloc[0:0]
-        state.update(
-            (
-                json.dumps([[_to_py(v) for v in row] for row in keep_tail.itertuples(index=False, name=None)]),
-                json.dumps(new_last),
-                pdf[S.TS].iloc[-1].isoformat(),
-                int(pdf[S.KEY].iloc[-1]),
-            )
-        )
-        yield out[out_cols]
+        return out[out_cols], {"tail": [[_to_py(v) for v in row] for row in keep_tail.itertuples(index=False, name=None)], "last": new_last}
 
-    return fn
+    def late_rows(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Late rows with their own values as history."""
+        own = pdf.assign(is_late=True)
+        for name, src, *_ in [*spec_rolling, *spec_lags]:
+            own[name] = pd.to_numeric(own[src], errors="coerce").astype("float64")
+        return own[out_cols]
 
+    return process, late_rows
 
-def stream_history_features(local: DataFrame, lag_fill: dict[str, float | None], keep: list[str] | None = None) -> DataFrame:
-    """Rolling, lag and forward-filled features on a stream of row-local
-    feature rows (``features.row_local_features``), keyed by host."""
+
+def stream_history_features(
+    metrics: DataFrame,
+    lag_fill: dict[str, float | None],
+    keep: list[str] | None = None,
+    late_bound: str = S.LATE_BOUND,
+    grace: str = GRACE,
+    idle: str = IDLE,
+) -> DataFrame:
+    """The feature table's rows over a stream of metric rows, keyed by host:
+    ``keep`` columns, 48 features and ``is_late``. A row comes out once
+    ``late_bound`` of event time has passed after it."""
     keep = keep or [S.KEY, S.HOST]
+    local = row_local_features(nan_to_null(metrics, [c for c, t in metrics.dtypes if t in ("double", "float")]))
     rolling, lags = S.rolling_names(), S.lag_names()
     never = set(S.STRESS_COLS) | set(keep) | {S.LABEL, S.TS}
     ffill_cols = [c for c in local.columns if c not in never]
@@ -147,25 +216,18 @@ def stream_history_features(local: DataFrame, lag_fill: dict[str, float | None],
     in_fields = {f.name: f for f in local.schema.fields}
     out_fields = [in_fields[c] for c in local.columns] + [T.StructField(n, T.DoubleType()) for n in S.ROLLING_COLS_OUT + S.LAG_COLS_OUT]
     out_fields.append(T.StructField("is_late", T.BooleanType()))
-    out_schema = T.StructType(out_fields)
-    fn = _history_fn(rolling, lags, lag_fill, ffill_cols, src_cols, [f.name for f in out_fields], lookback)
-    ship_package(local.sparkSession)  # before the function is made: it carries the file list
-    res = local.groupBy(S.HOST).applyInPandasWithState(fn, out_schema, HISTORY_STATE, "append", GroupStateTimeout.NoTimeout)
+    process, late_rows = _history_fn(rolling, lags, lag_fill, ffill_cols, src_cols, [f.name for f in out_fields], lookback)
+    res = _by_host(local, process, late_rows, T.StructType(out_fields), late_bound, grace, idle)
     filled = res.fillna(0, subset=[c for c in S.FEATURE_COLS if c != S.TS])
     return filled.select(*keep, *S.FEATURE_COLS, "is_late")
 
 
 def _alert_fn(above: float, for_seconds: int):
     span = pd.Timedelta(seconds=for_seconds)
+    columns = [S.HOST, "island_start", "fired_at"]
 
-    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values([S.TS, S.KEY], kind="mergesort")
-        hot_prev, start, fired = False, None, False
-        if state.exists:
-            hot_prev, start, fired, at, last_key = state.get
-            pdf = pdf[~_late(pdf, at, last_key)]
-            if pdf.empty:
-                return
+    def process(key, pdf: pd.DataFrame, inner: dict | None) -> tuple[pd.DataFrame, dict]:
+        hot_prev, start, fired = (inner["hot"], inner["start"], inner["fired"]) if inner else (False, None, False)
         hot = (pdf["failure_probability"] > above).to_numpy(bool)
         before = np.concatenate([[bool(hot_prev)], hot[:-1]])
         # island 0 is the open one of the state, if any
@@ -180,23 +242,30 @@ def _alert_fn(above: float, for_seconds: int):
         alerts = pd.DataFrame({S.HOST: key[0], "island_start": starts, "fired_at": pdf[S.TS]})[due]
         alerts = alerts[~pd.Series(island[due], index=alerts.index).duplicated()]
         open_island = bool(hot[-1])
-        state.update(
-            (
-                open_island,
-                starts.iloc[-1].to_pydatetime() if open_island else None,
-                open_island and bool((due & (island == island[-1])).any() or (fired and island[-1] == 0)),
-                pdf[S.TS].iloc[-1].isoformat(),
-                int(pdf[S.KEY].iloc[-1]),
-            )
-        )
-        yield alerts
+        return alerts[columns], {
+            "hot": open_island,
+            "start": starts.iloc[-1].isoformat() if open_island else None,
+            "fired": open_island and bool((due & (island == island[-1])).any() or (fired and island[-1] == 0)),
+        }
 
-    return fn
+    def late_rows(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Late rows open or close no island."""
+        return pd.DataFrame({c: pdf[S.TS if c != S.HOST else S.HOST] for c in columns}).iloc[0:0]
+
+    return process, late_rows
 
 
-def stream_sustained_alert(scored: DataFrame, above: float = S.ALERT_ABOVE, for_seconds: int = S.ALERT_FOR_SECONDS) -> DataFrame:
-    """Alert rows (host, island start, firing time) as soon as a host's
-    probability has stayed above the bound for ``for_seconds``."""
+def stream_sustained_alert(
+    scored: DataFrame,
+    above: float = S.ALERT_ABOVE,
+    for_seconds: int = S.ALERT_FOR_SECONDS,
+    late_bound: str = S.LATE_BOUND,
+    grace: str = GRACE,
+    idle: str = IDLE,
+) -> DataFrame:
+    """Alert rows (host, island start, firing time) once a host's probability
+    has stayed above the bound for ``for_seconds`` and ``late_bound`` has
+    passed after the firing row."""
     schema = T.StructType(
         [
             T.StructField(S.HOST, T.LongType()),
@@ -204,11 +273,8 @@ def stream_sustained_alert(scored: DataFrame, above: float = S.ALERT_ABOVE, for_
             T.StructField("fired_at", T.TimestampNTZType()),
         ]
     )
-    ship_package(scored.sparkSession)
     src = scored.select(S.HOST, S.TS, S.KEY, "failure_probability")
-    return src.groupBy(S.HOST).applyInPandasWithState(
-        _alert_fn(above, for_seconds), schema, ALERT_STATE, "append", GroupStateTimeout.NoTimeout
-    )
+    return _by_host(src, *_alert_fn(above, for_seconds), schema, late_bound, grace, idle)
 
 
 def stream_rollup(
@@ -265,3 +331,32 @@ def stream_score_readings(metrics: DataFrame, model, model_name: str, manifest:
     readings = metrics.select(F.col(S.KEY).alias("reading_id"), S.HOST, S.TS, *S.METRIC_COLS, "hour", "day_of_week")
     preds, bad = score_batch(readings, model, model_name, manifest=manifest, as_of=as_of)
     return with_rejected(preds, bad).withColumn("recommendations", X.recommendation_texts("recommendation_codes"))
+
+
+def score_tables(scored: DataFrame, base: str) -> dict[str, str]:
+    """Run a stream of ``stream_score_readings`` into the tables
+    ``predictions`` and ``quarantine`` (rejected readings with their codes)
+    under ``base``, each micro-batch exactly once."""
+    given = ["failure_probability", "failure_risk", "confidence", "recommendations", "model_used", "timestamp", "recommendation_codes"]
+    names = [c for c in scored.columns if c not in given and c != "violations"]
+    return run_to_tables(
+        scored,
+        {
+            "predictions": lambda b: b.filter(F.col("violations").isNull()).drop("violations"),
+            "quarantine": lambda b: b.filter(F.col("violations").isNotNull()).select(*names, "violations"),
+        },
+        base,
+    )
+
+
+def late_apart(rows: DataFrame, base: str) -> dict[str, str]:
+    """Run a stream with an ``is_late`` column into the tables ``rows`` and
+    ``late`` (late rows with their own values as history) under ``base``."""
+    return run_to_tables(
+        rows, {"rows": lambda b: b.filter(~F.col("is_late")).drop("is_late"), "late": lambda b: b.filter("is_late").drop("is_late")}, base
+    )
+
+
+def late_counts(spark: SparkSession, late_path: str) -> DataFrame:
+    """Late rows per host: count, first and last time."""
+    return read_batches(spark, late_path).groupBy(S.HOST).agg(F.count(F.lit(1)).alias("n_late"), F.min(S.TS).alias("first_ts"), F.max(S.TS).alias("last_ts"))

@@ -1,6 +1,7 @@
-"""Streams equal the batch operators when fed in time order over several
-micro-batches (state carried between batches)."""
+"""Streams equal the batch operators over several micro-batches (state
+carried between them), in whatever order rows come within the late bound."""
 
+import datetime as dt
 import time
 
 import pandas as pd
@@ -14,7 +15,7 @@ from strainmeter.operators import monitor as MO
 from strainmeter.operators.windows import column_means
 from strainmeter.session import shared_path
 from strainmeter.streaming import stateful as ST
-from strainmeter.streaming.sources import folder_stream, run_to_table
+from strainmeter.streaming.sources import folder_stream, read_batches, run_to_table, run_to_tables
 
 
 def _landing(spark, metrics, parts=4):
@@ -29,25 +30,127 @@ def _landing(spark, metrics, parts=4):
     return base + "/*/*.parquet"
 
 
+def _frames(a, b):
+    a, b = (x.orderBy(S.KEY).toPandas() for x in (a, b))
+    pd.testing.assert_frame_equal(a[b.columns], b, check_exact=False, rtol=1e-12, check_dtype=False)
+
+
+def _due(df, minutes=10):
+    """Rows whose bound has passed at the end of the stream."""
+    last = df.agg(F.max(S.TS)).first()[0]
+    return F.col(S.TS) <= F.lit(last - dt.timedelta(minutes=minutes)).cast("timestamp_ntz")
+
+
+def _dense(metrics, spark):
+    """A row every 20 seconds over few hosts, with gaps, NaN and infinities."""
+    m = metrics.withColumn(S.TS, F.expr("timestamp_ntz'2024-01-01 00:00:00.000123' + make_dt_interval(0, 0, 0, event_id * 20)"))
+    m = m.withColumn(S.HOST, F.col(S.KEY) % 3)
+    odd = {c: F.when(F.col(S.KEY) % 13 == i, None).when(F.col(S.KEY) % 29 == i, float("nan")).otherwise(F.col(c)) for i, c in enumerate(("cpu_usage", "memory_usage", "response_time_ms"))}
+    return m.withColumns(odd | {"error_count": F.when(F.col(S.KEY) % 17 < 3, None).otherwise(F.col("error_count"))})
+
+
+def _delivered(spark, df, at, parts):
+    """``df`` written as files in the order of the column expression ``at``."""
+    base = shared_path(spark, "landing")
+    rows = df.withColumn("_at", at)
+    edges = rows.approxQuantile("_at", [i / parts for i in range(1, parts)], 0.0)
+    for i, (lo, hi) in enumerate(zip([-float("inf"), *edges], [*edges, float("inf")])):
+        rows.filter((F.col("_at") > lo) & (F.col("_at") <= hi)).drop("_at").coalesce(1).write.parquet(f"{base}/b{i:03d}")
+        time.sleep(1.1)
+    return base + "/*/*.parquet"
+
+
 def test_history_stream_equals_batch(spark, metrics_small):
-    path = _landing(spark, metrics_small)
+    path = _landing(spark, metrics_small, parts=3)
     stream = folder_stream(spark, path, metrics_small.schema, max_files=1)
     fill = column_means(metrics_small, S.LAG_COLS)
-    out = spark.read.parquet(run_to_table(ST.stream_history_features(FE.row_local_features(stream), fill), "t-history"))
-    batch = FE.feature_table(metrics_small)
-    a = out.orderBy(S.KEY).toPandas()
-    b = batch.orderBy(S.KEY).toPandas()
-    pd.testing.assert_frame_equal(a[b.columns], b, check_exact=False, rtol=1e-12, check_dtype=False)
+    tables = ST.late_apart(ST.stream_history_features(stream, fill), shared_path(spark, "t-history"))
+    _frames(read_batches(spark, tables["rows"]), FE.feature_table(metrics_small).filter(_due(metrics_small)))
+    assert read_batches(spark, tables["late"]).count() == 0
+
+
+def test_shuffled_delivery_gives_the_batch_rows(spark, metrics_small):
+    """Deliveries up to 10 minutes late, NaN and NULL readings; then rows an
+    hour late, which change nothing and come to the side table; and a host
+    that falls silent, whose state goes away."""
+    m = _dense(metrics_small, spark)
+    silent = m.filter(F.col(S.KEY) < 40).withColumns({S.HOST: F.lit(99).cast("long"), S.KEY: F.col(S.KEY) + 100_000})
+    m = m.unionByName(silent).cache()
+    seconds = F.expr("unix_micros(CAST(ts AS TIMESTAMP)) / 1e6")
+    delay = F.pmod(F.xxhash64(S.KEY), F.lit(599))
+    late = m.filter((F.col(S.KEY) % 50 == 7) & (F.col(S.HOST) < 99)).withColumns({S.KEY: F.col(S.KEY) + 200_000, "cpu_usage": F.lit(99.0)})
+    sent = m.withColumn("d", seconds + delay).unionByName(late.withColumn("d", seconds + 7200))
+    path = _delivered(spark, sent.drop("d"), F.when(F.col(S.KEY) >= 200_000, seconds + 7200).otherwise(seconds + delay), 6)
+    stream = folder_stream(spark, path, m.schema, max_files=1)
+    fill = column_means(m.withColumn("cpu_usage", F.expr("nanvl(cpu_usage, NULL)")).withColumn("memory_usage", F.expr("nanvl(memory_usage, NULL)")), S.LAG_COLS)
+    base = shared_path(spark, "t-shuffled")
+    tables = ST.late_apart(ST.stream_history_features(stream, fill, idle="1 hour", grace="3 hours"), base)
+    end = m.agg(F.max(S.TS)).first()[0] - dt.timedelta(minutes=10)
+    got, missed = (read_batches(spark, tables[t]) for t in ("rows", "late"))
+    # a row so late that its host's later rows were processed is missed, and
+    # changes nothing; one that comes before that is in order
+    in_order = late.join(missed.select(S.KEY), S.KEY, "left_anti")
+    all_rows = m.unionByName(in_order.select(*m.columns))
+    _frames(got, FE.feature_table(all_rows, lag_fill=fill).filter(F.col(S.TS) <= F.lit(end).cast("timestamp_ntz")))
+    assert missed.count() > 0.5 * late.count() and missed.filter(F.col(S.KEY) < 200_000).count() == 0
+    assert ST.late_counts(spark, tables["late"]).agg(F.sum("n_late")).first()[0] == missed.count()
+    left = spark.read.format("statestore").load(f"{base}/checkpoint").select("key.*").collect()
+    assert {r[0] for r in left} == {0, 1, 2}
 
 
 def test_alert_stream_equals_batch(spark, metrics_small):
-    path = _landing(spark, metrics_small, parts=3)
-    scored = fixture_score(folder_stream(spark, path, metrics_small.schema, max_files=1))
-    out = spark.read.parquet(run_to_table(ST.stream_sustained_alert(scored, above=0.7), "t-alert"))
-    batch = MO.sustained_alerts(fixture_score(metrics_small), above=0.7)
+    m = _dense(metrics_small, spark).fillna(50.0)
+    seconds = F.expr("unix_micros(CAST(ts AS TIMESTAMP)) / 1e6")
+    path = _delivered(spark, m, seconds + F.pmod(F.xxhash64(S.KEY), F.lit(599)), 4)
+    scored = fixture_score(folder_stream(spark, path, m.schema, max_files=1))
+    out = spark.read.parquet(run_to_table(ST.stream_sustained_alert(scored, above=0.4, for_seconds=90), "t-alert"))
+    batch = MO.sustained_alerts(fixture_score(m), above=0.4, for_seconds=90)
+    batch = batch.filter(F.col("fired_at") <= F.lit(m.agg(F.max(S.TS)).first()[0] - dt.timedelta(minutes=10)).cast("timestamp_ntz"))
     key = ["host_id", "island_start", "fired_at"]
     assert sorted(map(tuple, out.select(*key).collect())) == sorted(map(tuple, batch.select(*key).collect()))
-    assert out.count() > 0
+    assert out.count() > 10
+
+
+def test_a_stopped_run_doubles_and_loses_nothing(spark, metrics_small):
+    """A run that ends between the two tables' writes, one that ends before
+    the batch is noted as done, and one that goes through."""
+    from strainmeter.fixtures import fixture_model, invalid_fixture
+
+    m = invalid_fixture(metrics_small).cache()
+    path = _landing(spark, m, parts=4)
+    base = shared_path(spark, "t-once")
+
+    def scored():
+        return ST.stream_score_readings(folder_stream(spark, path, m.schema, max_files=1), fixture_model(), "fixture", S.MODEL_INPUTS, as_of="2024-02-01 00:00:00")
+
+    class Stopped(Exception):
+        pass
+
+    routes = {"predictions": lambda b: b.filter(F.col("violations").isNull()).drop("violations"), "quarantine": lambda b: b.filter(F.col("violations").isNotNull())}
+    for stop_at, between in ((1, True), (2, False)):
+        seen = []
+
+        def quarantine(b, stop_at=stop_at, between=between, seen=seen):
+            seen.append(1)
+            if between and len(seen) > stop_at:
+                raise Stopped("between two tables")
+            return routes["quarantine"](b)
+
+        def after(b, stop_at=stop_at, seen=seen):
+            if len(seen) > 1:
+                raise Stopped("after both tables")
+            return b.limit(0)
+
+        stopped = routes | {"quarantine": quarantine} | ({} if between else {"z_after": after})
+        with pytest.raises(Exception, match="between two tables|after both tables"):
+            run_to_tables(scored(), stopped, base)
+    tables = run_to_tables(scored(), routes, base)
+    good, bad = (read_batches(spark, tables[t]) for t in ("predictions", "quarantine"))
+    ids = [r.reading_id for r in good.collect()] + [r.reading_id for r in bad.collect()]
+    assert sorted(ids) == sorted(r[S.KEY] for r in m.collect())
+    assert bad.count() > 0 and bad.filter("size(violations) = 0").count() == 0
+    run_to_tables(scored(), routes, base)  # nothing new: nothing more
+    assert read_batches(spark, tables["predictions"]).count() == good.count()
 
 
 @pytest.mark.parametrize("approx", [False, True])
