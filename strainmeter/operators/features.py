@@ -47,6 +47,11 @@ def history_spec(lag_fill: dict[str, float | None], ffill: list[str]) -> History
     return HistorySpec(rolling=S.rolling_names(), lags=S.lag_names(), lag_fill=lag_fill, ffill=ffill)
 
 
+def lag_fills(metrics: DataFrame) -> dict[str, float | None]:
+    """Whole-table means that fill lag gaps; NULL and NaN don't count."""
+    return column_means(nan_to_null(metrics, [c for c, t in metrics.dtypes if t in ("double", "float") and c in S.LAG_COLS]), S.LAG_COLS)
+
+
 def feature_table(
     metrics: DataFrame,
     partition_cols: tuple[str, ...] | list[str] = (S.HOST,),
@@ -66,7 +71,7 @@ def feature_table(
     keep = list(keep) if keep is not None else [c for c in (S.KEY, S.HOST) if c in metrics.columns]
     metrics = nan_to_null(metrics, [c for c, t in metrics.dtypes if t in ("double", "float")])
     if lag_fill is None:
-        lag_fill = column_means(metrics, S.LAG_COLS)
+        lag_fill = lag_fills(metrics)
     local = row_local_features(metrics).select(*keep, *[c for c in S.FEATURE_COLS if c not in S.ROLLING_COLS_OUT + S.LAG_COLS_OUT])
     ffill = _ffill_columns(local, keep + [S.LABEL])
     spec = history_spec(lag_fill, ffill)

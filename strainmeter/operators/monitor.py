@@ -229,6 +229,49 @@ def latest_features(
     return entities.select(entity).distinct().join(latest, on=entity, how="left").select(entity, ts, *names)
 
 
+def features_as_of(
+    requests: DataFrame,
+    features: DataFrame,
+    names: list[str],
+    entity: str = S.HOST,
+    at: str = "as_of",
+    ts: str = S.TS,
+    key: str = S.KEY,
+    max_age: str | None = None,
+    rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
+    n_buckets: int | None = None,
+) -> DataFrame:
+    """Point-in-time lookup: each request row (``entity``, time ``at``, any
+    other columns) with the entity's latest feature row at or before its own
+    time, by (ts, key): ``feature_ts`` and ``names``, NULL where there is
+    none, or none younger than ``max_age``.
+
+    As a union, not a join: features and requests of an entity share one
+    sorted pass, in which each request sees the last feature row carried
+    forward. No pair of rows is ever formed, so an entity with many requests
+    and many feature rows costs their sum; a hot entity is split into ranges
+    (windows.py). A feature row may hold NULLs: the row is carried, not its
+    values. Requests with a NULL time find nothing; a NULL entity is an
+    entity of its own. Repeated requests stay."""
+    given = requests.columns
+    row = F.struct(F.col(ts).alias("feature_ts"), *names)
+    told = features.filter(F.col(ts).isNotNull()).select(
+        F.col(entity).alias("_entity"), F.col(ts).cast("timestamp_ntz").alias("_at"), F.col(key).cast("long").alias("_tie"), row.alias("_row")
+    )
+    asked = requests.select(
+        F.col(entity).alias("_entity"),
+        F.col(at).cast("timestamp_ntz").alias("_at"),
+        F.lit((1 << 63) - 1).cast("long").alias("_tie"),  # after every feature row of its time
+        F.struct(*[F.col(c) for c in given]).alias("_request"),
+    )
+    both = told.unionByName(asked, allowMissingColumns=True)
+    spec = HistorySpec(ffill=["_row"], ffill_rolling=False)
+    found = history_features(both, spec, ("_entity",), ("_at", "_tie"), rows_per_bucket, n_buckets, ts_col="_at")
+    found = found.filter(F.col("_request").isNotNull())
+    near = F.col("_row") if max_age is None else F.when(F.col("_row.feature_ts") >= F.col("_at") - F.expr(f"INTERVAL {max_age}"), F.col("_row"))
+    return found.withColumn("_row", near).select("_request.*", "_row.*")
+
+
 # ---------------------------------------------------------------------------
 # sustained alert (batch): gaps and islands
 # ---------------------------------------------------------------------------

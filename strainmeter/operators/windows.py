@@ -268,28 +268,41 @@ def history_features(
     n_buckets: int | None = None,
     ts_col: str = S.TS,
     post=None,
+    seed: tuple[DataFrame, str] | None = None,
 ) -> DataFrame:
     """Add rolling, lag and forward-filled columns per series (see module doc).
-    ``post(name, column)`` may wrap every output column (e.g. a zero fill)."""
+    ``post(name, column)`` may wrap every output column (e.g. a zero fill).
+    ``seed`` (rows, prefix) gives the value last seen before a series' first
+    row: at most one row a series, a column ``prefix + source`` each."""
     part, order = list(partition_cols), list(order_cols)
     final_cols = list(df.columns) + [c for c in _out_names(spec) if c not in df.columns]
     groups = [(df, n_buckets)] if n_buckets is not None else by_series_size(df, part, rows_per_bucket)
     done = [
-        _apply(rows, spec, part, order, None, final_cols, post)
+        _apply(_seeded(rows, spec, part, seed), spec, part, order, set(_ffill_sources(spec)) if seed else None, final_cols, post)
         if n <= 1
-        else _bucketed(rows, spec, part, order, n, ts_col, final_cols, post)
+        else _bucketed(rows, spec, part, order, n, ts_col, final_cols, post, seed)
         for rows, n in groups
     ]
     return reduce(DataFrame.unionByName, done)
 
 
+def _seeded(rows: DataFrame, spec: HistorySpec, part: list[str], seed: tuple[DataFrame, str] | None) -> DataFrame:
+    """Rows with ``_carry_<source>`` from the seed of their series."""
+    if seed is None:
+        return rows
+    before, prefix = seed
+    before = before.select(*[F.col(c).alias(f"_seed_{c}") for c in part], *[F.col(prefix + c).alias(f"_carry_{c}") for c in _ffill_sources(spec)])
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_seed_{c}")) for c in part])
+    return rows.join(before, same, "left").drop(*[f"_seed_{c}" for c in part])
+
+
 def _tie_column(df: DataFrame, order: list[str]) -> Column | None:
     """The second order column, if it is a number ranges can be cut on."""
     return F.col(order[1]) if len(order) > 1 and isinstance(df.schema[order[1]].dataType, NumericType) else None
 
 
 def _bucketed(
-    df: DataFrame, spec: HistorySpec, part: list[str], order: list[str], n_buckets: int, ts_col: str, final_cols: list[str], post=None
+    df: DataFrame, spec: HistorySpec, part: list[str], order: list[str], n_buckets: int, ts_col: str, final_cols: list[str], post=None, seed=None
 ) -> DataFrame:
     onum = order_micros(ts_col)
     tie = _tie_column(df, order)
@@ -331,6 +344,9 @@ def _bucketed(
         carry = ends.selectExpr(
             *[_q(c) for c in part], BUCKET, *[f"last({_q(f'_end_{c}')}, true) {before} AS {_q(f'_carry_{c}')}" for c in srcs]
         )
+        if seed is not None:  # what was seen before the series' first range
+            first = _seeded(carry.withColumnsRenamed({f"_carry_{c}": f"_later_{c}" for c in srcs}), spec, part, seed)
+            carry = first.select(*part, BUCKET, *[F.coalesce(f"_later_{c}", f"_carry_{c}").alias(f"_carry_{c}") for c in srcs])
         joined = main.join(carry, on=[*part, BUCKET], how="left")
         carry_cols = set(srcs)
 

@@ -146,6 +146,27 @@ def q_latest_features(spark, sf_dir):
     return MO.latest_features(ft, m.select(S.HOST), LATEST_NAMES, as_of=LATEST_AS_OF)
 
 
+def _as_of_sql() -> str:
+    head, tail = O.feature_sql().rsplit("\nSELECT ", 1)
+    names = ", ".join(LATEST_NAMES)
+    return f"""{head},
+_ft AS (SELECT {tail}),
+last_of AS (SELECT host_id, ts AS feature_ts, {names} FROM _ft QUALIFY row_number() OVER (PARTITION BY host_id, ts ORDER BY event_id DESC) = 1),
+rq AS (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 0 ELSE event_id % 20 END AS host_id, ts - INTERVAL '90 minutes' AS as_of FROM metrics)
+SELECT rq.event_id, rq.host_id, rq.as_of, feature_ts, {", ".join("last_of." + c for c in LATEST_NAMES)}
+FROM rq ASOF LEFT JOIN last_of ON rq.host_id = last_of.host_id AND rq.as_of >= last_of.feature_ts"""
+
+
+@register("latest_features_asof", _as_of_sql())
+def q_latest_features_asof(spark, sf_dir):
+    """Feature values of a host at each request's own time: a request per
+    event, a third of them for one host, some for unknown hosts."""
+    m = events_metrics(spark, sf_dir)
+    host = F.when(F.col(S.KEY) % 3 == 0, F.lit(0)).otherwise(F.col(S.KEY) % 20).cast("long")
+    requests = m.select(S.KEY, host.alias(S.HOST), (F.col(S.TS) - F.expr("INTERVAL 90 MINUTES")).alias("as_of"))
+    return MO.features_as_of(requests, rounded(FE.feature_table(m)), LATEST_NAMES)
+
+
 def _alert_sql() -> str:
     return O.with_ctes(
         M,

@@ -51,6 +51,10 @@ class Registry:
     def manifest_path(self) -> str:
         return f"{self.base}/manifest"
 
+    @property
+    def fills_path(self) -> str:
+        return f"{self.base}/fills"
+
     # writes
     def save_model(self, name: str, model: PipelineModel) -> None:
         model.write().overwrite().save(self.model_path(name))
@@ -59,6 +63,10 @@ class Registry:
         rows = [(i, n) for i, n in enumerate(inputs)]
         self.spark.createDataFrame(rows, "pos INT, name STRING").coalesce(1).write.mode("overwrite").json(self.manifest_path)
 
+    def save_fills(self, fills: dict[str, float | None]) -> None:
+        """The lag fills of the fit (column -> mean)."""
+        self.spark.createDataFrame(list(fills.items()), "name STRING, mean DOUBLE").coalesce(1).write.mode("overwrite").parquet(self.fills_path)
+
     def append_records(self, records: DataFrame) -> None:
         records.select(*[f.name for f in RECORD_SCHEMA.fields]).coalesce(1).write.mode("append").parquet(self.records_path)
 
@@ -67,6 +75,10 @@ class Registry:
         rows = self.spark.read.schema("pos INT, name STRING").json(self.manifest_path).orderBy("pos").collect()
         return [r["name"] for r in rows]
 
+    def fills(self) -> dict[str, float | None]:
+        """Lag fills of the fit: what serving fills gaps with too."""
+        return {r["name"]: r["mean"] for r in self.spark.read.schema("name STRING, mean DOUBLE").parquet(self.fills_path).collect()}
+
     def records(self) -> DataFrame:
         return self.spark.read.schema(RECORD_SCHEMA).parquet(self.records_path)
 

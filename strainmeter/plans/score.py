@@ -73,6 +73,7 @@ def score_batch(
     keep: list[str] | None = None,
     confidence_mode: str = "reference",
     mode: str = "point",
+    lag_fill: dict[str, float | None] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(predictions, quarantine) for a batch or stream of readings, scored by
     a fitted ``PipelineModel`` whose first stage assembles ``manifest``.
@@ -80,14 +81,18 @@ def score_batch(
     ``mode='point'``: rolling and lag inputs take the reading's own value
     (the reference's serving rule). ``mode='history'`` (batch only): true
     rolling, lag and forward-filled inputs over each host's readings in time
-    order, the feature table's windows, so serving matches training."""
+    order, the feature table's windows, so serving matches training; lag gaps
+    take ``lag_fill`` (the fit's means, ``Registry.fills``). Rejected readings
+    are part of nobody's history. ``plans.history`` scores batch after batch."""
     keep = keep or [c for c in ("reading_id", S.KEY, S.HOST, S.TS) if c in readings.columns]
     valid, bad = C.split_valid(readings)
     valid = C.default_calendar(valid, clock)
     if mode == "point":
         feats = FE.point_features(valid, manifest, keep=keep)
     elif mode == "history":
-        feats = _history_inputs(valid, manifest, keep)
+        if lag_fill is None:
+            raise ValueError("history scoring needs the fit's lag fills")
+        feats = _history_inputs(valid, manifest, keep, lag_fill)
     else:
         raise ValueError(f"unknown scoring mode {mode!r}")
     scored = positive_probability(model.transform(feats))
@@ -103,7 +108,7 @@ def with_rejected(preds: DataFrame, bad: DataFrame) -> DataFrame:
     return preds.unionByName(bad.select(*names, "violations"), allowMissingColumns=True)
 
 
-def _history_inputs(valid: DataFrame, manifest: list[str], keep: list[str]) -> DataFrame:
+def _history_inputs(valid: DataFrame, manifest: list[str], keep: list[str], lag_fill: dict[str, float | None]) -> DataFrame:
     """Feature-table inputs for readings (key, host, ts needed for order)."""
     df = valid
     if S.KEY not in df.columns and "reading_id" in df.columns:
@@ -112,7 +117,7 @@ def _history_inputs(valid: DataFrame, manifest: list[str], keep: list[str]) -> D
         df = df.withColumn(S.LABEL, F.lit(None).cast("int"))
     df = df.withColumns({"is_weekend": X.weekend_flag(), "is_business_hours": X.business_flag()})
     extra = [c for c in keep if c not in (S.KEY, S.HOST)]
-    ft = FE.feature_table(df, keep=[S.KEY, S.HOST] + [c for c in extra if c != S.TS])
+    ft = FE.feature_table(df, lag_fill=lag_fill, keep=[S.KEY, S.HOST] + [c for c in extra if c != S.TS])
     return FE.align_to_manifest(ft, manifest, keep=keep)
 
 

@@ -48,6 +48,13 @@ DEFAULT_SPECS = {
 }
 
 
+def cv_specs(rounds: int, trees: int) -> list[ModelSpec]:
+    """The three models with so many boosting rounds and trees, for runs that
+    fit each of them several times."""
+    fewer = {"random_forest": {"numTrees": trees}, "boosted_trees": {"maxIter": rounds}}
+    return [ModelSpec(n, DEFAULT_SPECS[n].params | fewer.get(n, {}), DEFAULT_SPECS[n].scaled) for n in S.MODEL_ORDER]
+
+
 def with_training_columns(train: DataFrame, name: str, label: str = S.LABEL, balance: str = "weights") -> DataFrame:
     """Double label and the model's row weight: balanced class weights for
     forest and logistic, neg/pos on positives for boosted trees. Rows that

@@ -4,6 +4,8 @@ three fits -> records, registry, choice -> batch scoring."""
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,11 +27,11 @@ def read_parts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).withColumn("is_test", F.col("is_test").cast("boolean"))
 
 
-def prepared_parts(metrics: DataFrame, path: str | None = None) -> tuple[DataFrame, DataFrame]:
+def prepared_parts(metrics: DataFrame, path: str | None = None, fills: dict[str, float | None] | None = None) -> tuple[DataFrame, DataFrame]:
     """Feature table with the stratified split, written once to the shared
     folder (cuts the window lineage; every fit reads the written table)."""
     spark = metrics.sparkSession
-    ft = SP.stratified_split(inf_to_zero(FE.feature_table(metrics), S.MODEL_INPUTS))
+    ft = SP.stratified_split(inf_to_zero(FE.feature_table(metrics, lag_fill=fills), S.MODEL_INPUTS))
     out = path or shared_path(spark, "features-split")
     # partitioned by part: fits read only the train files, scoring only test
     ft.write.mode("overwrite").partitionBy("is_test").parquet(out)
@@ -75,52 +77,84 @@ def train_models(
     return registry.latest_records()
 
 
-def trained_registry(spark: SparkSession, sf_dir: str, names: list[str] | None = None) -> Registry:
-    """The registry of fits on ``sf_dir``'s metric table, fitting what is
-    missing (the fit is shared by every query of a run)."""
-    names = names or S.MODEL_ORDER
+def source_hash() -> str:
+    """Hash of the package's sources outside its optional parts: fits aren't
+    shared between versions of the code."""
+    root = os.path.dirname(os.path.abspath(strainmeter.__file__))
+    found = hashlib.sha1()
+    for part in ("functions", "operators", "plans", "sources"):
+        for folder, _, names in sorted(os.walk(os.path.join(root, part))):
+            for n in sorted(n for n in names if n.endswith(".py")):
+                with open(os.path.join(folder, n), "rb") as f:
+                    found.update(f.read())
+    return found.hexdigest()[:16]
+
+
+def registry_of(spark: SparkSession, sf_dir: str) -> Registry:
+    """The registry of fits on ``sf_dir``'s metric table: its folder is named
+    by path, file fingerprint (rewritten data gets new fits), parameters, the
+    fixed values behind features, fill and split, and the code."""
     events = IO.table_path(sf_dir, "events")
-    # fits are shared between runs on the same data: path, file fingerprint
-    # (rewritten data gets new fits), parameters, code version and the fixed
-    # values behind features, fill and split
     fixed = sorted((k, v) for k, v in vars(S).items() if k.isupper())
-    key = f"{strainmeter.__version__}|{events}|{IO.table_fingerprint(spark, events)}|{sorted(TR.DEFAULT_SPECS.items())!r}|{fixed!r}"
-    reg = registry_for(spark, key)
-    missing = [n for n in names if n not in set(reg.available())]
+    key = f"{strainmeter.__version__}|{source_hash()}|{events}|{IO.table_fingerprint(spark, events)}|{sorted(TR.DEFAULT_SPECS.items())!r}|{fixed!r}"
+    return registry_for(spark, key)
+
+
+def trained_registry(spark: SparkSession, sf_dir: str, names: list[str] | None = None, refit: bool = False) -> Registry:
+    """The registry with the models ``names``, fitting those it lacks (the
+    fits are shared by every query of a run), or all of them (``refit``)."""
+    names = names or S.MODEL_ORDER
+    reg = registry_of(spark, sf_dir)
+    missing = names if refit else [n for n in names if n not in set(reg.available())]
     if missing:
-        train, test = prepared_parts(IO.events_metrics(spark, sf_dir), path=f"{reg.base}/features-split")
+        metrics = IO.events_metrics(spark, sf_dir)
+        fills = FE.lag_fills(metrics)
+        train, test = prepared_parts(metrics, fills=fills)
+        reg.save_fills(fills)
         train_models(train, test, reg, missing)
     return reg
 
 
-def comparison(reg: Registry) -> DataFrame:
-    """Model comparison with the best-by-AUC flag and the scoring choice."""
-    rec = reg.latest_records()
-    best = best_by_auc(rec).first()["model"]
-    chosen = reg.choose("preference")
-    return rec.select(
-        "model",
-        "auc",
-        "accuracy",
-        "precision",
-        "recall",
-        "f1",
-        "n_train",
-        "n_test",
-        (F.col("model") == best).alias("is_best_auc"),
-        (F.col("model") == chosen).alias("is_scoring_choice"),
-    )
-
-
-def end_to_end(spark: SparkSession, sf_dir: str, as_of: dt.datetime | None = None, choose: str = "preference") -> DataFrame:
-    """Features -> fits -> registry -> score every reading (point features,
-    chosen model); rejected readings come with their violations."""
+def evaluated(spark: SparkSession, sf_dir: str, reg: Registry) -> DataFrame:
+    """Metrics of every saved model on the test part of ``sf_dir``'s table."""
+    _, test = prepared_parts(IO.events_metrics(spark, sf_dir), fills=reg.fills())
+    rows = []
+    for name in reg.available():
+        m = TR.evaluate_model(reg.load(name), test).first()
+        rows.append((name, S.MODEL_ORDER.index(name), m["auc"], m["accuracy"], m["precision"], m["recall"], m["f1"]))
+    return spark.createDataFrame(rows, "model STRING, insert_pos INT, auc DOUBLE, accuracy DOUBLE, precision DOUBLE, recall DOUBLE, f1 DOUBLE")
+
+
+def comparison(metrics: DataFrame, choose: str = "preference") -> DataFrame:
+    """Model comparison with the best-by-AUC flag (the first inserted wins
+    ties) and the scoring choice."""
+    best = best_by_auc(metrics).first()["model"]
+    have = {r["model"] for r in metrics.select("model").collect()}
+    chosen = best if choose == "best_auc" else next(n for n in S.MODEL_PREFERENCE if n in have)
+    names = ["model", "auc", "accuracy", "precision", "recall", "f1"]
+    return metrics.select(*names, (F.col("model") == best).alias("is_best_auc"), (F.col("model") == chosen).alias("is_scoring_choice"))
+
+
+def predicted(metrics: DataFrame, model, model_name: str, fills: dict[str, float | None] | None = None) -> DataFrame:
+    """Positive-class probability of every row of a metric table, from its
+    feature table."""
+    rows = inf_to_zero(FE.feature_table(metrics, lag_fill=fills), S.MODEL_INPUTS)
+    return TR.score_model(model, rows).select(S.KEY, "failure_probability", F.lit(model_name).alias("model_used"))
+
+
+def scored_readings(metrics: DataFrame, model, model_name: str, manifest: list[str] = S.MODEL_INPUTS, as_of: dt.datetime | None = None) -> DataFrame:
+    """Every raw reading once: scored (point features), or rejected with its
+    violations (missing, NaN, infinite or out of range)."""
     from strainmeter.plans.score import score_batch, with_rejected
 
+    readings = metrics.select(F.col(S.KEY).alias("reading_id"), S.HOST, S.TS, *S.METRIC_COLS, "hour", "day_of_week")
+    return with_rejected(*score_batch(readings, model, model_name, manifest=manifest, as_of=as_of))
+
+
+def end_to_end(spark: SparkSession, sf_dir: str, as_of: dt.datetime | None = None, choose: str = "preference", readings: DataFrame | None = None) -> DataFrame:
+    """Features -> fits -> registry -> score every raw reading of the table
+    (or ``readings``) with the chosen model."""
     reg = trained_registry(spark, sf_dir)
     name = reg.choose(choose)
-    model = reg.load(name)
-    readings = read_parts(spark, f"{reg.base}/features-split").select(
-        F.col(S.KEY).alias("reading_id"), S.HOST, S.TS, *S.METRIC_COLS, "hour", "day_of_week"
-    )
-    return with_rejected(*score_batch(readings, model, name, manifest=reg.manifest(), as_of=as_of))
+    metrics = readings if readings is not None else IO.events_metrics(spark, sf_dir)
+    return scored_readings(metrics, reg.load(name), name, reg.manifest(), as_of)

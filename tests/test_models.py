@@ -77,7 +77,7 @@ def test_history_scoring_uses_the_feature_table(spark, parts, metrics_small):
     train, test = parts
     m = TR.fit_model(train, SMALL["logistic_regression"])
     readings = metrics_small.select(F.col(S.KEY).alias("reading_id"), S.HOST, S.TS, *S.METRIC_COLS, "hour", "day_of_week")
-    hist, bad = score_batch(readings, m, "logistic_regression", as_of="2024-02-01 00:00:00", mode="history")
+    hist, bad = score_batch(readings, m, "logistic_regression", as_of="2024-02-01 00:00:00", mode="history", lag_fill=FE.lag_fills(metrics_small))
     assert hist.count() == metrics_small.count() and bad.count() == 0
     # history inputs are the feature table's: scoring the table directly gives the same probabilities
     direct = {r[S.KEY]: r["failure_probability"] for r in TR.score_model(m, FE.feature_table(metrics_small)).select(S.KEY, "failure_probability").collect()}
