@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from functools import reduce
+from operator import and_
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -24,12 +25,12 @@ from strainmeter.operators.ranking import bounded_broadcast
 from strainmeter.operators.windows import (
     BUCKET,
     HistorySpec,
-    by_series_size,
     forward_fill,
     history_features,
     n_buckets_for,
-    range_bounds,
     range_plans,
+    series_ranges,
+    sized_groups,
     with_range_bucket,
 )
 from strainmeter.session import DEFAULT_ROWS_PER_BUCKET
@@ -295,13 +296,14 @@ def sustained_alerts(
     ranges (windows.py)."""
     part = list(partition_cols)
     df = scored.select(*part, S.TS, S.KEY, F.expr(f"CAST(coalesce(`{p_col}` > {above!r}, false) AS INT)").alias("_hot"))
-    groups = [(df, n_buckets)] if n_buckets is not None else by_series_size(df, part, rows_per_bucket)
+    groups = sized_groups(df, part, rows_per_bucket, n_buckets)
 
-    def islands(rows: DataFrame, n: int) -> DataFrame:
-        d = history_features(rows, HistorySpec(lags=[("_prev", "_hot", 1)]), part, n_buckets=n)
+    def islands(rows: DataFrame, bound: int | None) -> DataFrame:
+        cut = {"bound": bound} if bound is not None else {"n_buckets": 1}
+        d = history_features(rows, HistorySpec(lags=[("_prev", "_hot", 1)]), part, **cut)
         first = (F.col("_hot") == 1) & (F.coalesce(F.col("_prev"), F.lit(0)) == 0)
         d = d.withColumns({"island_start": F.when(first, F.col(S.TS)), "_start_key": F.when(first, F.col(S.KEY))}).drop("_prev")
-        d = forward_fill(d, ["island_start", "_start_key"], part, n_buckets=n).filter("_hot = 1")
+        d = forward_fill(d, ["island_start", "_start_key"], part, **cut).filter("_hot = 1")
         fire_from = F.col("island_start") + F.make_dt_interval(secs=F.lit(for_seconds))
         return d.groupBy(*part, "island_start", "_start_key").agg(
             F.min(F.when(F.col(S.TS) >= fire_from, F.col(S.TS))).alias("fired_at"),
@@ -348,33 +350,36 @@ def failure_label(
     PRECEDING to 1 PRECEDING, a growing frame (linear per partition; a
     sliding range frame for max recomputes as rows leave it).
 
-    Split form: the series is cut into time ranges and the window runs per
-    range; the first failure of every later range comes from a small table
-    (first failure per range, then a suffix minimum over the ranges), joined
-    back by range. No row is copied, however narrow a range is next to the
-    horizon."""
+    Split form: a hot series is cut into ranges of time, and a time that
+    fills a range alone by the key; the window runs per range. The first
+    failure of the ranges that begin strictly later comes from a small table
+    (first failure per range, then a suffix minimum over the ranges' first
+    times), joined back by range. No row is copied, however narrow a range is
+    next to the horizon."""
     part = list(partition_cols)
     hz = horizon_seconds * 1_000_000
     base = df.withColumn("_us", order_micros(S.TS)).withColumn(
         "_fail_us", F.when(failure.cast("int") == 1, F.col("_us"))
     )
-    if n_buckets is None:
-        parts = by_series_size(df, part, rows_per_bucket)
-        return reduce(DataFrame.unionByName, [failure_label(d, failure, horizon_seconds, part, out, n_buckets=n) for d, n in parts])
 
     def label(nxt: Column) -> Column:
         return F.coalesce((nxt - F.col("_us")) <= F.lit(hz), F.lit(False)).cast("int")
 
-    after = lambda w: w.orderBy(F.col("_us").desc()).rangeBetween(Window.unboundedPreceding, -1)
-    if n_buckets <= 1:
-        nxt = F.min("_fail_us").over(after(Window.partitionBy(*part)))
-        return base.withColumn(out, label(nxt)).drop("_us", "_fail_us")
-    bounds = range_bounds(base, F.col("_us"), n_buckets)
-    b = with_range_bucket(base, F.col("_us"), bounds)
-    # first failure of each later range: (series x ranges) rows, not rows
-    first = b.groupBy(*part, BUCKET).agg(F.min("_fail_us").alias("_first"))
-    later = Window.partitionBy(*part).orderBy(F.col(BUCKET).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    carry = first.select(*part, BUCKET, F.min("_first").over(later).alias("_carry"))
-    j = b.join(carry, on=[*part, BUCKET], how="left")
-    nxt = F.coalesce(F.min("_fail_us").over(after(Window.partitionBy(*part, BUCKET))), F.col("_carry"))
-    return j.withColumn(out, label(nxt)).drop("_us", "_fail_us", "_carry", BUCKET)
+    def after(w, c: str = "_us"):
+        return w.orderBy(F.col(c).desc()).rangeBetween(Window.unboundedPreceding, -1)
+
+    def labelled(rows: DataFrame, bound: int | None) -> DataFrame:
+        if bound is None:
+            nxt = F.min("_fail_us").over(after(Window.partitionBy(*part)))
+            return rows.withColumn(out, label(nxt)).drop("_us", "_fail_us")
+        tie = F.col(S.KEY) if S.KEY in df.columns and isinstance(df.schema[S.KEY].dataType, NumericType) else None
+        b = series_ranges(rows, part, F.col("_us"), bound, tie)
+        # first failure of each later range: (series x ranges) rows, not rows
+        first = b.groupBy(*part, BUCKET).agg(F.min("_fail_us").alias("_first"), F.min("_us").alias("_begins"))
+        carry = first.select(*[F.col(c).alias(f"_of_{c}") for c in part], F.col(BUCKET).alias("_of"), F.min("_first").over(after(Window.partitionBy(*part), "_begins")).alias("_carry"))
+        same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in part] + [F.col(BUCKET) == F.col("_of")])
+        j = b.join(carry, same, "left")
+        nxt = F.coalesce(F.min("_fail_us").over(after(Window.partitionBy(*part, BUCKET))), F.col("_carry"))
+        return j.withColumn(out, label(nxt)).drop("_us", "_fail_us", "_carry", "_of", BUCKET, *[f"_of_{c}" for c in part])
+
+    return reduce(DataFrame.unionByName, [labelled(rows, bound) for rows, bound in sized_groups(base, part, rows_per_bucket, n_buckets)])

@@ -14,19 +14,19 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strainmeter.operators.windows import BUCKET, bounded_broadcast, range_bounds, with_range_bucket
+from strainmeter.operators.windows import BUCKET, bounded_broadcast, range_bounds, series_ranges, with_range_bucket
 from strainmeter.session import DEFAULT_ROWS_PER_BUCKET
 
 
-def _ranges(df: DataFrame, part: list[str], rows_per_bucket: int, n_buckets: int | None) -> tuple[int, int]:
-    """(ranges, groups), counted in one aggregate: one range while every
+def _ranges(df: DataFrame, part: list[str], rows_per_bucket: int, n_buckets: int | None) -> tuple[int, int, int]:
+    """(rows, ranges, groups), counted in one aggregate: one range while every
     group fits a task."""
     sizes = df.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
     stat = sizes.agg(F.count(F.lit(1)).alias("groups"), F.sum("_n").alias("rows"), F.max("_n").alias("most")).first()
     if n_buckets is None:
         fits = (stat["most"] or 0) <= rows_per_bucket
         n_buckets = 1 if fits else math.ceil(stat["rows"] / max(1, rows_per_bucket))
-    return n_buckets, stat["groups"]
+    return stat["rows"] or 0, n_buckets, stat["groups"]
 
 
 def ranked(
@@ -44,16 +44,21 @@ def ranked(
     by ``order_cols``), and optionally the group size as ``total_out``.
 
     ``order_num`` must be a numeric column non-decreasing in ``order_cols``
-    (usually the first order column); ``tie``, a numeric second order column,
-    cuts values of it that fill a range alone. The count table has at most
+    (usually the first order column); with ``tie``, a numeric second order
+    column, ranges are a tree that cuts heavy values by it
+    (``windows.series_ranges``). The count table has at most
     groups x ranges rows, both counted: it is broadcast while that is within
     ``BROADCAST_ROWS``, else the join is left to AQE's runtime size check.
     """
     part = list(partition_cols)
-    n_buckets, groups = _ranges(df, part, rows_per_bucket, n_buckets)
-    bounds = range_bounds(df, order_num, n_buckets, tie=tie)
-    b = with_range_bucket(df, order_num, bounds, tie=tie)
-    if not bounds:
+    rows, n_buckets, groups = _ranges(df, part, rows_per_bucket, n_buckets)
+    split = n_buckets > 1
+    if tie is not None and split:
+        b = series_ranges(df, part, order_num, max(1, math.ceil(rows / n_buckets)), tie)
+    else:
+        bounds = range_bounds(df, order_num, n_buckets)
+        b, split = with_range_bucket(df, order_num, bounds), bool(bounds)
+    if not split:
         w = Window.partitionBy(*part).orderBy(*order_cols) if part else Window.orderBy(*order_cols)
         res = b.withColumn(out, F.row_number().over(w).cast("long"))
         if total_out:
@@ -68,7 +73,7 @@ def ranked(
         F.coalesce(F.sum("_n").over(wp.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
         F.sum("_n").over(wp).alias("_total"),
     )
-    offsets = bounded_broadcast(offsets, groups * bounds.n_buckets)
+    offsets = bounded_broadcast(offsets, groups * 2 * n_buckets)
     j = b.join(offsets, on=[*part, BUCKET], how="inner")
     w = Window.partitionBy(*part, BUCKET).orderBy(*order_cols)
     res = j.withColumn(out, (F.col("_off") + F.row_number().over(w)).cast("long"))
@@ -90,7 +95,7 @@ def running_sums(
     ``order_col`` (unique per group) per group, inclusive or exclusive of
     the current row."""
     part = list(partition_cols)
-    n_buckets, groups = _ranges(df, part, rows_per_bucket, n_buckets)
+    _, n_buckets, groups = _ranges(df, part, rows_per_bucket, n_buckets)
     onum = F.col(order_col).cast("double")
     bounds = range_bounds(df, onum, n_buckets)
     b = with_range_bucket(df, onum, bounds)

@@ -5,10 +5,11 @@ Two physical forms give identical values:
 
 * ``per-series``: one window per series (``partitionBy(host)``); one exchange,
   one sort and one ``Window`` node for every feature.
-* ``bucketed``: a series is cut into ranges of the order key (quantiles, and
-  quantiles of the second order column inside a time that fills a range
-  alone, so a range holds about ``rows_per_bucket`` rows); windows run per
-  ``(series, range)``. Each range gets a halo: the last rows before it, taken
+* ``bucketed``: a series is cut into ranges of the order key
+  (``series_ranges``: every series by its own quantiles, as many as its rows
+  need, and a time that fills a range alone by the second order column, so a
+  range holds about ``rows_per_bucket`` rows); windows run per ``(series,
+  range)``. Each range gets a halo: the last rows before it, taken
   from the tails of earlier ranges, so row frames and lags see the rows they
   need. Forward fill, whose frame is unbounded, gets the last non-null value
   of every earlier range from a small table of range ends. This keeps a hot
@@ -22,7 +23,6 @@ copied row.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from dataclasses import dataclass, field
 from functools import reduce
 from operator import and_
@@ -65,28 +65,19 @@ MAX_QUANTILE_RANGES = 1024
 
 @dataclass
 class RangePlan:
-    """Ordered ranges of a numeric order key, cut at quantiles (``bounds``).
-    An order value that fills a range or more alone is ``heavy``: its rows
-    are cut further at quantiles of a tie-break column (``tie_bounds``). The
-    bucket index is non-decreasing in (order key, tie-break), so buckets can
-    be processed in order."""
+    """Ordered ranges of a numeric order key over a whole table, cut at
+    quantiles (``bounds``); rows of one value share a range. The bucket index
+    is non-decreasing in the order key."""
 
     bounds: list[float] = field(default_factory=list)
     sub: int = 1  # ranges cut inside each range of the first sketch
-    heavy: list[float] = field(default_factory=list)
-    tie_bounds: list[float] = field(default_factory=list)
 
     def __bool__(self) -> bool:
         return bool(self.bounds)
 
     @property
     def n_buckets(self) -> int:
-        return (len(self.bounds) + 1) * self.stride
-
-    @property
-    def stride(self) -> int:
-        """Buckets per range: the tie ranges of a heavy value, then the rest."""
-        return len(self.tie_bounds) + 2 if self.tie_bounds else 1
+        return len(self.bounds) + 1
 
 
 def _quantile_cuts(num: DataFrame, cols: list[str], n_buckets: int, rel_err: float | None = None) -> tuple[dict[str, list[float]], int]:
@@ -107,27 +98,15 @@ def _quantile_cuts(num: DataFrame, cols: list[str], n_buckets: int, rel_err: flo
     return cuts, sub
 
 
-def range_bounds(
-    df: DataFrame, order_num: Column, n_buckets: int, rel_err: float | None = None, tie: Column | None = None
-) -> RangePlan:
+def range_bounds(df: DataFrame, order_num: Column, n_buckets: int, rel_err: float | None = None) -> RangePlan:
     """Ranges of a numeric order key holding about n / n_buckets rows each:
     quantile cuts from one ``approxQuantile`` job (relative error 1/4 of a
     range); beyond ``MAX_QUANTILE_RANGES`` each range is cut again by its own
-    quantiles. Rows of a value that spans several ranges are cut by ``tie``
-    where given. Only the cuts reach the driver, never rows."""
+    quantiles. Only the cuts reach the driver, never rows."""
     if n_buckets <= 1:
         return RangePlan()
-    num = df.select(order_num.cast("double").alias("_o"))
-    cuts, sub = _quantile_cuts(num, ["_o"], n_buckets, rel_err)
-    plan = RangePlan(sorted(set(cuts["_o"])), sub)
-    if tie is not None:
-        spans = Counter(cuts["_o"])
-        plan.heavy = sorted(v for v, n in spans.items() if n > 1)
-        if plan.heavy:
-            tied = df.filter(order_num.cast("double").isin(plan.heavy)).select(tie.cast("double").alias("_t"))
-            ties, _ = _quantile_cuts(tied, ["_t"], 1 + sum(spans[v] for v in plan.heavy))
-            plan.tie_bounds = sorted(set(ties["_t"]))
-    return plan
+    cuts, sub = _quantile_cuts(df.select(order_num.cast("double").alias("_o")), ["_o"], n_buckets, rel_err)
+    return RangePlan(sorted(set(cuts["_o"])), sub)
 
 
 def range_plans(df: DataFrame, cols: list[str], n_buckets: int) -> dict[str, RangePlan]:
@@ -138,28 +117,95 @@ def range_plans(df: DataFrame, cols: list[str], n_buckets: int) -> dict[str, Ran
     return {c: RangePlan(sorted(set(cuts[c])), sub) for c in cols}
 
 
-def with_range_bucket(
-    df: DataFrame, order_num: Column, plan: RangePlan | list[float], out: str = BUCKET, tie: Column | None = None
-) -> DataFrame:
+def with_range_bucket(df: DataFrame, order_num: Column, plan: RangePlan | list[float], out: str = BUCKET) -> DataFrame:
     """Bucket index of the order key: binary search over the cuts in the JVM
     (``Bucketizer``). NULL keys sort first, as in the windows."""
     if isinstance(plan, list):
         plan = RangePlan(bounds=plan)
     if not plan:
         return df.withColumn(out, F.lit(0).cast("long"))
+    d = df.withColumn("_order_num", F.coalesce(order_num.cast("double"), F.lit(-math.inf)))
+    b = Bucketizer(splits=[-math.inf] + plan.bounds + [math.inf], inputCol="_order_num", outputCol="_bucket_d", handleInvalid="keep")
+    return b.transform(d).withColumn(out, F.col("_bucket_d").cast("long")).drop("_order_num", "_bucket_d")
+
+
+# a level cuts a group into at most this many ranges; two numbers a cut, for
+# values that get a range of their own, still fit a step of the bucket index
+RADIX = 64
+_STEP = 2 * RADIX
+_MOST_LEVELS = 8
+# groups up to this many times the bound stay whole: quantiles are sketches
+_LOOSE = 1.5
+
+
+def series_ranges(df: DataFrame, part: list[str], order_num: Column, bound: int, tie: Column | None = None) -> DataFrame:
+    """``df`` with a range number (BUCKET) per series of ``part``,
+    non-decreasing in (``order_num``, ``tie``); ranges hold about ``bound``
+    rows, and a series has about as many as its rows need.
+
+    A tree of ranges: a level cuts every group (series, range so far) that is
+    too large into at most ``RADIX`` ranges at its own quantiles. A value that
+    fills a range alone gets a range of its own, which the next level cuts by
+    ``tie``. So every series has its own cuts, whatever times it covers, and
+    every heavy time as many tie cuts as its rows need. A level is one count
+    and one quantile sketch per group (partial aggregates); cuts are a written
+    table, joined by group. Rows equal in both columns stay together."""
+    spark = df.sparkSession
+    keys = [f"_g{i}" for i in range(len(part))]
+    low = -(1 << 62)
+    rows = df.withColumns(
+        {k: F.col(c) for k, c in zip(keys, part)}
+        | {
+            BUCKET: F.lit(0).cast("long"),
+            "_o": F.coalesce(order_num.cast("long"), F.lit(low)),
+            "_t": F.coalesce(tie.cast("long"), F.lit(low)) if tie is not None else F.lit(0).cast("long"),
+        }
+    )
+    grid = ", ".join(f"{i / RADIX}D" for i in range(1, RADIX))
+    for _ in range(_MOST_LEVELS):
+        groups = rows.groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("_n"), F.min("_o").alias("_lo"), F.max("_o").alias("_hi"), F.min("_t").alias("_tl"), F.max("_t").alias("_th"))
+        large = groups.filter((F.col("_n") > _LOOSE * bound) & ((F.col("_lo") < F.col("_hi")) | (F.col("_tl") < F.col("_th"))))
+        large = large.select(*keys, BUCKET, "_n", (F.col("_lo") < F.col("_hi")).alias("_by_o"))
+        path = session.shared_path(spark, "range-groups")
+        large.write.parquet(path)
+        large = spark.read.schema(large.schema).parquet(path)
+        n_large = large.count()
+        if not n_large:
+            break
+        ranges = F.least(F.ceil(F.col("_n") / bound), F.lit(RADIX))
+        value = F.when(F.col("_by_o"), F.col("_o")).otherwise(F.col("_t"))
+        inside = _joined(rows, bounded_broadcast(large, n_large), [*keys, BUCKET], "inner")
+        sketched = inside.withColumn("_v", value).groupBy(*keys, BUCKET, "_by_o", "_n").agg(F.expr(f"percentile_approx(_v, array({grid}), {16 * RADIX})").alias("_q"))
+        sketched = sketched.withColumn("_r", ranges.cast("int")).selectExpr(
+            *keys,
+            BUCKET,
+            "_by_o",
+            f"transform(sequence(1, _r - 1), i -> _q[CAST(floor(i * {RADIX} / _r) AS INT) - 1]) AS _even",
+            # neighbours of the grid that are equal: the value fills 1 / RADIX
+            # of the group; it is heavy when that is about a range
+            "filter(array_distinct(_q), v -> size(filter(_q, w -> w = v)) >= greatest(2, CAST(floor(%d / _r) AS INT))) AS _heavy" % RADIX,
+        )
+        cuts = sketched.selectExpr(*keys, BUCKET, "_by_o", "array_union(_even, _heavy) AS _cuts", "_heavy")
+        path = session.shared_path(spark, "range-cuts")
+        cuts.write.parquet(path)
+        cuts = bounded_broadcast(spark.read.schema(cuts.schema).parquet(path), n_large)
+        step = "CASE WHEN _cuts IS NULL THEN 0 ELSE size(filter(_cuts, c -> c <= _v)) + size(filter(_heavy, h -> h < _v)) END"
+        told = _joined(rows, cuts, [*keys, BUCKET], "left").withColumn("_v", value)
+        rows = told.withColumn(BUCKET, F.col(BUCKET) * _STEP + F.expr(step)).drop("_by_o", "_cuts", "_heavy", "_v")
+    return rows.drop(*keys, "_o", "_t")
+
 
-    def search(d: DataFrame, value: Column, bounds: list[float], name: str) -> DataFrame:
-        d = d.withColumn("_order_num", F.coalesce(value.cast("double"), F.lit(-math.inf)))
-        b = Bucketizer(splits=[-math.inf] + bounds + [math.inf], inputCol="_order_num", outputCol=name, handleInvalid="keep")
-        return b.transform(d).drop("_order_num")
+def _joined(rows: DataFrame, groups: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Join by group; a NULL key is a group of its own."""
+    named = groups.withColumnsRenamed({k: f"_of{k}" for k in keys})
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_of{k}")) for k in keys])
+    return rows.join(named, same, how).drop(*[f"_of{k}" for k in keys])
 
-    found = search(df, order_num, plan.bounds, "_bucket_d")
-    index = F.col("_bucket_d").cast("long")
-    if tie is not None and plan.tie_bounds:
-        found = search(found, tie, plan.tie_bounds, "_tie_d")
-        inside = F.when(order_num.cast("double").isin(plan.heavy), F.col("_tie_d").cast("long")).otherwise(plan.stride - 1)
-        index = index * plan.stride + inside
-    return found.withColumn(out, index).drop("_bucket_d", "_tie_d")
+
+def bound_for(df: DataFrame, part: list[str], n_buckets: int) -> int:
+    """Rows a range has when the largest series is cut into ``n_buckets``."""
+    most = df.groupBy(*part).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+    return max(1, math.ceil((most or 0) / n_buckets))
 
 
 def bounded_broadcast(df: DataFrame, rows_bound: int) -> DataFrame:
@@ -169,20 +215,26 @@ def bounded_broadcast(df: DataFrame, rows_bound: int) -> DataFrame:
     return F.broadcast(df) if rows_bound <= session.BROADCAST_ROWS else df
 
 
-def by_series_size(df: DataFrame, part: list[str], rows_per_bucket: int) -> list[tuple[DataFrame, int]]:
-    """[(rows, ranges)]: the series that fit one task together with 1 range,
-    and the hot series, if any, with as many ranges as keep a range within
-    ``rows_per_bucket`` rows. Series are counted in one aggregate."""
-    if not part:
-        return [(df, n_buckets_for(df, rows_per_bucket))]
+def by_series_size(df: DataFrame, part: list[str], rows_per_bucket: int) -> list[tuple[DataFrame, int | None]]:
+    """[(rows, bound)]: the series that fit one task together, with None, and
+    the hot series, if any, with the rows that a range of them may have.
+    Series are counted in one aggregate."""
     hot = df.groupBy(*part).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows_per_bucket)
-    stat = hot.agg(F.count(F.lit(1)).alias("series"), F.sum("_n").alias("rows")).first()
-    if not stat["series"]:
-        return [(df, 1)]
-    names = bounded_broadcast(hot.select(*[F.col(c).alias(f"_hot_{c}") for c in part]), stat["series"])
+    n_hot = hot.count()
+    if not n_hot:
+        return [(df, None)]
+    if not part:
+        return [(df, rows_per_bucket)]
+    names = bounded_broadcast(hot.select(*[F.col(c).alias(f"_hot_{c}") for c in part]), n_hot)
     same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_hot_{c}")) for c in part])
-    ranges = math.ceil(stat["rows"] / max(1, rows_per_bucket))
-    return [(df.join(names, same, "left_anti"), 1), (df.join(names, same, "left_semi"), max(2, ranges))]
+    return [(df.join(names, same, "left_anti"), None), (df.join(names, same, "left_semi"), rows_per_bucket)]
+
+
+def sized_groups(df: DataFrame, part: list[str], rows_per_bucket: int, n_buckets: int | None) -> list[tuple[DataFrame, int | None]]:
+    """``by_series_size``, or every series cut as ``n_buckets`` says."""
+    if n_buckets is None:
+        return by_series_size(df, part, rows_per_bucket)
+    return [(df, bound_for(df, part, n_buckets) if n_buckets > 1 else None)]
 
 
 def n_buckets_for(df: DataFrame, rows_per_bucket: int) -> int:
@@ -269,6 +321,7 @@ def history_features(
     ts_col: str = S.TS,
     post=None,
     seed: tuple[DataFrame, str] | None = None,
+    bound: int | None = None,
 ) -> DataFrame:
     """Add rolling, lag and forward-filled columns per series (see module doc).
     ``post(name, column)`` may wrap every output column (e.g. a zero fill).
@@ -276,12 +329,12 @@ def history_features(
     row: at most one row a series, a column ``prefix + source`` each."""
     part, order = list(partition_cols), list(order_cols)
     final_cols = list(df.columns) + [c for c in _out_names(spec) if c not in df.columns]
-    groups = [(df, n_buckets)] if n_buckets is not None else by_series_size(df, part, rows_per_bucket)
+    groups = [(df, bound)] if bound is not None else sized_groups(df, part, rows_per_bucket, n_buckets)
     done = [
         _apply(_seeded(rows, spec, part, seed), spec, part, order, set(_ffill_sources(spec)) if seed else None, final_cols, post)
-        if n <= 1
-        else _bucketed(rows, spec, part, order, n, ts_col, final_cols, post, seed)
-        for rows, n in groups
+        if most is None
+        else _bucketed(rows, spec, part, order, most, ts_col, final_cols, post, seed)
+        for rows, most in groups
     ]
     return reduce(DataFrame.unionByName, done)
 
@@ -302,12 +355,9 @@ def _tie_column(df: DataFrame, order: list[str]) -> Column | None:
 
 
 def _bucketed(
-    df: DataFrame, spec: HistorySpec, part: list[str], order: list[str], n_buckets: int, ts_col: str, final_cols: list[str], post=None, seed=None
+    df: DataFrame, spec: HistorySpec, part: list[str], order: list[str], bound: int, ts_col: str, final_cols: list[str], post=None, seed=None
 ) -> DataFrame:
-    onum = order_micros(ts_col)
-    tie = _tie_column(df, order)
-    bounds = range_bounds(df, onum, n_buckets, tie=tie)
-    base = with_range_bucket(df, onum, bounds, tie=tie)
+    base = series_ranges(df, part, order_micros(ts_col), bound, _tie_column(df, order))
     h = spec.lookback
     cols = list(df.columns)
 
@@ -364,10 +414,11 @@ def forward_fill(
     order_cols=(S.TS, S.KEY),
     rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
     n_buckets: int | None = None,
+    bound: int | None = None,
 ) -> DataFrame:
     """Carry the last non-null value forward per series."""
     spec = HistorySpec(ffill=list(cols), ffill_rolling=False)
-    return history_features(df, spec, partition_cols, order_cols, rows_per_bucket, n_buckets)
+    return history_features(df, spec, partition_cols, order_cols, rows_per_bucket, n_buckets, bound=bound)
 
 
 def column_means(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
