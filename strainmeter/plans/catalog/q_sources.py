@@ -61,12 +61,44 @@ def q_read_readings_json(spark, sf_dir):
     return IO.read_readings_json(spark, path)
 
 
-@register("read_readings_bodies", O.with_ctes(O.METRICS_CTE) + f"\nSELECT {READING_SQL_COLS} FROM metrics")
+#: Every seventh body of 50 readings is cut short; in every fifth, the first
+#: reading's error count is text.
+BODY = 50
+_GOOD = f"event_id // {BODY} % 7 <> 3 AND NOT (event_id // {BODY} % 5 = 2 AND event_id % {BODY} = 0)"
+_NO_READING = ", ".join(f"NULL AS {c}" for c in ["reading_id", S.HOST, S.TS, *S.METRIC_COLS, "hour", "day_of_week"])
+
+
+@register(
+    "read_readings_bodies",
+    O.with_ctes(O.METRICS_CTE)
+    + f"\nSELECT {READING_SQL_COLS}, NULL AS body_error FROM metrics WHERE {_GOOD}"
+    + f"\nUNION ALL SELECT {_NO_READING}, '{IO.MALFORMED_BODY}' FROM metrics WHERE event_id // {BODY} % 7 = 3 GROUP BY event_id // {BODY}"
+    + f"\nUNION ALL SELECT {_NO_READING}, '{IO.MALFORMED_READING}' FROM metrics WHERE event_id // {BODY} % 7 <> 3 AND event_id // {BODY} % 5 = 2 AND event_id % {BODY} = 0",
+)
 def q_read_readings_bodies(spark, sf_dir):
-    """Readings written as batch bodies (JSON arrays) and read back."""
-    path = shared_path(spark, "readings-bodies")
+    """Readings written as batch bodies (JSON arrays) and read back; bodies
+    cut short and elements of a wrong type are reported, the rest of their
+    bodies is read."""
+    path, broken = shared_path(spark, "readings-bodies"), shared_path(spark, "readings-broken")
     m = IO.events_metrics(spark, sf_dir).withColumnRenamed(S.KEY, "reading_id")
-    return IO.read_readings_json(spark, IO.write_readings_bodies(m, path), layout="bodies")
+    text = spark.read.text(IO.write_readings_bodies(m, path, size=BODY))
+    least = F.array_min(F.transform(F.from_json("value", "array<struct<reading_id: bigint>>"), lambda r: r["reading_id"]))
+    n = text.withColumn("_n", F.floor(least / BODY)).withColumn("_first", F.concat(F.lit('"reading_id":'), (F.col("_n") * BODY).cast("string"), F.lit(",")))
+    wrong = F.replace("value", F.col("_first"), F.concat(F.lit('"error_count":"many",'), F.col("_first")))
+    cut = F.expr("left(value, length(value) - 9)")
+    n.select(F.when(F.col("_n") % 7 == 3, cut).when(F.col("_n") % 5 == 2, wrong).otherwise(F.col("value")).alias("value")).write.text(broken)
+    return IO.read_bodies(spark, broken).drop("raw")
+
+
+@register("scan_days", O.with_ctes(O.METRICS_CTE) + f"\nSELECT {METRIC_SELECT} FROM metrics WHERE ts >= TIMESTAMP '2024-01-05 06:00:00' AND ts < TIMESTAMP '2024-01-09 12:30:00'")
+def q_scan_days(spark, sf_dir):
+    """A stretch of time of a table written by day: day folders are pruned;
+    one of its days was written anew."""
+    path = shared_path(spark, "metrics-days")
+    m = IO.events_metrics(spark, sf_dir)
+    IO.write_table(m, path)
+    IO.write_table(m.filter(F.to_date(S.TS) == F.lit("2024-01-06")), path, replace="partitions")
+    return IO.scan_metrics(spark, path, since=dt.datetime(2024, 1, 5, 6), until=dt.datetime(2024, 1, 9, 12, 30))
 
 
 @register("scan_features_csv", O.feature_sql())

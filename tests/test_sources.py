@@ -55,22 +55,107 @@ def test_every_reading_is_scored_or_rejected(spark, metrics_small):
 def test_late_stream_rows_leave_the_state_alone(spark):
     import pandas as pd
 
+    from pyspark.sql import types as T
+
     from strainmeter.streaming import stateful as ST
 
     class State:
-        exists, get = False, None
+        exists, get, hasTimedOut, timer = False, None, False, None
+
+        def __init__(self):
+            self.watermark = 0
 
         def update(self, value):
             self.exists, self.get = True, value
 
-    fn = ST._history_fn([("m3", "v", "mean", 3)], [("l1", "v", 1)], {}, ["v"], [S.TS, S.KEY, "v"], [S.KEY, "v", "m3", "l1", "is_late"], 2)
-    state = State()
+        def remove(self):
+            self.exists, self.get = False, None
 
-    def batch(*rows):
-        pdf = pd.DataFrame([(i, pd.Timestamp(t), v) for i, t, v in rows], columns=[S.KEY, S.TS, "v"])
-        return pd.concat(list(fn((1,), iter([pdf]), state))).set_index(S.KEY)
+        def getCurrentWatermarkMs(self):
+            return self.watermark
 
-    batch((1, "2024-01-01 00:00", 1.0), (2, "2024-01-01 00:01", 2.0))
-    got = batch((4, "2024-01-01 00:02", 3.0), (3, "2024-01-01 00:00:30", 9.0))
-    assert got.loc[4, ["m3", "l1", "is_late"]].tolist() == [2.0, 2.0, False]
-    assert got.loc[3, ["m3", "l1", "is_late"]].tolist() == [9.0, 9.0, True]
+        def setTimeoutTimestamp(self, at):
+            assert at >= self.watermark
+            self.timer = at
+
+    names = [S.KEY, S.TS, "v"]
+    kind = T.StructType([T.StructField(S.KEY, T.LongType()), T.StructField(S.TS, T.TimestampNTZType()), T.StructField("v", T.DoubleType())])
+    parts = ST._history_fn([("m3", "v", "mean", 3)], [("l1", "v", 1)], {}, ["v"], [S.TS, S.KEY, "v"], [S.KEY, "v", "m3", "l1", "is_late"], 2)
+    fn = ST._in_event_time(*parts, kind, "10 minutes", "10 minutes", "1 hour")
+    state = State()
+    at = lambda t: int(pd.Timestamp(t).value // 10**6)
+
+    def batch(*rows, seen=None, timer=False):
+        state.watermark = at(seen) - 600_000 if seen else 0
+        state.hasTimedOut = timer
+        pdf = pd.DataFrame([(i, pd.Timestamp(t), v) for i, t, v in rows], columns=names)
+        got = list(fn((1,), iter([] if timer else [pdf]), state))
+        return pd.concat(got).set_index(S.KEY) if got else None
+
+    assert batch((2, "2024-01-01 00:01", 2.0), (1, "2024-01-01 00:00", 1.0)) is None  # nothing is due yet
+    got = batch((3, "2024-01-01 00:02", 3.0), seen="2024-01-01 00:11")
+    assert got.index.tolist() == [1, 2] and got["m3"].tolist() == [1.0, 1.5]
+    got = batch((4, "2024-01-01 00:00:30", 9.0), seen="2024-01-01 00:11:30")
+    assert got.loc[4, ["m3", "l1", "is_late"]].tolist() == [9.0, 9.0, True] and len(got) == 1
+    assert state.timer < at("2024-01-01 00:02") and state.timer >= at("2024-01-01 00:01:30") - 600_000 - 1
+    got = batch(seen="2024-01-01 00:30", timer=True)
+    assert got.loc[3, ["m3", "l1", "is_late"]].tolist() == [2.0, 2.0, False]
+    assert state.exists and batch(seen="2024-01-01 00:50", timer=True) is None and state.exists
+    assert batch(seen="2024-01-01 02:00", timer=True) is None and not state.exists
+    with pytest.raises(ValueError):
+        ST._in_event_time(*parts, kind, "10 minutes", "5 minutes", "1 hour")
+
+
+def test_bodies_that_cannot_be_read_are_reported(spark):
+    path = shared_path(spark, "bodies")
+    good = {"reading_id": 1, "cpu_usage": 1.5, "ts": "2024-01-01T00:00:00.000001"}
+    lines = [json.dumps([good, good | {"reading_id": 2}]), json.dumps([good, {"reading_id": "x"}, 7, None, {}]), json.dumps([good, good])[:-9], "not json", json.dumps({"reading_id": 3}), "", "[]", "null"]
+    spark.createDataFrame([(v,) for v in lines], "value string").write.text(path)
+    got = IO.read_bodies(spark, path).collect()
+    assert sorted(r.reading_id for r in got if r.body_error is None and r.reading_id) == [1, 1, 2]
+    assert sum(r.body_error is None for r in got) == 4  # {} is a reading without fields
+    assert sorted(r.raw for r in got if r.body_error == IO.MALFORMED_BODY) == sorted([lines[2], lines[3], lines[4], lines[7]])
+    assert sorted(str(r.raw) for r in got if r.body_error == IO.MALFORMED_READING) == sorted(["7", "None", '{"reading_id":"x"}'])
+    assert IO.read_readings_json(spark, path, layout="bodies").count() == 4
+
+
+def _files(spark, path):
+    return set(spark.read.parquet(path).inputFiles())
+
+
+def test_writes_make_few_files_and_leave_other_days(spark):
+    m = IO.events_metrics(spark, "/root/testdata/sf0.01").repartition(40)
+    path = shared_path(spark, "days")
+    IO.write_table(m, path)
+    days = m.select(F.to_date(S.TS)).distinct().count()
+    assert len(_files(spark, path)) <= days + 1
+    before = {f for f in _files(spark, path) if "2024-01-03" not in f}
+    IO.write_table(m.filter(F.to_date(S.TS) == F.lit("2024-01-03")).limit(5), path, replace="partitions")
+    assert before < _files(spark, path) and len(_files(spark, path)) == len(before) + 1
+    assert spark.read.parquet(path).filter("event_date = DATE'2024-01-03'").count() == 5
+    with pytest.raises(ValueError):
+        IO.write_table(m, path, replace="rows")
+
+
+def test_time_bounds_prune_days(spark, metrics_small):
+    path = shared_path(spark, "pruned")
+    odd = metrics_small.withColumn("cpu_usage", F.when(F.col(S.KEY) % 5 == 0, float("nan")).otherwise(F.col("cpu_usage")))
+    IO.write_table(odd, path)
+    got = IO.scan_metrics(spark, path, since="2024-01-03 12:00:00", until="2024-01-05 00:00:00")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    prunes = plan[plan.index("PartitionFilters: [") :].split("]")[0]
+    assert "event_date" in prunes and ">=" in prunes and "<=" in prunes
+    want = metrics_small.filter("ts >= '2024-01-03 12:00:00' AND ts < '2024-01-05 00:00:00'")
+    assert got.count() == want.count() > 0
+    assert got.filter("cpu_usage IS NULL").count() == want.filter("event_id % 5 = 0").count()
+    assert got.filter(F.isnan("cpu_usage")).count() == 0
+    assert IO.scan_features(spark, path, since="2024-01-04 00:00:00").count() == metrics_small.filter("ts >= '2024-01-04'").count()
+
+
+def test_fingerprint_follows_rewrites(spark, metrics_small):
+    path = shared_path(spark, "print")
+    metrics_small.write.parquet(path)
+    a = IO.table_fingerprint(spark, path)
+    assert a == IO.table_fingerprint(spark, path)
+    metrics_small.limit(10).write.mode("overwrite").parquet(path)
+    assert a != IO.table_fingerprint(spark, path)
