@@ -13,6 +13,7 @@ from strainmeter.operators import monitor as MO
 from strainmeter.operators.windows import column_means
 from strainmeter.plans.catalog import register
 from strainmeter.plans.checks import rounded, split_buckets
+from strainmeter.session import shared_path
 from strainmeter.sources.io import events_metrics, read_table
 
 M = O.METRICS_CTE
@@ -118,6 +119,28 @@ def q_latency_quantile_quarter(spark, sf_dir):
     return rounded(MO.latency_quantile(events_metrics(spark, sf_dir), "response_time_ms", 0.95, bucket="15 minutes"))
 
 
+#: Bound on the rank error of the merged sketches, as a share of the rows.
+SKETCH_ERROR = 0.0133
+
+
+@register(
+    "latency_sketch",
+    O.with_ctes(M, "dq AS (SELECT date_trunc('day', ts) AS bucket_start, count(*) AS n FROM metrics GROUP BY 1)")
+    + "\nSELECT bucket_start, n, true AS within FROM dq",
+)
+def q_latency_sketch(spark, sf_dir):
+    """Daily 95th percentile from stored minute sketches; whether the exact
+    rank of each day's value is within the stated error."""
+    m = events_metrics(spark, sf_dir)
+    path = shared_path(spark, "latency-sketches")
+    MO.quantile_sketches(m, "response_time_ms").write.parquet(path)
+    days = MO.merged_quantile(spark.read.parquet(path))
+    rows = m.select(F.to_date(S.TS).alias("d"), "response_time_ms").join(days.withColumn("d", F.to_date("bucket_start")), "d")
+    v, below = F.col("response_time_ms"), lambda c: F.count_if(c) / F.first("n")
+    off = F.greatest(below(v < F.col("p95")) - 0.95, F.lit(0.95) - below(v <= F.col("p95")))
+    return rows.groupBy("bucket_start", "n").agg((off <= SKETCH_ERROR).alias("within"))
+
+
 LATEST_NAMES = ["cpu_usage", "cpu_usage_rolling_mean_3", "memory_usage_lag_1", "error_rate", "total_stress"]
 LATEST_AS_OF = "2024-01-20 12:00:00"
 

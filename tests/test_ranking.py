@@ -120,3 +120,66 @@ def test_offsets_broadcast_only_within_the_bound(spark, monkeypatch):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", auto)
     assert a == b
     assert "BroadcastExchange" in pa and "BroadcastExchange" not in pb
+
+
+def _exact_p(n, m, d):
+    """P(D >= d) over all orders of two samples."""
+    worse = total = 0
+    for chosen in itertools.combinations(range(n + m), n):
+        i = j = 0
+        most = 0.0
+        own = set(chosen)
+        for t in range(n + m):
+            i, j = i + (t in own), j + (t not in own)
+            most = max(most, abs(i / n - j / m))
+        total += 1
+        worse += most >= d - 1e-12
+    return worse / total
+
+
+def test_exact_ks_p_values_equal_enumeration(spark):
+    from strainmeter.operators.monitor import ks_exact_sql
+
+    cases = [(n, m, k / (n * m)) for n, m in ((1, 1), (1, 5), (3, 4), (5, 5), (6, 3), (7, 5)) for k in range(0, n * m + 1, max(1, n * m // 6))]
+    df = spark.createDataFrame(cases, "n_ref long, n_cur long, ks_statistic double")
+    got = df.withColumn("p", F.expr(ks_exact_sql())).collect()
+    assert len(got) == len(cases)
+    for r in got:
+        assert r.p == pytest.approx(_exact_p(r.n_ref, r.n_cur, r.ks_statistic), abs=1e-12), r
+
+
+def test_small_samples_get_the_exact_law(spark):
+    rng = np.random.default_rng(1)
+    a, b = rng.normal(0, 1, 12), rng.normal(1.2, 1, 9)
+    frames = [spark.createDataFrame([(float(v),) for v in x], "v double") for x in (a, b)]
+    r = ks_drift(*frames).first()
+    assert r.p_value == pytest.approx(_exact_p_fast(12, 9, r.ks_statistic), abs=1e-12)
+    big = [spark.range(n).select(F.rand(s).alias("v")) for n, s in ((300, 1), (200, 2))]
+    r = ks_drift(*big).first()
+    exact = _exact_p_fast(300, 200, r.ks_statistic)
+    assert r.n_ref * r.n_cur > 10_000 and r.p_value == pytest.approx(exact, abs=0.05)
+
+
+def _exact_p_fast(n, m, d):
+    k = round(d * n * m)
+    row = [1.0 if j * n < k else 0.0 for j in range(m + 1)]
+    for j in range(1, m + 1):
+        row[j] = min(row[j], row[j - 1])
+    for i in range(1, n + 1):
+        new = [row[0] if i * m < k else 0.0]
+        for j in range(1, m + 1):
+            new.append((i * row[j] + j * new[-1]) / (i + j) if abs(i * m - j * n) < k else 0.0)
+        row = new
+    return 1 - row[-1]
+
+
+def test_merged_sketches_keep_the_rank(spark):
+    from strainmeter.operators.monitor import merged_quantile, quantile_sketches
+
+    rows = spark.range(60_000).select(F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id * 4)").alias(S.TS), F.when(F.col("id") % 50 == 0, float("nan")).when(F.col("id") % 51 == 0, None).otherwise(F.exp(F.randn(4))).alias("v")).cache()
+    for q in (0.5, 0.95):
+        name = f"p{round(q * 100)}"
+        days = merged_quantile(quantile_sketches(rows, "v", bucket="10 minutes"), q)
+        joined = rows.filter("v IS NOT NULL AND NOT isnan(v)").withColumn("bucket_start", F.date_trunc("day", S.TS).cast("timestamp_ntz")).join(days, "bucket_start")
+        for r in joined.groupBy("bucket_start", "n").agg((F.count_if(F.col("v") <= F.col(name)) / F.first("n")).alias("rank"), F.count(F.lit(1)).alias("c")).collect():
+            assert r.c == r.n and abs(r.rank - q) <= 0.0133
