@@ -5,11 +5,18 @@ Base kinds (leftmost, non-overlapping by kind): assign (a named value), access
 of high entropy: in every candidate string (a maximal run of characters that
 keys are made of) a window of ``WINDOW`` characters slides along while the
 counts of its characters, and from them its Shannon entropy, are kept up to
-date by one step in and one step out. A window whose entropy reaches the bound
-of its own character class (hexadecimal digits of one case, or text) marks its
-characters, whatever stands around it in the string. What is on the allow-list, such as
-identifiers in UUID form and placeholder words, adds nothing: the part between
-/ = _ - that holds it is left out, its neighbours are scanned.
+date by one step in and one step out, as are the counts of its classes. A
+window whose entropy reaches the bound of its own class (digits, hexadecimal
+digits of one case, letters of one case, mixed letters, letters of one case
+with digits as in base32, and all of them as in base64) marks its characters.
+
+Windows stay inside the parts between / = _ - of a candidate; parts that mix
+cases as keys do and words don't are one part with such neighbours, since
+base64 uses some of these marks itself. Windows that read like words (letter
+pairs that are common in European languages make up ``WORDY`` of all) mark
+nothing. What is on the allow-list, such as identifiers in UUID form and
+placeholder words, adds nothing: the part that holds it is left out, its
+neighbours are scanned.
 
 One pass over the texts, no shuffle.
 """
@@ -29,10 +36,18 @@ from strainmeter.llm import textvec as tv
 from strainmeter.llm.tables import fresh, ship
 
 WINDOW = 20
-#: Bits a window has at least, by character class.
-BOUNDS = {"entropy_hex": 3.0, "entropy_text": 3.75}
+#: Bits a window has at least, by character class: 98 to 99 of 100 windows of random
+#: characters of the class have as many.
+BOUNDS = {"digits": 2.57, "hex": 2.88, "letters": 3.28, "mixed": 3.61, "base32": 3.40, "base64": 3.67}
+#: Share of common pairs among a window's letter pairs that makes it wordy.
+WORDY = 0.4
+#: Common letter pairs of English, French, German and Spanish.
+COMMON = frozenset(
+    "th he in er an re nd on en at ou ed ha to or it is hi es ng st ar te se ti al le ri ro ra ve co me de ea li ne ma ic io "
+    "ll ch el us la om ur no ta ce ca si di lo ec po pr pe ho et il ac tr un ei ie ge be ai eu qu ue os ad as sc da ut id ot".split()
+)
 ALLOWED = (
-    r"^[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$",
+    r"(?<![0-9a-zA-Z])[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}(?![0-9a-zA-Z])",
     r"(?i)example|sample|placeholder|changeme|dummy|redacted|lorem",
     r"^sha(1|256|384|512)[-=]",
     r"(?i)abcdefghij|0123456789",
@@ -40,7 +55,7 @@ ALLOWED = (
 REPLACEMENT = "[SECRET]"
 
 #: The base patterns and the order of kinds.
-KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_text")
+KINDS = ("assign", "access", "hex", *(f"entropy_{c}" for c in BOUNDS))
 _ASSIGN = re.compile(
     r"(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])"
     r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -48,7 +63,7 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{32,}")
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % WINDOW)
-_HEXADECIMAL = re.compile(r"[0-9a-f]+|[0-9A-F]+")
+_CAPITALISED = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 _KEY = np.zeros(256, bool)
 _KEY[[*range(48, 58), *range(65, 91), *range(97, 123), *b"+/_=-"]] = True
@@ -62,13 +77,32 @@ _TERM = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 1)]
 _LOWER, _UPPER = frozenset("0123456789abcdef"), frozenset("0123456789ABCDEF")
 
 
-def dense(text: str, bound: float, other: float | None = None) -> list[tuple[int, int]]:
-    """Spans of ``text`` covered by windows with entropy of at least
-    ``bound`` bits; ``other`` bits, if given, for windows that aren't
-    hexadecimal digits of one case."""
+def char_class(text: str) -> str:
+    """Class of a string of key characters."""
+    upper, lower, digit = (any(f(c) for c in text) for f in (lambda c: "A" <= c <= "Z", lambda c: "a" <= c <= "z", lambda c: "0" <= c <= "9"))
+    return _class(upper, lower, digit, any(not c.isalnum() for c in text), set(text) <= _LOWER or set(text) <= _UPPER)
+
+
+def _class(upper: bool, lower: bool, digit: bool, mark: bool, hexadecimal: bool) -> str:
+    if mark or (upper and lower and digit):
+        return "base64"
+    if digit:
+        return "hex" if hexadecimal and (upper or lower) else "base32" if upper or lower else "digits"
+    return "mixed" if upper and lower else "letters"
+
+
+def dense(text: str, bounds: dict[str, float] | float = BOUNDS, wordy: float = WORDY) -> list[tuple[int, int]]:
+    """Spans of ``text`` covered by windows with as much entropy as the bound
+    of their class that don't read like words."""
+    if isinstance(bounds, float):
+        bounds = dict.fromkeys(BOUNDS, bounds)
     counts: dict[str, int] = {}
-    other = bound if other is None else other
-    lower = upper = 0  # length of the run of digits of either case that ends here
+    low = upper_hex = 0  # length of the run of hexadecimal digits of either case that ends here
+    kinds = {"u": 0, "l": 0, "d": 0, "m": 0}
+    sort = ["u" if "A" <= c <= "Z" else "l" if "a" <= c <= "z" else "d" if "0" <= c <= "9" else "m" for c in text]
+    small = text.lower()
+    pair = [0] + [(sort[i] in "ul" and sort[i - 1] in "ul") + (small[i - 1 : i + 1] in COMMON) for i in range(1, len(text))]  # 0 none, 1 letters, 2 common
+    letters = common = 0
     total = 0.0
     out: list[tuple[int, int]] = []
     top = math.log2(WINDOW)
@@ -78,14 +112,23 @@ def dense(text: str, bound: float, other: float | None = None) -> list[tuple[int
             n = counts[old]
             counts[old] = n - 1
             total += _TERM[n - 1] - _TERM[n]
+            kinds[sort[i - WINDOW]] -= 1
+            gone = pair[i - WINDOW + 1]
+            letters -= gone > 0
+            common -= gone > 1
         n = counts.get(c, 0)
         counts[c] = n + 1
         total += _TERM[n + 1] - _TERM[n]
-        lower = lower + 1 if c in _LOWER else 0
-        upper = upper + 1 if c in _UPPER else 0
-        least = bound if lower >= WINDOW or upper >= WINDOW else other
-        if i >= WINDOW - 1 and top - total / WINDOW >= least - 1e-9:
-            a = i - WINDOW + 1
+        kinds[sort[i]] += 1
+        letters += pair[i] > 0
+        common += pair[i] > 1
+        low = low + 1 if c in _LOWER else 0
+        upper_hex = upper_hex + 1 if c in _UPPER else 0
+        if i < WINDOW - 1:
+            continue
+        a = i - WINDOW + 1
+        least = bounds[_class(kinds["u"] > 0, kinds["l"] > 0, kinds["d"] > 0, kinds["m"] > 0, low >= WINDOW or upper_hex >= WINDOW)]
+        if top - total / WINDOW >= least - 1e-9 and not (letters >= 6 and common >= wordy * letters):
             if out and out[-1][1] >= a:
                 out[-1] = (out[-1][0], i + 1)
             else:
@@ -93,10 +136,21 @@ def dense(text: str, bound: float, other: float | None = None) -> list[tuple[int
     return out
 
 
-def _mixed(text: str) -> bool:
-    """Digits next to letters, as random keys have and words haven't."""
-    digits = sum(c.isdigit() for c in text)
-    return digits >= 2 and len(text) - digits >= 2
+def _parts(run: str, first: int, last: int) -> list[tuple[int, int]]:
+    """Stretches of at least a window between the marks / = _ -; parts that
+    mix cases within (or have up to three characters) are joined over one
+    mark, if one of them mixes."""
+    cut = [m.span() for m in re.finditer(r"[^/=_-]+", run[first:last])]
+    out: list[list] = []
+    for a, b in cut:
+        part = run[first + a : first + b]
+        mixes = any(c.islower() for c in part) and any(c.isupper() for c in part) and not _CAPITALISED.fullmatch(part)
+        joins = mixes or b - a <= 3
+        if out and joins and out[-1][2] and a == out[-1][1] + 1 and run[first + a - 1] != "=":
+            out[-1] = [out[-1][0], b, True, out[-1][3] or mixes]
+        else:
+            out.append([a, b, joins, mixes])
+    return [(first + a, first + b) for a, b, _, mixes in out if b - a >= WINDOW]
 
 
 def _open(run: str, allowed: tuple[str, ...]) -> list[tuple[int, int]]:
@@ -130,14 +184,12 @@ def spans(text: str, allowed: tuple[str, ...] = ALLOWED) -> list[tuple[str, int,
     base = list(out)
     for m in _CANDIDATE.finditer(text):
         run = m.group()
-        if not _mixed(run):
-            continue
-        for first, last in _open(run, allowed):
-            for a, b in dense(run[first:last], BOUNDS["entropy_hex"], BOUNDS["entropy_text"]):
-                a, b = a + first + m.start(), b + first + m.start()
-                kind = "entropy_hex" if _HEXADECIMAL.fullmatch(text, a, b) else "entropy_text"
-                if _mixed(text[a:b]) and not any(x <= a and b <= y for _, x, y in base):
-                    out.append((kind, a, b))
+        for opened in _open(run, allowed):
+            for first, last in _parts(run, *opened):
+                for a, b in dense(run[first:last]):
+                    a, b = a + first + m.start(), b + first + m.start()
+                    if not any(x <= a and b <= y for _, x, y in base):
+                        out.append((f"entropy_{char_class(text[a:b])}", a, b))
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
@@ -186,7 +238,7 @@ def _scanner(allowed: tuple[str, ...], mask: bool):
                 if found:
                     n = {k: sum(f[0] == k for f in found) for k in KINDS}
                     base = joined([f for f in found if f[0] in KINDS[:3]])
-                    out[row + i] = {"n_assign": n["assign"], "n_access": n["access"], "n_hex": n["hex"], "n_entropy": n["entropy_hex"] + n["entropy_text"], "base_sha256": hashlib.sha256(base.encode()).hexdigest(), "spans": joined(found), "masked": masked(text, found) if mask else None}
+                    out[row + i] = {"n_assign": n["assign"], "n_access": n["access"], "n_hex": n["hex"], "n_entropy": sum(n[k] for k in KINDS[3:]), "base_sha256": hashlib.sha256(base.encode()).hexdigest(), "spans": joined(found), "masked": masked(text, found) if mask else None}
         return pa.array(out, kind)
 
     return F.arrow_udf(scan, _FOUND)
