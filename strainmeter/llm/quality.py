@@ -216,8 +216,14 @@ def trained(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> tu
     table = posterior({r["v"]: r["n"] for r in coded.groupBy("v").agg(F.count(F.lit(1)).alias("n")).collect()})
     n = docs.count()
     share = min(1.0, sample / n) if n else 0.0
-    rows = docs.select(F.col(text_col).alias("t"), F.xxhash64(F.col(text_col)).alias("k")).where(F.pmod("k", F.lit(1 << 30)) < int(share * (1 << 30))).where("t is not null")
-    texts = [r["t"] for r in sorted(rows.limit(2 * sample).collect(), key=lambda r: (r["k"], r["t"]))]
+    # distinct texts in hash order: the same sample whatever copies there are,
+    # and whichever partitions come first
+    rows = docs.select(F.col(text_col).alias("t"), F.xxhash64(F.col(text_col)).alias("k")).where("t is not null")
+    place = F.pmod("k", F.lit(1 << 30))
+    near = rows.where(place < min(1 << 30, int(2 * share * (1 << 30)) + 1))
+    keys = near.select("k").distinct().orderBy(F.pmod("k", F.lit(1 << 30)), "k").limit(sample)
+    chosen = near.join(F.broadcast(keys), "k").dropDuplicates(["k"])  # at most ``sample`` keys
+    texts = [r["t"] for r in sorted(chosen.collect(), key=lambda r: (r["k"], r["t"]))]
     if not texts:
         return None, table
     col = pa.array(texts, pa.large_string())
