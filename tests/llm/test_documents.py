@@ -79,19 +79,49 @@ def test_secret_entropy_window_counts_equal_recount():
         if entropy(text[i : i + w]) >= 3.0:
             marked |= set(range(i, i + w))
     got = set()
-    for a, b in secretscan.dense(text, 3.0):
+    for a, b in secretscan.dense(text, 3.0, 2.0):
         got |= set(range(a, b))
     assert got == marked
 
 
 def test_secret_added_spans_and_allow_list():
     key = "qZ8xT1vB9kLm3Np7Rs2Wd5"
-    assert [s[0] for s in secretscan.spans(f"use {key} here")] == ["entropy_text"]
+    assert [s[0] for s in secretscan.spans(f"use {key} here")] == ["entropy_base64"]
     assert secretscan.spans("id 123e4567-e89b-12d3-a456-426614174000 ok") == []
     assert secretscan.spans(f"EXAMPLE{key}") == []
     assert secretscan.spans("ordinary words and internationalisations only") == []
 
 
+@pytest.mark.parametrize("kind", ["letters", "upper", "mixed", "base32", "base36", "base64", "base64url", "hex", "digits"])
+def test_random_keys_of_every_class_are_found(kind):
+    rng = random.Random(31)
+    low, up, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    chars = {"letters": low, "upper": up, "mixed": low + up, "base32": up + "234567", "base36": low + digits, "base64": low + up + digits + "+/", "base64url": low + up + digits + "-_", "hex": digits + "abcdef", "digits": digits}[kind]
+    for n in (20, 24, 32, 40):
+        found = 0
+        for _ in range(300):
+            key = "".join(rng.choice(chars) for _ in range(n))
+            found += bool(secretscan.spans(f"see {key} now"))
+        # marks cut short base64 keys into parts of less than a window
+        assert found >= (0.8 if kind.startswith("base64") and n < 32 else 0.95) * 300, (n, found)
+
+
+def test_words_paths_and_names_are_left_alone():
+    for text in (
+        "https://x.org/2023/12/05/quick-brown-fox-jumps-over-lazy-dogs",
+        "/usr/lib/python3.13/site-packages/numpy/core/include",
+        "rates-by-country-2021-and-2022-by-region",
+        "IMG_20231205_143022_holiday-photo",
+        "internationalization counterrevolutionaries",
+        "getUserAccountInformationService DefaultSingletonBeanRegistry",
+        "SOME_LONG_CONSTANT_NAME_FOR_TESTS Donaudampfschifffahrtsgesellschaft",
+        "id=123e4567-e89b-12d3-a456-426614174000",
+        "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaa ======================== 00000000000000000000000000",
+        "The-Quick-Brown-Fox/Holiday-Photos-From-Paris-Trip",
+    ):
+        assert secretscan.spans(text) == [], text
+
+
 def test_secret_hex_keys_behind_a_name():
     rng = random.Random(21)
     for n in (20, 24, 31):
@@ -556,3 +586,58 @@ def test_language_odd_rows(odd):
             assert (r.lang_pred, r.score) == ("und", 0.0)
     assert language.languages(odd.limit(0)).count() == 0
     assert language.identified(odd).columns == odd.columns
+
+
+def test_passages_unlike_their_shortest_partner(spark):
+    """Families of a short text with a variant of a passage, one with the
+    plain passage and one with another variant: each variant is like the plain
+    one, but not like the other."""
+    rng = random.Random(17)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7))
+    rows = []
+    for i in range(40):
+        plain = [word() for _ in range(60)]
+        variants = []
+        for at in ((12, 40), (26, 53)):
+            v = list(plain)
+            for k in at:
+                v[k] = word()
+            variants.append(v)
+        for j, (p, extra) in enumerate(((variants[0], 2), (plain, 30), (variants[1], 60))):
+            rows.append((3 * i + j, " ".join([word() for _ in range(extra)] + p + [word() for _ in range(extra)])))
+    found = {r.doc_id: r.class_id for r in passages.repeated(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    missed = [i for i in range(40) if any(found.get(3 * i + j) != 3 * i for j in range(3))]
+    assert len(missed) <= 2  # two changed words leave two of four functions by chance
+
+
+def test_written_addresses_are_found_without_labels_of_them(spark):
+    """Planted written addresses come out, ordinary "at ... dot ..." doesn't."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghijklmnoprstuvw") for _ in range(rng.randint(2, 8)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    rows, planted, plain = [], {}, set()
+    for i in range(1200):
+        t = text(rng.randint(5, 60))
+        if i % 3 == 0:
+            name, host, end = rng.choice(["jane.doe7", "k_" + word(), word() + "42", "info", word() + "." + word()]), word(), rng.choice(["com", "org", "de", "net"])
+            hit = rng.choice([f"{name} at {host} dot {end}", f"{name} (at) {host} (dot) {end}", f"{name} [at] {host} [dot] {end}"])
+            t += " "
+            planted[i] = (len(t), len(t) + len(hit))
+            t += hit + ", " + text(5)
+        elif i % 3 == 1:
+            t += f" {word()} at {word()} dot {word()}xq " + text(5)
+            plain.add(i)
+        elif i % 12 == 2:
+            t += f" mail {word()}@{word()}.com and {word()}"
+        rows.append((i, t))
+    got = {r.doc_id: r for r in pii.found(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    hit = [i for i, (a, b) in planted.items() if f"written:{a}:{b}" in got[i].spans.split(",")]
+    assert len(hit) >= 0.9 * len(planted)
+    assert sum(got[i].n_added > 0 for i in plain) <= 0.05 * len(plain)
+    assert all(r.n_added == 0 for i, r in got.items() if i not in planted and i not in plain)
+
+
+def test_places_of_many_candidates(spark):
+    text = "".join(f"é{'x' * (i % 7)} a{i}@b.co " for i in range(700))
+    row = pii.found(spark.createDataFrame([(1, text), (2, "no address 123")], "doc_id long, text string")).orderBy("doc_id").first()
+    assert row.n_email == 700 and row.base_sha256 == hashlib.sha256(brute_pii(text).encode()).hexdigest()
