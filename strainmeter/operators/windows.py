@@ -162,7 +162,9 @@ def series_ranges(df: DataFrame, part: list[str], order_num: Column, bound: int,
         }
     )
     grid = ", ".join(f"{i / RADIX}D" for i in range(1, RADIX))
-    for _ in range(_MOST_LEVELS):
+    for level in range(_MOST_LEVELS):
+        # one group of all rows: its cuts are constants, not a join
+        alone = not keys and level == 0
         groups = rows.groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("_n"), F.min("_o").alias("_lo"), F.max("_o").alias("_hi"), F.min("_t").alias("_tl"), F.max("_t").alias("_th"))
         large = groups.filter((F.col("_n") > _LOOSE * bound) & ((F.col("_lo") < F.col("_hi")) | (F.col("_tl") < F.col("_th"))))
         large = large.select(*keys, BUCKET, "_n", (F.col("_lo") < F.col("_hi")).alias("_by_o"))
@@ -174,7 +176,7 @@ def series_ranges(df: DataFrame, part: list[str], order_num: Column, bound: int,
             break
         ranges = F.least(F.ceil(F.col("_n") / bound), F.lit(RADIX))
         value = F.when(F.col("_by_o"), F.col("_o")).otherwise(F.col("_t"))
-        inside = _joined(rows, bounded_broadcast(large, n_large), [*keys, BUCKET], "inner")
+        inside = _with_row(rows, large) if alone else _joined(rows, bounded_broadcast(large, n_large), [*keys, BUCKET], "inner")
         sketched = inside.withColumn("_v", value).groupBy(*keys, BUCKET, "_by_o", "_n").agg(F.expr(f"percentile_approx(_v, array({grid}), {16 * RADIX})").alias("_q"))
         sketched = sketched.withColumn("_r", ranges.cast("int")).selectExpr(
             *keys,
@@ -188,13 +190,22 @@ def series_ranges(df: DataFrame, part: list[str], order_num: Column, bound: int,
         cuts = sketched.selectExpr(*keys, BUCKET, "_by_o", "array_union(_even, _heavy) AS _cuts", "_heavy")
         path = session.shared_path(spark, "range-cuts")
         cuts.write.parquet(path)
-        cuts = bounded_broadcast(spark.read.schema(cuts.schema).parquet(path), n_large)
+        cuts = spark.read.schema(cuts.schema).parquet(path)
         step = "CASE WHEN _cuts IS NULL THEN 0 ELSE size(filter(_cuts, c -> c <= _v)) + size(filter(_heavy, h -> h < _v)) END"
-        told = _joined(rows, cuts, [*keys, BUCKET], "left").withColumn("_v", value)
+        told = _with_row(rows, cuts) if alone else _joined(rows, bounded_broadcast(cuts, n_large), [*keys, BUCKET], "left")
+        told = told.withColumn("_v", value)
         rows = told.withColumn(BUCKET, F.col(BUCKET) * _STEP + F.expr(step)).drop("_by_o", "_cuts", "_heavy", "_v")
     return rows.drop(*keys, "_o", "_t")
 
 
+def _with_row(rows: DataFrame, one: DataFrame) -> DataFrame:
+    """``rows`` with the columns of a one-row table that they lack, as
+    constants: numbers, or at most two lists of ``RADIX`` cuts."""
+    row = one.first()
+    made = {f.name: F.lit(row[f.name]) if not isinstance(row[f.name], list) else F.array(*[F.lit(x) for x in row[f.name]]).cast(f.dataType) for f in one.schema.fields if f.name not in rows.columns}
+    return rows.withColumns(made)
+
+
 def _joined(rows: DataFrame, groups: DataFrame, keys: list[str], how: str) -> DataFrame:
     """Join by group; a NULL key is a group of its own."""
     named = groups.withColumnsRenamed({k: f"_of{k}" for k in keys})

@@ -115,3 +115,10 @@ def test_deep_trees_and_labels_of_one_hot_time(spark):
     b = failure_label(rows, F.col("failed"), horizon_seconds=40, n_buckets=1, out="y")
     assert sorted(map(tuple, a.select(S.KEY, "y").collect())) == sorted(map(tuple, b.select(S.KEY, "y").collect()))
     assert 0 < b.filter("y = 1").count() < 20_000
+
+
+def test_one_series_is_cut_without_a_nested_loop(spark, metrics_small):
+    cut = W.series_ranges(metrics_small, [], order_micros(S.TS), 20, F.col(S.KEY))
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "Exchange SinglePartition" not in plan
+    assert cut.count() == metrics_small.count()
