@@ -47,7 +47,7 @@ def test_pipeline_takes_odd_rows(spark, odd):
 def test_queries_are_registered():
     found = entry.queries()
     assert set(catalog.QUERIES) | {"pipeline"} <= set(found)
-    assert sorted(int(n[2:].split("_")[0]) for n in catalog.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in catalog.QUERIES) == list(range(1, 14))
 
 
 def test_digest_columns(spark):
@@ -58,6 +58,9 @@ def test_digest_columns(spark):
         "op8_packing": {"doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"},
         "op9_language": {"doc_id", "held_out", "lang_pred", "score"},
         "op10_vectors": {"vec_id", "n_links", "component_id", "kept"},
+        "op11_toxicity": {"doc_id", "held_out", "score", "predicted"},
+        "op12_centroids": {"vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"},
+        "op13_spellings": {"word", "form", "root", "n", "n_near", "form_n"},
     }
     for name, cols in want.items():
         assert cols <= set(entry.queries()[name](spark, SF).columns), name
