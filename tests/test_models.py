@@ -84,3 +84,12 @@ def test_history_scoring_uses_the_feature_table(spark, parts, metrics_small):
     got = {r["reading_id"]: r["failure_probability"] for r in hist.collect()}
     for k, v in got.items():
         assert v == pytest.approx(round(direct[k], 4), abs=1e-4)
+
+
+def test_fit_table_has_an_even_file_for_every_core(spark, metrics_small):
+    from strainmeter.plans.workflow import prepared_parts
+
+    train, _ = prepared_parts(metrics_small, path=shared_path(spark, "parts-even"))
+    rows = [r["count"] for r in train.groupBy(F.input_file_name()).count().collect()]
+    assert len(rows) == spark.sparkContext.defaultParallelism
+    assert max(rows) < 2 * sum(rows) / len(rows)
