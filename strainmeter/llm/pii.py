@@ -5,9 +5,9 @@ High-recall generators propose spans that may overlap: the four base formats
 any long number. Boosted trees (MLlib) score each candidate from its format
 (length, digits, separators, case, ending) and its context (words before it).
 
-They learn without labels of the target: in a bounded sample of documents the
-base formats' own checks (Luhn, part and digit counts) say which candidates
-are personal data. A written address never is a base match, so the real
+They learn without labels of the target: in all documents the base formats'
+own checks (Luhn, part and digit counts) say which candidates are personal
+data. A written address never is a base match, so the real
 addresses, with their contexts, are rendered as people write them out ("at",
 "(at)", "[at]" and dots likewise), with a few stated ones for corpora without
 any; the same rendering of ordinary words of the texts gives what only looks
@@ -33,7 +33,6 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE = 4000
 PRECISION = 0.98
 TREES, DEPTH = 12, 3
 CONTEXT = 24
@@ -209,7 +208,7 @@ def _rendered(address: Column, style: Column) -> Column:
 
 def written_examples(found: DataFrame, some: DataFrame) -> DataFrame:
     """(_k, c: kind, hit, before, label) of written addresses to learn from:
-    the sample's real addresses and the stated ones, rendered, and ordinary
+    the real addresses and the stated ones, rendered, and ordinary
     words in the same form."""
     style = F.pmod(F.xxhash64("_k", "hit"), F.lit(3))
     real = found.select("_k", F.explode("email").alias("e")).where("e.valid").select("_k", F.col("e.hit").alias("hit"), F.col("e.before").alias("before"))
@@ -224,14 +223,12 @@ def written_examples(found: DataFrame, some: DataFrame) -> DataFrame:
     return real.unionByName(stated).unionByName(plain).select("_k", F.struct(F.lit("written").alias("kind"), "hit", "before", "label").alias("c"))
 
 
-def trained(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> Model:
-    """Boosted trees and thresholds from a hashed sample of about ``sample``
-    documents that have a digit, an at sign or a written one."""
+def examples(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """Examples of all documents that have a digit, an at sign or a written one
+    (the others have no candidate): half to learn from or hold out, kind,
+    label, features. Those equal in all of them are one row and their count."""
     text = F.col(text_col)
-    rows = docs.select(text.alias("_t"), F.xxhash64(text).alias("_k")).where(text.rlike(r"[0-9@]| at |[(\[]at[)\]]"))
-    n = rows.count()
-    share = min(1.0, sample / n) if n else 0.0
-    some = rows.where(F.pmod("_k", F.lit(1 << 30)) < int(share * (1 << 30)))
+    some = docs.select(text.alias("_t"), F.xxhash64(text).alias("_k")).where(text.rlike(r"[0-9@]| at |[(\[]at[)\]]"))
     found = candidates(some, "_t", ["_k"])
     base = [F.col(k) for k in BASE]
     every = F.concat(*[F.coalesce(F.col(k), F.expr("cast(array() as array<struct<kind:string,s:int,e:int,hit:string,before:string,valid:boolean>>)")) for k in KINDS])
@@ -239,19 +236,28 @@ def trained(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> Mo
     # a real written candidate has no label of its own: it isn't an example
     one = found.select("_k", F.explode(F.filter(every, lambda c: c["kind"] != "written")).alias("c"))
     one = one.unionByName(written_examples(found, some))
-    table = one.select("_k", F.col("c.kind").alias("kind"), F.col("c.label").alias("label"), *[v.alias(k) for k, v in features(F.col("c")).items()]).cache()
+    half = F.pmod(F.xxhash64("_k"), F.lit(2)).alias("_half")
+    table = one.select(half, F.col("c.kind").alias("kind"), F.col("c.label").alias("label"), *[v.alias(k) for k, v in features(F.col("c")).items()])
+    counted = table.groupBy(*table.columns).agg(F.count(F.lit(1)).cast("double").alias("n"))
+    return counted.sortWithinPartitions(*table.columns)
+
+
+def trained(docs: DataFrame, text_col: str = "text") -> Model:
+    """Boosted trees and thresholds from the examples of all documents, each
+    with its count as its weight."""
+    table = examples(docs, text_col).cache()
+    names = [c for c in table.columns if c not in ("_half", "kind", "label", "n")]
     try:
-        names = [c for c in table.columns if c not in ("_k", "kind", "label")]
-        learn = table.where(F.pmod(F.xxhash64("_k"), F.lit(2)) == 0)
+        learn = table.where("_half = 0")
         if learn.select("label").distinct().count() < 2:
             return Model(names, [], {})
         vector = VectorAssembler(inputCols=names, outputCol="x").transform(learn)
-        fit = GBTClassifier(featuresCol="x", labelCol="label", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7, subsamplingRate=1.0).fit(vector)
+        fit = GBTClassifier(featuresCol="x", labelCol="label", weightCol="n", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7, subsamplingRate=1.0).fit(vector)
         trees = [(float(w), _node(t._call_java("rootNode"), names)) for w, t in zip(fit.treeWeights, fit.trees, strict=True)]
         model = Model(names, trees, {})
-        held = table.where(F.pmod(F.xxhash64("_k"), F.lit(2)) == 1).where(F.col("kind").isin(*LOOSE))
-        scored = held.select("kind", F.round(model.margin({c: F.col(c) for c in names}), 6).alias("m"), "label")
-        steps = scored.groupBy("kind", "m").agg(F.sum("label").alias("hits"), F.count(F.lit(1)).alias("n")).collect()
+        held = table.where("_half = 1").where(F.col("kind").isin(*LOOSE))
+        scored = held.select("kind", F.round(model.margin({c: F.col(c) for c in names}), 6).alias("m"), "label", "n")
+        steps = scored.groupBy("kind", "m").agg(F.sum(F.col("label") * F.col("n")).alias("hits"), F.sum("n").alias("n")).collect()
         for kind in LOOSE:
             hits = n = 0.0
             for r in sorted((r for r in steps if r["kind"] == kind), key=lambda r: -r["m"]):

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from strainmeter.llm import bagminhash, decontaminate, language, packing, passages, pii, quality, secretscan, shards
 from strainmeter.llm import textvec as tv
@@ -641,3 +642,10 @@ def test_places_of_many_candidates(spark):
     text = "".join(f"é{'x' * (i % 7)} a{i}@b.co " for i in range(700))
     row = pii.found(spark.createDataFrame([(1, text), (2, "no address 123")], "doc_id long, text string")).orderBy("doc_id").first()
     assert row.n_email == 700 and row.base_sha256 == hashlib.sha256(brute_pii(text).encode()).hexdigest()
+
+
+def test_pii_learns_from_every_document(spark):
+    rows = [(i, f"write to user{i % 7}@host.com or call 12{i % 10}") for i in range(9000)]
+    found = pii.examples(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = found.where("kind = 'email'").agg(F.sum("n"), F.count("n")).first()
+    assert got[0] == 9000 and got[1] < 10  # equal examples are one weighted row
