@@ -113,14 +113,17 @@ class HistoryStore:
         tail, carry = self.read(version)
         new = self._local(rows).unionByName(tail)
         lookback = _spec(new, {}).lookback
+        # where each host's last rows begin, from host, time and key alone:
+        # the wide rows are neither sorted nor moved for it
         last = Window.partitionBy(S.HOST).orderBy(F.col(S.TS).desc(), F.col(S.KEY).desc())
-        # a row_number limit is cut to its first rows before the shuffle
-        kept = new.withColumn("_r", F.row_number().over(last)).filter(F.col("_r") <= lookback).drop("_r")
+        first = lambda rows: rows.groupBy(F.col(S.HOST).alias("_h")).agg(F.min(F.struct(S.TS, S.KEY)).alias("_first"))
+        begin = first(new.select(S.HOST, S.TS, S.KEY).withColumn("_r", F.row_number().over(last)).filter(F.col("_r") <= lookback))
+        near = new.join(begin, F.col(S.HOST).eqNullSafe(F.col("_h"))).filter(F.struct(S.TS, S.KEY) >= F.col("_first")).drop("_h", "_first")
+        kept = near.withColumn("_r", F.row_number().over(last)).filter(F.col("_r") <= lookback).drop("_r")
         path = self.path(version + 1, "tail")
         kept.write.mode("overwrite").parquet(path)
         kept = self.spark.read.schema(kept.schema).parquet(path)
-        edge = kept.groupBy(F.col(S.HOST).alias("_h")).agg(F.min(F.struct(S.TS, S.KEY)).alias("_first"))
-        older = new.join(edge, F.col(S.HOST).eqNullSafe(F.col("_h")), "left").filter(F.struct(S.TS, S.KEY) < F.col("_first"))
+        older = new.join(first(kept), F.col(S.HOST).eqNullSafe(F.col("_h")), "left").filter(F.struct(S.TS, S.KEY) < F.col("_first"))
         order = X.order_key_sql(older, [S.TS, S.KEY])
         names = self._sources(new)
         seen = older.groupBy(S.HOST).agg(*[F.expr(f"max_by(`{c}`, CASE WHEN `{c}` IS NOT NULL THEN {order} END)").alias(f"_new_{c}") for c in names])

@@ -128,3 +128,19 @@ def test_lookups_of_odd_requests(spark):
     young = {(r._row, r.as_of): r.a for r in MO.features_as_of(asked, rows, ["a"], max_age="2 HOURS").filter("host_id = 5").collect()}
     assert young["y", t(9)] is None and MO.features_as_of(asked.limit(0), rows, ["a"]).count() == 0
     assert MO.features_as_of(asked, rows.limit(0), ["a"]).filter("a IS NOT NULL").count() == 0
+
+
+def test_a_batch_reads_its_own_period(spark, monkeypatch):
+    from strainmeter.plans.catalog import q_models
+
+    seen = []
+    real = q_models.score_incremental
+
+    def noted(readings, *args, **options):
+        seen.append(readings._jdf.queryExecution().executedPlan().toString())
+        return real(readings, *args, **options)
+
+    monkeypatch.setattr(q_models, "score_incremental", noted)
+    n = q_models.q_score_incremental(spark, "/root/testdata/sf0.001").count()
+    assert n == spark.read.parquet("/root/testdata/sf0.001/events.parquet").count()
+    assert len(seen) == 3 and all("PartitionFilters: [isnotnull(_period" in plan for plan in seen)
