@@ -122,3 +122,12 @@ def test_one_series_is_cut_without_a_nested_loop(spark, metrics_small):
     plan = cut._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan and "Exchange SinglePartition" not in plan
     assert cut.count() == metrics_small.count()
+
+
+def test_one_long_series_is_cut_for_every_core(spark):
+    """Beyond a million rows a series without a host isn't three tasks' work;
+    a short one, or one within a small bound, stays whole."""
+    (_, bound), = W.by_series_size(spark.range(1_200_000), [], 2_000_000)
+    assert bound == 250_000
+    assert [b for _, b in W.by_series_size(spark.range(900_000), [], 2_000_000)] == [None]
+    assert [b for _, b in W.by_series_size(spark.range(900), [], 50)] == [50]
