@@ -93,3 +93,28 @@ def test_fit_table_has_an_even_file_for_every_core(spark, metrics_small):
     rows = [r["count"] for r in train.groupBy(F.input_file_name()).count().collect()]
     assert len(rows) == spark.sparkContext.defaultParallelism
     assert max(rows) < 2 * sum(rows) / len(rows)
+
+
+def test_fits_run_together_and_the_forest_leaves_cores(spark, parts, monkeypatch):
+    """The three fits wait for each other: one after the other would not end."""
+    import threading
+
+    from strainmeter.plans import workflow as WF
+
+    train, test = parts
+    met, real = threading.Barrier(3, timeout=60), TR.build_pipeline
+    monkeypatch.setattr(TR, "build_pipeline", lambda *a: (met.wait(), real(*a))[1])
+    reg = Registry(spark, shared_path(spark, "reg-together"))
+    got = WF.train_models(train, test, reg, specs=SMALL)
+    assert sorted(r["model"] for r in got.collect()) == sorted(SMALL)
+    assert TR.forest_tasks(train) == max(1, spark.sparkContext.defaultParallelism // 2)
+
+
+def test_folds_are_fitted_together(spark, metrics_small, monkeypatch):
+    import threading
+
+    table = SP.stratified_folds(FE.feature_table(metrics_small)).cache()
+    met, real = threading.Barrier(S.N_FOLDS, timeout=60), TR.build_pipeline
+    monkeypatch.setattr(TR, "build_pipeline", lambda *a: (met.wait(), real(*a))[1])
+    mean, std = TR.cross_validate(table, SMALL["logistic_regression"])
+    assert mean[0] > 0.7 and std[0] >= 0
