@@ -1,8 +1,9 @@
 """Stateful stream operators with ``applyInPandasWithState``, in event time.
 
 Rows are held per host until ``late_bound`` (10 minutes) of event time has
-passed, then processed in (ts, key) order: deliveries shuffled within the bound
-give the batch operators' rows exactly. A row that comes after its host's
+passed, by the watermark or by the host's own rows, then processed in (ts, key)
+order: deliveries shuffled within the bound give the batch operators' rows
+exactly. A row that comes after its host's
 later rows were processed is late: it is marked ``is_late`` and changes no
 other row.
 
@@ -13,15 +14,16 @@ which counts them in the query progress. The processing mark is the watermark
 plus grace minus bound. Event-time timers release rows of hosts that get no
 more data, and remove the state of a host that was silent for ``idle``.
 
-The state of a host is bounded: the rows of the last ``late_bound`` and of one
-micro-batch (``maxFilesPerTrigger``), the last rows a row frame or lag needs
-(4), the last non-null value of each forward-filled column, or the open island
-of an alert.
+The state of a host is bounded: the rows of the last ``late_bound``, the last
+rows a row frame or lag needs (4), the last non-null value of each
+forward-filled column, or the open island of an alert. So is a worker's memory,
+however many rows of a host one micro-batch brings (``_Sorted``).
 """
 
 from __future__ import annotations
 
 import json
+import tempfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -75,13 +77,86 @@ def _late(pdf: pd.DataFrame, at: str | None, key: int | None) -> pd.Series:
     if at is None:
         return pd.Series(False, index=pdf.index)
     seen = pd.Timestamp(at)
-    return (pdf[S.TS] < seen) | ((pdf[S.TS] == seen) & (pdf[S.KEY] <= key))
+    before = pdf[S.KEY] <= key if key is not None else pd.Series(True, index=pdf.index)  # a null key is the last
+    return (pdf[S.TS] < seen) | ((pdf[S.TS] == seen) & before)
 
 
 def _ms(ts: pd.Series) -> pd.Series:
     return ts.astype("datetime64[us]").astype("int64") // 1000
 
 
+#: Rows of a host that are sorted at once, and rows read at a time of those put aside.
+RUN_ROWS, BLOCK_ROWS = 100_000, 2_000
+
+
+class _Sorted:
+    """Rows of one host, given frame by frame, in (ts, key) order (nulls last,
+    equal ones as given). Up to ``RUN_ROWS`` rows are sorted as they are; more
+    are put aside in sorted temporary files and read again block by block."""
+
+    def __init__(self, schema: pa.Schema) -> None:
+        self.schema = schema
+        self.frames: list[pd.DataFrame] = []
+        self.n = 0
+        self.files: list = []
+
+    def _taken(self) -> pd.DataFrame:
+        rows = pd.concat(self.frames, ignore_index=True) if self.frames else pd.DataFrame(columns=self.schema.names)
+        self.frames, self.n = [], 0
+        return rows.sort_values([S.TS, S.KEY], kind="mergesort").reset_index(drop=True)
+
+    def _put_aside(self) -> None:
+        file = tempfile.TemporaryFile()
+        with pa.ipc.new_stream(file, self.schema) as w:
+            w.write_table(pa.Table.from_pandas(self._taken(), schema=self.schema, preserve_index=False), max_chunksize=BLOCK_ROWS)
+        file.seek(0)
+        self.files.append(file)
+
+    def add(self, rows: pd.DataFrame) -> None:
+        if self.n and self.n + len(rows) > RUN_ROWS:
+            self._put_aside()
+        if len(rows):
+            self.frames.append(rows)
+            self.n += len(rows)
+
+    def read(self) -> Iterator[pd.DataFrame]:
+        if not self.files:
+            if self.n:
+                yield self._taken()
+            return
+        self._put_aside()
+        blocks = [iter(pa.ipc.open_stream(f)) for f in self.files]
+        left: pd.DataFrame | None = None
+        open_ = set(range(len(blocks)))
+        while True:
+            # every file has a block here; rows up to the first block's end are
+            # complete, as what isn't read yet comes after its file's block
+            have = left["_file"].value_counts() if left is not None else {}
+            new = [left] if left is not None and len(left) else []
+            for i in sorted(open_):
+                if have.get(i, 0) < BLOCK_ROWS:
+                    block = next(blocks[i], None)
+                    if block is None:
+                        open_.discard(i)
+                        if len(new) and new[0] is left:
+                            left.loc[left["_file"] == i, "_end"] = False
+                        continue
+                    rows = block.to_pandas()
+                    new.append(rows.assign(_file=i, _end=np.arange(len(rows)) == len(rows) - 1))
+            if not new:
+                return
+            rows = pd.concat(new, ignore_index=True)
+            # one end a file: that of its last block
+            ends = rows.index[rows["_end"]].to_series()
+            last = ends.groupby(rows.loc[ends, "_file"]).max()
+            rows["_end"] = rows.index.isin(last)
+            rows = rows.sort_values([S.TS, S.KEY, "_file"], kind="mergesort").reset_index(drop=True)
+            cut = int(rows["_end"].to_numpy().argmax()) + 1 if open_ else len(rows)
+            left = rows.iloc[cut:].reset_index(drop=True)
+            for a in range(0, cut, RUN_ROWS):
+                yield rows.iloc[a : min(cut, a + RUN_ROWS)].drop(columns=["_file", "_end"]).reset_index(drop=True)
+
+
 def _in_event_time(process: Callable, late_rows: Callable, schema: T.StructType, late_bound: str, grace: str, idle: str):
     """State function that gives ``process(key, rows, inner)`` each host's
     rows in (ts, key) order once they are due; it returns (output rows, new
@@ -96,27 +171,34 @@ def _in_event_time(process: Callable, late_rows: Callable, schema: T.StructType,
         held, inner, at, last_key, seen = state.get if state.exists else (None, None, None, None, None)
         watermark = state.getCurrentWatermarkMs()
         mark = watermark + slack - bound if watermark > 0 else None
-        new = [] if state.hasTimedOut else [p[columns] for p in pdfs]
-        rows = pd.concat(new, ignore_index=True) if new else pd.DataFrame(columns=columns)
-        if len(rows):
-            seen = max(seen or 0, int(_ms(rows[S.TS]).max()))
-            late = _late(rows, at, last_key)
-            if late.any():
-                yield late_rows(rows[late])
-                rows = rows[~late]
+        order = _Sorted(arrow)
         if held is not None:
             with pa.ipc.open_stream(held) as r:
-                before = r.read_pandas()
-            rows = pd.concat([before, rows], ignore_index=True) if len(rows) else before
-        if len(rows):
-            rows = rows.sort_values([S.TS, S.KEY], kind="mergesort").reset_index(drop=True)
-            due = _ms(rows[S.TS]) <= mark if mark is not None else pd.Series(False, index=rows.index)
-            ready, rows = rows[due].reset_index(drop=True), rows[~due].reset_index(drop=True)
+                order.add(r.read_pandas())
+        for rows in [] if state.hasTimedOut else pdfs:
+            rows = rows[columns]
+            if len(rows):
+                seen = max(seen or 0, int(_ms(rows[S.TS]).max()))
+                late = _late(rows, at, last_key)
+                if late.any():
+                    yield late_rows(rows[late])
+                order.add(rows[~late])
+        # what the host's own rows have left behind is due too
+        passed = [m for m in (seen - bound if seen else None, mark) if m is not None]
+        limit = max(passed, default=-(1 << 63))
+        kept = []
+        for rows in order.read():
+            due = (_ms(rows[S.TS]) <= limit) & (rows[S.TS].notna() | (mark is not None))
+            ready = rows[due].reset_index(drop=True)
+            if not due.all():
+                kept.append(rows[~due])
             if len(ready):
                 out, new_inner = process(key, ready, json.loads(inner) if inner else None)
                 inner = json.dumps(new_inner)
-                at, last_key = ready[S.TS].iloc[-1].isoformat(), int(ready[S.KEY].iloc[-1])
+                at, last_key = ready[S.TS].iloc[-1].isoformat(), _to_py(ready[S.KEY].iloc[-1])
+                last_key = int(last_key) if last_key is not None else None
                 yield out
+        rows = pd.concat(kept, ignore_index=True) if kept else pd.DataFrame(columns=columns)
         if len(rows):
             sink = pa.BufferOutputStream()
             table = pa.Table.from_pandas(rows, schema=arrow, preserve_index=False)

@@ -106,6 +106,49 @@ def test_late_stream_rows_leave_the_state_alone(spark):
         ST._in_event_time(*parts, kind, "10 minutes", "5 minutes", "1 hour")
 
 
+def test_a_large_micro_batch_is_processed_in_bounded_frames(monkeypatch):
+    """One host's rows in any order, far more than are sorted at once: frames
+    are bounded, all rows but the last 10 minutes come out in the first
+    micro-batch, and the state keeps those alone."""
+    import numpy as np
+    import pandas as pd
+    import pyarrow as pa
+
+    from pyspark.sql import types as T
+
+    from strainmeter.streaming import stateful as ST
+
+    monkeypatch.setattr(ST, "RUN_ROWS", 500)
+    monkeypatch.setattr(ST, "BLOCK_ROWS", 20)
+
+    class State:
+        exists, hasTimedOut, held = False, False, None
+        update = lambda self, value: setattr(self, "held", value)
+        getCurrentWatermarkMs = lambda self: 0
+        setTimeoutTimestamp = lambda self, at: None
+
+    kind = T.StructType([T.StructField(S.KEY, T.LongType()), T.StructField(S.TS, T.TimestampNTZType()), T.StructField("v", T.DoubleType())])
+    n, rng = 6000, np.random.default_rng(3)
+    rows = pd.DataFrame({S.KEY: np.arange(n), S.TS: pd.Timestamp("2024-01-01") + pd.to_timedelta(np.arange(n) // 3, unit="s"), "v": rng.random(n)})
+    rows.loc[rng.random(n) < 0.1, "v"] = np.nan
+    parts = ST._history_fn([("m3", "v", "mean", 3)], [("l1", "v", 1)], {}, ["v"], [S.TS, S.KEY, "v"], [S.KEY, "v", "m3", "l1", "is_late"], 2)
+    whole, _ = parts[0]((1,), rows, None)
+    for sent in (rows, rows.iloc[::-1], rows.sample(frac=1, random_state=5), pd.concat([rows[rows.index % 2 == 0], rows[rows.index % 2 == 1]])):
+        sizes, state = [], State()
+
+        def process(key, pdf, inner):
+            sizes.append(len(pdf))
+            return parts[0](key, pdf, inner)
+
+        fn = ST._in_event_time(process, parts[1], kind, "10 minutes", "10 minutes", "1 hour")
+        got = pd.concat(fn((1,), iter([sent.iloc[i : i + 130] for i in range(0, n, 130)]), state), ignore_index=True)
+        assert max(sizes) <= 500 and not got["is_late"].any()
+        due = n - 3 * 600
+        pd.testing.assert_frame_equal(got, whole.iloc[:due].reset_index(drop=True), check_dtype=False)
+        with pa.ipc.open_stream(state.held[0]) as r:
+            assert r.read_all().num_rows == n - due
+
+
 def test_bodies_that_cannot_be_read_are_reported(spark):
     path = shared_path(spark, "bodies")
     good = {"reading_id": 1, "cpu_usage": 1.5, "ts": "2024-01-01T00:00:00.000001"}
