@@ -125,36 +125,46 @@ class _Sorted:
                 yield self._taken()
             return
         self._put_aside()
-        blocks = [iter(pa.ipc.open_stream(f)) for f in self.files]
-        left: pd.DataFrame | None = None
-        open_ = set(range(len(blocks)))
-        while True:
-            # every file has a block here; rows up to the first block's end are
-            # complete, as what isn't read yet comes after its file's block
-            have = left["_file"].value_counts() if left is not None else {}
-            new = [left] if left is not None and len(left) else []
-            for i in sorted(open_):
-                if have.get(i, 0) < BLOCK_ROWS:
-                    block = next(blocks[i], None)
+        unread = {i: iter(pa.ipc.open_stream(f)) for i, f in enumerate(self.files)}
+        blocks: dict[int, pd.DataFrame] = {}
+        ready, n = [], 0
+        while unread or blocks:
+            for i in list(unread):
+                if i not in blocks:
+                    block = next(unread[i], None)
                     if block is None:
-                        open_.discard(i)
-                        if len(new) and new[0] is left:
-                            left.loc[left["_file"] == i, "_end"] = False
-                        continue
-                    rows = block.to_pandas()
-                    new.append(rows.assign(_file=i, _end=np.arange(len(rows)) == len(rows) - 1))
-            if not new:
-                return
-            rows = pd.concat(new, ignore_index=True)
-            # one end a file: that of its last block
-            ends = rows.index[rows["_end"]].to_series()
-            last = ends.groupby(rows.loc[ends, "_file"]).max()
-            rows["_end"] = rows.index.isin(last)
-            rows = rows.sort_values([S.TS, S.KEY, "_file"], kind="mergesort").reset_index(drop=True)
-            cut = int(rows["_end"].to_numpy().argmax()) + 1 if open_ else len(rows)
-            left = rows.iloc[cut:].reset_index(drop=True)
-            for a in range(0, cut, RUN_ROWS):
-                yield rows.iloc[a : min(cut, a + RUN_ROWS)].drop(columns=["_file", "_end"]).reset_index(drop=True)
+                        del unread[i]
+                    else:
+                        blocks[i] = block.to_pandas().assign(_file=i)
+            if not blocks:
+                break
+            # rows up to the first of the blocks' ends are complete: what isn't
+            # read yet comes after its own block's end
+            order = [S.TS, S.KEY, "_file"]
+            end = pd.concat([x[order].iloc[-1:] for x in blocks.values()], ignore_index=True).sort_values(order).iloc[0]
+            near = [i for i, x in blocks.items() if pd.isna(end[S.TS]) or x[S.TS].iloc[0] <= end[S.TS]]
+            rows = pd.concat([blocks[i].assign(_end=np.arange(len(blocks[i])) == len(blocks[i]) - 1) for i in near], ignore_index=True)
+            rows["_end"] &= rows["_file"] == end["_file"]
+            rows = rows.sort_values(order).reset_index(drop=True)
+            cut = int(rows["_end"].to_numpy().argmax()) + 1
+            left = rows.iloc[cut:].drop(columns="_end")
+            for i in near:
+                blocks[i] = left[left["_file"] == i]
+                if not len(blocks[i]):
+                    del blocks[i]
+            ready.append(rows.iloc[:cut].drop(columns=["_file", "_end"]))
+            n += cut
+            if n >= RUN_ROWS // 2:
+                yield from self._parts(ready)
+                ready, n = [], 0
+        if n:
+            yield from self._parts(ready)
+
+    @staticmethod
+    def _parts(ready: list[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = pd.concat(ready, ignore_index=True)
+        for a in range(0, len(rows), RUN_ROWS):
+            yield rows.iloc[a : a + RUN_ROWS].reset_index(drop=True)
 
 
 def _in_event_time(process: Callable, late_rows: Callable, schema: T.StructType, late_bound: str, grace: str, idle: str):
