@@ -640,6 +640,56 @@ def test_passages_unlike_both_shortest_partners(spark):
     assert {k: v for k, v in found.items() if k >= 1000} == dict.fromkeys((1031, 1047, 1059), 1031)
 
 
+def test_passages_of_texts_that_repeat_a_line(spark, monkeypatch):
+    """A line that every text repeats many times makes neither pairs of places
+    nor rows beyond a few for each window; what two texts share around it, with
+    a changed word, is found."""
+    rng = random.Random(41)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7))
+    some = lambda n: [word() for _ in range(n)]
+    line, passage = some(9), some(24)
+    rows = []
+    for i in range(40):
+        text = []
+        for k in range(60):
+            text += some(rng.randint(11, 17)) + line
+            if i in (7, 22, 36) and k == 30 + i % 4:
+                text += _changed(rng, word, passage, (11,) if i == 22 else ()) + line + passage[::-1]
+        rows.append((i, " ".join(text)))
+    counts = {}
+    real = passages.written
+
+    def counted(df, name):
+        out = real(df, name)
+        counts[name] = out.count()
+        return out
+
+    monkeypatch.setattr(passages, "written", counted)
+    found = {r.doc_id: r.class_id for r in passages.repeated(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == dict.fromkeys((7, 22, 36), 7)
+    assert max(counts.values()) <= 4 * counts["passage-windows"], counts
+
+
+def test_passages_agree_in_as_many_blocks_as_the_filter_asks():
+    rng = random.Random(43)
+    least = 10**9
+    for _ in range(4000):
+        n = rng.randint(passages.LEAST, 2 * passages.LEAST - 1)
+        left = int((1 - passages.SIMILARITY) * n + 1e-6)
+        same = [True] * n
+        while left:  # changed words: five shingles each, fewer at the ends
+            at = rng.choice((rng.randint(-4, 0), rng.randint(n - 5, n - 1), rng.randint(0, n - 5)))
+            hit = [k for k in range(max(at, 0), min(at + 5, n)) if same[k]]
+            if len(hit) > left:
+                break
+            for k in hit:
+                same[k] = False
+            left -= len(hit)
+        first = rng.randint(0, 2)
+        least = min(least, sum(all(same[k : k + 3]) for k in range(first, n - 2, 3)))
+    assert 1 < passages.agreeing_blocks() <= least
+
+
 def test_written_addresses_are_found_without_labels_of_them(spark):
     """Planted written addresses come out, ordinary "at ... dot ..." doesn't."""
     rng = random.Random(8)
