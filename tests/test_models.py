@@ -118,3 +118,35 @@ def test_folds_are_fitted_together(spark, metrics_small, monkeypatch):
     monkeypatch.setattr(TR, "build_pipeline", lambda *a: (met.wait(), real(*a))[1])
     mean, std = TR.cross_validate(table, SMALL["logistic_regression"])
     assert mean[0] > 0.7 and std[0] >= 0
+
+
+def test_folds_at_once_are_those_that_memory_caches(spark, monkeypatch):
+    import threading
+
+    from strainmeter import session
+
+    held = session.cache_bytes(spark)
+    assert held > 1 << 28
+    assert TR.folds_at_once(spark, 10, 46) > S.N_FOLDS
+    assert TR.folds_at_once(spark, held // (8 * 46) // 2, 46) == 2
+    assert TR.folds_at_once(spark, held, 46) == 1
+    running, most, lock = [0], [0], threading.Lock()
+
+    def call():
+        with lock:
+            running[0] += 1
+            most[0] = max(most[0], running[0])
+        spark.range(1000).count()
+        with lock:
+            running[0] -= 1
+        return most[0]
+
+    assert max(session.together(spark, [call] * 5, 1)) == 1
+    monkeypatch.setattr(TR, "folds_at_once", lambda *a: most.append(a) or 2)
+    table = SP.stratified_folds(FE.feature_table(metrics := spark.range(400).selectExpr(
+        "id AS event_id", "id % 4 AS host_id", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, cast(id AS INT)) AS timestamp",
+        "double(id * 37 % 101) AS cpu_usage", "double(id * 53 % 101) AS memory_usage", "50D AS disk_usage", "20D AS network_latency_ms",
+        "1 AS error_count", "100D AS response_time_ms", "1 AS active_connections", "int(id * 37 % 101 > 60) AS failure_within_hour",
+        "1 AS hour", "1 AS day_of_week", "0 AS is_weekend", "0 AS is_business_hours").withColumnRenamed("timestamp", S.TS))).cache()
+    mean, _ = TR.cross_validate(table, SMALL["boosted_trees"])
+    assert mean[0] > 0.7 and most[-1][1:] == (metrics.count(), len(S.MODEL_INPUTS))
