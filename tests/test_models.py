@@ -150,3 +150,18 @@ def test_folds_at_once_are_those_that_memory_caches(spark, monkeypatch):
         "1 AS hour", "1 AS day_of_week", "0 AS is_weekend", "0 AS is_business_hours").withColumnRenamed("timestamp", S.TS))).cache()
     mean, _ = TR.cross_validate(table, SMALL["boosted_trees"])
     assert mean[0] > 0.7 and most[-1][1:] == (metrics.count(), len(S.MODEL_INPUTS))
+
+
+def test_parts_are_prepared_once_for_fits_and_their_metrics(spark, monkeypatch, tmp_path):
+    from strainmeter.plans import workflow as WF
+
+    calls, real = [], WF.prepared_parts
+    monkeypatch.setattr(WF, "prepared_parts", lambda *a, **b: (calls.append(1), real(*a, **b))[1])
+    monkeypatch.setattr(TR, "DEFAULT_SPECS", SMALL)
+    monkeypatch.setattr(WF, "registry_of", lambda *a: Registry(spark, str(tmp_path / "reg")))
+    reg = WF.trained_registry(spark, "/root/testdata/sf0.001")
+    got = {r["model"]: r["auc"] for r in WF.evaluated(spark, "/root/testdata/sf0.001", reg).collect()}
+    assert len(calls) == 1
+    again = WF.trained_registry(spark, "/root/testdata/sf0.001")  # nothing to fit: the given table is read
+    then = {r["model"]: r["auc"] for r in WF.evaluated(spark, "/root/testdata/sf0.001", again).collect()}
+    assert len(calls) == 2 and then == pytest.approx(got) and len(got) == 3
